@@ -26,7 +26,7 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Callable[[Domain], DataFrame]) -> Callable[[Domain], DataFrame]:
-    QUERIES[fn.__name__] = lambda spark, root: fn(Domain(spark, root))
+    QUERIES[fn.__name__] = lambda spark, root: fn(Domain.of(spark, root))
     return fn
 
 

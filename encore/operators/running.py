@@ -4,16 +4,18 @@ A changelog ("every input row emits the key's updated result") is a running
 aggregate ordered by ``(ts, id)``. Written as one window partitioned by the
 key, a key that holds a third of all rows would be sorted in a single task.
 Instead the time line of every key is cut into slices of
-``encore.slice.seconds``:
-
-1. a partial aggregate per ``(key, slice)`` (count / sum / first value);
-2. a prefix over the slices of each key — a window over the small per-slice
-   table, one row per slice, not per record;
-3. the records joined to their slice's prefix and finished by a window
-   partitioned by ``(key, slice)``.
-
-The largest sorted group is then one key's records of one slice, and results
-are exact (no sampling, no cap).
+``encore.slice.seconds`` and the data is shuffled once, by ``(key, slice)``:
+
+1. windows partitioned by ``(key, slice)`` give each row its running value
+   inside the slice and the slice's total (same exchange, same sort);
+2. the slice totals, one row per ``(key, slice)`` (an aggregate over data that
+   is already partitioned, so no new exchange), get a prefix over the slices
+   of each key — a window over the small slice table, not over records;
+3. the rows are joined to their slice's prefix on ``(key, slice)``; the rows
+   stay where they are, only the slice table moves.
+
+The largest sorted group is one key's records of one slice, every input is
+computed once, and results are exact (no sampling, no cap).
 """
 
 from __future__ import annotations
@@ -32,6 +34,19 @@ def slice_of(ts: Column, seconds: int) -> Column:
     return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(seconds * 1_000_000)).cast("bigint")
 
 
+def _prefix(slices: DataFrame, keys: Sequence[str], totals: Sequence[str],
+            firsts: Sequence[str]) -> DataFrame:
+    """Per (key, slice): sums of ``totals`` over earlier slices, ``firsts`` of the first slice."""
+    before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    return slices.select(
+        *keys, SLICE,
+        *[F.coalesce(F.sum(t).over(before), F.lit(0)).alias(f"_before{t}") for t in totals],
+        *[F.first(f).over(whole).alias(f"_head{f}") for f in firsts],
+    )
+
+
 def running(df: DataFrame, keys: Sequence[str], *, ts: str = "ts", tiebreak: str = "id",
             counts: Sequence[str] = (), sums: dict[str, str] | None = None,
             firsts: dict[str, str] | None = None, slice_seconds: int | None = None) -> DataFrame:
@@ -44,77 +59,66 @@ def running(df: DataFrame, keys: Sequence[str], *, ts: str = "ts", tiebreak: str
     sums, firsts = dict(sums or {}), dict(firsts or {})
     seconds = slice_seconds or conf_int(df.sparkSession, SLICE_SECONDS)
     d = df.withColumn(SLICE, slice_of(F.col(ts), seconds))
-    order = F.struct(F.col(ts), F.col(tiebreak))
-
-    aggs = [F.count(F.lit(1)).alias("_c")]
-    aggs += [F.sum(c).alias(f"_s_{o}") for o, c in sums.items()]
-    aggs += [F.min_by(c, order).alias(f"_f_{o}") for o, c in firsts.items()]
-    per = d.groupBy(*keys, SLICE).agg(*aggs)
 
-    before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing)
-    prefix = per.select(
-        *keys, SLICE,
-        F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_o_c"),
-        *[F.coalesce(F.sum(f"_s_{o}").over(before), F.lit(0)).alias(f"_o_{o}") for o in sums],
-        *[F.first(f"_f_{o}").over(whole).alias(f"_first_{o}") for o in firsts],
-    )
-    d = d.join(prefix, [*keys, SLICE])
-
-    w = (Window.partitionBy(*keys, SLICE).orderBy(F.col(ts), F.col(tiebreak))
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cols = {}
-    for name in counts:
-        cols[name] = F.count(F.lit(1)).over(w) + F.col("_o_c")
+    upto = (Window.partitionBy(*keys, SLICE).orderBy(F.col(ts), F.col(tiebreak))
+                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    whole = Window.partitionBy(*keys, SLICE)
+    inner = {"_in_c": F.count(F.lit(1)).over(upto), "_tot_c": F.count(F.lit(1)).over(whole)}
     for o, c in sums.items():
-        cols[o] = F.sum(c).over(w) + F.col(f"_o_{o}")
+        inner[f"_in_{o}"] = F.sum(c).over(upto)
+        inner[f"_tot_{o}"] = F.sum(c).over(whole)
+    for o, c in firsts.items():
+        inner[f"_fst_{o}"] = F.first(c).over(upto)
+    d = d.withColumns(inner)
+
+    totals = ["_tot_c", *[f"_tot_{o}" for o in sums]]
+    heads = [f"_fst_{o}" for o in firsts]
+    slices = d.groupBy(*keys, SLICE).agg(
+        *[F.first(t).alias(t) for t in totals],
+        *[F.min_by(h, F.col("_in_c")).alias(h) for h in heads])
+    d = d.join(_prefix(slices, keys, totals, heads), [*keys, SLICE])
+
+    out = {}
+    for name in counts:
+        out[name] = F.col("_in_c") + F.col("_before_tot_c")
+    for o in sums:
+        out[o] = F.col(f"_in_{o}") + F.col(f"_before_tot_{o}")
     for o in firsts:
-        cols[o] = F.col(f"_first_{o}")
-    drop = [SLICE, "_o_c", *[f"_o_{o}" for o in sums], *[f"_first_{o}" for o in firsts]]
-    return d.withColumns(cols).drop(*drop)
+        out[o] = F.col(f"_head_fst_{o}")
+    helper = [c for c in d.columns if c.startswith(("_in_", "_tot_", "_fst_", "_before", "_head"))]
+    return d.withColumns(out).drop(SLICE, *helper)
 
 
 def asof_count(probes: DataFrame, rows: DataFrame, keys: Sequence[str], *,
-               probe_id: str = "id", out: str = "n", probe_ts: str = "ts", row_ts: str = "ts",
+               out: str = "n", probe_ts: str = "ts", row_ts: str = "ts",
                slice_seconds: int | None = None) -> DataFrame:
     """For every probe, how many ``rows`` of its key have ``ts <= probe_ts``.
 
-    This is a left temporal lookup into a running count table without ever
-    materialising the running count of every row: rows are reduced to counts
-    per ``(key, slice)``; a probe adds the counts of earlier slices (prefix over
-    a table of slice counts and probe markers) to the rows of its own slice up
-    to its time (a window bounded by one key's slice). Probes with no rows get 0.
-    ``probe_id`` must be unique per probe.
+    A left temporal lookup into a running count, without a running count per
+    row: probes and rows are shuffled together once by ``(key, slice)``; a
+    window there counts the rows up to each probe (rows first at equal time —
+    the table side is seen first) and the slice's row total; earlier slices
+    are added from the prefix of the small slice table. Probes without rows
+    get 0. Rows with a null key are never counted.
     """
     seconds = slice_seconds or conf_int(probes.sparkSession, SLICE_SECONDS)
-    pid = "_probe"
-    p = (probes.withColumn(pid, F.col(probe_id))
-               .withColumn(SLICE, slice_of(F.col(probe_ts), seconds)))
-    r = rows.select(*keys, F.col(row_ts).alias("_t")).withColumn(SLICE, slice_of(F.col("_t"), seconds))
+    pcols = probes.columns
+    p = probes.select(*keys, F.col(probe_ts).alias("_t"), F.lit(1).alias("_side"),
+                      F.struct(*pcols).alias("_p"))
+    r = rows.select(*keys, F.col(row_ts).alias("_t"), F.lit(0).alias("_side"),
+                    F.lit(None).cast(p.schema["_p"].dataType).alias("_p"))
     for k in keys:
         r = r.filter(F.col(k).isNotNull())
+    u = p.unionByName(r).withColumn(SLICE, slice_of(F.col("_t"), seconds))
 
-    cnt = r.groupBy(*keys, SLICE).agg(F.count(F.lit(1)).alias("_c"))
-    marks = p.select(*keys, SLICE).distinct()
-    u = (cnt.withColumn("_side", F.lit(1))
-            .unionByName(marks.withColumn("_c", F.lit(0).cast("bigint")).withColumn("_side", F.lit(0))))
-    upto = (Window.partitionBy(*keys).orderBy(SLICE, "_side")
+    upto = (Window.partitionBy(*keys, SLICE).orderBy("_t", "_side")
                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carry = (u.withColumn("_carry", F.sum("_c").over(upto))
-              .filter(F.col("_side") == 0).select(*keys, SLICE, "_carry"))
-
-    # in-slice: rows before probes at equal time (the table side is seen first)
-    pr = p.select(pid, *keys, SLICE, F.col(probe_ts).alias("_t"), F.lit(1).alias("_side"))
-    rr = r.select(F.lit(None).cast(p.schema[pid].dataType).alias(pid), *keys, SLICE, "_t", F.lit(0).alias("_side"))
-    w = (Window.partitionBy(*keys, SLICE).orderBy("_t", "_side")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inslice = (pr.unionByName(rr)
-                 .withColumn("_in", F.sum(1 - F.col("_side")).over(w))
-                 .filter(F.col("_side") == 1).select(pid, "_in"))
-
-    res = (p.join(carry, [*keys, SLICE], "left")
-            .join(inslice, pid, "left")
-            .withColumn(out, (F.coalesce(F.col("_carry"), F.lit(0))
-                              + F.coalesce(F.col("_in"), F.lit(0))).cast("bigint")))
-    return res.drop(pid, SLICE, "_carry", "_in")
+    whole = Window.partitionBy(*keys, SLICE)
+    is_row = 1 - F.col("_side")
+    u = u.withColumns({"_in_c": F.sum(is_row).over(upto), "_tot_c": F.sum(is_row).over(whole)})
+
+    slices = u.groupBy(*keys, SLICE).agg(F.first("_tot_c").alias("_tot_c"))
+    res = (u.filter(F.col("_side") == 1)
+            .join(_prefix(slices, keys, ["_tot_c"], []), [*keys, SLICE])
+            .select("_p.*", (F.col("_in_c") + F.col("_before_tot_c")).cast("bigint").alias(out)))
+    return res

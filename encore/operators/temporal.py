@@ -11,11 +11,16 @@ one ``lead`` per key on the table side, then the stream side is joined on the
 key plus ``ts <= t < valid_to``. At most one version matches a row, so nothing
 fans out and no per-row "pick the latest" pass is needed:
 
-* the interval table is broadcast only when its row count has been counted and
-  is under ``encore.broadcast.maxRows``; the big side then is not shuffled;
+* by default Spark chooses the strategy from its size checks: the planner
+  broadcasts the interval table only if its estimated size (an upper bound:
+  scan size, not reduced by filters) is under the broadcast threshold, and AQE
+  re-decides from the measured shuffle size at run time. The big side is then
+  not shuffled at all;
 * otherwise it is a shuffle join on the key. A key holding a large share of the
   stream rows is split by AQE's skew-join handling (inner and left joins keep
-  the stream on the left side for that reason).
+  the stream on the left side for that reason);
+* ``broadcast=True`` forces the broadcast only after counting the interval
+  table against ``encore.broadcast.maxRows`` (falls back to a shuffle join).
 """
 
 from __future__ import annotations
@@ -74,7 +79,8 @@ def temporal_join(left: DataFrame, table: DataFrame, on: dict[str, str] | Sequen
     ``payload`` are the table columns to bring along (dict: name -> alias);
     by default every non-key column except the version time.
     ``how`` is ``inner`` (rows without a version are dropped) or ``left``.
-    ``broadcast``: None = decide by a counted size bound, True/False = force.
+    ``broadcast``: None = Spark decides by its size checks; True = broadcast if
+    the counted row count is under ``encore.broadcast.maxRows``; False = never.
     """
     if how not in ("inner", "left"):
         raise ValueError("temporal_join supports inner and left")
@@ -92,9 +98,7 @@ def temporal_join(left: DataFrame, table: DataFrame, on: dict[str, str] | Sequen
         F.col(table_ts).alias("_tfrom"), F.col(VALID_TO).alias("_tto"),
         *[F.col(src).alias(dst) for src, dst in payload.items()],
     )
-    if broadcast is None:
-        broadcast = _broadcastable(iv)
-    if broadcast:
+    if broadcast is True and _broadcastable(iv):
         iv = F.broadcast(iv)
 
     t = F.col(left_ts)

@@ -55,12 +55,26 @@ def _epoch() -> Column:
 
 
 class Domain:
-    """Lazy entity views over one data folder (``root``)."""
+    """Lazy entity views over one data folder (``root``).
+
+    ``Domain.of(spark, root)`` returns a shared instance; views are built once
+    per instance (they are lazy plans, nothing is computed or cached in memory).
+    """
+
+    _shared: dict[tuple[int, str], "Domain"] = {}
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
 
+    @classmethod
+    def of(cls, spark: SparkSession, root: str) -> "Domain":
+        key = (id(spark), root)
+        d = cls._shared.get(key)
+        if d is None or d.spark is not spark:
+            d = cls._shared[key] = cls(spark, root)
+        return d
+
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.root, name)
 
@@ -73,7 +87,7 @@ class Domain:
             F.col("ts").cast("timestamp").alias("ts"),
         )
 
-    @property
+    @cached_property
     def listen(self) -> DataFrame:
         return self._log(LISTEN_TYPES).select(
             F.col("event_id").alias("id"),
@@ -82,7 +96,7 @@ class Domain:
             "ts",
         )
 
-    @property
+    @cached_property
     def ticket(self) -> DataFrame:
         return self._log([TICKET_TYPE]).select(
             F.col("event_id").alias("id"),
@@ -92,7 +106,7 @@ class Domain:
             "ts",
         )
 
-    @property
+    @cached_property
     def customer_address(self) -> DataFrame:
         k = F.col("k")
         return self._log([ADDRESS_TYPE]).select(
@@ -109,7 +123,7 @@ class Domain:
             "ts",
         )
 
-    @property
+    @cached_property
     def venue_address(self) -> DataFrame:
         sup = self.table("supplier").select("s_suppkey", "s_nationkey")
         nat = self.table("nation").select("n_nationkey", "n_name")
@@ -127,12 +141,12 @@ class Domain:
             _epoch().alias("ts"),
         )
 
-    @property
+    @cached_property
     def address(self) -> DataFrame:
         """The whole address stream: customer addresses and venue addresses."""
         return self.customer_address.unionByName(self.venue_address)
 
-    @property
+    @cached_property
     def venue(self) -> DataFrame:
         return self.table("supplier").select(
             F.col("s_suppkey").alias("id"),
@@ -142,7 +156,7 @@ class Domain:
             _epoch().alias("ts"),
         )
 
-    @property
+    @cached_property
     def event(self) -> DataFrame:
         n_venues = self.table("supplier").select(F.count("*")).scalar()
         p = self.table("part").select("p_partkey", "p_brand", "p_size")
@@ -158,14 +172,14 @@ class Domain:
             ts.alias("ts"),
         )
 
-    @property
+    @cached_property
     def artist(self) -> DataFrame:
         p = self.table("part").select("p_partkey", "p_brand", "p_type")
         return (p.groupBy(F.substring("p_brand", 7, 10).cast("bigint").alias("id"))
                  .agg(F.min("p_brand").alias("name"),
                       F.min_by("p_type", "p_partkey").alias("genre")))
 
-    @property
+    @cached_property
     def customer(self) -> DataFrame:
         c = self.table("customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
         key = F.col("c_custkey")
@@ -182,13 +196,13 @@ class Domain:
             _epoch().alias("ts"),
         )
 
-    @property
+    @cached_property
     def customer_feeds(self) -> tuple[DataFrame, DataFrame]:
         """(current feed, legacy feed) — the two customer sources of P1."""
         c = self.customer
         return c.filter(F.col("feed") == "current"), c.filter(F.col("feed") == "legacy")
 
-    @property
+    @cached_property
     def email(self) -> DataFrame:
         c = self.table("customer").select("c_custkey")
         return c.select(

@@ -6,6 +6,10 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Lazy scans are immutable plans; one per (session, path) saves the driver-side
+# file listing and footer read when many pipelines use the same table.
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Read one table ``<root>/<name>.parquet`` (file or folder).
@@ -13,4 +17,10 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     Only a lazy scan is created; Catalyst prunes columns and pushes filters
     into it, so callers select what they need afterwards.
     """
-    return spark.read.parquet(os.path.join(root, f"{name}.parquet"))
+    path = os.path.join(root, f"{name}.parquet")
+    key = (id(spark), path)
+    df = _SCANS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _SCANS[key] = df
+    return df

@@ -280,3 +280,30 @@ def suggest_event_by_genre(d: Domain):
 @query
 def suggest_popular_event_by_genre(d: Domain):
     return suggestions.suggest_popular_event_by_genre(d.listen, d.artist, d.event, d.ticket)
+
+
+# ---- streaming twins (file streams run to completion; same results as batch) ----------
+def _streamed(name: str, fn: Query) -> None:
+    QUERIES[name] = fn
+
+
+def _stream_address_split(branch: int) -> Query:
+    def run(spark, root):
+        from .streaming import replay
+        return replay.address_split(spark, root)[branch]
+    return run
+
+
+def _lazy(attr: str) -> Query:
+    def run(spark, root):
+        from .streaming import replay
+        return getattr(replay, attr)(spark, root)
+    return run
+
+
+_streamed("stream_purchase_event_ticket", _lazy("purchase_event_ticket"))
+_streamed("stream_customer_stream_count_changelog", _lazy("customer_stream_count_changelog"))
+_streamed("stream_top_customer_artists", _lazy("top_customer_artists"))
+_streamed("stream_target_customer_filter", _lazy("target_customer_filter"))
+_streamed("stream_address_split_priority", _stream_address_split(0))
+_streamed("stream_address_split_default", _stream_address_split(1))

@@ -303,3 +303,13 @@ ORACLE: dict[str, str] = {
                  GROUP BY a.genre)
         SELECT g.customerid, g.genre, best.eventid FROM g JOIN best ON g.genre = best.genre"""),
 }
+
+# Streaming twins produce the batch results (addresses: only the streamed customer addresses).
+for _name in ("purchase_event_ticket", "customer_stream_count_changelog", "top_customer_artists",
+              "target_customer_filter"):
+    ORACLE[f"stream_{_name}"] = ORACLE[_name]
+ORACLE["stream_address_split_priority"] = _q(_addr_text(
+    "(SELECT * FROM caddress WHERE state IS NOT DISTINCT FROM 'MN')"))
+ORACLE["stream_address_split_default"] = _q(_addr_text(
+    "(SELECT * FROM caddress WHERE state IS DISTINCT FROM 'MN')"))
+

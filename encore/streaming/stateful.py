@@ -1,0 +1,146 @@
+"""Per-key state functions for results that change with every input record.
+
+Each function receives one key's new rows of a micro-batch (possibly in
+several pandas chunks), replays them in ``(ts, side, id)`` order — side 0 is
+the table side and is applied first at equal time — and emits one output row
+per input record, like the batch changelogs. State is small per key: a few
+numbers (capacity fold, counts) or one key's artist counters.
+"""
+
+from __future__ import annotations
+
+import heapq
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from ..functions.tickets import CONFIRMED, LIMITED, LIMITED_PCT, OPEN, REJECTED, SOLD_OUT
+from ..plans.ranking import TOP_ARTISTS
+
+NO_TIMEOUT = GroupStateTimeout.NoTimeout
+
+
+def _rows(pdfs: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
+    pdf = pd.concat(list(pdfs), ignore_index=True)
+    return pdf.sort_values(order, kind="mergesort")
+
+
+# ---- listens per customer ------------------------------------------------------
+def stream_customer_stream_count(listen: DataFrame) -> DataFrame:
+    """Running count per customer; run in ``update`` mode (one row per changed key per batch)."""
+    return (listen.filter(F.col("customerid").isNotNull())
+                  .groupBy("customerid").agg(F.count(F.lit(1)).alias("n")))
+
+
+_COUNT_OUT = "id long, customerid long, n long"
+
+
+def _count_fn(key, pdfs, state: GroupState):
+    (n,) = state.get if state.exists else (0,)
+    pdf = _rows(pdfs, ["ts", "id"])
+    ids = pdf["id"].to_numpy()
+    out = pd.DataFrame({"id": ids, "customerid": key[0], "n": n + 1 + pd.RangeIndex(len(ids))})
+    state.update((int(n + len(ids)),))
+    yield out
+
+
+def stream_customer_stream_count_changelog(listen: DataFrame) -> DataFrame:
+    """One row per listen with the customer's count after it (append mode)."""
+    l = listen.filter(F.col("customerid").isNotNull()).select("id", "customerid", "ts")
+    return l.groupBy("customerid").applyInPandasWithState(
+        _count_fn, _COUNT_OUT, "n long", "append", NO_TIMEOUT)
+
+
+# ---- ticket requests against capacity -----------------------------------------------
+_TICKET_OUT = ("ticketid long, eventid long, customerid long, remainingtickets double, "
+               "confirmationstatus string, tier string, confirmationid string")
+_TICKET_STATE = "known boolean, cap_known int, cap0 int, n long, started boolean"
+
+
+def _tier(rem, cap):
+    if rem is None or cap is None:
+        return None
+    if rem < 0:
+        return SOLD_OUT
+    pct = rem / cap * 100.0 if cap else float("nan")
+    if pct <= LIMITED_PCT:
+        return LIMITED
+    if pct > LIMITED_PCT:
+        return OPEN
+    return None
+
+
+def _ticket_fn(key, pdfs, state: GroupState):
+    known, cap_known, cap0, n, started = (state.get if state.exists
+                                          else (False, None, None, 0, False))
+    out = []
+    for r in _rows(pdfs, ["ts", "side", "rid"]).itertuples(index=False):
+        if r.side == 0:                                    # event (re)announced
+            known = True
+            cap_known = None if pd.isna(r.capacity) else int(r.capacity)
+            continue
+        if not known:                                      # event unknown: request lost
+            continue
+        if not started:
+            cap0, started = cap_known, True
+        n += 1
+        rem = None if cap0 is None else cap0 - n
+        tier = _tier(rem, cap0)
+        if tier is None:
+            continue
+        out.append((int(r.rid), int(key[0]), None if pd.isna(r.customerid) else int(r.customerid),
+                    float(rem), CONFIRMED if rem >= 0 else REJECTED, tier, f"CONF-{int(r.rid)}"))
+    state.update((known, cap_known, cap0, int(n), started))
+    yield pd.DataFrame(out, columns=["ticketid", "eventid", "customerid", "remainingtickets",
+                                     "confirmationstatus", "tier", "confirmationid"])
+
+
+def stream_purchase_event_ticket(ticket: DataFrame, event: DataFrame) -> DataFrame:
+    """Answer each ticket request against the event's capacity as it streams in."""
+    ev = event.select(F.col("id").alias("eventid"), F.lit(0).alias("side"), F.col("id").alias("rid"),
+                      "ts", F.col("capacity").cast("int").alias("capacity"),
+                      F.lit(None).cast("bigint").alias("customerid"))
+    tk = ticket.select("eventid", F.lit(1).alias("side"), F.col("id").alias("rid"), "ts",
+                       F.lit(None).cast("int").alias("capacity"), "customerid")
+    u = ev.unionByName(tk).filter(F.col("eventid").isNotNull())
+    return u.groupBy("eventid").applyInPandasWithState(
+        _ticket_fn, _TICKET_OUT, _TICKET_STATE, "append", NO_TIMEOUT)
+
+
+# ---- top artists per customer ----------------------------------------------------------
+_TOP_OUT = "id long, customerid long, seq_us long, rnk long, artistid long, n long"
+_TOP_STATE = "artists array<long>, counts array<long>, last_us array<long>, last_id array<long>"
+
+
+def _top_fn_factory(n_top: int):
+    def fn(key, pdfs, state: GroupState):
+        if state.exists:
+            a, c, lu, li = state.get
+            book = {int(x): [int(y), int(z), int(w)] for x, y, z, w in zip(a, c, lu, li)}
+        else:
+            book = {}
+        out = []
+        pdf = _rows(pdfs, ["seq_us", "id"])
+        for r in pdf.itertuples(index=False):
+            e = book.setdefault(int(r.artistid), [0, 0, 0])
+            e[0] += 1
+            e[1], e[2] = int(r.seq_us), int(r.id)
+            top = heapq.nsmallest(n_top, book.items(), key=lambda kv: (-kv[1][0], kv[1][1], kv[1][2]))
+            for rank, (artist, (cnt, _, _)) in enumerate(top, 1):
+                out.append((int(r.id), int(key[0]), int(r.seq_us), rank, artist, cnt))
+        items = list(book.items())
+        state.update(([k for k, _ in items], [v[0] for _, v in items],
+                      [v[1] for _, v in items], [v[2] for _, v in items]))
+        yield pd.DataFrame(out, columns=["id", "customerid", "seq_us", "rnk", "artistid", "n"])
+    return fn
+
+
+def stream_top_customer_artists(listen: DataFrame, n: int = TOP_ARTISTS) -> DataFrame:
+    """After every listen, the customer's top ``n`` artists (one row per rank)."""
+    l = (listen.filter(F.col("customerid").isNotNull())
+               .select("id", "customerid", "artistid", F.unix_micros(F.col("ts").cast("timestamp")).alias("seq_us")))
+    return l.groupBy("customerid").applyInPandasWithState(
+        _top_fn_factory(n), _TOP_OUT, _TOP_STATE, "append", NO_TIMEOUT)

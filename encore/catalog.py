@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import latest_by_key, versions_by_key
+from .operators import bottom_n, latest_by_key, top_n, versions_by_key
 from .plans import counts, ranking, stateless, suggestions, tickets, venues
 from .sources import Domain
 
@@ -167,6 +167,22 @@ def customers_by_top_artist(d: Domain):
     return ranking.customers_by_top_artist(d.listen)
 
 
+@query
+def top_n_per_key(d: Domain):
+    """Generic top-N per key: each artist's 2 most frequent listeners (ties: lower id)."""
+    c = d.listen.groupBy("artistid", "customerid").agg(F.count(F.lit(1)).alias("n"))
+    return top_n(c, ["artistid"], "n", 2, then=[F.col("customerid").asc()]) \
+        .select("artistid", "rnk", "customerid", "n")
+
+
+@query
+def bottom_n_per_key(d: Domain):
+    """Generic bottom-N per key: each customer's 2 least played artists (ties: lower id)."""
+    c = d.listen.groupBy("customerid", "artistid").agg(F.count(F.lit(1)).alias("n"))
+    return bottom_n(c, ["customerid"], "n", 2, then=[F.col("artistid").asc()]) \
+        .select("customerid", "rnk", "artistid", "n")
+
+
 # ---- J1-J10 ------------------------------------------------------------------------
 @query
 def join_ticket_event(d: Domain):
@@ -283,8 +299,12 @@ def suggest_popular_event_by_genre(d: Domain):
 
 
 # ---- streaming twins (file streams run to completion; same results as batch) ----------
+STREAMING: set[str] = set()
+
+
 def _streamed(name: str, fn: Query) -> None:
     QUERIES[name] = fn
+    STREAMING.add(name)
 
 
 def _stream_address_split(branch: int) -> Query:

@@ -6,21 +6,24 @@ its key, the newest version with ``version.ts <= t``; versions written later
 never reach it. Ties at equal ``ts`` are broken by the record id, and a version
 written at the same moment as the stream row is visible to it.
 
-Plan shape. Versions are turned into validity intervals ``[ts, valid_to)`` with
-one ``lead`` per key on the table side, then the stream side is joined on the
-key plus ``ts <= t < valid_to``. At most one version matches a row, so nothing
-fans out and no per-row "pick the latest" pass is needed:
-
-* by default Spark chooses the strategy from its size checks: the planner
-  broadcasts the interval table only if its estimated size (an upper bound:
-  scan size, not reduced by filters) is under the broadcast threshold, and AQE
-  re-decides from the measured shuffle size at run time. The big side is then
-  not shuffled at all;
-* otherwise it is a shuffle join on the key. A key holding a large share of the
-  stream rows is split by AQE's skew-join handling (inner and left joins keep
-  the stream on the left side for that reason);
-* ``broadcast=True`` forces the broadcast only after counting the interval
-  table against ``encore.broadcast.maxRows`` (falls back to a shuffle join).
+Two plans, same result:
+
+``strategy="interval"`` — for dimension tables with few versions per key.
+  Versions become validity intervals ``[ts, valid_to)`` (one ``lead`` per key
+  on the table side) and the stream is joined on the key plus
+  ``ts <= t < valid_to``; at most one version matches, nothing fans out.
+  Spark broadcasts the interval table when its size check allows (planner
+  estimate, re-checked by AQE from measured sizes) and the stream is not
+  shuffled at all; otherwise it is a shuffle join whose hot keys AQE splits.
+  Each stream row is checked against the versions of its key, so this plan is
+  for keys with a handful of versions.
+
+``strategy="sliced"`` (default) — for tables that grow with the data (customer
+  addresses, running counts). Stream rows and versions are shuffled together
+  once by ``(key, time slice)``; a window there carries the last version seen
+  to every stream row; the version current at the start of each slice comes
+  from a prefix over the small ``(key, slice)`` table. Work is a sort, never
+  rows x versions, and a hot key is spread over its slices.
 """
 
 from __future__ import annotations
@@ -72,15 +75,19 @@ def _broadcastable(df: DataFrame) -> bool:
 def temporal_join(left: DataFrame, table: DataFrame, on: dict[str, str] | Sequence[str],
                   *, left_ts: str = "ts", table_ts: str = "ts", tiebreak: str = "id",
                   payload: Sequence[str] | dict[str, str] | None = None,
-                  how: str = "inner", broadcast: bool | None = None) -> DataFrame:
+                  how: str = "inner", strategy: str = "sliced",
+                  broadcast: bool | None = None, slice_seconds: int | None = None) -> DataFrame:
     """Join every ``left`` row to the ``table`` version current at ``left_ts``.
 
     ``on`` maps left columns to table key columns (a list means equal names).
     ``payload`` are the table columns to bring along (dict: name -> alias);
     by default every non-key column except the version time.
     ``how`` is ``inner`` (rows without a version are dropped) or ``left``.
-    ``broadcast``: None = Spark decides by its size checks; True = broadcast if
-    the counted row count is under ``encore.broadcast.maxRows``; False = never.
+    ``strategy``: ``sliced`` (default, any table size) or ``interval``
+    (dimension tables; see the module doc).
+    ``broadcast`` (interval only): None = Spark decides by its size checks;
+    True = broadcast if the counted row count is under
+    ``encore.broadcast.maxRows``; False = never.
     """
     if how not in ("inner", "left"):
         raise ValueError("temporal_join supports inner and left")
@@ -90,7 +97,15 @@ def temporal_join(left: DataFrame, table: DataFrame, on: dict[str, str] | Sequen
         payload = {c: c for c in table.columns if c not in rkeys and c not in (table_ts, tiebreak)}
     elif not isinstance(payload, dict):
         payload = {c: c for c in payload}
+    if strategy == "interval":
+        return _interval_join(left, table, pairs, left_ts, table_ts, tiebreak, payload, how, broadcast)
+    if strategy == "sliced":
+        return _sliced_join(left, table, pairs, left_ts, table_ts, tiebreak, payload, how, slice_seconds)
+    raise ValueError(f"unknown strategy {strategy!r}")
 
+
+def _interval_join(left, table, pairs, left_ts, table_ts, tiebreak, payload, how, broadcast):
+    rkeys = [r for _, r in pairs]
     needed = list(dict.fromkeys([*rkeys, table_ts, tiebreak, *payload.keys()]))
     iv = versions_by_key(table.select(*needed), rkeys, table_ts, tiebreak)
     iv = iv.select(
@@ -109,6 +124,57 @@ def temporal_join(left: DataFrame, table: DataFrame, on: dict[str, str] | Sequen
     return out.drop(*[f"_tk{i}" for i in range(len(pairs))], "_tfrom", "_tto")
 
 
+def _sliced_join(left, table, pairs, left_ts, table_ts, tiebreak, payload, how, slice_seconds):
+    from .running import SLICE, slice_of   # shared slicing of the time line
+    from ..session import SLICE_SECONDS
+    seconds = slice_seconds or conf_int(left.sparkSession, SLICE_SECONDS)
+    keys = [f"_k{i}" for i in range(len(pairs))]
+    lcols = left.columns
+    vstruct = F.struct(*[F.col(src).alias(dst) for src, dst in payload.items()])
+
+    has_key = F.lit(True)
+    for lk, _ in pairs:
+        has_key = has_key & F.col(lk).isNotNull()
+    keyed = left.filter(has_key)
+
+    L = keyed.select(*[F.col(lk).alias(k) for (lk, _), k in zip(pairs, keys)],
+                     F.col(left_ts).alias("_t"), F.lit(1).alias("_side"),
+                     F.lit(None).cast(table.schema[tiebreak].dataType).alias("_tb"),
+                     F.struct(*lcols).alias("_l"))
+    V = table.select(*[F.col(rk).alias(k) for (_, rk), k in zip(pairs, keys)],
+                     F.col(table_ts).alias("_t"), F.lit(0).alias("_side"),
+                     F.col(tiebreak).alias("_tb"), vstruct.alias("_v"))
+    for k in keys:
+        V = V.filter(F.col(k).isNotNull())
+    L = L.withColumn("_v", F.lit(None).cast(V.schema["_v"].dataType))
+    V = V.withColumn("_l", F.lit(None).cast(L.schema["_l"].dataType))
+    u = L.unionByName(V).withColumn(SLICE, slice_of(F.col("_t"), seconds))
+
+    order = [F.col("_t"), F.col("_side"), F.col("_tb")]
+    upto = Window.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
+    u = u.withColumns({"_cur": F.last("_v", ignorenulls=True).over(upto),
+                       "_end": F.last("_v", ignorenulls=True).over(whole)})
+
+    # version current at the start of each slice: last non-null end of earlier slices
+    slices = u.groupBy(*keys, SLICE).agg(F.first("_end").alias("_end"))
+    before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    carry = slices.select(*keys, SLICE, F.last("_end", ignorenulls=True).over(before).alias("_carry"))
+
+    rows = (u.filter(F.col("_side") == 1).join(carry, [*keys, SLICE])
+              .select("_l", F.coalesce("_cur", "_carry").alias("_v")))
+    if how == "inner":
+        rows = rows.filter(F.col("_v").isNotNull())
+    out = rows.select("_l.*", *[F.col(f"_v.{dst}").alias(dst) for dst in payload.values()])
+    if how == "left":
+        nulls = left.filter(~has_key).select(
+            *lcols, *[F.lit(None).cast(V.schema["_v"].dataType[dst].dataType).alias(dst)
+                      for dst in payload.values()])
+        out = out.unionByName(nulls)
+    return out
+
+
 def temporal_semi_join(left: DataFrame, table: DataFrame, on: Sequence[str],
                        *, left_ts: str = "ts", table_ts: str = "ts") -> DataFrame:
     """Keep ``left`` rows whose key already existed in ``table`` at ``left_ts``.

@@ -214,6 +214,18 @@ ORACLE: dict[str, str] = {
                   FROM listen WHERE customerid IS NOT NULL GROUP BY customerid, artistid))
           WHERE rnk = 1)
         SELECT artistid, customerid, count(*) OVER (PARTITION BY artistid) AS group_size FROM first"""),
+    "top_n_per_key": _q("""
+        SELECT artistid, rnk, customerid, n FROM (
+          SELECT artistid, customerid, n,
+                 row_number() OVER (PARTITION BY artistid ORDER BY n DESC, customerid) AS rnk
+          FROM (SELECT artistid, customerid, count(*) AS n FROM listen GROUP BY artistid, customerid))
+        WHERE rnk <= 2"""),
+    "bottom_n_per_key": _q("""
+        SELECT customerid, rnk, artistid, n FROM (
+          SELECT customerid, artistid, n,
+                 row_number() OVER (PARTITION BY customerid ORDER BY n, artistid) AS rnk
+          FROM (SELECT customerid, artistid, count(*) AS n FROM listen GROUP BY customerid, artistid))
+        WHERE rnk <= 2"""),
     "join_ticket_event": _q("SELECT id, customerid, eventid, artistid FROM tix_event"),
     "join_stream_ticket_holder": _q("SELECT id, customerid, artistid FROM holder_listens"),
     "join_ticket_customer_address": _q("""

@@ -24,7 +24,7 @@ def customer_stream_count_changelog(listen: DataFrame) -> DataFrame:
 def tickets_with_artist(ticket: DataFrame, event: DataFrame) -> DataFrame:
     """Tickets joined to the event as known when the ticket arrived (inner)."""
     return temporal_join(ticket, event.select("id", "artistid", "ts"), {"eventid": "id"},
-                         payload={"artistid": "artistid"})
+                         payload={"artistid": "artistid"}, strategy="interval")
 
 
 def artist_ticket_count(ticket: DataFrame, event: DataFrame) -> DataFrame:

@@ -44,7 +44,7 @@ def ticket_holder_listens(ticket: DataFrame, event: DataFrame, listen: DataFrame
     """
     held = temporal_join(ticket.select("id", "customerid", "eventid", "ts"),
                          event.select("id", "artistid", "ts"), {"eventid": "id"},
-                         payload={"artistid": "artistid"})
+                         payload={"artistid": "artistid"}, strategy="interval")
     held = held.select("customerid", "artistid", "ts")
     return temporal_semi_join(listen.select("id", "customerid", "artistid", "ts"),
                               held, ["customerid", "artistid"])

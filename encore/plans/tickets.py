@@ -25,7 +25,7 @@ def ticket_outcomes(ticket: DataFrame, event: DataFrame) -> DataFrame:
     """
     t = temporal_join(ticket.select("id", "customerid", "eventid", "ts"),
                       event.select("id", "capacity", "ts"), {"eventid": "id"},
-                      payload={"capacity": "ev_capacity"})
+                      payload={"capacity": "ev_capacity"}, strategy="interval")
     t = running(t, ["eventid"], counts=["_rn"], firsts={"capacity": "ev_capacity"})
     remaining = (F.col("capacity") - F.col("_rn")).cast("double")
     return t.select(

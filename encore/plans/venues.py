@@ -17,7 +17,7 @@ def join_venue_address(venue: DataFrame, address: DataFrame) -> DataFrame:
     """Each venue row with its address as known when the venue row arrived."""
     return temporal_join(venue.select("id", "addressid", "ts"),
                          address.select("id", "state", "ts"), {"addressid": "id"},
-                         payload={"state": "state"}).withColumnRenamed("id", "venueid")
+                         payload={"state": "state"}, strategy="interval").withColumnRenamed("id", "venueid")
 
 
 def join_event_venue_address(event: DataFrame, venue: DataFrame, address: DataFrame) -> DataFrame:
@@ -29,20 +29,21 @@ def join_event_venue_address(event: DataFrame, venue: DataFrame, address: DataFr
     va = join_venue_address(venue, address).select(
         F.col("venueid").alias("vid"), "addressid", "state", "ts", F.col("venueid").alias("id"))
     return temporal_join(event.select("id", "artistid", "venueid", "capacity", "eventdate", "ts"),
-                         va, {"venueid": "vid"}, payload={"state": "eventstate"})
+                         va, {"venueid": "vid"}, payload={"state": "eventstate"}, strategy="interval")
 
 
 def join_event_venue(event: DataFrame, venue: DataFrame) -> DataFrame:
     return temporal_join(event.select("id", "artistid", "venueid", "capacity", "ts"),
                          venue.select("id", "addressid", "ts"), {"venueid": "id"},
-                         payload={"addressid": "addressid"})
+                         payload={"addressid": "addressid"}, strategy="interval")
 
 
 def join_event_venue_state(event: DataFrame, venue: DataFrame, address: DataFrame) -> DataFrame:
     """Event -> venue -> venue address, both looked up at the event's arrival."""
     ev = join_event_venue(event, venue)
     venue_addr = address.filter(F.col("customerid").isNull()).select("id", "state", "ts")
-    return temporal_join(ev, venue_addr, {"addressid": "id"}, payload={"state": "state"})
+    return temporal_join(ev, venue_addr, {"addressid": "id"}, payload={"state": "state"},
+                         strategy="interval")
 
 
 def join_ticket_customer_address(ticket: DataFrame, address: DataFrame) -> DataFrame:
@@ -59,7 +60,7 @@ def join_ticket_event_venue_address(ticket: DataFrame, event: DataFrame, venue:
     eva = join_event_venue_address(event, venue, address).select(
         F.col("id").alias("eid"), "eventstate", "ts", "id")
     return temporal_join(ticket.select("id", "customerid", "eventid", "ts"), eva,
-                         {"eventid": "eid"}, payload={"eventstate": "eventstate"})
+                         {"eventid": "eid"}, payload={"eventstate": "eventstate"}, strategy="interval")
 
 
 def join_stream_customer_address(listen: DataFrame, address: DataFrame) -> DataFrame:
@@ -75,7 +76,8 @@ def out_of_state_ticket_holders(ticket: DataFrame, event: DataFrame, venue: Data
     ta = join_ticket_customer_address(ticket, address)
     eva = join_event_venue_address(event, venue, address).select(
         F.col("id").alias("eid"), "eventstate", "ts", "id")
-    t = temporal_join(ta, eva, {"eventid": "eid"}, payload={"eventstate": "eventstate"})
+    t = temporal_join(ta, eva, {"eventid": "eid"}, payload={"eventstate": "eventstate"},
+                      strategy="interval")
     return (t.filter(F.col("customerstate") != F.col("eventstate"))
              .select(F.col("id").alias("ticketid"), "eventid", "customerid", "addressid",
                      "customerstate", "eventstate"))
@@ -184,7 +186,7 @@ def venue_most_events(event: DataFrame) -> DataFrame:
 def venue_most_customers(ticket: DataFrame, event: DataFrame) -> DataFrame:
     t = temporal_join(ticket.select("id", "customerid", "eventid", "ts"),
                       event.select("id", "venueid", "ts"), {"eventid": "id"},
-                      payload={"venueid": "venueid"})
+                      payload={"venueid": "venueid"}, strategy="interval")
     # distinct (venue, customer) first: two partial aggregates, no per-venue set
     pairs = t.groupBy("venueid", "customerid").agg(F.lit(1).alias("_one"))
     c = pairs.groupBy("venueid").agg(F.count(F.lit(1)).alias("num_customers"))

@@ -76,8 +76,14 @@ def _tier(rem, cap):
 def _ticket_fn(key, pdfs, state: GroupState):
     known, cap_known, cap0, n, started = (state.get if state.exists
                                           else (False, None, None, 0, False))
+    pdf = _rows(pdfs, ["ts", "side", "rid"])
+    if not pdf["side"].any():
+        # only (re)announcements of the event: remember the latest, emit nothing
+        last = pdf["capacity"].iloc[-1]
+        state.update((True, None if pd.isna(last) else int(last), cap0, int(n), started))
+        return
     out = []
-    for r in _rows(pdfs, ["ts", "side", "rid"]).itertuples(index=False):
+    for r in pdf.itertuples(index=False):
         if r.side == 0:                                    # event (re)announced
             known = True
             cap_known = None if pd.isna(r.capacity) else int(r.capacity)

@@ -52,8 +52,9 @@ def test_asof_count_equal_time_counts_row(spark):
     assert asof_count(probes_df, rows_df, ["k"]).collect()[0].n == 1
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_temporal_join_semantics(spark, broadcast):
+@pytest.mark.parametrize("strategy,broadcast", [("interval", True), ("interval", False),
+                                               ("sliced", None)])
+def test_temporal_join_semantics(spark, strategy, broadcast):
     s = lambda x: BASE + dt.timedelta(seconds=x)
     table = spark.createDataFrame(
         [(1, 10, "a", s(10)), (2, 10, "b", s(20)), (3, 10, "c", s(20)), (4, 11, "z", s(5)),
@@ -61,22 +62,26 @@ def test_temporal_join_semantics(spark, broadcast):
     left = spark.createDataFrame(
         [(100, 10, s(9)), (101, 10, s(10)), (102, 10, s(19)), (103, 10, s(20)), (104, 10, s(99)),
          (105, 11, s(4)), (106, None, s(50)), (107, 12, s(50))], "id long, key long, ts timestamp")
-    inner = temporal_join(left, table, ["key"], payload={"val": "val"}, broadcast=broadcast)
+    kw = dict(payload={"val": "val"}, strategy=strategy, broadcast=broadcast, slice_seconds=7)
+    inner = temporal_join(left, table, ["key"], **kw)
     assert sorted((r.id, r.val) for r in inner.collect()) == [
         (101, "a"), (102, "a"), (103, "c"), (104, "c")]
-    lj = temporal_join(left, table, ["key"], payload={"val": "val"}, how="left", broadcast=broadcast)
+    lj = temporal_join(left, table, ["key"], how="left", **kw)
     assert sorted((r.id, r.val) for r in lj.collect()) == [
         (100, None), (101, "a"), (102, "a"), (103, "c"), (104, "c"), (105, None), (106, None), (107, None)]
 
 
-def test_temporal_join_matches_brute_force(spark):
+@pytest.mark.parametrize("strategy,slice_seconds", [("interval", None), ("sliced", 13), ("sliced", 3600)])
+def test_temporal_join_matches_brute_force(spark, strategy, slice_seconds):
     rnd = random.Random(5)
     tab = [(i, rnd.randrange(6), rnd.randrange(100), BASE + dt.timedelta(seconds=rnd.randrange(500)))
            for i in range(200)]
     lef = [(1000 + i, rnd.randrange(7), BASE + dt.timedelta(seconds=rnd.randrange(500))) for i in range(300)]
     t = spark.createDataFrame(tab, "id long, key long, val long, ts timestamp")
     l = spark.createDataFrame(lef, "id long, key long, ts timestamp")
-    got = {r.id: r.val for r in temporal_join(l, t, ["key"], payload={"val": "val"}, how="left").collect()}
+    out = temporal_join(l, t, ["key"], payload={"val": "val"}, how="left", strategy=strategy,
+                        slice_seconds=slice_seconds)
+    got = {r.id: r.val for r in out.collect()}
     exp = {}
     for i, k, ts in lef:
         cands = [(vt, vi, v) for vi, vk, v, vt in tab if vk == k and vt <= ts]

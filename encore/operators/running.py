@@ -4,23 +4,22 @@ A changelog ("every input row emits the key's updated result") is a running
 aggregate ordered by ``(ts, id)``. Written as one window partitioned by the
 key, a key that holds a third of all rows would be sorted in a single task.
 Instead the time line of every key is cut into slices of
-``encore.slice.seconds`` and the data is shuffled once, by ``(key, slice)``:
-
-1. windows partitioned by ``(key, slice)`` give each row its running value
-   inside the slice and the slice's total (same exchange, same sort);
-2. the slice totals, one row per ``(key, slice)`` (an aggregate over data that
-   is already partitioned, so no new exchange), get a prefix over the slices
-   of each key — a window over the small slice table, not over records;
-3. the rows are joined to their slice's prefix on ``(key, slice)``; the rows
-   stay where they are, only the slice table moves.
-
-The largest sorted group is one key's records of one slice, every input is
-computed once, and results are exact (no sampling, no cap).
+``encore.slice.seconds``:
+
+1. a partial aggregate per ``(key, slice)`` straight from the input — a
+   narrow re-read of the input, and only one row per slice is shuffled;
+2. a prefix over the slices of each key: a window over that small table;
+3. the rows are shuffled once by ``(key, slice)``, joined to their slice's
+   prefix there (only the small table moves), and finished by a window over
+   ``(key, slice)``.
+
+The big side crosses the network once, the largest sorted group is one key's
+records of one slice, and results are exact (no sampling, no cap).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,76 +48,105 @@ def _prefix(slices: DataFrame, keys: Sequence[str], totals: Sequence[str],
 
 def running(df: DataFrame, keys: Sequence[str], *, ts: str = "ts", tiebreak: str = "id",
             counts: Sequence[str] = (), sums: dict[str, str] | None = None,
-            firsts: dict[str, str] | None = None, slice_seconds: int | None = None) -> DataFrame:
+            firsts: dict[str, str] | None = None,
+            per_key: Callable[[DataFrame], DataFrame] | None = None,
+            slice_seconds: int | None = None) -> DataFrame:
     """Add running aggregates per key in ``(ts, tiebreak)`` order.
 
     ``counts``: names of columns receiving the running row count (1, 2, ...).
     ``sums``:   ``{out: col}`` running sum of ``col`` (bigint for integers).
-    ``firsts``: ``{out: col}`` value of ``col`` on the key's first row.
+    ``firsts``: ``{out: col}`` value of ``col`` on the key's first row. Its
+    ``min_by`` over ``(ts, id)`` has a struct buffer, which Spark aggregates by
+    sorting; meant for small inputs (one row per event), not record streams.
+    ``per_key``: gets the small table ``(keys..., first_ts)`` (time of each
+    key's first row, from hash aggregates) and returns ``(keys..., extra...)``;
+    the extra columns reach every row through the slice join, so per-key
+    facts cost no extra pass over the rows.
     """
     sums, firsts = dict(sums or {}), dict(firsts or {})
     seconds = slice_seconds or conf_int(df.sparkSession, SLICE_SECONDS)
     d = df.withColumn(SLICE, slice_of(F.col(ts), seconds))
+    order = F.struct(F.col(ts), F.col(tiebreak))
 
-    upto = (Window.partitionBy(*keys, SLICE).orderBy(F.col(ts), F.col(tiebreak))
-                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    whole = Window.partitionBy(*keys, SLICE)
-    inner = {"_in_c": F.count(F.lit(1)).over(upto), "_tot_c": F.count(F.lit(1)).over(whole)}
-    for o, c in sums.items():
-        inner[f"_in_{o}"] = F.sum(c).over(upto)
-        inner[f"_tot_{o}"] = F.sum(c).over(whole)
-    for o, c in firsts.items():
-        inner[f"_fst_{o}"] = F.first(c).over(upto)
-    d = d.withColumns(inner)
-
+    slices = d.groupBy(*keys, SLICE).agg(
+        F.count(F.lit(1)).alias("_tot_c"),
+        F.min(ts).alias("_min_ts"),
+        *[F.sum(c).alias(f"_tot_{o}") for o, c in sums.items()],
+        *[F.min_by(c, order).alias(f"_fst_{o}") for o, c in firsts.items()])
     totals = ["_tot_c", *[f"_tot_{o}" for o in sums]]
     heads = [f"_fst_{o}" for o in firsts]
-    slices = d.groupBy(*keys, SLICE).agg(
-        *[F.first(t).alias(t) for t in totals],
-        *[F.min_by(h, F.col("_in_c")).alias(h) for h in heads])
-    d = d.join(_prefix(slices, keys, totals, heads), [*keys, SLICE])
+    pre = _prefix(slices, keys, totals, heads)
+    if per_key is not None:
+        first = slices.groupBy(*keys).agg(F.min("_min_ts").alias("first_ts"))
+        pre = pre.join(per_key(first), list(keys))
+    d = d.join(pre, [*keys, SLICE])
 
+    upto = (Window.partitionBy(*keys, SLICE).orderBy(F.col(ts), F.col(tiebreak))
+                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = {}
     for name in counts:
-        out[name] = F.col("_in_c") + F.col("_before_tot_c")
-    for o in sums:
-        out[o] = F.col(f"_in_{o}") + F.col(f"_before_tot_{o}")
+        out[name] = F.count(F.lit(1)).over(upto) + F.col("_before_tot_c")
+    for o, c in sums.items():
+        out[o] = F.sum(c).over(upto) + F.col(f"_before_tot_{o}")
     for o in firsts:
         out[o] = F.col(f"_head_fst_{o}")
-    helper = [c for c in d.columns if c.startswith(("_in_", "_tot_", "_fst_", "_before", "_head"))]
+    helper = [c for c in d.columns if c.startswith(("_before", "_head"))]
     return d.withColumns(out).drop(SLICE, *helper)
 
 
+def slice_intervals(slices: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each non-empty slice of a key with the next non-empty one (``_next``, null = last).
+
+    A probe in slice ``p`` reads the entry with ``SLICE < p <= _next`` — the
+    latest non-empty slice before its own — with one range-checked equi-join on
+    the key; each probe checks at most the key's slice entries, never its rows.
+    """
+    w = Window.partitionBy(*keys).orderBy(SLICE)
+    return slices.withColumn("_next", F.lead(SLICE).over(w))
+
+
+def before_slice(probe_slice: Column, entry_slice: Column, entry_next: Column) -> Column:
+    return (entry_slice < probe_slice) & (entry_next.isNull() | (probe_slice <= entry_next))
+
+
 def asof_count(probes: DataFrame, rows: DataFrame, keys: Sequence[str], *,
                out: str = "n", probe_ts: str = "ts", row_ts: str = "ts",
                slice_seconds: int | None = None) -> DataFrame:
     """For every probe, how many ``rows`` of its key have ``ts <= probe_ts``.
 
     A left temporal lookup into a running count, without a running count per
-    row: probes and rows are shuffled together once by ``(key, slice)``; a
-    window there counts the rows up to each probe (rows first at equal time —
-    the table side is seen first) and the slice's row total; earlier slices
-    are added from the prefix of the small slice table. Probes without rows
-    get 0. Rows with a null key are never counted.
+    row. Rows are reduced to counts per ``(key, slice)`` (partial aggregate)
+    with a cumulative count over each key's slices; probes and rows are
+    shuffled together once by ``(key, slice)`` where a window counts the rows
+    up to each probe (rows first at equal time: the table side is seen first);
+    earlier slices come from the cumulative count of the latest non-empty slice
+    before the probe's. Probes without rows get 0; null keys never count.
     """
     seconds = slice_seconds or conf_int(probes.sparkSession, SLICE_SECONDS)
     pcols = probes.columns
-    p = probes.select(*keys, F.col(probe_ts).alias("_t"), F.lit(1).alias("_side"),
-                      F.struct(*pcols).alias("_p"))
-    r = rows.select(*keys, F.col(row_ts).alias("_t"), F.lit(0).alias("_side"),
-                    F.lit(None).cast(p.schema["_p"].dataType).alias("_p"))
+    r = rows.select(*keys, F.col(row_ts).alias("_t"))
     for k in keys:
         r = r.filter(F.col(k).isNotNull())
-    u = p.unionByName(r).withColumn(SLICE, slice_of(F.col("_t"), seconds))
+    r = r.withColumn(SLICE, slice_of(F.col("_t"), seconds))
+
+    cnt = r.groupBy(*keys, SLICE).agg(F.count(F.lit(1)).alias("_c"))
+    upto_slice = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, 0)
+    cum = slice_intervals(cnt.withColumn("_cum", F.sum("_c").over(upto_slice)), keys)
+    cum = cum.select(*[F.col(k).alias(f"_ck{i}") for i, k in enumerate(keys)],
+                     F.col(SLICE).alias("_cs"), "_next", "_cum")
 
+    p = probes.select(*keys, F.col(probe_ts).alias("_t"), F.lit(1).alias("_side"),
+                      F.struct(*pcols).alias("_p"))
+    u = (p.withColumn(SLICE, slice_of(F.col("_t"), seconds))
+          .unionByName(r.select(*keys, "_t", F.lit(0).alias("_side"),
+                                F.lit(None).cast(p.schema["_p"].dataType).alias("_p"), SLICE)))
     upto = (Window.partitionBy(*keys, SLICE).orderBy("_t", "_side")
                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    whole = Window.partitionBy(*keys, SLICE)
-    is_row = 1 - F.col("_side")
-    u = u.withColumns({"_in_c": F.sum(is_row).over(upto), "_tot_c": F.sum(is_row).over(whole)})
-
-    slices = u.groupBy(*keys, SLICE).agg(F.first("_tot_c").alias("_tot_c"))
-    res = (u.filter(F.col("_side") == 1)
-            .join(_prefix(slices, keys, ["_tot_c"], []), [*keys, SLICE])
-            .select("_p.*", (F.col("_in_c") + F.col("_before_tot_c")).cast("bigint").alias(out)))
-    return res
+    probed = (u.withColumn("_in", F.sum(1 - F.col("_side")).over(upto))
+               .filter(F.col("_side") == 1))
+
+    cond = before_slice(F.col(SLICE), F.col("_cs"), F.col("_next"))
+    for i, k in enumerate(keys):
+        cond = cond & (probed[k] == F.col(f"_ck{i}"))
+    res = probed.join(cum, cond, "left")
+    return res.select("_p.*", (F.coalesce(F.col("_cum"), F.lit(0)) + F.col("_in")).cast("bigint").alias(out))

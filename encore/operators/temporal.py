@@ -19,11 +19,13 @@ Two plans, same result:
   for keys with a handful of versions.
 
 ``strategy="sliced"`` (default) — for tables that grow with the data (customer
-  addresses, running counts). Stream rows and versions are shuffled together
-  once by ``(key, time slice)``; a window there carries the last version seen
-  to every stream row; the version current at the start of each slice comes
-  from a prefix over the small ``(key, slice)`` table. Work is a sort, never
-  rows x versions, and a hot key is spread over its slices.
+  addresses). Stream rows and versions are shuffled together once by
+  ``(key, time slice)``; a window there carries the last version seen to every
+  stream row. The version current at the start of a slice is the last version
+  of the latest earlier non-empty slice: a partial aggregate over the versions,
+  looked up with a key + slice-range join whose right side has one row per
+  non-empty slice. Work is a sort, never rows x versions, and a hot key is
+  spread over its slices.
 """
 
 from __future__ import annotations
@@ -125,8 +127,8 @@ def _interval_join(left, table, pairs, left_ts, table_ts, tiebreak, payload, how
 
 
 def _sliced_join(left, table, pairs, left_ts, table_ts, tiebreak, payload, how, slice_seconds):
-    from .running import SLICE, slice_of   # shared slicing of the time line
     from ..session import SLICE_SECONDS
+    from .running import SLICE, before_slice, slice_intervals, slice_of
     seconds = slice_seconds or conf_int(left.sparkSession, SLICE_SECONDS)
     keys = [f"_k{i}" for i in range(len(pairs))]
     lcols = left.columns
@@ -135,35 +137,37 @@ def _sliced_join(left, table, pairs, left_ts, table_ts, tiebreak, payload, how,
     has_key = F.lit(True)
     for lk, _ in pairs:
         has_key = has_key & F.col(lk).isNotNull()
-    keyed = left.filter(has_key)
 
-    L = keyed.select(*[F.col(lk).alias(k) for (lk, _), k in zip(pairs, keys)],
-                     F.col(left_ts).alias("_t"), F.lit(1).alias("_side"),
-                     F.lit(None).cast(table.schema[tiebreak].dataType).alias("_tb"),
-                     F.struct(*lcols).alias("_l"))
     V = table.select(*[F.col(rk).alias(k) for (_, rk), k in zip(pairs, keys)],
                      F.col(table_ts).alias("_t"), F.lit(0).alias("_side"),
                      F.col(tiebreak).alias("_tb"), vstruct.alias("_v"))
     for k in keys:
         V = V.filter(F.col(k).isNotNull())
-    L = L.withColumn("_v", F.lit(None).cast(V.schema["_v"].dataType))
+    V = V.withColumn(SLICE, slice_of(F.col("_t"), seconds))
+
+    # last version of every non-empty slice (partial aggregate over the versions)
+    vlast = V.groupBy(*keys, SLICE).agg(F.max_by("_v", F.struct("_t", "_tb")).alias("_end"))
+    carry = slice_intervals(vlast, keys).select(
+        *[F.col(k).alias(f"_ck{i}") for i, k in enumerate(keys)],
+        F.col(SLICE).alias("_cs"), "_next", F.col("_end").alias("_carry"))
+
+    # stream rows and versions meet once, by (key, slice)
+    L = left.filter(has_key).select(
+        *[F.col(lk).alias(k) for (lk, _), k in zip(pairs, keys)],
+        F.col(left_ts).alias("_t"), F.lit(1).alias("_side"),
+        F.lit(None).cast(V.schema["_tb"].dataType).alias("_tb"),
+        F.lit(None).cast(V.schema["_v"].dataType).alias("_v"), F.struct(*lcols).alias("_l"))
+    L = L.withColumn(SLICE, slice_of(F.col("_t"), seconds))
     V = V.withColumn("_l", F.lit(None).cast(L.schema["_l"].dataType))
-    u = L.unionByName(V).withColumn(SLICE, slice_of(F.col("_t"), seconds))
-
-    order = [F.col("_t"), F.col("_side"), F.col("_tb")]
-    upto = Window.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing)
-    u = u.withColumns({"_cur": F.last("_v", ignorenulls=True).over(upto),
-                       "_end": F.last("_v", ignorenulls=True).over(whole)})
-
-    # version current at the start of each slice: last non-null end of earlier slices
-    slices = u.groupBy(*keys, SLICE).agg(F.first("_end").alias("_end"))
-    before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    carry = slices.select(*keys, SLICE, F.last("_end", ignorenulls=True).over(before).alias("_carry"))
-
-    rows = (u.filter(F.col("_side") == 1).join(carry, [*keys, SLICE])
-              .select("_l", F.coalesce("_cur", "_carry").alias("_v")))
+    upto = (Window.partitionBy(*keys, SLICE).orderBy("_t", "_side", "_tb")
+                  .rowsBetween(Window.unboundedPreceding, 0))
+    seen = (L.unionByName(V).withColumn("_cur", F.last("_v", ignorenulls=True).over(upto))
+             .filter(F.col("_side") == 1))
+
+    cond = before_slice(F.col(SLICE), F.col("_cs"), F.col("_next"))
+    for i, k in enumerate(keys):
+        cond = cond & (seen[k] == F.col(f"_ck{i}"))
+    rows = seen.join(carry, cond, "left").select("_l", F.coalesce("_cur", "_carry").alias("_v"))
     if how == "inner":
         rows = rows.filter(F.col("_v").isNotNull())
     out = rows.select("_l.*", *[F.col(f"_v.{dst}").alias(dst) for dst in payload.values()])

@@ -19,14 +19,22 @@ def ticket_outcomes(ticket: DataFrame, event: DataFrame) -> DataFrame:
     The request is joined to the event as known at request time (requests for
     an event not yet announced are lost). Per event, requests are numbered in
     arrival order and ``remaining = capacity - number``, where the capacity is
-    taken from the event version seen by the event's first request. Requests
-    keep counting after a sell-out (-1, -2, ...). Numbering is the sliced
-    running count, so a sold-out blockbuster does not sit in one task.
+    the one of the event version seen by the event's first request: it depends
+    only on that request's time, so it is a lookup of the event at
+    ``min(ts)`` per event (hash aggregate + one row per event). Requests keep
+    counting after a sell-out (-1, -2, ...). Numbering is the sliced running
+    count, so a sold-out blockbuster does not sit in one task.
     """
-    t = temporal_join(ticket.select("id", "customerid", "eventid", "ts"),
-                      event.select("id", "capacity", "ts"), {"eventid": "id"},
-                      payload={"capacity": "ev_capacity"}, strategy="interval")
-    t = running(t, ["eventid"], counts=["_rn"], firsts={"capacity": "ev_capacity"})
+    ev = event.select("id", "capacity", "ts")
+    t = temporal_join(ticket.select("id", "customerid", "eventid", "ts"), ev, {"eventid": "id"},
+                      payload={}, strategy="interval")
+
+    def frozen_capacity(first):   # one row per event: the version seen by its first request
+        return temporal_join(first, ev, {"eventid": "id"}, left_ts="first_ts",
+                             payload={"capacity": "capacity"}, strategy="interval") \
+            .select("eventid", "capacity")
+
+    t = running(t, ["eventid"], counts=["_rn"], per_key=frozen_capacity)
     remaining = (F.col("capacity") - F.col("_rn")).cast("double")
     return t.select(
         F.col("id").alias("ticketid"), "eventid", "customerid", "ts", "capacity",

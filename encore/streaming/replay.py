@@ -12,11 +12,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans import stateless
+from ..plans import stateless, venues
 from ..session import scratch_path
 from .sinks import run_available_now, write_each_batch
+from ..sources import Domain
 from .sources import StreamDomain
-from .stateful import (stream_customer_stream_count_changelog, stream_purchase_event_ticket,
+from .stateful import (stream_artist_ticket_count, stream_customer_stream_count_changelog,
+                       stream_out_of_state, stream_purchase_event_ticket, stream_ticket_addresses,
                        stream_top_customer_artists)
 
 
@@ -67,3 +69,28 @@ def address_split(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]
     read = lambda p: spark.read.schema(schema).parquet(f"{p}/batch=*")
     return read(f"{base}/priority"), read(f"{base}/default")
 
+
+def artist_ticket_count(spark: SparkSession, root: str) -> DataFrame:
+    """Complete-mode counts; every batch rewrites the full table (idempotent)."""
+    d = StreamDomain(spark, root)
+    base = _folder(spark, "artist-tickets")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/out")
+
+    run_available_now(stream_artist_ticket_count(d.ticket, d.event), checkpoint=f"{base}/checkpoint",
+                      mode="complete", foreach_batch=write)
+    return spark.read.schema("artistid long, n long").parquet(f"{base}/out")
+
+
+def out_of_state_ticket_holders(spark: SparkSession, root: str) -> DataFrame:
+    """Two chained streaming queries (one state function each) through a folder."""
+    d = StreamDomain(spark, root)
+    base = _folder(spark, "out-of-state")
+    ta = stream_ticket_addresses(d.ticket, d.customer_address)
+    run_available_now(ta, checkpoint=f"{base}/checkpoint-1", path=f"{base}/ticket-addresses")
+    enriched = spark.readStream.schema(ta.schema).parquet(f"{base}/ticket-addresses")
+    static = venues.join_venue_address(d.venue, Domain(spark, root).address)   # static dimension
+    ev = d.event.select("id", "venueid", "ts").join(
+        static.select("venueid", F.col("state").alias("eventstate")), "venueid")
+    return _run(spark, stream_out_of_state(enriched, ev), "out-of-state-2")

@@ -150,3 +150,76 @@ def stream_top_customer_artists(listen: DataFrame, n: int = TOP_ARTISTS) -> Data
                .select("id", "customerid", "artistid", F.unix_micros(F.col("ts").cast("timestamp")).alias("seq_us")))
     return l.groupBy("customerid").applyInPandasWithState(
         _top_fn_factory(n), _TOP_OUT, _TOP_STATE, "append", NO_TIMEOUT)
+
+
+# ---- temporal lookup (stream row -> table version current at its time) -----------------
+def stream_temporal_join(left: DataFrame, table: DataFrame, on: tuple[str, str],
+                         payload: dict[str, str], *, left_ts: str = "ts", table_ts: str = "ts",
+                         left_id: str = "id", table_id: str = "id") -> DataFrame:
+    """Streaming twin of ``temporal_join`` (inner): state per key = its latest version.
+
+    ``left`` and ``table`` are streams; rows of a key are replayed in
+    ``(ts, table first, version id)`` order, so a stream row sees exactly the
+    versions that arrived before it and is never re-emitted later.
+    """
+    lk, rk = on
+    lcols = left.columns
+    ptypes = {dst: table.schema[src].dataType for src, dst in payload.items()}
+    vtb_type = table.schema[table_id].dataType
+    L = left.select(F.col(lk).alias("_key"), F.lit(1).alias("_side"), F.col(left_ts).alias("_t"),
+                    F.lit(None).cast(vtb_type).alias("_vtb"), *[F.col(c) for c in lcols],
+                    *[F.lit(None).cast(t).alias(d) for d, t in ptypes.items()])
+    V = table.select(F.col(rk).alias("_key"), F.lit(0).alias("_side"), F.col(table_ts).alias("_t"),
+                     F.col(table_id).alias("_vtb"),
+                     *[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in lcols],
+                     *[F.col(s).alias(d) for s, d in payload.items()])
+    u = L.unionByName(V).filter(F.col("_key").isNotNull())
+    out_schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in left.schema.fields]
+                           + [f"{d} {t.simpleString()}" for d, t in ptypes.items()])
+    state_schema = "known boolean, " + ", ".join(f"{d} {t.simpleString()}" for d, t in ptypes.items())
+    dsts = list(ptypes)
+
+    def fn(key, pdfs, state: GroupState):
+        known, *vals = state.get if state.exists else (False, *[None] * len(dsts))
+        pdf = _rows(pdfs, ["_t", "_side", "_vtb"])
+        out = []
+        for r in pdf.to_dict("records"):
+            if r["_side"] == 0:
+                known, vals = True, [None if pd.isna(r[d]) else r[d] for d in dsts]
+            elif known:
+                out.append([r[c] for c in lcols] + vals)
+        state.update((known, *vals))
+        yield pd.DataFrame(out, columns=lcols + dsts)
+
+    return u.groupBy("_key").applyInPandasWithState(fn, out_schema, state_schema, "append", NO_TIMEOUT)
+
+
+def stream_artist_ticket_count(ticket: DataFrame, event: DataFrame) -> DataFrame:
+    """Tickets per artist: streaming lookup of the event, then a running count (update/complete)."""
+    t = stream_temporal_join(ticket.select("id", "eventid", "ts"),
+                             event.select("id", "artistid", "ts"), ("eventid", "id"),
+                             {"artistid": "artistid"})
+    return t.filter(F.col("artistid").isNotNull()).groupBy("artistid").agg(F.count(F.lit(1)).alias("n"))
+
+
+def stream_ticket_addresses(ticket: DataFrame, customer_address: DataFrame) -> DataFrame:
+    """Step 1 of the out-of-state pipeline: each ticket with the buyer's address state."""
+    return stream_temporal_join(ticket.select("id", "customerid", "eventid", "ts"),
+                                customer_address.select("customerid", "id", "state", "ts"),
+                                ("customerid", "customerid"),
+                                {"id": "addressid", "state": "customerstate"})
+
+
+def stream_out_of_state(ticket_addresses: DataFrame, event_states: DataFrame) -> DataFrame:
+    """Step 2: look up the event's venue state, keep tickets from another state.
+
+    A query holds one state function, so step 1 runs as its own streaming query
+    writing to a folder that this step reads as a stream. ``event_states`` is
+    the event stream joined to its venue's state (venues are a static
+    dimension, so that stream-static join is exact).
+    """
+    te = stream_temporal_join(ticket_addresses, event_states.select("id", "eventstate", "ts"),
+                              ("eventid", "id"), {"eventstate": "eventstate"})
+    return (te.filter(F.col("customerstate") != F.col("eventstate"))
+              .select(F.col("id").alias("ticketid"), "eventid", "customerid", "addressid",
+                      "customerstate", "eventstate"))

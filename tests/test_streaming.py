@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from encore import schemas
 from encore.plans import counts, ranking, tickets
 from encore.streaming import (run_available_now, stream_customer_stream_count_changelog,
-                              stream_purchase_event_ticket, stream_top_customer_artists)
+                              stream_purchase_event_ticket, stream_temporal_join,
+                              stream_top_customer_artists)
 
 
 def _cut_files(spark, df, folder, cuts):
@@ -71,3 +72,10 @@ def test_stream_twins_over_micro_batches(spark, feed):
     final = ch.join(last, "customerid").filter("seq_us = m")
     want = ranking.top_customer_artists(feed.df(spark, "listen"))
     assert rows(final, "customerid", "rnk", "artistid", "n") == rows(want, "customerid", "rnk", "artistid", "n")
+
+    got = _run(spark, stream_temporal_join(tk.select("id", "eventid", "ts"),
+                                           ev.select("id", "artistid", "ts"), ("eventid", "id"),
+                                           {"artistid": "artistid"}), f"{base}/lookup")
+    want = counts.tickets_with_artist(feed.df(spark, "ticket"), feed.df(spark, "event"))
+    assert rows(got, "id", "eventid", "artistid") == rows(want, "id", "eventid", "artistid")
+

@@ -23,6 +23,26 @@ from ..plans.ranking import TOP_ARTISTS
 NO_TIMEOUT = GroupStateTimeout.NoTimeout
 
 
+def _to_python(dtype):
+    """Value converter to the Python type Spark expects for ``dtype`` (pandas turns
+    nullable integers into floats; state and output must get exact ints)."""
+    from pyspark.sql import types as T
+
+    def conv(cast):
+        return lambda v: None if v is None or (not isinstance(v, str) and pd.isna(v)) else cast(v)
+    if isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
+        return conv(int)
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return conv(float)
+    if isinstance(dtype, T.BooleanType):
+        return conv(bool)
+    if isinstance(dtype, T.StringType):
+        return conv(str)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return conv(lambda v: pd.Timestamp(v).to_pydatetime())
+    return conv(lambda v: v)
+
+
 def _rows(pdfs: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
     pdf = pd.concat(list(pdfs), ignore_index=True)
     return pdf.sort_values(order, kind="mergesort")
@@ -178,6 +198,8 @@ def stream_temporal_join(left: DataFrame, table: DataFrame, on: tuple[str, str],
                            + [f"{d} {t.simpleString()}" for d, t in ptypes.items()])
     state_schema = "known boolean, " + ", ".join(f"{d} {t.simpleString()}" for d, t in ptypes.items())
     dsts = list(ptypes)
+    lconv = [_to_python(left.schema[c].dataType) for c in lcols]
+    pconv = [_to_python(t) for t in ptypes.values()]
 
     def fn(key, pdfs, state: GroupState):
         known, *vals = state.get if state.exists else (False, *[None] * len(dsts))
@@ -185,9 +207,9 @@ def stream_temporal_join(left: DataFrame, table: DataFrame, on: tuple[str, str],
         out = []
         for r in pdf.to_dict("records"):
             if r["_side"] == 0:
-                known, vals = True, [None if pd.isna(r[d]) else r[d] for d in dsts]
+                known, vals = True, [cv(r[d]) for cv, d in zip(pconv, dsts)]
             elif known:
-                out.append([r[c] for c in lcols] + vals)
+                out.append([cv(r[c]) for cv, c in zip(lconv, lcols)] + vals)
         state.update((known, *vals))
         yield pd.DataFrame(out, columns=lcols + dsts)
 

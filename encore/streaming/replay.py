@@ -12,13 +12,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import rank_within
 from ..plans import stateless, venues
+from ..plans.ranking import BOTTOM_HOLDERS
 from ..session import scratch_path
 from .sinks import run_available_now, write_each_batch
 from ..sources import Domain
 from .sources import StreamDomain
 from .stateful import (stream_artist_ticket_count, stream_customer_stream_count_changelog,
-                       stream_out_of_state, stream_purchase_event_ticket, stream_ticket_addresses,
+                       stream_holder_listen_counts, stream_instate_streamers_vs_capacity,
+                       stream_out_of_state,
+                       stream_purchase_event_ticket, stream_temporal_join, stream_ticket_addresses,
                        stream_top_customer_artists)
 
 
@@ -94,3 +98,44 @@ def out_of_state_ticket_holders(spark: SparkSession, root: str) -> DataFrame:
     ev = d.event.select("id", "venueid", "ts").join(
         static.select("venueid", F.col("state").alias("eventstate")), "venueid")
     return _run(spark, stream_out_of_state(enriched, ev), "out-of-state-2")
+
+
+def instate_streamers_vs_capacity_changelog(spark: SparkSession, root: str) -> DataFrame:
+    """Query 1: listens -> listener's state (lookup). Query 2: per (artist, state) fold."""
+    d = StreamDomain(spark, root)
+    base = _folder(spark, "instate")
+    ls = stream_temporal_join(d.listen.select("id", "customerid", "artistid", "ts"),
+                              d.customer_address.select("customerid", "id", "state", "ts"),
+                              ("customerid", "customerid"), {"state": "state"})
+    run_available_now(ls, checkpoint=f"{base}/checkpoint-1", path=f"{base}/listen-states")
+    listen_states = spark.readStream.schema(ls.schema).parquet(f"{base}/listen-states")
+    static = Domain(spark, root)        # venues and venue addresses: static dimensions
+    vstate = static.venue.select(F.col("id").alias("venueid"), F.col("addressid")).join(
+        static.address.filter(F.col("customerid").isNull())
+              .select(F.col("id").alias("addressid"), "state"), "addressid")
+    ev = d.event.select("id", "artistid", "venueid", "capacity", "ts").join(
+        vstate.select("venueid", "state"), "venueid")
+    return _run(spark, stream_instate_streamers_vs_capacity(listen_states, ev), "instate-2")
+
+
+def least_streaming_ticket_holders(spark: SparkSession, root: str, n: int = BOTTOM_HOLDERS) -> DataFrame:
+    """Query 1: tickets -> artist (lookup). Query 2: holder listen counts per
+    (customer, artist). Read: latest count per pair, ranked per artist."""
+    d = StreamDomain(spark, root)
+    base = _folder(spark, "holders")
+    ta = stream_temporal_join(d.ticket.select("id", "customerid", "eventid", "ts"),
+                              d.event.select("id", "artistid", "ts"), ("eventid", "id"),
+                              {"artistid": "artistid"})
+    run_available_now(ta, checkpoint=f"{base}/checkpoint-1", path=f"{base}/ticket-artists")
+    ticket_artists = spark.readStream.schema(ta.schema).parquet(f"{base}/ticket-artists")
+    counts = _run(spark, stream_holder_listen_counts(ticket_artists, d.listen), "holders-2")
+    latest = counts.groupBy("artistid", "customerid").agg(
+        F.max(F.struct("streamamount", "seq_us", "id")).alias("_m"))
+    c = latest.select("artistid", "customerid", F.col("_m.streamamount").alias("streamamount"),
+                      F.col("_m.seq_us").alias("seq_us"), F.col("_m.id").alias("id"))
+    one = F.col("streamamount") == 1
+    order = [F.col("streamamount").asc(),
+             F.when(one, F.col("seq_us")).otherwise(-F.col("seq_us")).asc(),
+             F.when(one, F.col("id")).otherwise(-F.col("id")).asc()]
+    return rank_within(c, ["artistid"], order, n).select("artistid", "rnk", "customerid", "streamamount")
+

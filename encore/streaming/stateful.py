@@ -245,3 +245,75 @@ def stream_out_of_state(ticket_addresses: DataFrame, event_states: DataFrame) ->
     return (te.filter(F.col("customerstate") != F.col("eventstate"))
               .select(F.col("id").alias("ticketid"), "eventid", "customerid", "addressid",
                       "customerstate", "eventstate"))
+
+
+# ---- in-state listens vs event capacity --------------------------------------------------
+_INSTATE_OUT = "eventid long, artistid long, state string, streamcount long, capacity long"
+_INSTATE_STATE = "listens long, started boolean, first_count long, capacity long"
+
+
+def _instate_fn(key, pdfs, state: GroupState):
+    listens, started, first_count, cap = state.get if state.exists else (0, False, None, 0)
+    out = []
+    for r in _rows(pdfs, ["ts", "side", "rid"]).itertuples(index=False):
+        if r.side == 0:                 # an in-state listen moves the count only
+            listens += 1
+            continue
+        if not started:                 # the first event fixes the reported count
+            started, first_count = True, listens
+        cap += 0 if pd.isna(r.capacity) else int(r.capacity)
+        out.append((int(r.rid), int(key[0]), str(key[1]), int(first_count), int(cap)))
+    state.update((int(listens), started, first_count, int(cap)))
+    yield pd.DataFrame(out, columns=["eventid", "artistid", "state", "streamcount", "capacity"])
+
+
+def stream_instate_streamers_vs_capacity(listen_states: DataFrame, event_states: DataFrame) -> DataFrame:
+    """One row per event: in-state listens of its artist (as of the first event of that
+    artist and state) and the running event capacity, as both streams arrive.
+
+    ``listen_states``: listens with the listener's state (a streaming lookup,
+    run as its own query); ``event_states``: events with their venue's state.
+    """
+    ls = listen_states.select("artistid", "state", "ts", F.lit(0).alias("side"),
+                              F.col("id").alias("rid"), F.lit(None).cast("int").alias("capacity"))
+    ev = event_states.select("artistid", "state", "ts", F.lit(1).alias("side"),
+                             F.col("id").alias("rid"), F.col("capacity").cast("int"))
+    u = ls.unionByName(ev).filter(F.col("artistid").isNotNull() & F.col("state").isNotNull())
+    return u.groupBy("artistid", "state").applyInPandasWithState(
+        _instate_fn, _INSTATE_OUT, _INSTATE_STATE, "append", NO_TIMEOUT)
+
+
+# ---- listens of ticket holders -----------------------------------------------------------
+_HOLDER_OUT = "artistid long, customerid long, id long, seq_us long, streamamount long"
+_HOLDER_STATE = "holder boolean, n long"
+
+
+def _holder_fn(key, pdfs, state: GroupState):
+    holder, n = state.get if state.exists else (False, 0)
+    out = []
+    for r in _rows(pdfs, ["seq_us", "side", "rid"]).itertuples(index=False):
+        if r.side == 0:                 # a ticket to one of the artist's events
+            holder = True
+        elif holder:                    # a listen after the first such ticket
+            n += 1
+            out.append((int(key[1]), int(key[0]), int(r.rid), int(r.seq_us), int(n)))
+    state.update((holder, int(n)))
+    yield pd.DataFrame(out, columns=["artistid", "customerid", "id", "seq_us", "streamamount"])
+
+
+def stream_holder_listen_counts(ticket_artists: DataFrame, listen: DataFrame) -> DataFrame:
+    """Per (customer, artist): after each counted listen, the holder's listen count.
+
+    ``ticket_artists``: tickets with their event's artist (a streaming lookup run
+    as its own query). The ranking of an artist's holders is read from the
+    latest counts (``encore.streaming.replay``), so no state ever holds all
+    customers of one artist.
+    """
+    us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    t = ticket_artists.select("customerid", "artistid", us("ts").alias("seq_us"),
+                              F.lit(0).alias("side"), F.col("id").alias("rid"))
+    l = listen.select("customerid", "artistid", us("ts").alias("seq_us"),
+                      F.lit(1).alias("side"), F.col("id").alias("rid"))
+    u = t.unionByName(l).filter(F.col("customerid").isNotNull() & F.col("artistid").isNotNull())
+    return u.groupBy("customerid", "artistid").applyInPandasWithState(
+        _holder_fn, _HOLDER_OUT, _HOLDER_STATE, "append", NO_TIMEOUT)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import bottom_n, latest_by_key, top_n, versions_by_key
-from .plans import counts, ranking, stateless, suggestions, tickets, venues
+from .plans import alerts, counts, ranking, stateless, suggestions, tickets, venues
 from .sources import Domain
 
 # Parameters of the registered reports (fixed values of this data mapping).
@@ -288,6 +288,16 @@ def alert_popular_event_in_zip(d: Domain):
     return venues.alert_popular_event_in_zip(d.ticket, d.event, d.address)
 
 
+@query
+def alert_top_streamers_of_new_event(d: Domain):
+    return alerts.alert_top_streamers_of_new_event(d.listen, d.event)
+
+
+@query
+def alert_top_streamers_with_email(d: Domain):
+    return alerts.alert_top_streamers_with_email(d.listen, d.event, d.email)
+
+
 @query
 def suggest_event_by_genre(d: Domain):
     return suggestions.suggest_event_by_genre(d.listen, d.artist, d.event)

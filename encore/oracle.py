@@ -292,6 +292,23 @@ ORACLE: dict[str, str] = {
         FROM tix_addr
         WHERE eventid IN (SELECT eventid FROM outcome2 WHERE rem >= 0 AND pct <= 10.0)
         GROUP BY eventid, zip5 HAVING count(DISTINCT customerid) >= 2"""),
+    "alert_top_streamers_of_new_event": _q("""
+        SELECT eventid, artistid, rnk, customerid, n FROM (
+          SELECT e.id AS eventid, e.artistid, l.customerid, count(*) AS n,
+                 row_number() OVER (PARTITION BY e.id ORDER BY count(*) DESC, l.customerid) AS rnk
+          FROM event e JOIN listen l ON l.artistid = e.artistid AND l.ts <= e.ts
+          GROUP BY e.id, e.artistid, l.customerid)
+        WHERE rnk <= 3"""),
+    "alert_top_streamers_with_email": _q("""
+        SELECT t.eventid, t.artistid, t.rnk, t.customerid, t.n, 'c' || CAST(c.c_custkey AS VARCHAR) || '@mail.test' AS email
+        FROM (
+          SELECT eventid, artistid, rnk, customerid, n FROM (
+            SELECT e.id AS eventid, e.artistid, l.customerid, count(*) AS n,
+                   row_number() OVER (PARTITION BY e.id ORDER BY count(*) DESC, l.customerid) AS rnk
+            FROM event e JOIN listen l ON l.artistid = e.artistid AND l.ts <= e.ts
+            GROUP BY e.id, e.artistid, l.customerid)
+          WHERE rnk <= 3) t
+        LEFT JOIN customer c ON c.c_custkey = t.customerid"""),
     "suggest_event_by_genre": _q("""
         WITH g AS (
           SELECT customerid, genre FROM (

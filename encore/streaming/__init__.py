@@ -7,14 +7,15 @@ must emit one result per input record keep per-key state with
 """
 
 from .sources import StreamDomain, stream_table
-from .sinks import keyed_records, run_available_now, write_each_batch
+from .sinks import keyed_records, run_available_now, start_every, write_each_batch
 from .stateful import (stream_artist_ticket_count, stream_customer_stream_count,
                        stream_customer_stream_count_changelog, stream_instate_streamers_vs_capacity,
                        stream_out_of_state,
                        stream_purchase_event_ticket, stream_temporal_join, stream_ticket_addresses,
                        stream_top_customer_artists)
 
-__all__ = ["StreamDomain", "stream_table", "keyed_records", "run_available_now", "write_each_batch",
+__all__ = ["StreamDomain", "stream_table", "keyed_records", "run_available_now", "start_every",
+           "write_each_batch",
            "stream_customer_stream_count", "stream_customer_stream_count_changelog",
            "stream_purchase_event_ticket", "stream_top_customer_artists", "stream_temporal_join",
            "stream_artist_ticket_count", "stream_ticket_addresses", "stream_out_of_state",

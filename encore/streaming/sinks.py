@@ -45,3 +45,19 @@ def run_available_now(df: DataFrame, *, checkpoint: str, path: str | None = None
     if q.exception() is not None:
         raise q.exception()
     return q
+
+
+def start_every(df: DataFrame, *, checkpoint: str, path: str | None = None,
+                interval: str = "10 seconds", mode: str = "append", fmt: str = "parquet",
+                foreach_batch=None) -> StreamingQuery:
+    """Run continuously with a micro-batch every ``interval`` (the commit interval).
+
+    Output rows are emitted per micro-batch, not per record; per-record
+    changelogs come from the state functions, which emit one row per input.
+    """
+    w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+    if foreach_batch is not None:
+        w = w.foreachBatch(foreach_batch)
+    else:
+        w = w.format(fmt).option("path", path)
+    return w.trigger(processingTime=interval).start()

@@ -40,3 +40,16 @@ def test_alerts_and_notifications(spark, feed):
     assert m.recipient == "10@email.com"
     assert m.subject == f"Ticket Confirmation (CONF-{ids[10]}) - Event 1"
     assert m.body == "Your ticket has been REJECTED!"
+
+
+def test_observed_counts(spark, feed):
+    from pyspark.sql import functions as F
+
+    from encore.functions import observed
+    feed.add("event", id=1, artistid=1, venueid=1, capacity=2)
+    for _ in range(3):
+        feed.add("ticket", customerid=1, eventid=1)
+    out = tickets.purchase_event_ticket(feed.df(spark, "ticket"), feed.df(spark, "event"))
+    out, obs = observed(out, "tickets", rejected=F.col("confirmationstatus") == "REJECTED")
+    out.write.format("noop").mode("overwrite").save()
+    assert obs.get == {"rows": 3, "rejected": 1}

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import bottom_n, latest_by_key, top_n, versions_by_key
-from .plans import alerts, counts, ranking, stateless, suggestions, tickets, venues
+from .plans import alerts, counts, ranking, sql_reports, stateless, suggestions, tickets, venues
 from .sources import Domain
 
 # Parameters of the registered reports (fixed values of this data mapping).
@@ -267,6 +267,11 @@ def high_attendance_events_by_state(d: Domain):
                                                   ATTENDANCE_FROM, ATTENDANCE_TO)
 
 
+@query
+def high_attendance_events_by_state_sql(d: Domain):
+    return sql_reports.high_attendance_events_by_state_sql(d, ATTENDANCE_FROM, ATTENDANCE_TO)
+
+
 # ---- scenario reports ----------------------------------------------------------------
 @query
 def venue_most_events(d: Domain):

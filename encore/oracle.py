@@ -333,6 +333,8 @@ ORACLE: dict[str, str] = {
         SELECT g.customerid, g.genre, best.eventid FROM g JOIN best ON g.genre = best.genre"""),
 }
 
+ORACLE["high_attendance_events_by_state_sql"] = ORACLE["high_attendance_events_by_state"]
+
 # Streaming twins produce the batch results (addresses: only the streamed customer addresses).
 for _name in ("purchase_event_ticket", "customer_stream_count_changelog", "top_customer_artists",
               "target_customer_filter", "artist_ticket_count", "out_of_state_ticket_holders",

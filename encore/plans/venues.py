@@ -59,8 +59,11 @@ def join_ticket_event_venue_address(ticket: DataFrame, event: DataFrame, venue:
                                     address: DataFrame) -> DataFrame:
     eva = join_event_venue_address(event, venue, address).select(
         F.col("id").alias("eid"), "eventstate", "ts", "id")
+    # events joined to venue states: a dimension whose size the planner cannot
+    # estimate (joins multiply estimates), so its rows are counted before broadcasting
     return temporal_join(ticket.select("id", "customerid", "eventid", "ts"), eva,
-                         {"eventid": "eid"}, payload={"eventstate": "eventstate"}, strategy="interval")
+                         {"eventid": "eid"}, payload={"eventstate": "eventstate"}, strategy="interval",
+                         broadcast=True)
 
 
 def join_stream_customer_address(listen: DataFrame, address: DataFrame) -> DataFrame:
@@ -77,7 +80,7 @@ def out_of_state_ticket_holders(ticket: DataFrame, event: DataFrame, venue: Data
     eva = join_event_venue_address(event, venue, address).select(
         F.col("id").alias("eid"), "eventstate", "ts", "id")
     t = temporal_join(ta, eva, {"eventid": "eid"}, payload={"eventstate": "eventstate"},
-                      strategy="interval")
+                      strategy="interval", broadcast=True)   # counted dimension, see above
     return (t.filter(F.col("customerstate") != F.col("eventstate"))
              .select(F.col("id").alias("ticketid"), "eventid", "customerid", "addressid",
                      "customerstate", "eventstate"))

@@ -126,6 +126,15 @@ def purchase_event_ticket(d: Domain):
     return tickets.purchase_event_ticket(d.ticket, d.event)
 
 
+@query
+def purchase_event_ticket_orders(d: Domain):
+    """P5 at volume: every order line is a ticket request for its part."""
+    o = tickets.ticket_outcomes(d.order_ticket, d.event_catalog)
+    return o.select(F.col("ticketid.l_orderkey").alias("l_orderkey"),
+                    F.col("ticketid.l_linenumber").alias("l_linenumber"),
+                    "eventid", "customerid", "remainingtickets", "confirmationstatus", "tier")
+
+
 @query
 def ticket_tiers(d: Domain):
     return tickets.ticket_tiers(d.ticket, d.event)

@@ -15,6 +15,12 @@ Instead the time line of every key is cut into slices of
 
 The big side crosses the network once, the largest sorted group is one key's
 records of one slice, and results are exact (no sampling, no cap).
+
+The input is read twice: by the narrow partial aggregate of step 1 and by
+step 3. Spark cannot share one exchange between the two (each is pruned to
+its own columns), so when the input is itself the product of a shuffle join
+over large tables, materialize it first (``DataFrame.checkpoint()`` or a table
+under ``spark.checkpoint.dir``) instead of recomputing that join.
 """
 
 from __future__ import annotations

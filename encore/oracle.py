@@ -170,6 +170,24 @@ ORACLE: dict[str, str] = {
         SELECT id AS ticketid, eventid, customerid, CAST(rem AS DOUBLE) AS remainingtickets,
                {_STATUS} AS confirmationstatus, {_TIER} AS tier, 'CONF-' || CAST(id AS VARCHAR) AS confirmationid
         FROM outcome2 WHERE ({_TIER}) IS NOT NULL"""),
+    "purchase_event_ticket_orders": _q("""
+        WITH big AS (
+          SELECT l.*, o.o_custkey FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+        r AS (
+          SELECT big.*, p.p_size AS cap,
+                 row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber,
+                   l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag,
+                   l_linestatus) AS rn
+          FROM big JOIN part p ON p.p_partkey = big.l_partkey),
+        x AS (
+          SELECT *, cap - rn AS rem,
+                 CASE WHEN cap - rn < 0 THEN 0.0 ELSE CAST(cap - rn AS DOUBLE) / CAST(cap AS DOUBLE) * 100.0 END AS pct
+          FROM r)
+        SELECT l_orderkey, l_linenumber, l_partkey AS eventid, o_custkey AS customerid,
+               CAST(rem AS DOUBLE) AS remainingtickets, CASE WHEN rem >= 0 THEN 'CONFIRMED' ELSE 'REJECTED' END AS confirmationstatus,
+               CASE WHEN rem < 0 THEN 'SOLD_OUT' WHEN pct <= 20.0 THEN 'LIMITED' WHEN pct > 20.0 THEN 'OPEN' END AS tier
+        FROM x
+        WHERE (CASE WHEN rem < 0 THEN 'SOLD_OUT' WHEN pct <= 20.0 THEN 'LIMITED' WHEN pct > 20.0 THEN 'OPEN' END) IS NOT NULL"""),
     "ticket_tiers": _q(f"SELECT id AS ticketid, eventid, {_TIER} AS tier FROM outcome2"),
     "alert_near_capacity": _q("""
         SELECT eventid, arg_min(id, (ts, id)) AS ticketid, arg_min(CAST(rem AS DOUBLE), (ts, id)) AS remainingtickets,

@@ -172,6 +172,36 @@ class Domain:
             ts.alias("ts"),
         )
 
+    @cached_property
+    def order_ticket(self) -> DataFrame:
+        """High-volume ticket requests: every order line asks for one ticket of part
+        ``l_partkey``, at its ship date. No column is unique, so ``id`` is the struct
+        of the line's columns (the whole row is unique), which orders rows totally."""
+        li = self.table("lineitem").select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+            "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+        o = self.table("orders").select("o_orderkey", "o_custkey")
+        j = li.join(o, li.l_orderkey == o.o_orderkey)
+        return j.select(
+            F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                     "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus").alias("id"),
+            F.col("o_custkey").alias("customerid"),
+            F.col("l_partkey").alias("eventid"),
+            F.col("l_extendedprice").alias("price"),
+            F.col("l_shipdate").cast("timestamp").alias("ts"),
+        )
+
+    @cached_property
+    def event_catalog(self) -> DataFrame:
+        """Every part as an event on sale from the start (for ``order_ticket``)."""
+        p = self.table("part").select("p_partkey", "p_brand", "p_size")
+        return p.select(
+            F.col("p_partkey").alias("id"),
+            F.substring("p_brand", 7, 10).cast("bigint").alias("artistid"),
+            F.col("p_size").alias("capacity"),
+            _epoch().alias("ts"),
+        )
+
     @cached_property
     def artist(self) -> DataFrame:
         p = self.table("part").select("p_partkey", "p_brand", "p_type")

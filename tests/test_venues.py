@@ -122,3 +122,30 @@ def test_sql_reports(spark, feed):
     assert rows(hi, "state", "num_high_attendance_events") == [("MN", 1)]
     # range ends are excluded
     assert venues.high_attendance_events_by_state(t, e, v, a, "2024-02-10", "2024-02-20").count() == 0
+
+
+def test_sql_text_report_equals_dataframe_and_null_states(spark, feed):
+    from encore.plans import sql_reports
+    from encore.sources import Domain
+
+    _addr(feed, "va1", None, "MN")
+    feed.add("venue", id=1, addressid="va1", name="v", maxcapacity=5)
+    feed.add("event", id=1, artistid=1, venueid=1, capacity=2, eventdate="2024-02-10")
+    _addr(feed, "a1", 1, None)              # no state: never "another state"
+    _addr(feed, "a2", 1, "WI")
+    for _ in range(3):
+        feed.add("ticket", customerid=1, eventid=1)
+    t, e, v, a = _frames(feed, spark)
+    assert rows(venues.out_of_state_tickets_by_event(t, e, v, a), "eventid", "num_out_of_state_tickets") == [
+        (1, 3)]
+
+    class Fixture(Domain):                  # the SQL text runs over these entity frames
+        pass
+    d = Fixture(spark, "/unused")
+    for name, df in (("event", e), ("ticket", t), ("venue", v), ("address", a),
+                     ("listen", feed.df(spark, "listen")), ("customer", feed.df(spark, "customer"))):
+        d.__dict__[name] = df
+    sql = sql_reports.high_attendance_events_by_state_sql(d, "2024-02-01", "2024-02-20")
+    df = venues.high_attendance_events_by_state(t, e, v, a, "2024-02-01", "2024-02-20")
+    assert rows(sql, "state", "num_high_attendance_events") == rows(df, "state", "num_high_attendance_events") \
+        == [("MN", 1)]

@@ -198,7 +198,7 @@ ORACLE: dict[str, str] = {
                'SOLD_OUT' AS alert
         FROM outcome2 WHERE rem = 0 GROUP BY eventid"""),
     "ticket_notifications": _q(f"""
-        SELECT id AS ticketid, 'tickets@utopia.com' AS sender, CAST(customerid AS VARCHAR) || '@email.com' AS recipient,
+        SELECT id AS ticketid, 'tickets@example.com' AS sender, CAST(customerid AS VARCHAR) || '@email.com' AS recipient,
                'Ticket Confirmation (CONF-' || CAST(id AS VARCHAR) || ') - Event ' || CAST(eventid AS VARCHAR) AS subject,
                'Your ticket has been ' || {_STATUS} || '!' AS body
         FROM outcome2 WHERE ({_TIER}) IS NOT NULL"""),

@@ -4,7 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed texts of the ticket confirmation message.
-SENDER = "tickets@example.com"     # sender address (ours; not a compared value)
+SENDER = "tickets@example.com"     # sender address: our own neutral value
 RECIPIENT_DOMAIN = "@email.com"
 SUBJECT_PREFIX = "Ticket Confirmation ("
 SUBJECT_MIDDLE = ") - Event "

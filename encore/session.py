@@ -33,6 +33,8 @@ CLUSTER_CONF = {
     # slice width of the sliced folds/lookups: with one key holding a third of
     # 100 TB over 30 days, 60 s slices keep that key's slice under ~1 GB
     "encore.slice.seconds": "60",
+    # write shuffle-join products that a fold reads twice (encore.operators.materialize)
+    "encore.materialize": "true",
 }
 
 # encore's own knobs (read with ``conf_int``).

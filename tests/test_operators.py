@@ -97,3 +97,12 @@ def test_latest_by_key(spark):
     assert sorted((r.k, r.v) for r in out.collect()) == [(1, "b"), (2, "d")]
     assert set(out.columns) == {"k", "id", "v", "ts"}
     assert out.filter(F.col("k") == 1).count() == 1
+
+
+def test_materialize_writes_under_checkpoint_dir(spark):
+    from encore.operators import materialize
+    df = spark.range(5).withColumnRenamed("id", "x")
+    assert materialize(df, "t") is df                       # off by default
+    m = materialize(df, "t", force=True)
+    assert sorted(r.x for r in m.collect()) == [0, 1, 2, 3, 4]
+    assert spark.conf.get("spark.checkpoint.dir") in m.inputFiles()[0]

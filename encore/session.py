@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -62,9 +63,37 @@ def build_session(master: str | None = None, app: str = "encore",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``encore`` importable in the Python workers (as ``--py-files`` would).
+
+    State functions and pandas functions are pickled by module reference, so
+    the executors need the package. It is zipped once per SparkContext and
+    handed to ``addPyFile``; Spark distributes it with the job's files.
+    """
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="encore-pyfiles-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, dirs, files in os.walk(pkg):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(path)
+    _SHIPPED.add(id(sc))
+
+
 def conf_int(spark: SparkSession, key: str) -> int:
     return int(spark.conf.get(key, str(_DEFAULTS[key])))
 

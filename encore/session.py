@@ -78,11 +78,18 @@ def ship_package(spark: SparkSession) -> None:
     handed to ``addPyFile``; Spark distributes it with the job's files.
     """
     sc = spark.sparkContext
-    if id(sc) in _SHIPPED:
-        return
+    if id(sc) in _SHIPPED or spark.conf.get("encore.shipPackage", "true").lower() == "false":
+        return          # e.g. the cluster already passes the package with --py-files
     pkg = os.path.dirname(os.path.abspath(__file__))
-    fd, path = tempfile.mkstemp(prefix="encore-pyfiles-", suffix=".zip")
-    os.close(fd)
+    folder = ensure_checkpoint_dir(spark)
+    if folder.startswith("file:"):
+        folder = folder[len("file:"):]
+    if "://" in folder:             # remote storage: Python cannot write there directly
+        fd, path = tempfile.mkstemp(prefix="encore-pyfiles-", suffix=".zip")
+        os.close(fd)
+    else:                           # the shared folder the cluster names
+        os.makedirs(os.path.join(folder, "pyfiles"), exist_ok=True)
+        path = os.path.join(folder, "pyfiles", f"encore-{os.getpid()}-{id(sc)}.zip")
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
         for root, dirs, files in os.walk(pkg):
             dirs[:] = [d for d in dirs if d != "__pycache__"]

@@ -139,3 +139,20 @@ def least_streaming_ticket_holders(spark: SparkSession, root: str, n: int = BOTT
              F.when(one, F.col("id")).otherwise(-F.col("id")).asc()]
     return rank_within(c, ["artistid"], order, n).select("artistid", "rnk", "customerid", "streamamount")
 
+
+def purchase_event_ticket_tables(spark: SparkSession, root: str) -> DataFrame:
+    """The ticket countdown streamed with ``foreachBatch`` over stored state tables."""
+    from .tables import ticket_countdown_batch
+    d = StreamDomain(spark, root)
+    base = _folder(spark, "tickets-tables")
+    ev = d.event.select(F.col("id").alias("eventid"), F.lit(0).alias("side"), F.col("id").alias("rid"),
+                        "ts", F.col("capacity").cast("int").alias("capacity"),
+                        F.lit(None).cast("bigint").alias("customerid"))
+    tk = d.ticket.select("eventid", F.lit(1).alias("side"), F.col("id").alias("rid"), "ts",
+                         F.lit(None).cast("int").alias("capacity"), "customerid")
+    u = ev.unionByName(tk).filter(F.col("eventid").isNotNull())
+    run_available_now(u, checkpoint=f"{base}/checkpoint", foreach_batch=ticket_countdown_batch(base))
+    return spark.read.schema("ticketid long, eventid long, customerid long, remainingtickets double, "
+                             "confirmationstatus string, tier string, confirmationid string") \
+        .parquet(f"{base}/out").drop("batch")
+

@@ -79,3 +79,25 @@ def test_stream_twins_over_micro_batches(spark, feed):
     want = counts.tickets_with_artist(feed.df(spark, "ticket"), feed.df(spark, "event"))
     assert rows(got, "id", "eventid", "artistid") == rows(want, "id", "eventid", "artistid")
 
+
+
+def test_ticket_countdown_over_state_tables(spark, feed):
+    from encore.streaming.tables import ticket_countdown_batch
+    _random_feed(feed, 7)
+    cuts = [feed.rows["ticket"][10]["ts"], feed.rows["ticket"][30]["ts"], feed.rows["ticket"][50]["ts"]]
+    base = tempfile.mkdtemp(prefix="encore-stream-tables-")
+    for ent in ("event", "ticket"):
+        _cut_files(spark, feed.df(spark, ent), f"{base}/in/{ent}", cuts)
+    ev = _stream(spark, f"{base}/in/event", "event").select(
+        F.col("id").alias("eventid"), F.lit(0).alias("side"), F.col("id").alias("rid"), "ts",
+        F.col("capacity").cast("int").alias("capacity"), F.lit(None).cast("bigint").alias("customerid"))
+    tk = _stream(spark, f"{base}/in/ticket", "ticket").select(
+        "eventid", F.lit(1).alias("side"), F.col("id").alias("rid"), "ts",
+        F.lit(None).cast("int").alias("capacity"), "customerid")
+    q = run_available_now(ev.unionByName(tk), checkpoint=f"{base}/ck",
+                          foreach_batch=ticket_countdown_batch(f"{base}/state"))
+    assert len(q.recentProgress) >= 2          # several micro-batches carried the state
+    got = spark.read.parquet(f"{base}/state/out")
+    want = tickets.purchase_event_ticket(feed.df(spark, "ticket"), feed.df(spark, "event"))
+    cols = ["ticketid", "eventid", "customerid", "remainingtickets", "confirmationstatus", "tier"]
+    assert rows(got, *cols) == rows(want, *cols)

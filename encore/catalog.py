@@ -351,6 +351,7 @@ def _lazy(attr: str) -> Query:
 
 _streamed("stream_purchase_event_ticket", _lazy("purchase_event_ticket"))
 _streamed("stream_customer_stream_count_changelog", _lazy("customer_stream_count_changelog"))
+_streamed("stream_customer_stream_count", _lazy("customer_stream_count"))
 _streamed("stream_top_customer_artists", _lazy("top_customer_artists"))
 _streamed("stream_target_customer_filter", _lazy("target_customer_filter"))
 _streamed("stream_artist_ticket_count", _lazy("artist_ticket_count"))

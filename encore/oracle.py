@@ -354,7 +354,8 @@ ORACLE: dict[str, str] = {
 ORACLE["high_attendance_events_by_state_sql"] = ORACLE["high_attendance_events_by_state"]
 
 # Streaming twins produce the batch results (addresses: only the streamed customer addresses).
-for _name in ("purchase_event_ticket", "customer_stream_count_changelog", "top_customer_artists",
+for _name in ("purchase_event_ticket", "customer_stream_count_changelog", "customer_stream_count",
+              "top_customer_artists",
               "target_customer_filter", "artist_ticket_count", "out_of_state_ticket_holders",
               "instate_streamers_vs_capacity_changelog", "least_streaming_ticket_holders"):
     ORACLE[f"stream_{_name}"] = ORACLE[_name]

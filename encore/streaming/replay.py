@@ -19,7 +19,8 @@ from ..session import scratch_path
 from .sinks import run_available_now, write_each_batch
 from ..sources import Domain
 from .sources import StreamDomain
-from .stateful import (stream_artist_ticket_count, stream_customer_stream_count_changelog,
+from .stateful import (stream_artist_ticket_count, stream_customer_stream_count,
+                       stream_customer_stream_count_changelog,
                        stream_holder_listen_counts, stream_instate_streamers_vs_capacity,
                        stream_out_of_state,
                        stream_purchase_event_ticket, stream_temporal_join, stream_ticket_addresses,
@@ -156,3 +157,18 @@ def purchase_event_ticket_tables(spark: SparkSession, root: str) -> DataFrame:
                              "confirmationstatus string, tier string, confirmationid string") \
         .parquet(f"{base}/out").drop("batch")
 
+
+def customer_stream_count(spark: SparkSession, root: str) -> DataFrame:
+    """Update mode: every batch writes the keys it changed; the table is the latest per key."""
+    d = StreamDomain(spark, root)
+    base = _folder(spark, "listen-count-update")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}")
+
+    run_available_now(stream_customer_stream_count(d.listen), checkpoint=f"{base}/checkpoint",
+                      mode="update", foreach_batch=write)
+    changes = spark.read.schema("customerid long, n long, batch long").parquet(f"{base}/out")
+    latest = changes.groupBy("customerid").agg(F.max_by("n", "batch").alias("n"))
+    return latest
+

@@ -53,3 +53,16 @@ def test_observed_counts(spark, feed):
     out, obs = observed(out, "tickets", rejected=F.col("confirmationstatus") == "REJECTED")
     out.write.format("noop").mode("overwrite").save()
     assert obs.get == {"rows": 3, "rejected": 1}
+
+
+def test_ticket_at_the_same_moment_as_its_event(spark):
+    import datetime as dt
+
+    from encore import schemas
+    t0 = dt.datetime(2024, 1, 1, 12)
+    ev = spark.createDataFrame([(5, 1, 1, 3, "x", t0)], schemas.EVENT)
+    tk = spark.createDataFrame([(9, 1, 5, 1.0, t0), (8, 1, 5, 1.0, t0 - dt.timedelta(seconds=1))],
+                               schemas.TICKET)
+    out = tickets.purchase_event_ticket(tk, ev).collect()
+    # the earlier request is lost (event unknown); the simultaneous one sees the event
+    assert [(r.ticketid, r.remainingtickets) for r in out] == [(9, 2.0)]

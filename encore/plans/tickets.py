@@ -58,27 +58,27 @@ def ticket_tiers(ticket: DataFrame, event: DataFrame) -> DataFrame:
     return ticket_outcomes(ticket, event).select("ticketid", "eventid", "tier")
 
 
-def _first_alert(outcomes: DataFrame, cond, label: str) -> DataFrame:
-    hit = outcomes.filter(cond)
-    first = F.min_by(F.struct("ticketid", "remainingtickets"), F.struct("ts", "ticketid"))
-    return (hit.groupBy("eventid").agg(first.alias("_f"))
-               .select("eventid", F.col("_f.ticketid").alias("ticketid"),
-                       F.col("_f.remainingtickets").alias("remainingtickets"),
-                       F.lit(label).alias("alert")))
-
-
 def alert_near_capacity(ticket: DataFrame, event: DataFrame,
                         pct: float = NEAR_CAPACITY_PCT) -> DataFrame:
-    """The confirmed request after which at most ``pct`` % of an event is left."""
+    """The confirmed request after which at most ``pct`` % of an event is left.
+
+    Remaining tickets fall by exactly one per request, starting from the frozen
+    capacity (100 %), so the first such request is the only row where the share
+    crosses the threshold: a per-row filter, no aggregation or shuffle.
+    """
     o = ticket_outcomes(ticket, event)
-    cond = (F.col("confirmationstatus") == CONFIRMED) & (F.col("remainingpct") <= pct)
-    return _first_alert(o, cond, "NEAR_CAPACITY")
+    before = remaining_pct(F.col("remainingtickets") + 1, F.col("capacity"))
+    hit = ((F.col("confirmationstatus") == CONFIRMED) & (F.col("remainingpct") <= pct)
+           & (before > pct))
+    return o.filter(hit).select("eventid", "ticketid", "remainingtickets",
+                                F.lit("NEAR_CAPACITY").alias("alert"))
 
 
 def alert_sold_out(ticket: DataFrame, event: DataFrame) -> DataFrame:
-    """The request that took the last ticket of an event."""
+    """The request that took the last ticket of an event (remaining hits 0 once)."""
     o = ticket_outcomes(ticket, event)
-    return _first_alert(o, F.col("remainingtickets") == 0, "SOLD_OUT")
+    return o.filter(F.col("remainingtickets") == 0).select(
+        "eventid", "ticketid", "remainingtickets", F.lit("SOLD_OUT").alias("alert"))
 
 
 def ticket_notifications(ticket: DataFrame, event: DataFrame) -> DataFrame:

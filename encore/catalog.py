@@ -359,5 +359,16 @@ _streamed("stream_out_of_state_ticket_holders", _lazy("out_of_state_ticket_holde
 _streamed("stream_instate_streamers_vs_capacity_changelog", _lazy("instate_streamers_vs_capacity_changelog"))
 _streamed("stream_least_streaming_ticket_holders", _lazy("least_streaming_ticket_holders"))
 _streamed("stream_purchase_event_ticket_tables", _lazy("purchase_event_ticket_tables"))
+
+
+def _stream_alert(kind: str) -> Query:
+    def run(spark, root):
+        from .streaming import replay
+        return replay.capacity_alerts(spark, root, kind)
+    return run
+
+
+_streamed("stream_alert_near_capacity", _stream_alert("NEAR_CAPACITY"))
+_streamed("stream_alert_sold_out", _stream_alert("SOLD_OUT"))
 _streamed("stream_address_split_priority", _stream_address_split(0))
 _streamed("stream_address_split_default", _stream_address_split(1))

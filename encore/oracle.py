@@ -360,6 +360,8 @@ for _name in ("purchase_event_ticket", "customer_stream_count_changelog", "custo
               "instate_streamers_vs_capacity_changelog", "least_streaming_ticket_holders"):
     ORACLE[f"stream_{_name}"] = ORACLE[_name]
 ORACLE["stream_purchase_event_ticket_tables"] = ORACLE["purchase_event_ticket"]
+ORACLE["stream_alert_near_capacity"] = ORACLE["alert_near_capacity"]
+ORACLE["stream_alert_sold_out"] = ORACLE["alert_sold_out"]
 ORACLE["stream_address_split_priority"] = _q(_addr_text(
     "(SELECT * FROM caddress WHERE state IS NOT DISTINCT FROM 'MN')"))
 ORACLE["stream_address_split_default"] = _q(_addr_text(

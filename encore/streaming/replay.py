@@ -141,8 +141,8 @@ def least_streaming_ticket_holders(spark: SparkSession, root: str, n: int = BOTT
     return rank_within(c, ["artistid"], order, n).select("artistid", "rnk", "customerid", "streamamount")
 
 
-def purchase_event_ticket_tables(spark: SparkSession, root: str) -> DataFrame:
-    """The ticket countdown streamed with ``foreachBatch`` over stored state tables."""
+def _countdown_tables(spark: SparkSession, root: str) -> str:
+    """Run the state-table countdown over the record streams; return its folder."""
     from .tables import ticket_countdown_batch
     d = StreamDomain(spark, root)
     base = _folder(spark, "tickets-tables")
@@ -153,11 +153,25 @@ def purchase_event_ticket_tables(spark: SparkSession, root: str) -> DataFrame:
                          F.lit(None).cast("int").alias("capacity"), "customerid")
     u = ev.unionByName(tk).filter(F.col("eventid").isNotNull())
     run_available_now(u, checkpoint=f"{base}/checkpoint", foreach_batch=ticket_countdown_batch(base))
+    return base
+
+
+def purchase_event_ticket_tables(spark: SparkSession, root: str) -> DataFrame:
+    """The ticket countdown streamed with ``foreachBatch`` over stored state tables."""
+    base = _countdown_tables(spark, root)
     return spark.read.schema("ticketid long, eventid long, customerid long, remainingtickets double, "
                              "confirmationstatus string, tier string, confirmationid string") \
         .parquet(f"{base}/out").drop("batch")
 
 
+def capacity_alerts(spark: SparkSession, root: str, kind: str) -> DataFrame:
+    """Alerts raised by the streamed countdown, one kind (NEAR_CAPACITY / SOLD_OUT)."""
+    base = _countdown_tables(spark, root)
+    a = spark.read.schema("eventid long, ticketid long, remainingtickets double, alert string") \
+        .parquet(f"{base}/alerts").drop("batch")
+    return a.filter(F.col("alert") == kind)
+
+
 def customer_stream_count(spark: SparkSession, root: str) -> DataFrame:
     """Update mode: every batch writes the keys it changed; the table is the latest per key."""
     d = StreamDomain(spark, root)

@@ -6,7 +6,9 @@ the shared checkpoint folder:
 * ``events/batch=<id>``: event versions seen so far (the lookup table);
 * ``fold/batch=<id>``:   per event, the capacity frozen at its first request
   and the number of requests so far;
-* ``out/batch=<id>``:    the answers of that micro-batch.
+* ``out/batch=<id>``:    the answers of that micro-batch;
+* ``alerts/batch=<id>``: near-capacity and sold-out alerts raised in it (each
+  is a per-row threshold crossing, so no extra state is needed).
 
 Each micro-batch reads the state written by earlier batch ids only and
 overwrites its own folders, so a batch replayed after a failure recomputes
@@ -20,6 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import confirmation_status, remaining_pct, ticket_tier
+from ..functions.tickets import CONFIRMED
+from ..plans.tickets import NEAR_CAPACITY_PCT
 from ..operators import latest_by_key, running, temporal_join
 
 _EVENT_SCHEMA = "id long, capacity int, ts timestamp, batch long"
@@ -68,6 +72,16 @@ def ticket_countdown_batch(base: str):
                        F.concat(F.lit("CONF-"), F.col("id").cast("string")).alias("confirmationid"))
         out.filter(F.col("tier").isNotNull()).write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}")
 
+        pct = remaining_pct(remaining, F.col("cap0"))
+        crossed = ((confirmation_status(remaining) == CONFIRMED) & (pct <= NEAR_CAPACITY_PCT)
+                   & (remaining_pct(remaining + 1, F.col("cap0")) > NEAR_CAPACITY_PCT))
+        alerts = r.select("eventid", F.col("id").alias("ticketid"), remaining.alias("remainingtickets"),
+                          F.when(crossed, F.lit("NEAR_CAPACITY")).alias("near"),
+                          F.when(remaining == 0, F.lit("SOLD_OUT")).alias("sold"))
+        alerts = alerts.select("eventid", "ticketid", "remainingtickets",
+                               F.explode(F.array_compact(F.array("near", "sold"))).alias("alert"))
+        alerts.write.mode("overwrite").parquet(f"{base}/alerts/batch={batch_id}")
+
         new_fold = r.groupBy("eventid").agg(F.first("cap0").alias("capacity"),
                                             (F.first("n0") + F.max("_rn")).alias("n"))
         new_fold.write.mode("overwrite").parquet(f"{base}/fold/batch={batch_id}")

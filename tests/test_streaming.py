@@ -101,6 +101,11 @@ def test_ticket_countdown_over_state_tables(spark, feed):
     want = tickets.purchase_event_ticket(feed.df(spark, "ticket"), feed.df(spark, "event"))
     cols = ["ticketid", "eventid", "customerid", "remainingtickets", "confirmationstatus", "tier"]
     assert rows(got, *cols) == rows(want, *cols)
+    alerts = spark.read.parquet(f"{base}/state/alerts")
+    t, e = feed.df(spark, "ticket"), feed.df(spark, "event")
+    want = tickets.alert_near_capacity(t, e).unionByName(tickets.alert_sold_out(t, e))
+    cols = ["eventid", "ticketid", "remainingtickets", "alert"]
+    assert rows(alerts, *cols) == rows(want, *cols)
 
 
 def test_chained_twins_over_micro_batches(spark, feed):

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import prefix_free, sentencepiece, substring
+from . import (hnsw, line_rules, minhash, mixing, pii, preference, prefix_free, sentencepiece, site_lines,
+               substring)
 from .common import table
+from .oracle import ORACLE  # noqa: F401
 
 
 def piece_model() -> str:
@@ -13,23 +16,79 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def held_out(doc_id: str) -> Column:
+    """Rows whose labels are never learnt from."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1
+
+
+def training_labels(labels: DataFrame) -> DataFrame:
+    return labels.filter(~held_out("doc_id")).select("doc_id", "quality")
+
+
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded; token counts and digests."""
     return sentencepiece.encode_texts(table(spark, sf_dir, "documents"), piece_model(), keep=["doc_id"],
                                       outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data: base spans, their digest, and the spans that bootstrapped contexts add."""
+    return pii.annotate(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+def op3_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base quality rules and the verdict of cross-document line frequency."""
+    rows = line_rules.apply_rules(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return rows.select("doc_id", *line_rules.RESULTS)
+
+
+def op4_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores by pairwise ranking, learnt from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranking = preference.train(docs, training_labels(table(spark, sf_dir, "labels")))
+    return preference.score_texts(docs, ranking).select(
+        "doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def op5_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boilerplate lines of each source removed; counts and the digest of the rest."""
+    rows = site_lines.drop_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of 35-word windows that occur anywhere else are removed."""
     return substring.remove_repeats(table(spark, sf_dir, "documents"), width=35, keep=["doc_id"], digest=True)
 
 
+def op7_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every 20th vector."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return hnsw.nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
 def op8_prefix_free(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of 400-byte strings that occur anywhere else are removed."""
     return prefix_free.remove_repeated_strings(table(spark, sf_dir, "documents"), width=400,
                                                keep=["doc_id"], digest=True)
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op6_substring_dedup, op8_prefix_free)}
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's block and place in the mixture of sources."""
+    return mixing.mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of near duplicates at three-word shingles and 0.85."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline's result."""
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
 
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_sentencepiece, op2_pii, op3_line_rules, op4_preference, op5_site_lines, op6_substring_dedup, op7_hnsw,
+    op8_prefix_free, op9_mixing, op10_minhash, pipeline)}

@@ -170,10 +170,8 @@ class _Parts:
 
     def add(self, key: np.ndarray, check: np.ndarray, ids: list[tuple[int, ...]]) -> None:
         if len(self.key) + len(key) > TABLE_PARTS and len(self.key):
-            keep = self.used >= np.partition(self.used, len(self.used) // 2)[len(self.used) // 2]
-            if keep.all():
-                keep[::2] = False
-            self._rebuild(keep)
+            half = np.partition(self.used, len(self.used) // 2)[len(self.used) // 2]
+            self._rebuild((self.used > half) | (self.used == self.clock))
         length = np.fromiter(map(len, ids), np.int64, len(ids))
         start = len(self.ids) + np.cumsum(length) - length
         self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(ids), np.int32)])
@@ -233,6 +231,7 @@ def encode_column(texts: pa.Array, model: MergeModel, table: _Parts):
         check = mix(Rolling(value, BASE_B).slices(start[first], end[first]), 2)
         table.clock += 1
         row = table.find(key, check)
+        table.used[row[row >= 0]] = table.clock
         new = np.flatnonzero(row < 0)
         if len(new):
             raw = data.tobytes()
@@ -245,7 +244,6 @@ def encode_column(texts: pa.Array, model: MergeModel, table: _Parts):
             row = table.find(key, check)
             if (row < 0).any():
                 raise ValueError("two parts of one batch share a hash")
-        table.used[row] = table.clock
         row = row[which]
         length = table.length[row]
         ids = table.ids[ranges(table.start[row], length)]

@@ -7,18 +7,19 @@ Prefix-free parsing: a rolling hash of ``trigger`` bytes marks phrase ends where
 it falls below 1/``period`` of its range. The marks depend on those bytes alone,
 so equal strings are cut at equal places: a string that starts inside a phrase
 is the phrase's suffix up to the next mark (a suffix of the dictionary) followed
-by the parse from there (a suffix of the parse). All strings that start in one
-phrase form a block: they share the parse suffix at its mark, and the block's
-content is the phrase suffix and the parse up to ``width`` bytes after the last
-start. Highly repetitive text has few distinct blocks, however many copies.
+by the parse from there (a suffix of the parse). Strings that start in one phrase
+at about the same distance from its mark form a block: they share a core (phrase
+suffix from the last start, parse up to the end of the first string), and the
+block's content runs from the first start to the end of the last string. Highly
+repetitive text has few distinct blocks, however many copies.
 
 Corpus order is used for one purpose, to bring equal strings together. It is
 taken over (phrase suffix, parse suffix) fingerprints of 128 bits rather than
 over lexicographic ranks: equal prefixes of ``width`` bytes are adjacent in
 either, and ranks would need one family of near copies in one sorted range.
-Steps (``repeats.py``): parse suffixes seen once are passed over, phrases whose
-whole context repeats are settled as one row, and the starts of the remaining
-phrases are compared one by one. Starts with no mark near (low-entropy bytes)
+Steps (``repeats.py``): blocks whose core is seen once are passed over, blocks
+whose whole content repeats are settled as one row, and the starts of the
+remaining blocks are compared one by one. Starts with no mark near (low-entropy bytes)
 are compared directly.
 
 Results: null, empty and short texts lose nothing. Repeated rows are documents
@@ -38,21 +39,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import BASE_A, BASE_B, BYTE_VALUE, Rolling, mix, row_key, text_chunks
-from .repeats import CELLS, ROWS, Cut, repeated_windows
+from .repeats import Cut, repeated_windows
 
 
 @dataclass(frozen=True)
 class Phrases:
     """Strings of ``width`` bytes, in blocks by the phrase they start in.
 
-    ``head``: bytes of the parse suffix that a block's gram covers; a start
+    ``head``: bytes of the parse suffix that every block's gram covers; a start
     whose next mark is further than ``width - head`` bytes away is free.
+    ``steps``: distances from the mark at which a phrase is divided into blocks.
     """
 
     width: int
     trigger: int = 16
     period: int = 48
     head: int = 112
+    steps: tuple[int, ...] = (32, 96)
 
     def cut(self, data: np.ndarray, offsets: np.ndarray) -> Cut:
         out = Cut()
@@ -79,12 +82,16 @@ class Phrases:
         finish = np.argsort(edge_high, kind="stable")
         g_low, g_high, g_doc = edge_low[begin], edge_high[finish], edge_doc[begin]
         gap = g_high > g_low
-        out.at = np.concatenate([low, g_low[gap]])
-        out.size = np.concatenate([high - low + 1, (g_high - g_low)[gap]])
-        out.doc = np.concatenate([doc, g_doc[gap]])
-        out.gram = np.concatenate([mix(out.a.slices(marks, marks + self.head), 14),
-                                   np.zeros(int(gap.sum()), np.uint64)])
-        out.free = np.arange(len(out.at)) >= len(marks)
+        parts = [(g_low[gap], (g_high - g_low)[gap], g_doc[gap], np.zeros(int(gap.sum()), np.uint64))]
+        far = self.width - self.head + 1
+        edges = [0, *[s for s in self.steps if s < far], far]
+        for salt, (near, beyond) in enumerate(zip(edges, edges[1:])):
+            one, last = np.maximum(low, marks - beyond + 1), np.minimum(high, marks - near)
+            some = last >= one
+            core = out.a.slices(marks[some] - near, marks[some] - beyond + 1 + self.width)
+            parts.append((one[some], (last - one + 1)[some], doc[some], mix(core, 80 + salt)))
+        out.at, out.size, out.doc, out.gram = map(np.concatenate, zip(*parts))
+        out.free = np.arange(len(out.at)) < len(parts[0][0])
         return out
 
     def _marks(self, rolled: Rolling, n: int, offsets: np.ndarray) -> np.ndarray:
@@ -98,8 +105,8 @@ class Phrases:
         return at[at + self.trigger <= offsets[doc + 1]]
 
 
-def remove_repeated_strings(df: DataFrame, text: str = "text", width: int = 400, rows: int = ROWS,
-                            cells: int = CELLS, keep: list[str] | None = None, digest: bool = False,
+def remove_repeated_strings(df: DataFrame, text: str = "text", width: int = 400, rows: int = 1,
+                            cells: int = 1 << 28, keep: list[str] | None = None, digest: bool = False,
                             phrases: Phrases | None = None) -> DataFrame:
     """Remove the bytes of repeated strings.
 

@@ -141,6 +141,7 @@ def _blocks(docs: DataFrame, text: str, cutter, bitmaps, cells: int) -> DataFram
 def _window_rows(docs: DataFrame, text: str, cutter) -> DataFrame:
     """Windows of the blocks listed in ``open``: 128-bit content, place, times, whether to report."""
     schema = "h1 long, h2 long, r1 long, r2 long, s int, times int, ask boolean"
+    rest = [c for c in docs.columns if c not in (text, "r1", "r2", "open")]
 
     def run(batches):
         for batch in batches:
@@ -160,7 +161,8 @@ def _window_rows(docs: DataFrame, text: str, cutter) -> DataFrame:
                     pa.array((at - w.first[doc]).astype(np.int32)), pa.array(times.astype(np.int32)),
                     pa.array(times < 2)], names=["h1", "h2", "r1", "r2", "s", "times", "ask"])
 
-    return docs.select(text, "r1", "r2", "open").mapInArrow(run, schema)
+    # all columns are taken, so that Spark reads the shuffle of the final join here too
+    return docs.select(text, "r1", "r2", "open", *rest).mapInArrow(run, schema)
 
 
 def repeated_windows(docs: DataFrame, text: str, cutter, rows: int = ROWS, cells: int = CELLS) -> DataFrame:
@@ -189,8 +191,7 @@ def repeated_windows(docs: DataFrame, text: str, cutter, rows: int = ROWS, cells
     alone = free.select("r1", "r2", "s", "n", F.lit(1).cast("long").alias("c"))
     todo = (single.select("r1", "r2", "s", "n", "c").unionByName(copies).unionByName(alone)
                   .groupBy("r1", "r2").agg(F.collect_list(F.struct("s", "n", F.col("c").cast("int"))).alias("open")))
-    texts = docs.select(text, "r1", "r2")
-    windows = _window_rows(texts.join(todo.hint("shuffle_hash"), ["r1", "r2"]), text, cutter)
+    windows = _window_rows(docs.join(todo.hint("shuffle_hash"), ["r1", "r2"]), text, cutter)
     counts = windows.groupBy("h1", "h2").agg(F.sum("times").alias("c")).filter("c > 1").drop("c")
     equal = (windows.filter("ask").join(counts, ["h1", "h2"])
                     .select("r1", "r2", "s", F.lit(1).alias("n")))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .operators import bottom_n, latest_by_key, materialize, top_n, versions_by_key
 from .plans import alerts, counts, ranking, sql_reports, stateless, suggestions, tickets, venues
 from .sources import Domain
+from .streaming.sinks import keyed_records
 
 # Parameters of the registered reports (fixed values of this data mapping).
 ATTENDANCE_FROM, ATTENDANCE_TO = "2024-02-01", "2024-02-20"
@@ -115,9 +116,25 @@ def versions_by_key_address(d: Domain):
 @query
 def write_keyed(d: Domain):
     """The key/value record form a sink receives (here: listens per customer)."""
-    c = counts.customer_stream_count(d.listen)
-    return c.select(F.col("customerid").cast("string").alias("key"),
-                    F.col("n").cast("string").alias("value"))
+    return keyed_records(counts.customer_stream_count(d.listen), "customerid", "n")
+
+
+@query
+def write_keyed_text(d: Domain):
+    """Keyed records with a text value: each address line under its id."""
+    return keyed_records(stateless.address_stringify(d.address), "id", "address")
+
+
+@query
+def write_keyed_json(d: Domain):
+    """Keyed records with a JSON object: each customer's ranked artists."""
+    return keyed_records(ranking.top_customer_artists(d.listen), "customerid", ["rnk", "artistid", "n"])
+
+
+@query
+def totals_running(d: Domain):
+    """Running totals of customers, listens, events and tickets per day of arrival."""
+    return counts.totals_running(d.customer, d.listen, d.event, d.ticket)
 
 
 # ---- P5, B7, S3, S4, P12 -------------------------------------------------------
@@ -130,8 +147,8 @@ def purchase_event_ticket(d: Domain):
 def purchase_event_ticket_orders(d: Domain):
     """P5 at volume: every order line is a ticket request for its part.
 
-    The order-line tickets come from a shuffle join read twice by the running
-    fold; with ``encore.materialize=true`` (cluster) they are written once.
+    The order-line tickets come from a shuffle join that the running fold reads
+    twice, so they are written once to the shared folder.
     """
     o = tickets.ticket_outcomes(materialize(d.order_ticket, "order-ticket"), d.event_catalog)
     return o.select(F.col("ticketid.l_orderkey").alias("l_orderkey"),
@@ -170,6 +187,18 @@ def least_streaming_ticket_holders(d: Domain):
     return ranking.least_streaming_ticket_holders(d.ticket, d.event, d.listen)
 
 
+@query
+def top_customer_artists_changelog(d: Domain):
+    """P6 after every listen: one row per (listen, rank)."""
+    return ranking.top_customer_artists_changelog(d.listen)
+
+
+@query
+def least_streaming_ticket_holders_changelog(d: Domain):
+    """P7 after every counted listen: one row per (listen, rank)."""
+    return ranking.least_streaming_ticket_holders_changelog(d.ticket, d.event, d.listen)
+
+
 @query
 def global_top_artists(d: Domain):
     return ranking.global_top_artists(d.listen)

@@ -8,20 +8,13 @@ from pyspark.sql import DataFrame
 
 from ..session import scratch_path
 
-MATERIALIZE = "encore.materialize"      # "true": write shuffle-join products used twice
-
-
-def materialize(df: DataFrame, name: str, force: bool = False) -> DataFrame:
+def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back.
 
     Cuts the lineage (a lost executor re-reads files instead of recomputing the
-    joins) and lets several consumers share one computation. Off unless
-    ``encore.materialize`` is ``true`` or ``force``: on test-sized data the
-    write costs more than the recomputation it saves.
+    joins) and lets several consumers share one computation.
     """
     spark = df.sparkSession
-    if not (force or spark.conf.get(MATERIALIZE, "false").lower() == "true"):
-        return df
     path = scratch_path(spark, f"table-{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -31,6 +31,52 @@ def bottom_n(df: DataFrame, partition: Sequence[str], by: str, n: int,
     return rank_within(df, partition, [F.col(by).asc(), *then], n, rank_col)
 
 
+def _nodes(begin: Column, end: Column) -> Column:
+    """Dyadic pieces ``(level, node)`` of the index range ``[begin, end)``, two per level at most."""
+    def level(l):
+        size = F.call_function("shiftleft", F.lit(1).cast("bigint"), l)
+        s, e = _shifted(begin + size - 1, l), _shifted(end, l)
+        odd_s, odd_e = s % 2 == 1, e % 2 == 1
+        first = F.when((s < e) & odd_s, s)
+        last = F.when(odd_e & (e - 1 >= s + F.when(odd_s, 1).otherwise(0)), e - 1)
+        return F.transform(F.array_compact(F.array(first, last)),
+                           lambda node: F.struct(l.alias("level"), node.alias("node")))
+    return F.flatten(F.transform(_levels(end - begin), level))
+
+
+def _shifted(index: Column, level: Column) -> Column:
+    return F.call_function("shiftright", index, level)
+
+
+def _levels(size: Column) -> Column:
+    return F.sequence(F.lit(0), F.floor(F.log2(F.greatest(size, F.lit(1)).cast("double"))).cast("int") + 1)
+
+
+def ranked_at(spans: DataFrame, probes: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int,
+              begin: str = "begin", end: str = "end", at: str = "at", rank_col: str = "rnk") -> DataFrame:
+    """For every probe, the first ``n`` spans of its key that hold its index.
+
+    A span ``[begin, end)`` is an item's value between two of its changes,
+    numbered like the probes (0, 1, ... per key). ``order`` uses span columns
+    and must be total. Spans are cut into dyadic pieces; per piece only the
+    first ``n`` matter, and a probe meets the pieces that hold it by equality
+    on (key, level, node): rows grow by the logarithm of a key's length, no
+    probe is compared with all spans of its key, and a hot key spreads over
+    its pieces. Returns the probe columns, the span columns and ``rnk``.
+    """
+    payload = [c for c in spans.columns if c not in (*keys, begin, end)]
+    pieces = (spans.select(*keys, *payload, F.explode(_nodes(F.col(begin), F.col(end))).alias("_p"))
+                   .select(*keys, *payload, "_p.level", "_p.node"))
+    best = rank_within(pieces, [*keys, "level", "node"], order, n, "_r").drop("_r")
+    longest = probes.groupBy(*keys).agg((F.max(at) + 1).alias("_size"))
+    held = (probes.withColumn("_id", F.struct(*probes.columns)).join(longest, list(keys))
+                  .withColumn("level", F.explode(_levels(F.col("_size"))))
+                  .withColumn("node", _shifted(F.col(at), F.col("level"))))
+    found = held.join(best, [*keys, "level", "node"])
+    return (rank_within(found, [*keys, at, "_id"], order, n, rank_col)
+            .select(*probes.columns, *[c for c in payload if c not in probes.columns], rank_col))
+
+
 def nest_ranked(df: DataFrame, partition: Sequence[str], rank_col: str,
                 fields: Sequence[str], out: str) -> DataFrame:
     """Turn ranked rows into one ordered ``array<struct<fields>>`` per key.

@@ -40,13 +40,13 @@ def slice_of(ts: Column, seconds: int) -> Column:
 
 
 def _prefix(slices: DataFrame, keys: Sequence[str], totals: Sequence[str],
-            firsts: Sequence[str]) -> DataFrame:
+            firsts: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
     """Per (key, slice): sums of ``totals`` over earlier slices, ``firsts`` of the first slice."""
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing)
     return slices.select(
-        *keys, SLICE,
+        *keys, SLICE, *extra,
         *[F.coalesce(F.sum(t).over(before), F.lit(0)).alias(f"_before{t}") for t in totals],
         *[F.first(f).over(whole).alias(f"_head{f}") for f in firsts],
     )
@@ -54,7 +54,7 @@ def _prefix(slices: DataFrame, keys: Sequence[str], totals: Sequence[str],
 
 def running(df: DataFrame, keys: Sequence[str], *, ts: str = "ts", tiebreak: str = "id",
             counts: Sequence[str] = (), sums: dict[str, str] | None = None,
-            firsts: dict[str, str] | None = None,
+            firsts: dict[str, str] | None = None, since: DataFrame | None = None,
             per_key: Callable[[DataFrame], DataFrame] | None = None,
             slice_seconds: int | None = None) -> DataFrame:
     """Add running aggregates per key in ``(ts, tiebreak)`` order.
@@ -64,6 +64,9 @@ def running(df: DataFrame, keys: Sequence[str], *, ts: str = "ts", tiebreak: str
     ``firsts``: ``{out: col}`` value of ``col`` on the key's first row. Its
     ``min_by`` over ``(ts, id)`` has a struct buffer, which Spark aggregates by
     sorting; meant for small inputs (one row per event), not record streams.
+    ``since``: small table ``(keys..., since)``; rows before their key's time,
+    and rows of keys without one, are dropped. It meets the slices, not the
+    rows: only rows of the slice in which a key begins are looked at one by one.
     ``per_key``: gets the small table ``(keys..., first_ts)`` (time of each
     key's first row, from hash aggregates) and returns ``(keys..., extra...)``;
     the extra columns reach every row through the slice join, so per-key
@@ -74,18 +77,31 @@ def running(df: DataFrame, keys: Sequence[str], *, ts: str = "ts", tiebreak: str
     d = df.withColumn(SLICE, slice_of(F.col(ts), seconds))
     order = F.struct(F.col(ts), F.col(tiebreak))
 
-    slices = d.groupBy(*keys, SLICE).agg(
-        F.count(F.lit(1)).alias("_tot_c"),
-        F.min(ts).alias("_min_ts"),
-        *[F.sum(c).alias(f"_tot_{o}") for o, c in sums.items()],
-        *[F.min_by(c, order).alias(f"_fst_{o}") for o, c in firsts.items()])
+    def totals_of(rows):
+        return rows.groupBy(*keys, SLICE).agg(
+            F.count(F.lit(1)).alias("_tot_c"),
+            F.min(ts).alias("_min_ts"),
+            *[F.sum(c).alias(f"_tot_{o}") for o, c in sums.items()],
+            *[F.min_by(c, order).alias(f"_fst_{o}") for o, c in firsts.items()])
+
+    slices = totals_of(d)
+    if since is not None:
+        begun = slices.join(since.select(*keys, F.col("since").alias("_since")), list(keys))
+        mixed = (slice_of(F.col("_since"), seconds) == F.col(SLICE)) & (F.col("_min_ts") < F.col("_since"))
+        split = (d.join(begun.filter(mixed).select(*keys, SLICE, "_since"), [*keys, SLICE])
+                  .filter(F.col(ts) >= F.col("_since")))
+        slices = (begun.filter(F.col("_min_ts") >= F.col("_since"))
+                       .unionByName(totals_of(split).join(
+                           since.select(*keys, F.col("since").alias("_since")), list(keys))))
     totals = ["_tot_c", *[f"_tot_{o}" for o in sums]]
     heads = [f"_fst_{o}" for o in firsts]
-    pre = _prefix(slices, keys, totals, heads)
+    pre = _prefix(slices, keys, totals, heads, ["_since"] if since is not None else [])
     if per_key is not None:
         first = slices.groupBy(*keys).agg(F.min("_min_ts").alias("first_ts"))
         pre = pre.join(per_key(first), list(keys))
     d = d.join(pre, [*keys, SLICE])
+    if since is not None:
+        d = d.filter(F.col(ts) >= F.col("_since")).drop("_since")
 
     upto = (Window.partitionBy(*keys, SLICE).orderBy(F.col(ts), F.col(tiebreak))
                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -100,59 +116,43 @@ def running(df: DataFrame, keys: Sequence[str], *, ts: str = "ts", tiebreak: str
     return d.withColumns(out).drop(SLICE, *helper)
 
 
-def slice_intervals(slices: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Each non-empty slice of a key with the next non-empty one (``_next``, null = last).
+def asof_sum(probes: DataFrame, rows: DataFrame, keys: Sequence[str], *, value: Column | None = None,
+             out: str = "n", probe_ts: str = "ts", row_ts: str = "ts",
+             slice_seconds: int | None = None) -> DataFrame:
+    """For every probe, the sum of ``value`` (default: the count) of its key's
+    ``rows`` with ``ts <= probe_ts``.
 
-    A probe in slice ``p`` reads the entry with ``SLICE < p <= _next`` — the
-    latest non-empty slice before its own — with one range-checked equi-join on
-    the key; each probe checks at most the key's slice entries, never its rows.
-    """
-    w = Window.partitionBy(*keys).orderBy(SLICE)
-    return slices.withColumn("_next", F.lead(SLICE).over(w))
-
-
-def before_slice(probe_slice: Column, entry_slice: Column, entry_next: Column) -> Column:
-    return (entry_slice < probe_slice) & (entry_next.isNull() | (probe_slice <= entry_next))
-
-
-def asof_count(probes: DataFrame, rows: DataFrame, keys: Sequence[str], *,
-               out: str = "n", probe_ts: str = "ts", row_ts: str = "ts",
-               slice_seconds: int | None = None) -> DataFrame:
-    """For every probe, how many ``rows`` of its key have ``ts <= probe_ts``.
-
-    A left temporal lookup into a running count, without a running count per
-    row. Rows are reduced to counts per ``(key, slice)`` (partial aggregate)
-    with a cumulative count over each key's slices; probes and rows are
-    shuffled together once by ``(key, slice)`` where a window counts the rows
-    up to each probe (rows first at equal time: the table side is seen first);
-    earlier slices come from the cumulative count of the latest non-empty slice
-    before the probe's. Probes without rows get 0; null keys never count.
+    A left temporal lookup into a running sum, without a running sum per row.
+    Probes and rows are shuffled together once by ``(key, slice)``, where a
+    window sums the rows up to each probe (rows first at equal time: the table
+    side is seen first). What came before the slice is a prefix over one row
+    per (key, slice), summed before its shuffle and joined back by equality on
+    (key, slice). Probes without rows get 0; null keys never count.
     """
     seconds = slice_seconds or conf_int(probes.sparkSession, SLICE_SECONDS)
     pcols = probes.columns
-    r = rows.select(*keys, F.col(row_ts).alias("_t"))
+    value = F.lit(1) if value is None else value
+    r = rows.select(*keys, F.col(row_ts).alias("_t"), F.lit(0).alias("_side"),
+                    value.cast("bigint").alias("_w"))
     for k in keys:
         r = r.filter(F.col(k).isNotNull())
-    r = r.withColumn(SLICE, slice_of(F.col("_t"), seconds))
-
-    cnt = r.groupBy(*keys, SLICE).agg(F.count(F.lit(1)).alias("_c"))
-    upto_slice = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, 0)
-    cum = slice_intervals(cnt.withColumn("_cum", F.sum("_c").over(upto_slice)), keys)
-    cum = cum.select(*[F.col(k).alias(f"_ck{i}") for i, k in enumerate(keys)],
-                     F.col(SLICE).alias("_cs"), "_next", "_cum")
-
     p = probes.select(*keys, F.col(probe_ts).alias("_t"), F.lit(1).alias("_side"),
-                      F.struct(*pcols).alias("_p"))
-    u = (p.withColumn(SLICE, slice_of(F.col("_t"), seconds))
-          .unionByName(r.select(*keys, "_t", F.lit(0).alias("_side"),
-                                F.lit(None).cast(p.schema["_p"].dataType).alias("_p"), SLICE)))
+                      F.lit(0).cast("bigint").alias("_w"), F.struct(*pcols).alias("_p"))
+    u = p.unionByName(r.withColumn("_p", F.lit(None).cast(p.schema["_p"].dataType)))
+    u = u.withColumn(SLICE, slice_of(F.col("_t"), seconds))
+
+    earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    before = (u.groupBy(*keys, SLICE).agg(F.sum("_w").alias("_w"))
+               .select(*keys, SLICE, F.coalesce(F.sum("_w").over(earlier), F.lit(0)).alias("_before")))
     upto = (Window.partitionBy(*keys, SLICE).orderBy("_t", "_side")
                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    probed = (u.withColumn("_in", F.sum(1 - F.col("_side")).over(upto))
-               .filter(F.col("_side") == 1))
-
-    cond = before_slice(F.col(SLICE), F.col("_cs"), F.col("_next"))
-    for i, k in enumerate(keys):
-        cond = cond & (probed[k] == F.col(f"_ck{i}"))
-    res = probed.join(cum, cond, "left")
-    return res.select("_p.*", (F.coalesce(F.col("_cum"), F.lit(0)) + F.col("_in")).cast("bigint").alias(out))
+    probed = (u.withColumn("_in", F.sum("_w").over(upto)).filter(F.col("_side") == 1)
+               .join(before, [*keys, SLICE], "left"))
+    # a probe with a null key meets nothing and keeps 0
+    return probed.select("_p.*", F.when(F.col("_before").isNull(), F.lit(0))
+                         .otherwise(F.col("_before") + F.col("_in")).cast("bigint").alias(out))
+
+
+def asof_count(probes: DataFrame, rows: DataFrame, keys: Sequence[str], **settings) -> DataFrame:
+    """For every probe, how many ``rows`` of its key have ``ts <= probe_ts``."""
+    return asof_sum(probes, rows, keys, **settings)

@@ -21,11 +21,10 @@ Two plans, same result:
 ``strategy="sliced"`` (default) — for tables that grow with the data (customer
   addresses). Stream rows and versions are shuffled together once by
   ``(key, time slice)``; a window there carries the last version seen to every
-  stream row. The version current at the start of a slice is the last version
-  of the latest earlier non-empty slice: a partial aggregate over the versions,
-  looked up with a key + slice-range join whose right side has one row per
-  non-empty slice. Work is a sort, never rows x versions, and a hot key is
-  spread over its slices.
+  stream row. The version current at the start of a slice comes from one row
+  per (key, slice): the slice's last version, carried over the key's slices by
+  a window on that small table and joined back by equality on (key, slice),
+  the partitioning the rows already have. A hot key is spread over its slices.
 """
 
 from __future__ import annotations
@@ -35,17 +34,29 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import BROADCAST_MAX_ROWS, conf_int
-
 VALID_TO = "valid_to"
 
 
+def arrival(ts: str = "ts", tiebreak: str = "id") -> Column:
+    """``(ts, bigint id)`` as one fixed-width number of the same order.
+
+    Spark keeps it in a hash-aggregate buffer, where a struct of the two would
+    make the aggregate sort its input.
+    """
+    wide = "decimal(38,0)"
+    micros = F.unix_micros(F.col(ts).cast("timestamp")).cast("decimal(18,0)")
+    return (micros * F.lit("20000000000000000000").cast("decimal(20,0)")
+            + F.col(tiebreak).cast("decimal(20,0)")).cast(wide)
+
+
 def latest_by_key(df: DataFrame, keys: Sequence[str], ts: str = "ts",
                   tiebreak: str = "id") -> DataFrame:
     """Current value of every key: the row with the greatest ``(ts, tiebreak)``.
 
     ``max_by`` is a partial aggregate, so a hot key is reduced map-side before
-    the shuffle and never gathered into one task.
+    the shuffle and never gathered into one task. Its buffer holds the payload,
+    so Spark sorts each task's rows by key; meant for dimension tables. Record
+    streams use ``arrival`` with a hash aggregate.
     """
     rest = [c for c in df.columns if c not in keys]
     return (df.groupBy(*keys)
@@ -66,19 +77,11 @@ def versions_by_key(df: DataFrame, keys: Sequence[str], ts: str = "ts",
     return clean.withColumn(VALID_TO, F.lead(ts).over(w))
 
 
-def _broadcastable(df: DataFrame) -> bool:
-    limit = conf_int(df.sparkSession, BROADCAST_MAX_ROWS)
-    if limit <= 0:
-        return False
-    # Counting stops being cheap only for big tables, which we then shuffle.
-    return df.limit(limit + 1).count() <= limit
-
-
 def temporal_join(left: DataFrame, table: DataFrame, on: dict[str, str] | Sequence[str],
                   *, left_ts: str = "ts", table_ts: str = "ts", tiebreak: str = "id",
                   payload: Sequence[str] | dict[str, str] | None = None,
                   how: str = "inner", strategy: str = "sliced",
-                  broadcast: bool | None = None, slice_seconds: int | None = None) -> DataFrame:
+                  slice_seconds: int | None = None) -> DataFrame:
     """Join every ``left`` row to the ``table`` version current at ``left_ts``.
 
     ``on`` maps left columns to table key columns (a list means equal names).
@@ -87,9 +90,7 @@ def temporal_join(left: DataFrame, table: DataFrame, on: dict[str, str] | Sequen
     ``how`` is ``inner`` (rows without a version are dropped) or ``left``.
     ``strategy``: ``sliced`` (default, any table size) or ``interval``
     (dimension tables; see the module doc).
-    ``broadcast`` (interval only): None = Spark decides by its size checks;
-    True = broadcast if the counted row count is under
-    ``encore.broadcast.maxRows``; False = never.
+    Whether an interval table is broadcast is left to Spark's size checks.
     """
     if how not in ("inner", "left"):
         raise ValueError("temporal_join supports inner and left")
@@ -100,13 +101,13 @@ def temporal_join(left: DataFrame, table: DataFrame, on: dict[str, str] | Sequen
     elif not isinstance(payload, dict):
         payload = {c: c for c in payload}
     if strategy == "interval":
-        return _interval_join(left, table, pairs, left_ts, table_ts, tiebreak, payload, how, broadcast)
+        return _interval_join(left, table, pairs, left_ts, table_ts, tiebreak, payload, how)
     if strategy == "sliced":
         return _sliced_join(left, table, pairs, left_ts, table_ts, tiebreak, payload, how, slice_seconds)
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
-def _interval_join(left, table, pairs, left_ts, table_ts, tiebreak, payload, how, broadcast):
+def _interval_join(left, table, pairs, left_ts, table_ts, tiebreak, payload, how):
     rkeys = [r for _, r in pairs]
     needed = list(dict.fromkeys([*rkeys, table_ts, tiebreak, *payload.keys()]))
     iv = versions_by_key(table.select(*needed), rkeys, table_ts, tiebreak)
@@ -115,9 +116,6 @@ def _interval_join(left, table, pairs, left_ts, table_ts, tiebreak, payload, how
         F.col(table_ts).alias("_tfrom"), F.col(VALID_TO).alias("_tto"),
         *[F.col(src).alias(dst) for src, dst in payload.items()],
     )
-    if broadcast is True and _broadcastable(iv):
-        iv = F.broadcast(iv)
-
     t = F.col(left_ts)
     cond: Column = (F.col("_tfrom") <= t) & (F.col("_tto").isNull() | (t < F.col("_tto")))
     for i, (lk, _) in enumerate(pairs):
@@ -127,8 +125,8 @@ def _interval_join(left, table, pairs, left_ts, table_ts, tiebreak, payload, how
 
 
 def _sliced_join(left, table, pairs, left_ts, table_ts, tiebreak, payload, how, slice_seconds):
-    from ..session import SLICE_SECONDS
-    from .running import SLICE, before_slice, slice_intervals, slice_of
+    from ..session import SLICE_SECONDS, conf_int
+    from .running import SLICE, slice_of
     seconds = slice_seconds or conf_int(left.sparkSession, SLICE_SECONDS)
     keys = [f"_k{i}" for i in range(len(pairs))]
     lcols = left.columns
@@ -144,14 +142,6 @@ def _sliced_join(left, table, pairs, left_ts, table_ts, tiebreak, payload, how,
     for k in keys:
         V = V.filter(F.col(k).isNotNull())
     V = V.withColumn(SLICE, slice_of(F.col("_t"), seconds))
-
-    # last version of every non-empty slice (partial aggregate over the versions)
-    vlast = V.groupBy(*keys, SLICE).agg(F.max_by("_v", F.struct("_t", "_tb")).alias("_end"))
-    carry = slice_intervals(vlast, keys).select(
-        *[F.col(k).alias(f"_ck{i}") for i, k in enumerate(keys)],
-        F.col(SLICE).alias("_cs"), "_next", F.col("_end").alias("_carry"))
-
-    # stream rows and versions meet once, by (key, slice)
     L = left.filter(has_key).select(
         *[F.col(lk).alias(k) for (lk, _), k in zip(pairs, keys)],
         F.col(left_ts).alias("_t"), F.lit(1).alias("_side"),
@@ -159,15 +149,19 @@ def _sliced_join(left, table, pairs, left_ts, table_ts, tiebreak, payload, how,
         F.lit(None).cast(V.schema["_v"].dataType).alias("_v"), F.struct(*lcols).alias("_l"))
     L = L.withColumn(SLICE, slice_of(F.col("_t"), seconds))
     V = V.withColumn("_l", F.lit(None).cast(L.schema["_l"].dataType))
-    upto = (Window.partitionBy(*keys, SLICE).orderBy("_t", "_side", "_tb")
-                  .rowsBetween(Window.unboundedPreceding, 0))
-    seen = (L.unionByName(V).withColumn("_cur", F.last("_v", ignorenulls=True).over(upto))
-             .filter(F.col("_side") == 1))
-
-    cond = before_slice(F.col(SLICE), F.col("_cs"), F.col("_next"))
-    for i, k in enumerate(keys):
-        cond = cond & (seen[k] == F.col(f"_ck{i}"))
-    rows = seen.join(carry, cond, "left").select("_l", F.coalesce("_cur", "_carry").alias("_v"))
+
+    # stream rows and versions meet once, by (key, slice)
+    inside = Window.partitionBy(*keys, SLICE).orderBy("_t", "_side", "_tb")
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    met = L.unionByName(V).withColumn("_cur", F.last("_v", ignorenulls=True).over(upto))
+    # one row per (key, slice): its last version, then the last one before it
+    ends = (met.withColumn("_after", F.lead("_t").over(inside)).filter(F.col("_after").isNull())
+               .select(*keys, SLICE, "_cur"))
+    earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    carry = (ends.withColumn("_carry", F.last("_cur", ignorenulls=True).over(earlier)).drop("_cur")
+                 .filter(F.col("_carry").isNotNull()))
+    rows = (met.filter(F.col("_side") == 1).join(carry, [*keys, SLICE], "left")
+               .select("_l", F.coalesce("_cur", "_carry").alias("_v")))
     if how == "inner":
         rows = rows.filter(F.col("_v").isNotNull())
     out = rows.select("_l.*", *[F.col(f"_v.{dst}").alias(dst) for dst in payload.values()])

@@ -274,30 +274,26 @@ ORACLE: dict[str, str] = {
         FROM event_counts
         WINDOW w AS (PARTITION BY artistid, state ORDER BY ts, id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""),
     "out_of_state_tickets_by_event": _q("""
-        SELECT r.eventid, COUNT(*) AS num_out_of_state_tickets
-        FROM (
-          SELECT t.customerid, t.eventid
-          FROM ticket t
-          JOIN address ac ON ac.customerid = t.customerid
-          JOIN event e ON e.id = t.eventid
-          JOIN venue v ON e.venueid = v.id
-          JOIN address av ON av.id = v.addressid
-          WHERE av.state != ac.state) AS r
-        GROUP BY r.eventid
-        ORDER BY num_out_of_state_tickets DESC"""),
+        WITH home AS (
+          SELECT customerid, state FROM address WHERE customerid IS NOT NULL),
+        hall AS (
+          SELECT event.id AS eventid, place.state
+          FROM event, venue, address AS place
+          WHERE venue.id = event.venueid AND place.id = venue.addressid)
+        SELECT hall.eventid, count(*) AS num_out_of_state_tickets
+        FROM ticket JOIN hall USING (eventid) JOIN home USING (customerid)
+        WHERE home.state <> hall.state
+        GROUP BY hall.eventid"""),
     "high_attendance_events_by_state": _q("""
-        SELECT x.state, COUNT(*) AS num_high_attendance_events
-        FROM (
-          SELECT a.state, e.capacity, COUNT(*) AS high_attendance_events
-          FROM event e
-          JOIN ticket t ON e.id = t.eventid
-          JOIN venue v ON e.venueid = v.id
-          JOIN address a ON v.addressid = a.id
-          WHERE strptime(e.eventdate, '%Y-%m-%d') > strptime('2024-02-01', '%Y-%m-%d')
-            AND strptime(e.eventdate, '%Y-%m-%d') < strptime('2024-02-20', '%Y-%m-%d')
-          GROUP BY e.id, e.capacity, a.state, e.eventdate
-          HAVING COUNT(t.id) > 0.80 * e.capacity) AS x
-        GROUP BY x.state"""),
+        WITH sold AS (SELECT eventid, count(id) AS tickets FROM ticket GROUP BY eventid)
+        SELECT place.state, count(*) AS num_high_attendance_events
+        FROM sold
+        JOIN event ON event.id = sold.eventid
+        JOIN venue AS hall ON hall.id = event.venueid
+        JOIN address AS place ON place.id = hall.addressid
+        WHERE CAST(eventdate AS DATE) BETWEEN DATE '2024-02-02' AND DATE '2024-02-19'
+          AND tickets > 0.80 * capacity
+        GROUP BY place.state"""),
     "venue_most_events": _q("""
         SELECT venueid, count(*) AS num_events FROM event WHERE venueid IS NOT NULL
         GROUP BY venueid ORDER BY num_events DESC, venueid LIMIT 1"""),
@@ -306,10 +302,15 @@ ORACLE: dict[str, str] = {
         GROUP BY ev_venueid ORDER BY num_customers DESC, venueid LIMIT 1"""),
     "tickets_by_zip": _q("SELECT zip5, count(*) AS num_tickets FROM tix_addr GROUP BY zip5"),
     "alert_popular_event_in_zip": _q("""
-        SELECT eventid, zip5, count(DISTINCT customerid) AS num_customers
-        FROM tix_addr
-        WHERE eventid IN (SELECT eventid FROM outcome2 WHERE rem >= 0 AND pct <= 10.0)
-        GROUP BY eventid, zip5 HAVING count(DISTINCT customerid) >= 2"""),
+        WITH buyer AS (
+          SELECT DISTINCT eventid, zip5, customerid FROM tix_addr
+          WHERE eventid IN (SELECT eventid FROM outcome2 WHERE rem >= 0 AND pct <= 10.0)),
+        lives AS (
+          SELECT customerid, arg_max(zip5, (ts, id)) AS zip5 FROM caddress
+          WHERE customerid IS NOT NULL GROUP BY customerid)
+        SELECT b.eventid, lives.zip5, lives.customerid, count(*) AS num_customers
+        FROM lives JOIN buyer b ON b.zip5 = lives.zip5 AND b.customerid <> lives.customerid
+        GROUP BY b.eventid, lives.zip5, lives.customerid"""),
     "alert_top_streamers_of_new_event": _q("""
         SELECT eventid, artistid, rnk, customerid, n FROM (
           SELECT e.id AS eventid, e.artistid, l.customerid, count(*) AS n,
@@ -328,32 +329,84 @@ ORACLE: dict[str, str] = {
           WHERE rnk <= 3) t
         LEFT JOIN customer c ON c.c_custkey = t.customerid"""),
     "suggest_event_by_genre": _q("""
-        WITH g AS (
-          SELECT customerid, genre FROM (
-            SELECT customerid, genre, row_number() OVER (PARTITION BY customerid ORDER BY n DESC, last_ts, last_id) AS rnk
-            FROM (SELECT l.customerid, a.genre, count(*) AS n, max(l.ts) AS last_ts, arg_max(l.id, (l.ts, l.id)) AS last_id
-                  FROM listen l JOIN artist a ON a.id = l.artistid GROUP BY l.customerid, a.genre))
-          WHERE rnk = 1),
-        best AS (SELECT a.genre, arg_min(e.id, (e.ts, e.id)) AS eventid
-                 FROM event e JOIN artist a ON a.id = e.artistid GROUP BY a.genre)
-        SELECT g.customerid, g.genre, best.eventid FROM g JOIN best ON g.genre = best.genre"""),
+        WITH heard AS (
+          SELECT e.id AS eventid, e.genre AS eventgenre, l.customerid, a.genre, count(*) AS n,
+                 max(l.ts) AS last_ts, arg_max(l.id, (l.ts, l.id)) AS last_id
+          FROM (SELECT event.id, event.ts, artist.genre FROM event JOIN artist ON artist.id = event.artistid) e
+          JOIN listen l ON l.ts <= e.ts JOIN artist a ON a.id = l.artistid
+          WHERE l.customerid IS NOT NULL
+          GROUP BY e.id, e.genre, l.customerid, a.genre),
+        favourite AS (
+          SELECT *, row_number() OVER (PARTITION BY eventid, customerid ORDER BY n DESC, last_ts, last_id) AS rnk
+          FROM heard)
+        SELECT event.id AS eventid, artist.genre, count(f.customerid) AS num_customers
+        FROM event JOIN artist ON artist.id = event.artistid
+        LEFT JOIN (SELECT * FROM favourite WHERE rnk = 1 AND genre = eventgenre) f ON f.eventid = event.id
+        GROUP BY event.id, artist.genre"""),
     "suggest_popular_event_by_genre": _q("""
-        WITH g AS (
-          SELECT customerid, genre FROM (
-            SELECT customerid, genre, row_number() OVER (PARTITION BY customerid ORDER BY n DESC, last_ts, last_id) AS rnk
-            FROM (SELECT l.customerid, a.genre, count(*) AS n, max(l.ts) AS last_ts, arg_max(l.id, (l.ts, l.id)) AS last_id
-                  FROM listen l JOIN artist a ON a.id = l.artistid GROUP BY l.customerid, a.genre))
-          WHERE rnk = 1),
-        best AS (SELECT a.genre, arg_min(e.id, (e.ts, e.id)) AS eventid
-                 FROM event e JOIN artist a ON a.id = e.artistid
-                 WHERE e.id IN (SELECT eventid FROM outcome2 WHERE rem >= 0 AND pct <= 10.0)
-                 GROUP BY a.genre)
-        SELECT g.customerid, g.genre, best.eventid FROM g JOIN best ON g.genre = best.genre"""),
+        WITH heard AS (
+          SELECT e.id AS eventid, e.genre AS eventgenre, l.customerid, a.genre, count(*) AS n,
+                 max(l.ts) AS last_ts, arg_max(l.id, (l.ts, l.id)) AS last_id
+          FROM (SELECT event.id, event.ts, artist.genre FROM event JOIN artist ON artist.id = event.artistid
+                WHERE event.id IN (SELECT eventid FROM outcome2 WHERE rem >= 0 AND pct <= 10.0)) e
+          JOIN listen l ON l.ts <= e.ts JOIN artist a ON a.id = l.artistid
+          WHERE l.customerid IS NOT NULL
+          GROUP BY e.id, e.genre, l.customerid, a.genre),
+        favourite AS (
+          SELECT *, row_number() OVER (PARTITION BY eventid, customerid ORDER BY n DESC, last_ts, last_id) AS rnk
+          FROM heard)
+        SELECT eventid, customerid, genre FROM favourite WHERE rnk = 1 AND genre = eventgenre"""),
 }
 
+ORACLE["top_customer_artists_changelog"] = _q("""
+    WITH heard AS (
+      SELECT id, customerid, artistid, ts,
+             count(*) OVER (PARTITION BY customerid, artistid ORDER BY ts, id ROWS UNBOUNDED PRECEDING) AS n
+      FROM listen WHERE customerid IS NOT NULL),
+    sofar AS (
+      SELECT now.id, now.customerid, past.artistid, max(past.n) AS n, arg_max(past.ts, past.n) AS last_ts,
+             arg_max(past.id, past.n) AS last_id
+      FROM heard now JOIN heard past
+        ON past.customerid = now.customerid AND (past.ts < now.ts OR (past.ts = now.ts AND past.id <= now.id))
+      GROUP BY now.id, now.customerid, past.artistid)
+    SELECT id, customerid, rnk, artistid, n FROM (
+      SELECT *, row_number() OVER (PARTITION BY id ORDER BY n DESC, last_ts, last_id) AS rnk FROM sofar)
+    WHERE rnk <= 3""")
+ORACLE["least_streaming_ticket_holders_changelog"] = _q("""
+    WITH heard AS (
+      SELECT id, customerid, artistid, ts,
+             count(*) OVER (PARTITION BY customerid, artistid ORDER BY ts, id ROWS UNBOUNDED PRECEDING) AS n
+      FROM holder_listens),
+    sofar AS (
+      SELECT now.id, now.artistid, past.customerid, max(past.n) AS n, arg_max(past.ts, past.n) AS last_ts,
+             arg_max(past.id, past.n) AS last_id
+      FROM heard now JOIN heard past
+        ON past.artistid = now.artistid AND (past.ts < now.ts OR (past.ts = now.ts AND past.id <= now.id))
+      GROUP BY now.id, now.artistid, past.customerid)
+    SELECT id, artistid, rnk, customerid, n AS streamamount FROM (
+      SELECT *, row_number() OVER (PARTITION BY id ORDER BY n,
+                  CASE WHEN n = 1 THEN epoch_us(last_ts) ELSE -epoch_us(last_ts) END,
+                  CASE WHEN n = 1 THEN last_id ELSE -last_id END) AS rnk FROM sofar)
+    WHERE rnk <= 2""")
+ORACLE["write_keyed_text"] = "SELECT id AS key, address AS value FROM (" + ORACLE["address_stringify"] + ")"
+ORACLE["write_keyed_json"] = (
+    "SELECT CAST(customerid AS VARCHAR) AS key, printf('{\"rnk\":%d,\"artistid\":%d,\"n\":%d}', rnk, artistid, n) "
+    "AS value FROM (" + ORACLE["top_customer_artists"] + ")")
+ORACLE["totals_running"] = _q("""
+    WITH everything AS (
+      SELECT ts, 'c' AS feed FROM (SELECT TIMESTAMP '1970-01-01 00:00:00' AS ts FROM cust)
+      UNION ALL SELECT ts, 's' FROM listen UNION ALL SELECT ts, 'e' FROM event UNION ALL SELECT ts, 't' FROM ticket),
+    daily AS (
+      SELECT CAST(ts AS DATE) AS day, count(*) FILTER (feed = 'c') AS c, count(*) FILTER (feed = 's') AS s,
+             count(*) FILTER (feed = 'e') AS e, count(*) FILTER (feed = 't') AS t
+      FROM everything GROUP BY 1)
+    SELECT strftime(day, '%Y-%m-%d') AS day, CAST(sum(c) OVER w AS BIGINT) AS total_customers,
+           CAST(sum(s) OVER w AS BIGINT) AS total_streams, CAST(sum(e) OVER w AS BIGINT) AS total_events,
+           CAST(sum(t) OVER w AS BIGINT) AS total_tickets
+    FROM daily WINDOW w AS (ORDER BY day ROWS UNBOUNDED PRECEDING)""")
 ORACLE["high_attendance_events_by_state_sql"] = ORACLE["high_attendance_events_by_state"]
 
-# Streaming twins produce the batch results (addresses: only the streamed customer addresses).
+# Streaming twins produce the batch results.
 for _name in ("purchase_event_ticket", "customer_stream_count_changelog", "customer_stream_count",
               "top_customer_artists",
               "target_customer_filter", "artist_ticket_count", "out_of_state_ticket_holders",
@@ -362,8 +415,5 @@ for _name in ("purchase_event_ticket", "customer_stream_count_changelog", "custo
 ORACLE["stream_purchase_event_ticket_tables"] = ORACLE["purchase_event_ticket"]
 ORACLE["stream_alert_near_capacity"] = ORACLE["alert_near_capacity"]
 ORACLE["stream_alert_sold_out"] = ORACLE["alert_sold_out"]
-ORACLE["stream_address_split_priority"] = _q(_addr_text(
-    "(SELECT * FROM caddress WHERE state IS NOT DISTINCT FROM 'MN')"))
-ORACLE["stream_address_split_default"] = _q(_addr_text(
-    "(SELECT * FROM caddress WHERE state IS DISTINCT FROM 'MN')"))
-
+ORACLE["stream_address_split_priority"] = ORACLE["address_split_priority"]
+ORACLE["stream_address_split_default"] = ORACLE["address_split_default"]

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators import rank_within, temporal_join
+from ..operators import rank_within, ranked_at, temporal_join
 
 TOP_STREAMERS = 3
-BUCKETS = 16                 # customers of an artist are spread over this many tasks
 _MIRROR_US = 2 * 4_102_444_800_000_000   # 2 x 2100-01-01 in microseconds
 
 
@@ -18,66 +16,38 @@ def _mirrored(ts: str):
     return F.timestamp_micros(F.lit(_MIRROR_US) - F.unix_micros(F.col(ts).cast("timestamp")))
 
 
-def _sweep_factory(n: int):
-    def sweep(pdf: pd.DataFrame) -> pd.DataFrame:
-        # rows of one (artist, bucket): cumulative counts (side 0) and event markers (side 1).
-        # Counts only grow, so a customer enters the top n only through its own
-        # increase: keep the top n as a small sorted list, O(n) per update.
-        pdf = pdf.sort_values(["ets", "eid", "side"], kind="mergesort")
-        top: list[tuple[int, int]] = []          # (-count, customer), best first
-        out = []
-        side, cust, cum, eid = (pdf[c].to_numpy() for c in ("side", "customerid", "cum", "eid"))
-        artist = int(pdf["artistid"].iloc[0]) if len(pdf) else 0
-        for i in range(len(pdf)):
-            if side[i] == 0:
-                c, key = int(cust[i]), (-int(cum[i]), int(cust[i]))
-                top = [t for t in top if t[1] != c]
-                if len(top) < n or key < top[-1]:
-                    top.append(key)
-                    top.sort()
-                    del top[n:]
-            else:
-                e = int(eid[i])
-                out.extend((e, artist, c, -k) for k, c in top)
-        return pd.DataFrame(out, columns=["eventid", "artistid", "customerid", "n"])
-    return sweep
-
-
-def top_streamers_at_events(listen: DataFrame, event: DataFrame, n: int = TOP_STREAMERS,
-                            buckets: int = BUCKETS) -> DataFrame:
+def top_streamers_at_events(listen: DataFrame, event: DataFrame, n: int = TOP_STREAMERS) -> DataFrame:
     """For every event, the artist's ``n`` customers with most listens up to its announcement.
 
     Ties: fewer listens never beat more; equal counts go to the lower customer id.
     1. Each listen is assigned to the artist's next event at or after it (a
        sliced as-of lookup on mirrored time; equal times count for the event).
-    2. Listens are counted per (artist, customer, event) — a partial aggregate —
-       and accumulated per (artist, customer) over the artist's events.
-    3. Customers are spread over ``buckets`` by hash; per (artist, bucket) a
-       small sweep in event order emits the bucket's top ``n`` at each event
-       (its input is bounded by customers x events, not by listens).
-    4. Per event the ``buckets x n`` candidates are ranked once more.
+    2. Listens are counted per (artist, customer, event), a partial aggregate,
+       and accumulated per (artist, customer) over the artist's events. An
+       accumulated count holds from its event to the customer's next one.
+    3. Counts only grow, so who is among an event's top ``n`` was among the
+       ``n`` best of the customers counted anew at the event of their last
+       count: only those ``n`` rows per event go on.
+    4. Every event ranks the counts that hold at it.
     """
     ev = event.select(F.col("id").alias("eid"), "artistid", F.col("ts").alias("ets"))
     l = listen.filter(F.col("customerid").isNotNull() & F.col("artistid").isNotNull()) \
         .select("id", "customerid", "artistid", _mirrored("ts").alias("mts"))
-    versions = ev.select("artistid", F.col("eid"), "ets", _mirrored("ets").alias("mts"),
-                         (-F.col("eid")).alias("neg_eid"))
+    per_artist = Window.partitionBy("artistid").orderBy("ets", "eid")
+    numbered = ev.withColumn("at", (F.row_number().over(per_artist) - 1).cast("bigint"))
+    versions = numbered.select("artistid", "at", _mirrored("ets").alias("mts"), (-F.col("at")).alias("neg_at"))
     assigned = temporal_join(l, versions, ["artistid"], left_ts="mts", table_ts="mts",
-                             tiebreak="neg_eid", payload={"eid": "eid", "ets": "ets"})
-    per = assigned.groupBy("artistid", "customerid", "eid", "ets").agg(F.count(F.lit(1)).alias("c"))
-    upto = (Window.partitionBy("artistid", "customerid").orderBy("ets", "eid")
-                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cum = per.withColumn("cum", F.sum("c").over(upto))
-
-    bucket = (F.abs(F.xxhash64("customerid")) % buckets).cast("int")
-    rows = cum.select("artistid", bucket.alias("bucket"), "eid", "ets", F.lit(0).alias("side"),
-                      "customerid", "cum")
-    marks = ev.select("artistid", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket"),
-                      "eid", "ets", F.lit(1).alias("side"),
-                      F.lit(None).cast("bigint").alias("customerid"), F.lit(None).cast("bigint").alias("cum"))
-    cand = rows.unionByName(marks).groupBy("artistid", "bucket").applyInPandas(
-        _sweep_factory(n), "eventid long, artistid long, customerid long, n long")
-    top = rank_within(cand, ["eventid"], [F.col("n").desc(), F.col("customerid").asc()], n)
+                             tiebreak="neg_at", payload={"at": "at"})
+    per = assigned.groupBy("artistid", "customerid", "at").agg(F.count(F.lit(1)).alias("c"))
+    own = Window.partitionBy("artistid", "customerid").orderBy("at")
+    size = ev.groupBy("artistid").agg(F.count(F.lit(1)).alias("_size"))
+    spans = (per.withColumn("n", F.sum("c").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+                .withColumn("end", F.lead("at").over(own)).join(size, "artistid")
+                .select("artistid", "customerid", "n", F.col("at").alias("begin"),
+                        F.coalesce("end", "_size").alias("end")))
+    order = [F.col("n").desc(), F.col("customerid").asc()]
+    best = rank_within(spans, ["artistid", "begin"], order, n).drop("rnk")
+    top = ranked_at(best, numbered.select("artistid", F.col("eid").alias("eventid"), "at"), ["artistid"], order, n)
     return top.select("eventid", "artistid", "rnk", "customerid", "n")
 
 

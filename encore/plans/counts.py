@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import parse_day
@@ -50,6 +50,24 @@ def totals(customer: DataFrame, listen: DataFrame, event: DataFrame, ticket: Dat
                       cnt("e").alias("total_events"), cnt("t").alias("total_tickets"))
 
 
+def totals_running(customer: DataFrame, listen: DataFrame, event: DataFrame, ticket: DataFrame) -> DataFrame:
+    """Totals so far at the end of every day on which anything arrived.
+
+    Each feed is reduced to one row per day before the prefix sum, so the window
+    sorts days, whatever the number of records.
+    """
+    feeds = {"customers": customer, "streams": listen, "events": event, "tickets": ticket}
+    days = None
+    for name, df in feeds.items():
+        per = df.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("c")).select(
+            "day", *[(F.col("c") if other == name else F.lit(0)).cast("bigint").alias(other) for other in feeds])
+        days = per if days is None else days.unionByName(per)
+    daily = days.groupBy("day").agg(*[F.sum(f).alias(f) for f in feeds])
+    so_far = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    return daily.select(F.date_format("day", "yyyy-MM-dd").alias("day"),
+                        *[F.sum(f).over(so_far).alias(f"total_{f}") for f in feeds])
+
+
 def total_past_events(event: DataFrame, as_of: str) -> DataFrame:
     """Events whose date lies before ``as_of`` (``yyyy-MM-dd``)."""
     past = parse_day(F.col("eventdate")) < parse_day(F.lit(as_of))

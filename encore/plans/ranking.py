@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import nest_ranked, rank_within, temporal_join, temporal_semi_join
+from ..operators import (arrival, nest_ranked, rank_within, ranked_at, running, temporal_join,
+                         temporal_semi_join)
 
 TOP_ARTISTS = 3
 BOTTOM_HOLDERS = 2
@@ -15,7 +16,7 @@ def _counts(df: DataFrame, keys: list[str], n: str) -> DataFrame:
     """Count per key plus the arrival of the key's latest row (its ``last``)."""
     return (df.groupBy(*keys)
               .agg(F.count(F.lit(1)).alias(n),
-                   F.max(F.struct("ts", "id")).alias("last")))
+                   F.max(arrival()).alias("last")))
 
 
 def top_customer_artists(listen: DataFrame, n: int = TOP_ARTISTS) -> DataFrame:
@@ -26,7 +27,7 @@ def top_customer_artists(listen: DataFrame, n: int = TOP_ARTISTS) -> DataFrame:
     """
     c = _counts(listen.filter(F.col("customerid").isNotNull()), ["customerid", "artistid"], "n")
     r = rank_within(c, ["customerid"],
-                    [F.col("n").desc(), F.col("last.ts").asc(), F.col("last.id").asc()], n)
+                    [F.col("n").desc(), F.col("last").asc()], n)
     return r.select("customerid", "rnk", "artistid", "n")
 
 
@@ -59,14 +60,44 @@ def least_streaming_ticket_holders(ticket: DataFrame, event: DataFrame, listen:
     """
     c = _counts(ticket_holder_listens(ticket, event, listen), ["artistid", "customerid"],
                 "streamamount")
-    one = F.col("streamamount") == 1
-    order = [F.col("streamamount").asc(),
-             F.when(one, F.unix_micros("last.ts")).otherwise(-F.unix_micros("last.ts")).asc(),
-             F.when(one, F.col("last.id")).otherwise(-F.col("last.id")).asc()]
-    r = rank_within(c, ["artistid"], order, n)
+    r = rank_within(c, ["artistid"], _least_order(), n)
     return r.select("artistid", "rnk", "customerid", "streamamount")
 
 
+def _least_order():
+    one = F.col("streamamount") == 1
+    return [F.col("streamamount").asc(), F.when(one, F.col("last")).otherwise(-F.col("last")).asc()]
+
+
+def _counts_over_time(rows: DataFrame, key: str, item: str, n: str) -> tuple[DataFrame, DataFrame]:
+    """Rows numbered per key, and each (key, item) count with the row numbers it holds for."""
+    at = running(rows, [key], counts=["at"]).withColumn("at", F.col("at") - 1)
+    at = running(at, [key, item], counts=[n])
+    size = at.groupBy(key).agg((F.max("at") + 1).alias("_size"))
+    after = at.select(key, item, (F.col(n) - 1).alias(n), F.col("at").alias("end"))
+    spans = (at.select(key, item, n, F.col("at").alias("begin"), arrival().alias("last"))
+               .join(after, [key, item, n], "left").join(size, key)
+               .withColumn("end", F.coalesce("end", "_size")).drop("_size"))
+    return at.select("id", key, "at"), spans
+
+
+def top_customer_artists_changelog(listen: DataFrame, n: int = TOP_ARTISTS) -> DataFrame:
+    """The customer's top list after every listen, one row per (listen, rank)."""
+    rows = listen.filter(F.col("customerid").isNotNull()).select("id", "customerid", "artistid", "ts")
+    at, spans = _counts_over_time(rows, "customerid", "artistid", "n")
+    r = ranked_at(spans, at, ["customerid"], [F.col("n").desc(), F.col("last").asc()], n)
+    return r.select("id", "customerid", "rnk", "artistid", "n")
+
+
+def least_streaming_ticket_holders_changelog(ticket: DataFrame, event: DataFrame, listen: DataFrame,
+                                             n: int = BOTTOM_HOLDERS) -> DataFrame:
+    """The artist's least streaming holders after every counted listen, one row per (listen, rank)."""
+    rows = ticket_holder_listens(ticket, event, listen).select("id", "customerid", "artistid", "ts")
+    at, spans = _counts_over_time(rows, "artistid", "customerid", "streamamount")
+    r = ranked_at(spans, at, ["artistid"], _least_order(), n)
+    return r.select("id", "artistid", "rnk", "customerid", "streamamount")
+
+
 def least_streaming_ticket_holders_nested(ticket, event, listen, n: int = BOTTOM_HOLDERS) -> DataFrame:
     return nest_ranked(least_streaming_ticket_holders(ticket, event, listen, n), ["artistid"],
                        "rnk", ["customerid", "streamamount"], "customers")

@@ -1,8 +1,5 @@
-"""The relational report as SQL text (Spark dialect) over the entity views.
+"""A relational report as SQL text (Spark dialect) over the entity views.
 
-``fromDateTime(text, pattern)`` becomes ``to_timestamp(text, pattern)`` and
-``COUNT()`` becomes ``COUNT(*)``. The DataFrame version in ``plans.venues``
-also counts tickets per event before joining; both give the same result.
 The out-of-state report is offered only as a DataFrame plan: written as SQL
 it joins every ticket to every address of its buyer.
 """
@@ -13,20 +10,21 @@ from pyspark.sql import DataFrame
 
 from ..sources import Domain
 
+# Tickets are counted per event before any dimension is joined.
 HIGH_ATTENDANCE_SQL = """
-SELECT x.state, COUNT(*) AS num_high_attendance_events
-FROM (
-  SELECT a.state, e.capacity, COUNT(*) AS high_attendance_events
-  FROM encore_event e
-  JOIN encore_ticket t ON e.id = t.eventid
-  JOIN encore_venue v ON e.venueid = v.id
-  JOIN encore_address a ON v.addressid = a.id
-  WHERE to_timestamp(e.eventdate, 'yyyy-MM-dd') > to_timestamp(:date_from, 'yyyy-MM-dd')
-    AND to_timestamp(e.eventdate, 'yyyy-MM-dd') < to_timestamp(:date_to, 'yyyy-MM-dd')
-  GROUP BY e.id, e.capacity, a.state, e.eventdate
-  HAVING COUNT(t.id) > 0.80 * e.capacity
-) AS x
-GROUP BY x.state
+WITH sold AS (
+  SELECT eventid, count(id) AS tickets FROM encore_ticket GROUP BY eventid),
+dated AS (
+  SELECT id AS eventid, venueid, capacity FROM encore_event
+  WHERE to_date(eventdate) > to_date(:date_from) AND to_date(eventdate) < to_date(:date_to)),
+full_events AS (
+  SELECT dated.eventid, place.state
+  FROM dated
+  JOIN sold USING (eventid)
+  JOIN encore_venue AS hall ON hall.id = dated.venueid
+  JOIN encore_address AS place ON place.id = hall.addressid
+  WHERE sold.tickets > 0.80 * dated.capacity)
+SELECT state, count(eventid) AS num_high_attendance_events FROM full_events GROUP BY state
 """
 
 

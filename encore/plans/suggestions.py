@@ -5,36 +5,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import rank_within
+from ..operators import asof_sum, rank_within, running
 from .tickets import NEAR_CAPACITY_PCT, ticket_outcomes
 
 
-def top_genre(listen: DataFrame, artist: DataFrame) -> DataFrame:
-    """Each customer's most streamed genre (ties: reached first)."""
-    g = listen.join(artist.select(F.col("id").alias("artistid"), "genre"), "artistid")
-    c = (g.groupBy("customerid", "genre")
-          .agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("ts", "id")).alias("last")))
-    r = rank_within(c, ["customerid"], [F.col("n").desc(), F.col("last.ts"), F.col("last.id")], 1)
-    return r.select("customerid", "genre")
+def taste_over_time(listen: DataFrame, artist: DataFrame) -> DataFrame:
+    """When each customer's most streamed genre was which: ``(customerid, genre, ts, until)``.
 
+    Ties go to the genre that reached the count first, so the favourite after a
+    customer's first listen that makes any genre's count ``k`` is that listen's
+    genre, until some genre reaches ``k + 1``. ``until`` is null for the last.
+    """
+    g = listen.filter(F.col("customerid").isNotNull()).join(
+        artist.select(F.col("id").alias("artistid"), "genre"), "artistid").select("id", "customerid", "genre", "ts")
+    counted = running(g, ["customerid", "genre"], counts=["k"])
+    firsts = rank_within(counted, ["customerid", "k"], [F.col("ts"), F.col("id")], 1).drop("rnk", "id")
+    after = firsts.select("customerid", (F.col("k") - 1).alias("k"), F.col("ts").alias("until"))
+    return firsts.join(after, ["customerid", "k"], "left").select("customerid", "genre", "ts", "until")
 
-def _first_event_per_genre(events: DataFrame, artist: DataFrame) -> DataFrame:
-    e = events.join(artist.select(F.col("id").alias("artistid"), "genre"), "artistid")
-    return e.groupBy("genre").agg(F.min_by("id", F.struct("ts", "id")).alias("eventid"))
+
+def _with_genre(event: DataFrame, artist: DataFrame) -> DataFrame:
+    return event.select(F.col("id").alias("eventid"), "artistid", "ts").join(
+        artist.select(F.col("id").alias("artistid"), "genre"), "artistid")
 
 
 def suggest_event_by_genre(listen: DataFrame, artist: DataFrame, event: DataFrame) -> DataFrame:
-    """For every customer, the first announced event in the customer's top genre."""
-    best = _first_event_per_genre(event.select("id", "artistid", "ts"), artist)
-    return top_genre(listen, artist).join(best, "genre").select("customerid", "genre", "eventid")
+    """For every event, how many customers it is suggested to when it is created:
+    those whose most streamed genre is then the event's."""
+    t = taste_over_time(listen, artist)
+    change = t.select("genre", "ts", F.lit(1).alias("w")).unionByName(
+        t.filter(F.col("until").isNotNull()).select("genre", F.col("until").alias("ts"), F.lit(-1).alias("w")))
+    audience = asof_sum(_with_genre(event, artist), change, ["genre"], value=F.col("w"), out="num_customers")
+    return audience.select("eventid", "genre", "num_customers")
 
 
 def suggest_popular_event_by_genre(listen: DataFrame, artist: DataFrame, event: DataFrame,
                                    ticket: DataFrame, pct: float = NEAR_CAPACITY_PCT) -> DataFrame:
-    """As ``suggest_event_by_genre``, among events with at most ``pct`` % left."""
+    """The customers to whom events with at most ``pct`` % left are suggested, by
+    their most streamed genre when the event was created."""
     o = ticket_outcomes(ticket, event)
     popular = (o.filter((F.col("confirmationstatus") == "CONFIRMED") & (F.col("remainingpct") <= pct))
-                .select(F.col("eventid").alias("id")).distinct())
-    ev = event.select("id", "artistid", "ts").join(popular, "id", "left_semi")
-    best = _first_event_per_genre(ev, artist)
-    return top_genre(listen, artist).join(best, "genre").select("customerid", "genre", "eventid")
+                .select("eventid").distinct())
+    ev = _with_genre(event, artist).join(popular, "eventid", "left_semi").withColumnRenamed("ts", "ets")
+    t = taste_over_time(listen, artist)
+    then = (F.col("ts") <= F.col("ets")) & (F.col("until").isNull() | (F.col("ets") < F.col("until")))
+    return t.join(ev, "genre").filter(then).select("eventid", "customerid", "genre")

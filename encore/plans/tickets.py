@@ -16,8 +16,9 @@ NEAR_CAPACITY_PCT = 10.0    # alert once at most 10 % of the capacity is left
 def ticket_outcomes(ticket: DataFrame, event: DataFrame) -> DataFrame:
     """Every ticket request with the event's remaining capacity after it.
 
-    The request is joined to the event as known at request time (requests for
-    an event not yet announced are lost). Per event, requests are numbered in
+    Requests for an event not yet announced are lost: the announcement meets the
+    per-slice counts, not the requests, which are shuffled once, by (event,
+    slice). Per event, requests are numbered in
     arrival order and ``remaining = capacity - number``, where the capacity is
     the one of the event version seen by the event's first request: it depends
     only on that request's time, so it is a lookup of the event at
@@ -26,15 +27,15 @@ def ticket_outcomes(ticket: DataFrame, event: DataFrame) -> DataFrame:
     count, so a sold-out blockbuster does not sit in one task.
     """
     ev = event.select("id", "capacity", "ts")
-    t = temporal_join(ticket.select("id", "customerid", "eventid", "ts"), ev, {"eventid": "id"},
-                      payload={}, strategy="interval")
+    announced = ev.groupBy(F.col("id").alias("eventid")).agg(F.min("ts").alias("since"))
 
     def frozen_capacity(first):   # one row per event: the version seen by its first request
         return temporal_join(first, ev, {"eventid": "id"}, left_ts="first_ts",
                              payload={"capacity": "capacity"}, strategy="interval") \
             .select("eventid", "capacity")
 
-    t = running(t, ["eventid"], counts=["_rn"], per_key=frozen_capacity)
+    t = running(ticket.select("id", "customerid", "eventid", "ts"), ["eventid"], counts=["_rn"],
+                since=announced, per_key=frozen_capacity)
     remaining = (F.col("capacity") - F.col("_rn")).cast("double")
     return t.select(
         F.col("id").alias("ticketid"), "eventid", "customerid", "ts", "capacity",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import parse_day
-from ..operators import asof_count, running, temporal_join
+from ..operators import asof_count, latest_by_key, running, temporal_join
 from .tickets import ticket_outcomes
 
 HIGH_ATTENDANCE_SHARE = 0.80
@@ -59,11 +59,8 @@ def join_ticket_event_venue_address(ticket: DataFrame, event: DataFrame, venue:
                                     address: DataFrame) -> DataFrame:
     eva = join_event_venue_address(event, venue, address).select(
         F.col("id").alias("eid"), "eventstate", "ts", "id")
-    # events joined to venue states: a dimension whose size the planner cannot
-    # estimate (joins multiply estimates), so its rows are counted before broadcasting
     return temporal_join(ticket.select("id", "customerid", "eventid", "ts"), eva,
-                         {"eventid": "eid"}, payload={"eventstate": "eventstate"}, strategy="interval",
-                         broadcast=True)
+                         {"eventid": "eid"}, payload={"eventstate": "eventstate"}, strategy="interval")
 
 
 def join_stream_customer_address(listen: DataFrame, address: DataFrame) -> DataFrame:
@@ -80,7 +77,7 @@ def out_of_state_ticket_holders(ticket: DataFrame, event: DataFrame, venue: Data
     eva = join_event_venue_address(event, venue, address).select(
         F.col("id").alias("eid"), "eventstate", "ts", "id")
     t = temporal_join(ta, eva, {"eventid": "eid"}, payload={"eventstate": "eventstate"},
-                      strategy="interval", broadcast=True)   # counted dimension, see above
+                      strategy="interval")
     return (t.filter(F.col("customerstate") != F.col("eventstate"))
              .select(F.col("id").alias("ticketid"), "eventid", "customerid", "addressid",
                      "customerstate", "eventstate"))
@@ -203,13 +200,22 @@ def tickets_by_zip(ticket: DataFrame, address: DataFrame) -> DataFrame:
 
 def alert_popular_event_in_zip(ticket: DataFrame, event: DataFrame, address: DataFrame,
                                near_pct: float = 10.0) -> DataFrame:
-    """Zip codes where two or more customers bought tickets to a popular event.
+    """Customers told that others in their zip code bought tickets to a popular event.
 
-    Popular = the event reached at most ``near_pct`` % remaining capacity.
+    Popular = the event reached at most ``near_pct`` % remaining capacity. Buyers
+    count in the zip code they lived in when they bought; told is who lives there
+    by the latest address, with the number of other buyers.
     """
     o = ticket_outcomes(ticket, event)
     popular = (o.filter((F.col("confirmationstatus") == "CONFIRMED") & (F.col("remainingpct") <= near_pct))
                 .select("eventid").distinct())
     t = join_ticket_customer_address(ticket, address).join(popular, "eventid", "left_semi")
-    per = t.groupBy("eventid", "zip5").agg(F.count_distinct("customerid").alias("num_customers"))
-    return per.filter(F.col("num_customers") >= 2)
+    buyers = t.select("eventid", "zip5", "customerid").distinct()
+    per = buyers.groupBy("eventid", "zip5").agg(F.count(F.lit(1)).alias("buyers"))
+    lives = latest_by_key(address.filter(F.col("customerid").isNotNull())
+                          .select("customerid", "zip5", "id", "ts"), ["customerid"]).select("customerid", "zip5")
+    told = lives.join(per, "zip5").join(buyers.withColumn("own", F.lit(1)),
+                                        ["eventid", "zip5", "customerid"], "left")
+    return (told.withColumn("num_customers", F.col("buyers") - F.coalesce("own", F.lit(0)))
+                .filter(F.col("num_customers") > 0)
+                .select("eventid", "zip5", "customerid", "num_customers"))

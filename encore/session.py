@@ -34,16 +34,12 @@ CLUSTER_CONF = {
     # slice width of the sliced folds/lookups: with one key holding a third of
     # 100 TB over 30 days, 60 s slices keep that key's slice under ~1 GB
     "encore.slice.seconds": "60",
-    # write shuffle-join products that a fold reads twice (encore.operators.materialize)
-    "encore.materialize": "true",
 }
 
-# encore's own knobs (read with ``conf_int``).
-BROADCAST_MAX_ROWS = "encore.broadcast.maxRows"
+# encore's own knob (read with ``conf_int``).
 SLICE_SECONDS = "encore.slice.seconds"
 
 _DEFAULTS = {
-    BROADCAST_MAX_ROWS: 2_000_000,
     SLICE_SECONDS: 3600,
 }
 
@@ -108,12 +104,12 @@ def conf_int(spark: SparkSession, key: str) -> int:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as is. Only when it is unset (local tests) a scratch folder is created.
+    ``spark.checkpoint.dir`` is used as is. Where it is unset, a folder under
+    ``spark.sql.warehouse.dir`` is, which driver and executors share as well.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="encore-ckpt-")
+        d = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_encore_scratch")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)

@@ -123,9 +123,12 @@ class Domain:
             "ts",
         )
 
+    def _address_feed(self) -> DataFrame:
+        return self.table("supplier")
+
     @cached_property
     def venue_address(self) -> DataFrame:
-        sup = self.table("supplier").select("s_suppkey", "s_nationkey")
+        sup = self._address_feed().select("s_suppkey", "s_nationkey")
         nat = self.table("nation").select("n_nationkey", "n_name")
         j = sup.join(nat, sup.s_nationkey == nat.n_nationkey)
         return j.select(

@@ -68,7 +68,7 @@ def address_split(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]
     base = _folder(spark, "address-split")
     outs = {"priority": (stateless.address_split_priority, f"{base}/priority"),
             "default": (stateless.address_split_default, f"{base}/default")}
-    run_available_now(d.customer_address, checkpoint=f"{base}/checkpoint",
+    run_available_now(d.address, checkpoint=f"{base}/checkpoint",
                       foreach_batch=write_each_batch(outs))
     schema = "id string, state string, address string"
     read = lambda p: spark.read.schema(schema).parquet(f"{p}/batch=*")

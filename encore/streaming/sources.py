@@ -67,3 +67,7 @@ class StreamDomain(Domain):
         if name in STREAMED:
             return stream_table(self.spark, self.root, name, self.max_files_per_trigger)
         return read_table(self.spark, self.root, name)
+
+    def _address_feed(self) -> DataFrame:
+        """Venue addresses arrive as records too (venues themselves are looked up)."""
+        return stream_table(self.spark, self.root, "supplier", self.max_files_per_trigger)

@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -14,7 +15,8 @@ BASE = dt.datetime(2024, 1, 1)
 @pytest.fixture(scope="session")
 def spark():
     from encore.session import build_session
-    s = build_session("local[4]", app="encore-tests", shuffle_partitions=4)
+    s = build_session("local[4]", app="encore-tests", shuffle_partitions=4,
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="encore-tests-")})
     yield s
     s.stop()
 

@@ -52,9 +52,8 @@ def test_asof_count_equal_time_counts_row(spark):
     assert asof_count(probes_df, rows_df, ["k"]).collect()[0].n == 1
 
 
-@pytest.mark.parametrize("strategy,broadcast", [("interval", True), ("interval", False),
-                                               ("sliced", None)])
-def test_temporal_join_semantics(spark, strategy, broadcast):
+@pytest.mark.parametrize("strategy", ["interval", "sliced"])
+def test_temporal_join_semantics(spark, strategy):
     s = lambda x: BASE + dt.timedelta(seconds=x)
     table = spark.createDataFrame(
         [(1, 10, "a", s(10)), (2, 10, "b", s(20)), (3, 10, "c", s(20)), (4, 11, "z", s(5)),
@@ -62,7 +61,7 @@ def test_temporal_join_semantics(spark, strategy, broadcast):
     left = spark.createDataFrame(
         [(100, 10, s(9)), (101, 10, s(10)), (102, 10, s(19)), (103, 10, s(20)), (104, 10, s(99)),
          (105, 11, s(4)), (106, None, s(50)), (107, 12, s(50))], "id long, key long, ts timestamp")
-    kw = dict(payload={"val": "val"}, strategy=strategy, broadcast=broadcast, slice_seconds=7)
+    kw = dict(payload={"val": "val"}, strategy=strategy, slice_seconds=7)
     inner = temporal_join(left, table, ["key"], **kw)
     assert sorted((r.id, r.val) for r in inner.collect()) == [
         (101, "a"), (102, "a"), (103, "c"), (104, "c")]
@@ -102,7 +101,49 @@ def test_latest_by_key(spark):
 def test_materialize_writes_under_checkpoint_dir(spark):
     from encore.operators import materialize
     df = spark.range(5).withColumnRenamed("id", "x")
-    assert materialize(df, "t") is df                       # off by default
-    m = materialize(df, "t", force=True)
+    m = materialize(df, "t")
     assert sorted(r.x for r in m.collect()) == [0, 1, 2, 3, 4]
     assert spark.conf.get("spark.checkpoint.dir") in m.inputFiles()[0]
+
+
+@pytest.mark.parametrize("slice_seconds", [9, 3600])
+def test_running_since_drops_earlier_rows(spark, slice_seconds):
+    df, data = _stream(spark, 300, 4, seed=8, hot=1)
+    start = {0: 400, 1: 1500, 2: 0}                     # key 3 never begins
+    since = spark.createDataFrame([(k, BASE + dt.timedelta(seconds=s)) for k, s in start.items()],
+                                  "k long, since timestamp")
+    out = running(df, ["k"], counts=["n"], since=since, slice_seconds=slice_seconds)
+    exp, n = {}, {}
+    for i, k, _, ts in sorted(data, key=lambda r: (r[3], r[0])):
+        if k in start and ts >= BASE + dt.timedelta(seconds=start[k]):
+            exp[i] = n[k] = n.get(k, 0) + 1
+    assert {r.id: r.n for r in out.collect()} == exp
+
+
+def test_ranked_at_matches_brute_force(spark):
+    from encore.operators import ranked_at
+    rnd = random.Random(4)
+    spans, probes = [], []
+    for k, size in ((0, 1), (1, 37), (2, 64)):
+        for item in range(25):
+            begin = rnd.randrange(size)
+            spans.append((k, item, rnd.randrange(5), begin, rnd.randrange(begin, size + 1)))
+        probes += [(k * 100 + at, k, at) for at in range(size)]
+    s = spark.createDataFrame(spans, "k long, item long, v long, begin long, end long")
+    p = spark.createDataFrame(probes, "id long, k long, at long")
+    got = sorted((r.id, r.rnk, r.item) for r in
+                 ranked_at(s, p, ["k"], [F.col("v").desc(), F.col("item").asc()], 3).collect())
+    exp = []
+    for i, k, at in probes:
+        alive = sorted((-v, item) for sk, item, v, b, e in spans if sk == k and b <= at < e)[:3]
+        exp += [(i, r + 1, item) for r, (_, item) in enumerate(alive)]
+    assert got == sorted(exp)
+
+
+def test_sliced_lookup_has_no_range_condition(spark):
+    """Rows meet the carried version by equality on (key, slice) only."""
+    df, _ = _stream(spark, 50, 3, seed=1)
+    out = temporal_join(df.select("id", "k", "ts"), df.select("k", "id", "v", "ts"), ["k"], payload={"v": "v"})
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins and all("<" not in j and ">" not in j.replace("<=>", "") for j in joins)

@@ -101,3 +101,29 @@ def test_global_top_and_groups(spark, feed):
     assert rows(ranking.global_top_artists(l), "rnk", "artistid", "n") == [(1, 1, 3), (2, 2, 2), (3, 3, 1)]
     assert rows(ranking.customers_by_top_artist(l), "artistid", "customerid", "group_size") == [
         (1, 1, 1), (2, 2, 1), (3, 3, 1)]
+
+
+def test_changelogs_list_every_step(spark, feed):
+    for a in [2, 2, 3, 4, 4, 4, 5, 5, 3, 3]:
+        feed.add("listen", customerid=1, artistid=a)
+    l = feed.df(spark, "listen")
+    log = ranking.top_customer_artists_changelog(l)
+    for r in l.collect():
+        now = ranking.top_customer_artists(l.filter(F.col("ts") <= F.lit(r.ts)))
+        assert rows(log.filter(F.col("id") == r.id), "rnk", "artistid", "n") == rows(now, "rnk", "artistid", "n")
+
+
+def test_least_streaming_changelog(spark, feed):
+    feed.add("event", id=1, artistid=7, venueid=1, capacity=5)
+    for c in (1, 2, 3):
+        feed.add("ticket", customerid=c, eventid=1)
+    for c in (1, 1, 2, 3, 4, 2, 3, 3, 2, 2):
+        feed.add("listen", customerid=c, artistid=7)
+    t, e, l = feed.df(spark, "ticket"), feed.df(spark, "event"), feed.df(spark, "listen")
+    log = ranking.least_streaming_ticket_holders_changelog(t, e, l)
+    counted = l.filter("customerid < 4").collect()
+    assert log.select("id").distinct().count() == len(counted) == 9
+    for r in counted:
+        now = ranking.least_streaming_ticket_holders(t, e, l.filter(F.col("ts") <= F.lit(r.ts)))
+        cols = ["rnk", "customerid", "streamamount"]
+        assert rows(log.filter(F.col("id") == r.id), *cols) == rows(now, *cols)

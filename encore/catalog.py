@@ -387,7 +387,9 @@ _streamed("stream_artist_ticket_count", _lazy("artist_ticket_count"))
 _streamed("stream_out_of_state_ticket_holders", _lazy("out_of_state_ticket_holders"))
 _streamed("stream_instate_streamers_vs_capacity_changelog", _lazy("instate_streamers_vs_capacity_changelog"))
 _streamed("stream_least_streaming_ticket_holders", _lazy("least_streaming_ticket_holders"))
-_streamed("stream_purchase_event_ticket_tables", _lazy("purchase_event_ticket_tables"))
+_streamed("stream_purchase_event_ticket_tables", _lazy("purchase_event_ticket"))
+_streamed("stream_top_customer_artists_changelog", _lazy("top_customer_artists_changelog"))
+_streamed("stream_least_streaming_ticket_holders_changelog", _lazy("least_streaming_ticket_holders_changelog"))
 
 
 def _stream_alert(kind: str) -> Query:

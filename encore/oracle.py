@@ -408,7 +408,7 @@ ORACLE["high_attendance_events_by_state_sql"] = ORACLE["high_attendance_events_b
 
 # Streaming twins produce the batch results.
 for _name in ("purchase_event_ticket", "customer_stream_count_changelog", "customer_stream_count",
-              "top_customer_artists",
+              "top_customer_artists", "top_customer_artists_changelog", "least_streaming_ticket_holders_changelog",
               "target_customer_filter", "artist_ticket_count", "out_of_state_ticket_holders",
               "instate_streamers_vs_capacity_changelog", "least_streaming_ticket_holders"):
     ORACLE[f"stream_{_name}"] = ORACLE[_name]

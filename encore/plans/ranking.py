@@ -60,31 +60,40 @@ def least_streaming_ticket_holders(ticket: DataFrame, event: DataFrame, listen:
     """
     c = _counts(ticket_holder_listens(ticket, event, listen), ["artistid", "customerid"],
                 "streamamount")
-    r = rank_within(c, ["artistid"], _least_order(), n)
+    r = rank_within(c, ["artistid"], least_order(), n)
     return r.select("artistid", "rnk", "customerid", "streamamount")
 
 
-def _least_order():
+def least_order():
     one = F.col("streamamount") == 1
     return [F.col("streamamount").asc(), F.when(one, F.col("last")).otherwise(-F.col("last")).asc()]
 
 
-def _counts_over_time(rows: DataFrame, key: str, item: str, n: str) -> tuple[DataFrame, DataFrame]:
-    """Rows numbered per key, and each (key, item) count with the row numbers it holds for."""
+def counts_over_time(rows: DataFrame, key: str, item: str, n: str,
+                     stored: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows numbered per key, and each (key, item) count with the row numbers it holds for.
+
+    ``stored``: counts (key, item, ``n``, ``last``) that the rows add to; they hold from row 0.
+    """
     at = running(rows, [key], counts=["at"]).withColumn("at", F.col("at") - 1)
-    at = running(at, [key, item], counts=[n])
+    at = running(at, [key, item], counts=["_c"])
+    if stored is not None:
+        at = at.join(stored.select(key, item, F.col(n).alias("_n0")), [key, item], "left")
+    at = at.withColumn(n, F.col("_c") + (F.coalesce("_n0", F.lit(0)) if stored is not None else 0))
     size = at.groupBy(key).agg((F.max("at") + 1).alias("_size"))
     after = at.select(key, item, (F.col(n) - 1).alias(n), F.col("at").alias("end"))
-    spans = (at.select(key, item, n, F.col("at").alias("begin"), arrival().alias("last"))
-               .join(after, [key, item, n], "left").join(size, key)
-               .withColumn("end", F.coalesce("end", "_size")).drop("_size"))
+    spans = at.select(key, item, n, F.col("at").alias("begin"), arrival().alias("last"))
+    if stored is not None:
+        spans = spans.unionByName(stored.select(key, item, n, F.lit(0).cast("bigint").alias("begin"), "last"))
+    spans = (spans.join(size, key).join(after, [key, item, n], "left")
+                  .withColumn("end", F.coalesce("end", "_size")).drop("_size"))
     return at.select("id", key, "at"), spans
 
 
 def top_customer_artists_changelog(listen: DataFrame, n: int = TOP_ARTISTS) -> DataFrame:
     """The customer's top list after every listen, one row per (listen, rank)."""
     rows = listen.filter(F.col("customerid").isNotNull()).select("id", "customerid", "artistid", "ts")
-    at, spans = _counts_over_time(rows, "customerid", "artistid", "n")
+    at, spans = counts_over_time(rows, "customerid", "artistid", "n")
     r = ranked_at(spans, at, ["customerid"], [F.col("n").desc(), F.col("last").asc()], n)
     return r.select("id", "customerid", "rnk", "artistid", "n")
 
@@ -93,8 +102,8 @@ def least_streaming_ticket_holders_changelog(ticket: DataFrame, event: DataFrame
                                              n: int = BOTTOM_HOLDERS) -> DataFrame:
     """The artist's least streaming holders after every counted listen, one row per (listen, rank)."""
     rows = ticket_holder_listens(ticket, event, listen).select("id", "customerid", "artistid", "ts")
-    at, spans = _counts_over_time(rows, "artistid", "customerid", "streamamount")
-    r = ranked_at(spans, at, ["artistid"], _least_order(), n)
+    at, spans = counts_over_time(rows, "artistid", "customerid", "streamamount")
+    r = ranked_at(spans, at, ["artistid"], least_order(), n)
     return r.select("id", "artistid", "rnk", "customerid", "streamamount")
 
 

@@ -1,22 +1,14 @@
 """Structured Streaming twins of the batch pipelines.
 
-Stateless pipelines run unchanged on streaming DataFrames. Pipelines that
-must emit one result per input record keep per-key state with
-``applyInPandasWithState``; rows of a key inside a micro-batch are replayed in
-``(ts, table-first, id)`` order, so a replay gives the batch result.
+Stateless pipelines run unchanged on streaming DataFrames. Pipelines with state
+are ``foreachBatch`` jobs over snapshot tables (``jobs.py``): each micro-batch
+runs the batch plan on its records and the stored state, and writes what the
+next one needs. No Python runs per record.
 """
 
 from .sources import StreamDomain, stream_table
 from .sinks import keyed_records, run_available_now, start_every, write_each_batch
-from .stateful import (stream_artist_ticket_count, stream_customer_stream_count,
-                       stream_customer_stream_count_changelog, stream_instate_streamers_vs_capacity,
-                       stream_out_of_state,
-                       stream_purchase_event_ticket, stream_temporal_join, stream_ticket_addresses,
-                       stream_top_customer_artists)
+from .jobs import Job, final_state, output, run_job
 
 __all__ = ["StreamDomain", "stream_table", "keyed_records", "run_available_now", "start_every",
-           "write_each_batch",
-           "stream_customer_stream_count", "stream_customer_stream_count_changelog",
-           "stream_purchase_event_ticket", "stream_top_customer_artists", "stream_temporal_join",
-           "stream_artist_ticket_count", "stream_ticket_addresses", "stream_out_of_state",
-           "stream_instate_streamers_vs_capacity"]
+           "write_each_batch", "Job", "run_job", "output", "final_state"]

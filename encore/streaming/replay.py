@@ -1,8 +1,9 @@
 """Run a streaming twin over a data folder to completion and read its result.
 
 Used by the registry and the tests: the record tables are consumed as file
-streams (``availableNow``), the sink and checkpoint live in a fresh folder
-under the cluster's shared ``spark.checkpoint.dir``.
+streams (``availableNow``), tables and checkpoint live in a fresh folder under
+the cluster's shared ``spark.checkpoint.dir``. Stateful twins are the jobs of
+``jobs.py``.
 """
 
 from __future__ import annotations
@@ -14,52 +15,30 @@ from pyspark.sql import functions as F
 
 from ..operators import rank_within
 from ..plans import stateless, venues
-from ..plans.ranking import BOTTOM_HOLDERS
+from ..plans.ranking import BOTTOM_HOLDERS, TOP_ARTISTS, least_order
 from ..session import scratch_path
-from .sinks import run_available_now, write_each_batch
 from ..sources import Domain
+from . import jobs
+from .sinks import run_available_now, write_each_batch
 from .sources import StreamDomain
-from .stateful import (stream_artist_ticket_count, stream_customer_stream_count,
-                       stream_customer_stream_count_changelog,
-                       stream_holder_listen_counts, stream_instate_streamers_vs_capacity,
-                       stream_out_of_state,
-                       stream_purchase_event_ticket, stream_temporal_join, stream_ticket_addresses,
-                       stream_top_customer_artists)
 
 
 def _folder(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"stream-{name}-{uuid.uuid4().hex[:12]}")
 
 
-def _run(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def _ran(spark: SparkSession, job: jobs.Job, name: str) -> str:
     base = _folder(spark, name)
-    run_available_now(df, checkpoint=f"{base}/checkpoint", path=f"{base}/out")
-    return spark.read.schema(df.schema).parquet(f"{base}/out")
-
-
-def purchase_event_ticket(spark: SparkSession, root: str) -> DataFrame:
-    d = StreamDomain(spark, root)
-    return _run(spark, stream_purchase_event_ticket(d.ticket, d.event), "tickets")
-
-
-def customer_stream_count_changelog(spark: SparkSession, root: str) -> DataFrame:
-    d = StreamDomain(spark, root)
-    return _run(spark, stream_customer_stream_count_changelog(d.listen), "listen-count")
-
-
-def top_customer_artists(spark: SparkSession, root: str) -> DataFrame:
-    """Final top list per customer: the ranks emitted after the customer's last listen."""
-    d = StreamDomain(spark, root)
-    ch = _run(spark, stream_top_customer_artists(d.listen), "top-artists")
-    last = ch.groupBy("customerid").agg(F.max(F.struct("seq_us", "id")).alias("_m"))
-    return (ch.join(last, "customerid")
-              .filter((F.col("seq_us") == F.col("_m.seq_us")) & (F.col("id") == F.col("_m.id")))
-              .select("customerid", "rnk", "artistid", "n"))
+    jobs.run_job(job, base)
+    return base
 
 
 def target_customer_filter(spark: SparkSession, root: str) -> DataFrame:
     d = StreamDomain(spark, root)
-    return _run(spark, stateless.target_customer_filter(*d.customer_feeds), "target-customers")
+    df = stateless.target_customer_filter(*d.customer_feeds)
+    base = _folder(spark, "target-customers")
+    run_available_now(df, checkpoint=f"{base}/checkpoint", path=f"{base}/out")
+    return spark.read.schema(df.schema).parquet(f"{base}/out")
 
 
 def address_split(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
@@ -68,121 +47,87 @@ def address_split(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]
     base = _folder(spark, "address-split")
     outs = {"priority": (stateless.address_split_priority, f"{base}/priority"),
             "default": (stateless.address_split_default, f"{base}/default")}
-    run_available_now(d.address, checkpoint=f"{base}/checkpoint",
-                      foreach_batch=write_each_batch(outs))
+    run_available_now(d.address, checkpoint=f"{base}/checkpoint", foreach_batch=write_each_batch(outs))
     schema = "id string, state string, address string"
     read = lambda p: spark.read.schema(schema).parquet(f"{p}/batch=*")
     return read(f"{base}/priority"), read(f"{base}/default")
 
 
-def artist_ticket_count(spark: SparkSession, root: str) -> DataFrame:
-    """Complete-mode counts; every batch rewrites the full table (idempotent)."""
-    d = StreamDomain(spark, root)
-    base = _folder(spark, "artist-tickets")
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{base}/out")
-
-    run_available_now(stream_artist_ticket_count(d.ticket, d.event), checkpoint=f"{base}/checkpoint",
-                      mode="complete", foreach_batch=write)
-    return spark.read.schema("artistid long, n long").parquet(f"{base}/out")
+def customer_stream_count_changelog(spark: SparkSession, root: str) -> DataFrame:
+    job = jobs.customer_stream_count_job(StreamDomain(spark, root).listen)
+    return jobs.output(spark, job, _ran(spark, job, "listen-count"), "log")
 
 
-def out_of_state_ticket_holders(spark: SparkSession, root: str) -> DataFrame:
-    """Two chained streaming queries (one state function each) through a folder."""
-    d = StreamDomain(spark, root)
-    base = _folder(spark, "out-of-state")
-    ta = stream_ticket_addresses(d.ticket, d.customer_address)
-    run_available_now(ta, checkpoint=f"{base}/checkpoint-1", path=f"{base}/ticket-addresses")
-    enriched = spark.readStream.schema(ta.schema).parquet(f"{base}/ticket-addresses")
-    static = venues.join_venue_address(d.venue, Domain(spark, root).address)   # static dimension
-    ev = d.event.select("id", "venueid", "ts").join(
-        static.select("venueid", F.col("state").alias("eventstate")), "venueid")
-    return _run(spark, stream_out_of_state(enriched, ev), "out-of-state-2")
+def customer_stream_count(spark: SparkSession, root: str) -> DataFrame:
+    job = jobs.customer_stream_count_job(StreamDomain(spark, root).listen)
+    return jobs.final_state(spark, job, _ran(spark, job, "listen-count"), "counts")
 
 
-def instate_streamers_vs_capacity_changelog(spark: SparkSession, root: str) -> DataFrame:
-    """Query 1: listens -> listener's state (lookup). Query 2: per (artist, state) fold."""
+def artist_ticket_count(spark: SparkSession, root: str) -> DataFrame:
     d = StreamDomain(spark, root)
-    base = _folder(spark, "instate")
-    ls = stream_temporal_join(d.listen.select("id", "customerid", "artistid", "ts"),
-                              d.customer_address.select("customerid", "id", "state", "ts"),
-                              ("customerid", "customerid"), {"state": "state"})
-    run_available_now(ls, checkpoint=f"{base}/checkpoint-1", path=f"{base}/listen-states")
-    listen_states = spark.readStream.schema(ls.schema).parquet(f"{base}/listen-states")
-    static = Domain(spark, root)        # venues and venue addresses: static dimensions
-    vstate = static.venue.select(F.col("id").alias("venueid"), F.col("addressid")).join(
-        static.address.filter(F.col("customerid").isNull())
-              .select(F.col("id").alias("addressid"), "state"), "addressid")
-    ev = d.event.select("id", "artistid", "venueid", "capacity", "ts").join(
-        vstate.select("venueid", "state"), "venueid")
-    return _run(spark, stream_instate_streamers_vs_capacity(listen_states, ev), "instate-2")
+    job = jobs.artist_ticket_count_job(d.ticket, d.event)
+    return jobs.final_state(spark, job, _ran(spark, job, "artist-tickets"), "counts")
 
 
-def least_streaming_ticket_holders(spark: SparkSession, root: str, n: int = BOTTOM_HOLDERS) -> DataFrame:
-    """Query 1: tickets -> artist (lookup). Query 2: holder listen counts per
-    (customer, artist). Read: latest count per pair, ranked per artist."""
+def _countdown(spark: SparkSession, root: str, name: str) -> DataFrame:
     d = StreamDomain(spark, root)
-    base = _folder(spark, "holders")
-    ta = stream_temporal_join(d.ticket.select("id", "customerid", "eventid", "ts"),
-                              d.event.select("id", "artistid", "ts"), ("eventid", "id"),
-                              {"artistid": "artistid"})
-    run_available_now(ta, checkpoint=f"{base}/checkpoint-1", path=f"{base}/ticket-artists")
-    ticket_artists = spark.readStream.schema(ta.schema).parquet(f"{base}/ticket-artists")
-    counts = _run(spark, stream_holder_listen_counts(ticket_artists, d.listen), "holders-2")
-    latest = counts.groupBy("artistid", "customerid").agg(
-        F.max(F.struct("streamamount", "seq_us", "id")).alias("_m"))
-    c = latest.select("artistid", "customerid", F.col("_m.streamamount").alias("streamamount"),
-                      F.col("_m.seq_us").alias("seq_us"), F.col("_m.id").alias("id"))
-    one = F.col("streamamount") == 1
-    order = [F.col("streamamount").asc(),
-             F.when(one, F.col("seq_us")).otherwise(-F.col("seq_us")).asc(),
-             F.when(one, F.col("id")).otherwise(-F.col("id")).asc()]
-    return rank_within(c, ["artistid"], order, n).select("artistid", "rnk", "customerid", "streamamount")
-
-
-def _countdown_tables(spark: SparkSession, root: str) -> str:
-    """Run the state-table countdown over the record streams; return its folder."""
-    from .tables import ticket_countdown_batch
-    d = StreamDomain(spark, root)
-    base = _folder(spark, "tickets-tables")
-    ev = d.event.select(F.col("id").alias("eventid"), F.lit(0).alias("side"), F.col("id").alias("rid"),
-                        "ts", F.col("capacity").cast("int").alias("capacity"),
-                        F.lit(None).cast("bigint").alias("customerid"))
-    tk = d.ticket.select("eventid", F.lit(1).alias("side"), F.col("id").alias("rid"), "ts",
-                         F.lit(None).cast("int").alias("capacity"), "customerid")
-    u = ev.unionByName(tk).filter(F.col("eventid").isNotNull())
-    run_available_now(u, checkpoint=f"{base}/checkpoint", foreach_batch=ticket_countdown_batch(base))
-    return base
+    job = jobs.ticket_countdown_job(d.ticket, d.event)
+    return jobs.output(spark, job, _ran(spark, job, "tickets"), name)
 
 
-def purchase_event_ticket_tables(spark: SparkSession, root: str) -> DataFrame:
-    """The ticket countdown streamed with ``foreachBatch`` over stored state tables."""
-    base = _countdown_tables(spark, root)
-    return spark.read.schema("ticketid long, eventid long, customerid long, remainingtickets double, "
-                             "confirmationstatus string, tier string, confirmationid string") \
-        .parquet(f"{base}/out").drop("batch")
+def purchase_event_ticket(spark: SparkSession, root: str) -> DataFrame:
+    return _countdown(spark, root, "answers")
 
 
 def capacity_alerts(spark: SparkSession, root: str, kind: str) -> DataFrame:
     """Alerts raised by the streamed countdown, one kind (NEAR_CAPACITY / SOLD_OUT)."""
-    base = _countdown_tables(spark, root)
-    a = spark.read.schema("eventid long, ticketid long, remainingtickets double, alert string") \
-        .parquet(f"{base}/alerts").drop("batch")
-    return a.filter(F.col("alert") == kind)
+    return _countdown(spark, root, "alerts").filter(F.col("alert") == kind)
 
 
-def customer_stream_count(spark: SparkSession, root: str) -> DataFrame:
-    """Update mode: every batch writes the keys it changed; the table is the latest per key."""
+def top_customer_artists_changelog(spark: SparkSession, root: str) -> DataFrame:
+    job = jobs.top_customer_artists_job(StreamDomain(spark, root).listen)
+    return jobs.output(spark, job, _ran(spark, job, "top-artists"), "log")
+
+
+def top_customer_artists(spark: SparkSession, root: str, n: int = TOP_ARTISTS) -> DataFrame:
+    """The lists after the last listen, ranked from the stored counts."""
+    job = jobs.top_customer_artists_job(StreamDomain(spark, root).listen)
+    counts = jobs.final_state(spark, job, _ran(spark, job, "top-artists"), "counts")
+    return rank_within(counts, ["customerid"], [F.col("n").desc(), F.col("last").asc()], n).select(
+        "customerid", "rnk", "artistid", "n")
+
+
+def _least(spark: SparkSession, root: str) -> tuple[jobs.Job, str]:
     d = StreamDomain(spark, root)
-    base = _folder(spark, "listen-count-update")
+    job = jobs.least_streaming_job(d.ticket, d.event, d.listen)
+    return job, _ran(spark, job, "holders")
+
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{base}/out/batch={batch_id}")
+def least_streaming_ticket_holders_changelog(spark: SparkSession, root: str) -> DataFrame:
+    job, base = _least(spark, root)
+    return jobs.output(spark, job, base, "log")
+
+
+def least_streaming_ticket_holders(spark: SparkSession, root: str, n: int = BOTTOM_HOLDERS) -> DataFrame:
+    """The lists after the last listen, ranked from the stored counts."""
+    job, base = _least(spark, root)
+    counts = jobs.final_state(spark, job, base, "counts")
+    return rank_within(counts, ["artistid"], least_order(), n).select(
+        "artistid", "rnk", "customerid", "streamamount")
 
-    run_available_now(stream_customer_stream_count(d.listen), checkpoint=f"{base}/checkpoint",
-                      mode="update", foreach_batch=write)
-    changes = spark.read.schema("customerid long, n long, batch long").parquet(f"{base}/out")
-    latest = changes.groupBy("customerid").agg(F.max_by("n", "batch").alias("n"))
-    return latest
 
+def out_of_state_ticket_holders(spark: SparkSession, root: str) -> DataFrame:
+    d, static = StreamDomain(spark, root), Domain(spark, root)
+    states = venues.join_venue_address(static.venue, static.address).select(
+        "venueid", F.col("state").alias("eventstate"))
+    job = jobs.out_of_state_job(d.ticket, d.event, d.customer_address, states)
+    return jobs.output(spark, job, _ran(spark, job, "out-of-state"), "found")
+
+
+def instate_streamers_vs_capacity_changelog(spark: SparkSession, root: str) -> DataFrame:
+    d, static = StreamDomain(spark, root), Domain(spark, root)
+    states = static.venue.select(F.col("id").alias("venueid"), "addressid").join(
+        static.address.filter(F.col("customerid").isNull())
+              .select(F.col("id").alias("addressid"), F.col("state").alias("eventstate")), "addressid").drop("addressid")
+    job = jobs.instate_streamers_job(d.listen, d.event, d.customer_address, states)
+    return jobs.output(spark, job, _ran(spark, job, "instate"), "log")

@@ -29,4 +29,4 @@ def test_package_is_shipped_to_workers(spark):
     zips = glob.glob(f"{folder}/pyfiles/encore-*.zip")
     assert zips
     names = zipfile.ZipFile(sorted(zips)[-1]).namelist()
-    assert "encore/streaming/stateful.py" in names and "encore/plans/alerts.py" in names
+    assert "encore/streaming/jobs.py" in names and "encore/plans/alerts.py" in names

@@ -1,168 +1,158 @@
-"""Streaming twins replayed over several micro-batches equal the batch pipelines."""
+"""Streaming jobs over several micro-batches, with restarts, equal the batch pipelines."""
 
+import datetime as dt
 import os
 import random
 import tempfile
 
-from conftest import rows
+import pytest
+from conftest import BASE, Feed, rows
 from pyspark.sql import functions as F
 
 from encore import schemas
-from encore.plans import counts, ranking, tickets
-from encore.streaming import (run_available_now, stream_customer_stream_count_changelog,
-                              stream_purchase_event_ticket, stream_temporal_join,
-                              stream_top_customer_artists)
+from encore.plans import counts, ranking, tickets, venues
+from encore.streaming import final_state, jobs, output, run_job
 
+ENTITIES = ("event", "ticket", "listen", "address")
 
-def _cut_files(spark, df, folder, cuts):
-    """Write ``df`` as one file per time range so each micro-batch takes one range."""
-    os.makedirs(folder, exist_ok=True)
-    bounds = [None, *cuts, None]
-    for i in range(len(bounds) - 1):
-        part = df
-        if bounds[i] is not None:
-            part = part.filter(F.col("ts") > F.lit(bounds[i]))
-        if bounds[i + 1] is not None:
-            part = part.filter(F.col("ts") <= F.lit(bounds[i + 1]))
-        part.coalesce(1).write.mode("overwrite").parquet(os.path.join(folder, f"{i:03d}"))
+
+def _write(df, folder, part, low, high):
+    """The rows of one time range as one file; each micro-batch takes one range."""
+    part_df = df.filter((F.col("ts") > F.lit(low)) & (F.col("ts") <= F.lit(high)))
+    part_df.coalesce(1).write.mode("overwrite").parquet(os.path.join(folder, f"{part:03d}"))
 
 
 def _stream(spark, folder, entity):
     return (spark.readStream.schema(schemas.ENTITIES[entity]).option("maxFilesPerTrigger", 1)
-            .option("recursiveFileLookup", "true").parquet(folder))
-
-
-def _run(spark, df, base):
-    run_available_now(df, checkpoint=f"{base}/ck", path=f"{base}/out")
-    return spark.read.parquet(f"{base}/out")
-
-
-def _random_feed(feed, seed):
-    rnd = random.Random(seed)
-    for step in range(120):
-        r = rnd.random()
-        if r < 0.1 or step < 3:
-            feed.add("event", id=rnd.randrange(4), artistid=rnd.randrange(3), venueid=1,
-                     capacity=rnd.randrange(0, 8))
-        elif r < 0.6:
-            feed.add("ticket", customerid=rnd.randrange(6), eventid=rnd.randrange(5))
-        else:
-            feed.add("listen", customerid=rnd.randrange(4), artistid=rnd.randrange(6))
+            .option("recursiveFileLookup", "true").parquet(f"{folder}/{entity}"))
 
 
-def test_stream_twins_over_micro_batches(spark, feed):
-    _random_feed(feed, 3)
-    cuts = [feed.rows["listen"][0]["ts"], feed.rows["ticket"][20]["ts"], feed.rows["ticket"][40]["ts"]]
-    base = tempfile.mkdtemp(prefix="encore-stream-test-")
-    for ent in ("event", "ticket", "listen"):
-        _cut_files(spark, feed.df(spark, ent), f"{base}/in/{ent}", cuts)
-    ev, tk, ls = (_stream(spark, f"{base}/in/{e}", e) for e in ("event", "ticket", "listen"))
-
-    got = _run(spark, stream_purchase_event_ticket(tk, ev), f"{base}/p5")
-    want = tickets.purchase_event_ticket(feed.df(spark, "ticket"), feed.df(spark, "event"))
-    cols = ["ticketid", "eventid", "customerid", "remainingtickets", "confirmationstatus", "tier"]
-    assert rows(got, *cols) == rows(want, *cols)
-
-    got = _run(spark, stream_customer_stream_count_changelog(ls), f"{base}/p3")
-    want = counts.customer_stream_count_changelog(feed.df(spark, "listen"))
-    assert rows(got, "id", "customerid", "n") == rows(want, "id", "customerid", "n")
-
-    ch = _run(spark, stream_top_customer_artists(ls), f"{base}/p6")
-    last = ch.groupBy("customerid").agg(F.max("seq_us").alias("m"))
-    final = ch.join(last, "customerid").filter("seq_us = m")
-    want = ranking.top_customer_artists(feed.df(spark, "listen"))
-    assert rows(final, "customerid", "rnk", "artistid", "n") == rows(want, "customerid", "rnk", "artistid", "n")
-
-    got = _run(spark, stream_temporal_join(tk.select("id", "eventid", "ts"),
-                                           ev.select("id", "artistid", "ts"), ("eventid", "id"),
-                                           {"artistid": "artistid"}), f"{base}/lookup")
-    want = counts.tickets_with_artist(feed.df(spark, "ticket"), feed.df(spark, "event"))
-    assert rows(got, "id", "eventid", "artistid") == rows(want, "id", "eventid", "artistid")
-
-
-
-def test_ticket_countdown_over_state_tables(spark, feed):
-    from encore.streaming.tables import ticket_countdown_batch
-    _random_feed(feed, 7)
-    cuts = [feed.rows["ticket"][10]["ts"], feed.rows["ticket"][30]["ts"], feed.rows["ticket"][50]["ts"]]
-    base = tempfile.mkdtemp(prefix="encore-stream-tables-")
-    for ent in ("event", "ticket"):
-        _cut_files(spark, feed.df(spark, ent), f"{base}/in/{ent}", cuts)
-    ev = _stream(spark, f"{base}/in/event", "event").select(
-        F.col("id").alias("eventid"), F.lit(0).alias("side"), F.col("id").alias("rid"), "ts",
-        F.col("capacity").cast("int").alias("capacity"), F.lit(None).cast("bigint").alias("customerid"))
-    tk = _stream(spark, f"{base}/in/ticket", "ticket").select(
-        "eventid", F.lit(1).alias("side"), F.col("id").alias("rid"), "ts",
-        F.lit(None).cast("int").alias("capacity"), "customerid")
-    q = run_available_now(ev.unionByName(tk), checkpoint=f"{base}/ck",
-                          foreach_batch=ticket_countdown_batch(f"{base}/state"))
-    assert len(q.recentProgress) >= 2          # several micro-batches carried the state
-    got = spark.read.parquet(f"{base}/state/out")
-    want = tickets.purchase_event_ticket(feed.df(spark, "ticket"), feed.df(spark, "event"))
-    cols = ["ticketid", "eventid", "customerid", "remainingtickets", "confirmationstatus", "tier"]
-    assert rows(got, *cols) == rows(want, *cols)
-    alerts = spark.read.parquet(f"{base}/state/alerts")
-    t, e = feed.df(spark, "ticket"), feed.df(spark, "event")
-    want = tickets.alert_near_capacity(t, e).unionByName(tickets.alert_sold_out(t, e))
-    cols = ["eventid", "ticketid", "remainingtickets", "alert"]
-    assert rows(alerts, *cols) == rows(want, *cols)
-
-
-def test_chained_twins_over_micro_batches(spark, feed):
-    """P8 and P9 streaming pipelines (two queries each) against batch, several batches."""
-    from encore.plans import venues as V
-    from encore.streaming import (stream_instate_streamers_vs_capacity, stream_out_of_state,
-                                  stream_temporal_join, stream_ticket_addresses)
-    rnd = random.Random(11)
+def _random_feed(seed, offset=0):
+    """``offset`` is added to all numeric ids."""
+    feed, rnd = Feed(), random.Random(seed)
+    feed.ids = offset
     states = ["MN", "WI", "NV"]
     for v in range(3):
         feed.add("address", id=f"va{v}", customerid=None, state=states[v])
         feed.add("venue", id=v, addressid=f"va{v}", name=f"v{v}", maxcapacity=10)
-    for step in range(150):
+    for step in range(170):
         r = rnd.random()
-        if r < 0.1:
-            feed.add("event", id=rnd.randrange(6), artistid=rnd.randrange(3), venueid=rnd.randrange(3),
-                     capacity=rnd.randrange(1, 9))
+        if r < 0.1 or step < 3:
+            feed.add("event", id=offset + 1 + 2 * rnd.randrange(5), artistid=offset + 1 + 2 * rnd.randrange(3),
+                     venueid=rnd.randrange(3), capacity=rnd.randrange(0, 8))
         elif r < 0.25:
-            feed.add("address", id=f"a{step}", customerid=rnd.randrange(5), state=rnd.choice(states))
+            feed.add("address", id=f"a{step}", customerid=offset + 1 + 2 * rnd.randrange(5), state=rnd.choice(states))
         elif r < 0.55:
-            feed.add("ticket", customerid=rnd.randrange(5), eventid=rnd.randrange(6))
+            feed.add("ticket", customerid=offset + 1 + 2 * rnd.randrange(5), eventid=offset + 1 + 2 * rnd.randrange(6))
         else:
-            feed.add("listen", customerid=rnd.randrange(5), artistid=rnd.randrange(3))
-    seqs = sorted(r["ts"] for e in ("ticket", "listen") for r in feed.rows[e])
-    cuts = [seqs[len(seqs) // 4], seqs[len(seqs) // 2], seqs[3 * len(seqs) // 4]]
-    base = tempfile.mkdtemp(prefix="encore-stream-chain-")
-    for ent in ("event", "ticket", "listen", "address"):
-        _cut_files(spark, feed.df(spark, ent), f"{base}/in/{ent}", cuts)
-    tk, ls, ad = (_stream(spark, f"{base}/in/{e}", e) for e in ("ticket", "listen", "address"))
-    caddr = ad.filter(F.col("customerid").isNotNull())
-    venue, address = feed.df(spark, "venue"), feed.df(spark, "address")
-    vstate = V.join_venue_address(venue, address).select("venueid", F.col("state").alias("eventstate"))
-
-    # Query 1 runs over several micro-batches. Query 2 takes its two inputs in one
-    # batch: it must receive records in time order (arrival order is the
-    # semantics, as in the reference), and a folder written by query 1 has no
-    # cut aligned with the event files.
-    ev_all = (spark.readStream.schema(schemas.ENTITIES["event"]).option("recursiveFileLookup", "true")
-              .parquet(f"{base}/in/event"))
-    ta = stream_ticket_addresses(tk, caddr)
-    run_available_now(ta, checkpoint=f"{base}/ck1", path=f"{base}/ta")
-    step2 = stream_out_of_state(spark.readStream.schema(ta.schema).parquet(f"{base}/ta"),
-                                ev_all.select("id", "venueid", "ts").join(vstate, "venueid"))
-    got = _run(spark, step2, f"{base}/p8")
-    want = V.out_of_state_ticket_holders(feed.df(spark, "ticket"), feed.df(spark, "event"), venue, address)
-    cols = ["ticketid", "eventid", "customerid", "addressid", "customerstate", "eventstate"]
-    assert rows(got, *cols) == rows(want, *cols)
-
-    lst = stream_temporal_join(ls.select("id", "customerid", "artistid", "ts"),
-                               caddr.select("customerid", "id", "state", "ts"),
-                               ("customerid", "customerid"), {"state": "state"})
-    run_available_now(lst, checkpoint=f"{base}/ck2", path=f"{base}/ls")
-    evs = ev_all.select("id", "artistid", "venueid", "capacity", "ts").join(
-        vstate.withColumnRenamed("eventstate", "state"), "venueid")
-    got = _run(spark, stream_instate_streamers_vs_capacity(
-        spark.readStream.schema(lst.schema).parquet(f"{base}/ls"), evs), f"{base}/p9")
-    want = V.instate_streamers_vs_capacity_changelog(feed.df(spark, "listen"), feed.df(spark, "event"),
-                                                     venue, address)
-    cols = ["eventid", "artistid", "state", "streamcount", "capacity"]
+            feed.add("listen", customerid=offset + 1 + 2 * rnd.randrange(5), artistid=offset + 1 + 2 * rnd.randrange(3))
+    return feed
+
+
+_WORLDS = {}
+
+
+def _world(spark, offset):
+    if offset not in _WORLDS:
+        feed = _random_feed(5, offset)
+        cuts = [BASE + dt.timedelta(seconds=feed.seq * k // 4) for k in range(5)]
+        batch = {e: feed.df(spark, e).cache() for e in (*ENTITIES, "venue")}
+        states = venues.join_venue_address(batch["venue"], batch["address"]).select(
+            "venueid", F.col("state").alias("eventstate")).cache()
+        _WORLDS[offset] = batch, cuts, tempfile.mkdtemp(prefix="encore-stream-test-"), states
+    return _WORLDS[offset]
+
+
+def _jobs(stream, states):
+    home = stream["address"].filter(F.col("customerid").isNotNull())
+    return {
+        "count": jobs.customer_stream_count_job(stream["listen"]),
+        "artist": jobs.artist_ticket_count_job(stream["ticket"], stream["event"]),
+        "tickets": jobs.ticket_countdown_job(stream["ticket"], stream["event"]),
+        "top": jobs.top_customer_artists_job(stream["listen"]),
+        "least": jobs.least_streaming_job(stream["ticket"], stream["event"], stream["listen"]),
+        "outside": jobs.out_of_state_job(stream["ticket"], stream["event"], home, states),
+        "instate": jobs.instate_streamers_job(stream["listen"], stream["event"], home, states),
+    }
+
+
+def _expected(b):
+    home = b["address"]
+    t, e, l = b["ticket"], b["event"], b["listen"]
+    return {
+        "count": ("log", counts.customer_stream_count_changelog(l), ["id", "customerid", "n"]),
+        "artist": (None, counts.artist_ticket_count(t, e), ["artistid", "n"]),
+        "tickets": ("answers", tickets.purchase_event_ticket(t, e),
+                    ["ticketid", "eventid", "customerid", "remainingtickets", "confirmationstatus", "tier"]),
+        "top": ("log", ranking.top_customer_artists_changelog(l), ["id", "customerid", "rnk", "artistid", "n"]),
+        "least": ("log", ranking.least_streaming_ticket_holders_changelog(t, e, l),
+                  ["id", "artistid", "rnk", "customerid", "streamamount"]),
+        "outside": ("found", venues.out_of_state_ticket_holders(t, e, b["venue"], home),
+                    ["ticketid", "eventid", "customerid", "addressid", "customerstate", "eventstate"]),
+        "instate": ("log", venues.instate_streamers_vs_capacity_changelog(l, e, b["venue"], home),
+                    ["eventid", "artistid", "state", "streamcount", "capacity"]),
+    }
+
+
+CASES = [(name, 2**53) for name in ("count", "artist", "tickets", "top", "least", "outside", "instate")]
+
+
+@pytest.mark.parametrize("name,offset", CASES + [("tickets", 2**62), ("least", 2**62)])
+def test_job_equals_batch_over_micro_batches(spark, name, offset):
+    """Two ranges, a stop, then two more from the kept checkpoint; ids beyond 2**53."""
+    batch, cuts, base, states = _world(spark, offset)
+    folder = f"{base}/in-{name}"
+    job = None
+    for half in (0, 2):
+        for part in (half, half + 1):
+            low = cuts[part] - dt.timedelta(days=99999) if part == 0 else cuts[part]
+            for e in ENTITIES:
+                _write(batch[e], f"{folder}/{e}", part, low, cuts[part + 1])
+        job = _jobs({e: _stream(spark, folder, e) for e in ENTITIES}, states)[name]
+        run_job(job, f"{base}/{name}")
+    where, want, cols = _expected(batch)[name]
+    got = output(spark, job, f"{base}/{name}", where) if where else final_state(spark, job, f"{base}/{name}", "counts")
     assert rows(got, *cols) == rows(want, *cols)
+    table = next(iter(job.state))
+    kept = sorted(int(x.split("=")[1]) for x in os.listdir(f"{base}/{name}/state/{table}") if "=" in x)
+    assert kept[-1] >= 3 and len(kept) <= 4                 # several batches, old snapshots removed
+    if name == "tickets":
+        t, e = batch["ticket"], batch["event"]
+        want = tickets.alert_near_capacity(t, e).unionByName(tickets.alert_sold_out(t, e))
+        cols = ["eventid", "ticketid", "remainingtickets", "alert"]
+        assert rows(output(spark, job, f"{base}/{name}", "alerts"), *cols) == rows(want, *cols)
+
+
+def test_replayed_batch_counts_once(spark):
+    feed = _random_feed(9)
+    base = tempfile.mkdtemp(prefix="encore-replay-")
+    l = feed.df(spark, "listen")
+    job = jobs.customer_stream_count_job(l)
+    write = jobs.each_batch(job, base)
+    cut = F.lit(BASE + dt.timedelta(seconds=feed.seq // 2))
+    first, second = job.feed.filter(F.col("ts") <= cut), job.feed.filter(F.col("ts") > cut)
+    for number, part in ((0, first), (1, second), (1, second)):     # batch 1 again after a failure
+        write(part, number)
+    want = counts.customer_stream_count_changelog(l)
+    assert rows(output(spark, job, base, "log"), "id", "n") == rows(want, "id", "n")
+
+
+def test_state_read_errors_end_the_query(spark):
+    feed = _random_feed(9)
+    job = jobs.customer_stream_count_job(feed.df(spark, "listen"))
+    with pytest.raises(Exception):
+        jobs.each_batch(job, tempfile.mkdtemp(prefix="encore-lost-"))(job.feed, 5)
+
+
+def test_processing_time_trigger(spark):
+    from encore.streaming import start_every
+    base = tempfile.mkdtemp(prefix="encore-trigger-")
+    feed = _random_feed(9)
+    _write(feed.df(spark, "listen"), f"{base}/listen", 0, BASE, BASE + dt.timedelta(days=1))
+    q = start_every(_stream(spark, base, "listen").select("id"), checkpoint=f"{base}/ck", path=f"{base}/out",
+                    interval="1 seconds")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(f"{base}/out").count() == len(feed.rows["listen"])

@@ -8,13 +8,15 @@ that unequal minima share their low bits, estimates the similarity; only pairs
 whose estimate lies within seven standard deviations of the threshold or above
 go on to the full sets, which confirm every link.
 
-Equal sets are one node (a group of copies costs one row). Inside a band bucket
-no pairs are enumerated: every member is compared with the bucket's least node,
-and the confirmed links are closed into components. Only buckets that then still
-hold several components are searched further: members outside the bucket's
-largest component are compared with the members of other components. A link
-inside one component adds nothing to it, so no link between different classes
-is lost. With 32 bands of 4 rows a pair at similarity 0.8 shares no band with
+Equal sets are one node (a group of copies costs one row). No pairs of a band
+bucket are enumerated: every member is compared with the bucket's least node,
+and the confirmed links are closed into components. Buckets that share members
+form clusters; in a cluster that still holds several components, members outside
+its largest one are compared with the members of other components, in pairs of
+bounded blocks whose tasks emit nothing but links. A link inside one component
+adds nothing to it, so no link between different classes is lost. The work is
+quadratic only in a cluster's documents that lie near each other without being
+linked. With 32 bands of 4 rows a pair at similarity 0.8 shares no band with
 probability 5e-8.
 
 Results: null and empty texts (no words) have an empty set, link with nothing
@@ -37,6 +39,7 @@ from .components import components
 HASHES = 128
 BITS = 2
 ROWS = 4
+BLOCK = 50_000          # shingles in a block of the final comparison
 _LANES = 64 // BITS
 _LOW = 0x5555555555555555       # the lowest bit of every lane of two
 
@@ -173,6 +176,85 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                  .select("a", "b").distinct())
 
 
+def _across(clusters: DataFrame, grouped: DataFrame, facts: DataFrame, sets: DataFrame, percent: int,
+            floor: float) -> DataFrame:
+    """Links ``(a, b)`` between different components of one cluster.
+
+    Members outside a cluster's largest component meet all members of other
+    components, in blocks of about ``BLOCK`` shingles: a row is two blocks, and
+    only links leave the task, one per node and component met.
+    """
+    member = (clusters.join(grouped, "node", "left")
+                      .select("cluster", "node", F.coalesce("component", "node").alias("component")))
+    per = member.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("c"))
+    main = (per.groupBy("cluster").agg(F.count(F.lit(1)).alias("parts"),
+                                       F.max(F.struct("c", "component")).alias("m"))
+               .filter("parts > 1").select("cluster", F.col("m.component").alias("main")))
+    member = (member.join(main, "cluster").join(facts, "node")
+                    .withColumn("minor", F.col("component") != F.col("main")))
+    totals = member.groupBy("cluster", "minor").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
+    placed = (member.join(totals, ["cluster", "minor"]).join(sets, "node")
+                    .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
+    blocks = checkpointed(placed.groupBy("cluster", "minor", "block").agg(
+        F.collect_list(F.struct("node", "component", "bits", "set")).alias("members")))
+    minors = blocks.filter("minor").select("cluster", F.col("block").alias("i"), F.col("members").alias("x"))
+    others = totals.select("cluster", "minor", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    meets = (minors.select("cluster", "i").join(others, "cluster")
+                   .filter(~F.col("minor") | (F.col("block") >= F.col("i"))))
+    rows = (meets.join(blocks.withColumnRenamed("members", "y"), ["cluster", "minor", "block"])
+                 .join(minors, ["cluster", "i"]))
+
+    def run(batches):
+        for batch in batches:
+            for at in range(batch.num_rows):
+                a, b = _meet(batch.column(0)[at].values, batch.column(1)[at].values, percent, floor)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    found = rows.select("x", "y").mapInArrow(run, "a long, b long")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _meet(x: pa.StructArray, y: pa.StructArray, percent: int, floor: float):
+    """Confirmed links between two blocks: for every node of ``x``, one per component of ``y``."""
+    (na, ca, ba, sa), (nb, cb, bb, sb) = ([f for f in s.flatten()] for s in (x, y))
+    na, ca, nb, cb = (v.to_numpy() for v in (na, ca, nb, cb))
+    ba, bb = (np.asarray(v.flatten()).view(np.uint64).reshape(len(v), -1) for v in (ba, bb))
+    unequal = np.zeros((len(ba), len(bb)), np.int16)
+    for i in range(ba.shape[1]):
+        d = ba[:, None, i] ^ bb[None, :, i]
+        unequal += np.bitwise_count((d | (d >> np.uint64(1))) & np.uint64(_LOW)).astype(np.int16)
+    chance = 2.0 ** -BITS
+    likely = ((1 - unequal / HASHES - chance) / (1 - chance) >= floor) & (ca[:, None] != cb[None, :])
+    rows, cols = np.flatnonzero(likely.any(axis=1)), np.flatnonzero(likely.any(axis=0))
+    if not len(rows):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    size_a, size_b = (np.asarray(s.value_lengths()).astype(np.int64) for s in (sa, sb))
+    both = _shared(sa.take(pa.array(rows)), sb.take(pa.array(cols)))
+    union = size_a[rows][:, None] + size_b[cols][None, :] - both
+    linked = (100 * both >= percent * union) & likely[np.ix_(rows, cols)]
+    i, j = np.nonzero(linked)
+    _, one = np.unique(np.stack([na[rows[i]], cb[cols[j]]], axis=1), axis=0, return_index=True)
+    return na[rows[i[one]]], nb[cols[j[one]]]
+
+
+def _shared(sa: pa.ListArray, sb: pa.ListArray) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets, by products of 0/1 matrices."""
+    va, vb = np.asarray(sa.flatten()), np.asarray(sb.flatten())
+    ra, rb = (np.repeat(np.arange(len(s)), np.asarray(s.value_lengths())) for s in (sa, sb))
+    vocabulary = np.intersect1d(va, vb)
+    out = np.zeros((len(sa), len(sb)), np.int64)
+    ka, kb = np.isin(va, vocabulary), np.isin(vb, vocabulary)
+    pa_, pb_ = np.searchsorted(vocabulary, va[ka]), np.searchsorted(vocabulary, vb[kb])
+    ra, rb = ra[ka], rb[kb]
+    for lo in range(0, len(vocabulary), 4096):
+        ma, mb = (np.zeros((len(s), 4096), np.float32) for s in (sa, sb))
+        for m, r, p in ((ma, ra, pa_), (mb, rb, pb_)):
+            of = (p >= lo) & (p < lo + 4096)
+            m[r[of], p[of] - lo] = 1
+        out += (ma @ mb.T).astype(np.int64)
+    return out
+
+
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5,
                     percent: int = 80) -> DataFrame:
     """``(id, n_shingles, component_id, kept)`` per row: links at ``percent`` or more of set similarity.
@@ -202,27 +284,10 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     links = checkpointed(_confirm(stars, sets, percent))
     grouped = components(links)
 
-    # buckets that still hold several components
-    member = (shared.select("key", "node").join(grouped, "node", "left")
-                    .select("key", "node", F.coalesce("component", "node").alias("component")))
-    open_keys = (member.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                       .filter("lo < hi").select("key"))
-    member = checkpointed(member.join(open_keys, "key"))
-    main = (member.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"))
-                  .groupBy("key").agg(F.max(F.struct("c", "component")).alias("m"))
-                  .select("key", F.col("m.component").alias("main")))
-    member = member.join(main, "key").join(facts, "node")
-    a = member.filter("component <> main").select(
-        "key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"),
-        F.col("bits").alias("xa"))
-    b = member.select(
-        F.col("key").alias("kb"), F.col("node").alias("b"), F.col("component").alias("cb"),
-        (F.col("component") == F.col("main")).alias("in_main"), F.col("n").alias("nb"), F.col("bits").alias("xb"))
-    across = a.join(b, (F.col("key") == F.col("kb")) & (F.col("ca") != F.col("cb"))
-                    & (F.col("in_main") | (F.col("a") < F.col("b"))) & likely)
-    more = (across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-                  .join(stars, ["a", "b"], "left_anti"))
-    late = checkpointed(_confirm(more, sets, percent))
+    # clusters of band buckets that still hold several components
+    clusters = components(shared.filter("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+                                .distinct()).withColumnRenamed("component", "cluster")
+    late = checkpointed(_across(clusters, grouped, facts, sets, percent, floor))
     if not late.isEmpty():
         grouped = components(links.unionByName(late))
 

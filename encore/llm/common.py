@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir, ship_package
 from ..sources.tables import read_table
 
-CHUNK_BYTES = 2 << 20      # text bytes handled by one numpy pass
+CHUNK_BYTES = 1 << 20      # text bytes handled by one numpy pass
+CHUNK_ROWS = 1000          # rows converted at a time
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -45,20 +46,21 @@ def text_chunks(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int,
     and their offsets into ``data``. Null texts are empty; a text longer than
     the limit forms a run of its own, so memory follows the longest text.
     """
-    for arr in (column.chunks if isinstance(column, pa.ChunkedArray) else [column]):
-        arr = pc.fill_null(arr.cast(pa.large_string()), "")
-        n = len(arr)
-        if n == 0:
-            continue
-        _, off, buf = arr.buffers()
-        offsets = np.frombuffer(off, np.int64)[arr.offset: arr.offset + n + 1]
+    for base in range(0, len(column), CHUNK_ROWS):
+        part = column.slice(base, CHUNK_ROWS)
+        if isinstance(part, pa.ChunkedArray):
+            part = part.combine_chunks()
+        part = pc.fill_null(part.cast(pa.large_string()), "")
+        n = len(part)
+        _, off, buf = part.buffers()
+        offsets = np.frombuffer(off, np.int64)[part.offset: part.offset + n + 1]
         data = np.frombuffer(buf, np.uint8) if buf is not None and buf.size else np.zeros(0, np.uint8)
         first = 0
         while first < n:
             end = int(np.searchsorted(offsets, offsets[first] + CHUNK_BYTES, "right")) - 1
             end = min(max(end, first + 1), n)
             lo = int(offsets[first])
-            yield first, end, data[lo:int(offsets[end])], offsets[first:end + 1] - lo
+            yield base + first, base + end, data[lo:int(offsets[end])], offsets[first:end + 1] - lo
             first = end
 
 

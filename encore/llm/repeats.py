@@ -30,6 +30,7 @@ from .common import checkpointed, mix, ranges, signed, text_chunks
 
 ROWS = 2
 CELLS = 1 << 27
+ROWS_OUT = 100_000          # window rows handed to Spark at a time
 _SPLIT = 1 << 20            # cells per shard of the merged sketch
 
 
@@ -81,6 +82,9 @@ def repeated_cells(merged: DataFrame, rows: int, cells: int) -> list[np.ndarray]
     Each shard of the sketch becomes one packed string; what reaches the driver
     is the bitmaps, ``rows * cells / 8`` bytes whatever the corpus.
     """
+    if cells % 8:
+        raise ValueError("the number of cells is a multiple of 8")
+
     def pack(batches):
         bits: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -103,7 +107,7 @@ def repeated_cells(merged: DataFrame, rows: int, cells: int) -> list[np.ndarray]
     for row in packed.toLocalIterator():
         at = row.shard * _SPLIT // 8
         out[at:at + _SPLIT // 8] |= np.frombuffer(row.bits, np.uint8)
-    return [np.packbits(np.unpackbits(out[r * cells // 8:(r + 1) * cells // 8])) for r in range(rows)]
+    return [out[r * cells // 8:(r + 1) * cells // 8] for r in range(rows)]
 
 
 def _passes(gram: np.ndarray, bitmaps: list[np.ndarray], cells: int) -> np.ndarray:
@@ -151,15 +155,21 @@ def _window_rows(docs: DataFrame, text: str, cutter) -> DataFrame:
                 w = cutter.cut(data, offsets)
                 some = todo.slice(lo, hi - lo)
                 each = some.flatten()
-                doc = np.repeat(np.arange(hi - lo), some.value_lengths().to_numpy(zero_copy_only=False))
-                s, n, times = (each.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3))
-                at = ranges(w.first[doc] + s, n)
-                doc, times = np.repeat(doc, n), np.repeat(times, n)
-                h1, h2 = w.hashes(at, at + cutter.width)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(signed(h1)), pa.array(signed(h2)), pa.array(r1[lo + doc]), pa.array(r2[lo + doc]),
-                    pa.array((at - w.first[doc]).astype(np.int32)), pa.array(times.astype(np.int32)),
-                    pa.array(times < 2)], names=["h1", "h2", "r1", "r2", "s", "times", "ask"])
+                docs_of = np.repeat(np.arange(hi - lo), some.value_lengths().to_numpy(zero_copy_only=False))
+                starts, sizes, copies = (each.field(i).to_numpy(zero_copy_only=False).astype(np.int64)
+                                         for i in range(3))
+                # a bounded number of windows goes out at a time
+                pieces = np.cumsum(sizes) // ROWS_OUT
+                for piece in np.unique(pieces):
+                    of = pieces == piece
+                    n = sizes[of]
+                    doc, times = np.repeat(docs_of[of], n), np.repeat(copies[of], n)
+                    at = ranges(w.first[docs_of[of]] + starts[of], n)
+                    h1, h2 = w.hashes(at, at + cutter.width)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(signed(h1)), pa.array(signed(h2)), pa.array(r1[lo + doc]), pa.array(r2[lo + doc]),
+                        pa.array((at - w.first[doc]).astype(np.int32)), pa.array(times.astype(np.int32)),
+                        pa.array(times < 2)], names=["h1", "h2", "r1", "r2", "s", "times", "ask"])
 
     # all columns are taken, so that Spark reads the shuffle of the final join here too
     return docs.select(text, "r1", "r2", "open", *rest).mapInArrow(run, schema)
@@ -168,8 +178,8 @@ def _window_rows(docs: DataFrame, text: str, cutter) -> DataFrame:
 def repeated_windows(docs: DataFrame, text: str, cutter, rows: int = ROWS, cells: int = CELLS) -> DataFrame:
     """Runs of repeated windows per document: ``(r1, r2, runs)``.
 
-    ``docs`` carries the row key ``r1, r2``; ``runs`` is an array of (first
-    window, number of windows).
+    ``docs`` carries the row key ``r1, r2``; ``runs`` is an array of (s, n,
+    bits): ``n`` windows from ``s`` on, or those of 64 whose bit is set.
     """
     bitmaps = repeated_cells(sketch(docs, text, cutter, rows, cells), rows, cells)
     every = _blocks(docs, text, cutter, bitmaps, cells)
@@ -193,7 +203,28 @@ def repeated_windows(docs: DataFrame, text: str, cutter, rows: int = ROWS, cells
                   .groupBy("r1", "r2").agg(F.collect_list(F.struct("s", "n", F.col("c").cast("int"))).alias("open")))
     windows = _window_rows(docs.join(todo.hint("shuffle_hash"), ["r1", "r2"]), text, cutter)
     counts = windows.groupBy("h1", "h2").agg(F.sum("times").alias("c")).filter("c > 1").drop("c")
+    # single windows as bits of 64-window words: short lists, however many repeat
     equal = (windows.filter("ask").join(counts, ["h1", "h2"])
-                    .select("r1", "r2", "s", F.lit(1).alias("n")))
-    return (settled.unionByName(equal).groupBy("r1", "r2")
-                   .agg(F.collect_list(F.struct("s", "n")).alias("runs")))
+                    .select("r1", "r2", F.expr("s div 64 * 64").cast("int").alias("s"),
+                            F.call_function("shiftleft", F.lit(1).cast("long"), F.col("s") % 64).alias("bit"))
+                    .groupBy("r1", "r2", "s").agg(F.bit_or("bit").alias("bits"))
+                    .select("r1", "r2", "s", F.lit(0).alias("n"), "bits"))
+    return (settled.withColumn("bits", F.lit(0).cast("long")).unionByName(equal).groupBy("r1", "r2")
+                   .agg(F.collect_list(F.struct("s", "n", "bits")).alias("runs")))
+
+
+def covered(runs: pa.Array, first: np.ndarray, units: int, width: int) -> np.ndarray:
+    """Which units (words, bytes) the repeated windows of a run of texts cover."""
+    lengths = np.nan_to_num(runs.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+    each = runs.flatten()
+    s, n, bits = (each.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+    begin = np.repeat(first[:-1], lengths) + s
+    words = np.flatnonzero(bits)
+    set_bits = np.unpackbits(bits[words].astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    row, bit = np.nonzero(set_bits)
+    begin = np.concatenate([begin[n > 0], begin[words][row] + bit])
+    n = np.concatenate([n[n > 0], np.ones(len(row), n.dtype)]).astype(np.int64)
+    change = np.zeros(units + 1, np.int32)
+    np.add.at(change, begin, 1)
+    np.add.at(change, begin + n + width - 1, -1)
+    return np.cumsum(change)[:-1] > 0

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import BASE_A, BASE_B, Rolling, mix, ranges, row_key, text_chunks, words
-from .repeats import CELLS, ROWS, Cut, repeated_windows
+from .repeats import CELLS, ROWS, Cut, covered, repeated_windows
 
 
 @dataclass(frozen=True)
@@ -96,15 +96,7 @@ def remove_repeats(df: DataFrame, text: str = "text", width: int = 35, gram: int
             for lo, hi, data, offsets in text_chunks(batch.column(len(keep))):
                 doc, start, end, _ = words(data, offsets)
                 first = np.searchsorted(doc, np.arange(hi - lo + 1))
-                some = found.slice(lo, hi - lo)
-                lengths = np.nan_to_num(some.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
-                each = some.flatten()
-                s, n = (each.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(2))
-                begin = first[np.repeat(np.arange(hi - lo), lengths)] + s
-                change = np.zeros(len(start) + 1, np.int64)
-                np.add.at(change, begin, 1)
-                np.add.at(change, begin + n + width - 1, -1)
-                gone = np.cumsum(change)[:-1] > 0
+                gone = covered(found.slice(lo, hi - lo), first, len(start), width)
                 raw = data.tobytes()
                 left = np.flatnonzero(~gone)
                 cut = np.searchsorted(left, first)

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import BASE_A, BASE_B, BYTE_VALUE, Rolling, mix, row_key, text_chunks
-from .repeats import Cut, repeated_windows
+from .repeats import Cut, covered, repeated_windows
 
 
 @dataclass(frozen=True)
@@ -132,15 +132,7 @@ def remove_repeated_strings(df: DataFrame, text: str = "text", width: int = 400,
             found = batch.column(len(keep) + 1)
             made = [[], [], [], []]
             for lo, hi, data, offsets in text_chunks(batch.column(len(keep))):
-                some = found.slice(lo, hi - lo)
-                lengths = np.nan_to_num(some.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
-                each = some.flatten()
-                s, n = (each.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(2))
-                begin = np.repeat(offsets[:-1], lengths) + s
-                change = np.zeros(len(data) + 1, np.int32)
-                np.add.at(change, begin, 1)
-                np.add.at(change, begin + n + width - 1, -1)
-                gone = np.cumsum(change)[:-1] > 0
+                gone = covered(found.slice(lo, hi - lo), offsets, len(data), width)
                 opens = gone.copy()
                 opens[1:] &= ~gone[:-1]
                 inner = offsets[1:-1][offsets[1:-1] < len(data)]

@@ -9,8 +9,8 @@ the diversity rule (a candidate is taken if it is nearer to the vector than to
 any neighbour taken before), plus reverse links. Inner product is made a metric
 by one more dimension that gives all vectors of a shard the same length.
 
-Queries are dealt in blocks to all shards, descend the levels greedily and run a
-beam search on the lowest, many queries per numpy step; the shards' results are
+Queries are dealt in blocks to all shards and run a beam search level by level,
+many queries per numpy step; the shards' results are
 merged by a window per query. Every row is indexed, none is sampled. Copies
 of a vector share a graph node that lists their ids; a search for the ``k``
 nearest needs the ``k + 1`` least ids of a node (the query's own may be among
@@ -36,9 +36,10 @@ from pyspark.sql import functions as F
 from .common import checkpointed, mix
 
 SHARD_ROWS = 8192
-LINKS = 16              # neighbours above the lowest level; twice as many on it
+LINKS = 24              # neighbours above the lowest level; twice as many on it
 CANDIDATES = 48         # nearest candidates that the diversity rule chooses from
 BEAM = 64
+UPPER = 32              # beam on the levels above the lowest
 BLOCK = 1024            # queries searched together
 _STEP = 4               # beam entries expanded per query and step
 
@@ -74,14 +75,18 @@ def _padded(x: np.ndarray) -> np.ndarray:
     return np.hstack([x, np.sqrt(np.maximum(square.max() - square, 0))[:, None]]).astype(np.float32)
 
 
-def _link(x: np.ndarray, slots: int) -> np.ndarray:
-    """Neighbour slots (rows of ``x``) of one level."""
+def _link(x: np.ndarray, slots: int, above: np.ndarray) -> np.ndarray:
+    """Neighbour slots (rows of ``x``) of one level; ``above``: its rows that reach the next level.
+
+    Besides its diverse nearest neighbours every row is linked, both ways, with
+    the nearest row of the next level, so that a tight group stays reachable.
+    """
     n = len(x)
     take = min(CANDIDATES, n - 1)
     if take <= 0:
         return np.full((n, slots), -1, np.int32)
     forward = slots if slots == LINKS else slots // 2
-    us, vs = [], []
+    us, vs, anchors = [], [], []
     for lo in range(0, n, 512):
         block = np.arange(lo, min(lo + 512, n))
         sims = x[block] @ x.T
@@ -98,10 +103,18 @@ def _link(x: np.ndarray, slots: int) -> np.ndarray:
         row, col = np.nonzero(taken)
         us.append(block[row])
         vs.append(near[row, col])
-    u, v = np.concatenate(us), np.concatenate(vs)
+        if len(above) > 1:
+            up = sims[:, above]
+            anchors.append(above[up.argmax(axis=1)])
+    u = np.concatenate([*us, np.arange(n if anchors else 0)])
+    v = np.concatenate([*vs, *anchors])
     pair = np.unique(np.concatenate([u * n + v, v * n + u]))
     u, v = pair // n, pair % n
     sim = np.einsum("ij,ij->i", x[u], x[v])
+    if anchors:
+        anchor = np.concatenate(anchors)
+        forced = (anchor[u] == v) | (anchor[v] == u)
+        sim = np.where(forced, sim + 4 * np.abs(sim).max(), sim)
     order = np.lexsort((-sim, u))
     u, v = u[order], v[order]
     place = np.arange(len(u)) - np.searchsorted(u, u)
@@ -122,36 +135,32 @@ class Graph:
         x = _padded(vectors)
         level = _levels(ids)
         members = [np.flatnonzero(level >= top) for top in range(int(level.max()) + 1)]
-        return cls(x, members, [_link(x[m], LINKS * (1 if i else 2)) for i, m in enumerate(members)])
+        above = [np.searchsorted(m, up) for m, up in zip(members, members[1:])] + [np.zeros(0, np.int64)]
+        return cls(x, members, [_link(x[m], LINKS * (1 if i else 2), up)
+                                for i, (m, up) in enumerate(zip(members, above))])
 
     def search(self, queries: np.ndarray, beam: int):
-        """Rows and similarities of the nearest found, best first, -1 where none."""
+        """Rows of the nearest found, best first, -1 where none.
+
+        The top level's members start the search; each level's best start the next.
+        """
         q = np.hstack([queries, np.zeros((len(queries), 1), np.float32)])
-        at = np.full(len(q), self.members[-1][0])
-        best = np.einsum("ij,ij->i", q, self.x[at])
+        start = np.broadcast_to(self.members[-1][:UPPER], (len(q), min(UPPER, len(self.members[-1]))))
         for members, slots in zip(self.members[:0:-1], self.slots[:0:-1]):
-            moving = np.arange(len(q))
-            while len(moving):
-                near = slots[np.searchsorted(members, at[moving])]
-                node = members[np.maximum(near, 0)]
-                sims = np.where(near < 0, -np.inf, np.einsum("ij,ikj->ik", q[moving], self.x[node]))
-                top = sims.argmax(axis=1)
-                got = sims[np.arange(len(moving)), top]
-                up = got > best[moving]
-                at[moving[up]] = node[up, top[up]]
-                best[moving[up]] = got[up]
-                moving = moving[up]
-        return self._beam(q, at, best, beam)
-
-    def _beam(self, q, at, best, beam):
-        n, slots = len(q), self.slots[0]
+            start = self._beam(q, members, slots, start, UPPER)
+        return self._beam(q, self.members[0], self.slots[0], start, beam)
+
+    def _beam(self, q, members, slots, start, beam):
+        n = len(q)
+        beam = max(beam, start.shape[1])
         node = np.full((n, beam), -1)
         sims = np.full((n, beam), -np.inf, np.float32)
         done = np.zeros((n, beam), bool)
-        node[:, 0], sims[:, 0] = at, best
+        node[:, :start.shape[1]] = start
+        sims[:, :start.shape[1]] = np.where(start < 0, -np.inf, np.einsum("ij,ikj->ik", q, self.x[start]))
         seen = np.zeros((n, len(self.x) + 1), bool)       # the last column stands for empty slots
+        np.put_along_axis(seen, start, True, axis=1)
         seen[:, -1] = True
-        seen[np.arange(n), at] = True
         live = np.arange(n)
         while len(live):
             waiting = np.where(done[live] | (node[live] < 0), -np.inf, sims[live])
@@ -162,8 +171,8 @@ class Graph:
                 break
             row = live[:, None]
             done[row, pick] |= ready
-            near = slots[np.where(ready, node[row, pick], 0)]
-            near = np.where(ready[:, :, None], near, -1).reshape(len(live), -1)
+            near = slots[np.searchsorted(members, np.where(ready, node[row, pick], members[0]))]
+            near = np.where(ready[:, :, None] & (near >= 0), members[near], -1).reshape(len(live), -1)
             near = np.sort(near, axis=1)
             near[:, 1:][near[:, 1:] == near[:, :-1]] = -1
             near[seen[row, near]] = -1

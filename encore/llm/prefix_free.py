@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BASE_A, BASE_B, BYTE_VALUE, Rolling, mix, row_key, text_chunks
+from .common import BASE_A, BYTE_VALUE, Rolling, mix, row_key, text_chunks
 from .repeats import Cut, covered, repeated_windows
 
 
@@ -61,7 +61,7 @@ class Phrases:
         out = Cut()
         docs = len(offsets) - 1
         value = BYTE_VALUE[data]
-        out.a, out.b = Rolling(value, BASE_A), Rolling(value, BASE_B)
+        out.a, out.units_b = Rolling(value, BASE_A), value
         out.first = offsets
         marks = self._marks(out.a, len(data), offsets)
         # each mark's document, and the starts whose first mark it is

@@ -26,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, mix, ranges, signed, text_chunks
+from ..operators import materialize
+from .common import BASE_B, Rolling, mix, ranges, signed, text_chunks
 
 ROWS = 2
 CELLS = 1 << 27
@@ -39,7 +40,8 @@ class Cut:
 
     ``first``: index of each text's first unit (word or byte), one more at the
     end. Per block: ``at`` (unit index of its first window), ``size`` (windows),
-    ``doc``, ``gram`` and ``free`` (no gram). ``a``, ``b``: two rolling hashes.
+    ``doc``, ``gram`` and ``free`` (no gram). ``a``: rolling hash of the units;
+    ``units_b``: their values for a second one.
     """
 
     first: np.ndarray
@@ -48,10 +50,15 @@ class Cut:
     doc: np.ndarray
     gram: np.ndarray
     free: np.ndarray
+    a: Rolling
+    units_b: np.ndarray
+    _b: Rolling | None = None
 
     def hashes(self, start: np.ndarray, end: np.ndarray):
         size = (end - start).astype(np.uint64)
-        return mix(self.a.slices(start, end) + size, 21), mix(self.b.slices(start, end) + size, 22)
+        if self._b is None:                     # only where contents are compared
+            self._b = Rolling(self.units_b, BASE_B)
+        return mix(self.a.slices(start, end) + size, 21), mix(self._b.slices(start, end) + size, 22)
 
 
 def _cells(gram: np.ndarray, rows: int, cells: int) -> Iterator[np.ndarray]:
@@ -184,23 +191,23 @@ def repeated_windows(docs: DataFrame, text: str, cutter, rows: int = ROWS, cells
     bitmaps = repeated_cells(sketch(docs, text, cutter, rows, cells), rows, cells)
     every = _blocks(docs, text, cutter, bitmaps, cells)
     blocks, free = every.filter("not free"), every.filter("free")
-    # content of blocks: how often, and one place that stands for it
-    kinds = blocks.groupBy("g", "k1", "k2").agg(
-        F.count(F.lit(1)).alias("c"), F.min("r1").alias("m1"))
-    # grams with several contents: windows of different blocks may be equal
-    several = kinds.groupBy("g").agg(F.count(F.lit(1)).alias("kinds"))
+    # content of blocks: how often, and a row that stands for it
+    kinds = blocks.groupBy("g", "k1", "k2").agg(F.count(F.lit(1)).alias("c"), F.min("r1").alias("m1"))
+    # grams with several contents: windows of different blocks may be equal. The
+    # filter reads c and m1 so that both uses of ``kinds`` share one shuffle.
+    several = (kinds.groupBy("g").agg(F.count(F.lit(1)).alias("kinds"), F.max("c").alias("most"),
+                                      F.max("m1").alias("last"))
+                    .filter("most > 1 or (kinds > 1 and last is not null)").select("g", "kinds"))
     kinds = kinds.join(several, "g").filter("c > 1 or kinds > 1")
-    found = checkpointed(blocks.join(kinds.drop("g"), ["k1", "k2"])
-                               .select("k1", "k2", "r1", "r2", "s", "n", "c", "kinds",
-                                       (F.col("r1") == F.col("m1")).alias("stands")))
+    # a content's blocks in the row that stands for it are compared for all copies
+    found = materialize(blocks.join(kinds.drop("g"), ["k1", "k2"]).select(
+        "r1", "r2", "s", "n", F.col("c").cast("int").alias("c"),
+        ((F.col("kinds") > 1) & ((F.col("c") == 1) | (F.col("r1") == F.col("m1")))).alias("open"))
+        .filter("c > 1 or open"), "repeats")
     settled = found.filter("c > 1").select("r1", "r2", "s", "n")
-    # one block per content stands for all its copies, with their number
-    single = found.filter("kinds > 1 and c = 1")
-    copies = (found.filter("kinds > 1 and c > 1 and stands").groupBy("k1", "k2")
-                   .agg(F.min(F.struct("r1", "r2", "s", "n", "c")).alias("x")).select("x.*"))
-    alone = free.select("r1", "r2", "s", "n", F.lit(1).cast("long").alias("c"))
-    todo = (single.select("r1", "r2", "s", "n", "c").unionByName(copies).unionByName(alone)
-                  .groupBy("r1", "r2").agg(F.collect_list(F.struct("s", "n", F.col("c").cast("int"))).alias("open")))
+    alone = free.select("r1", "r2", "s", "n", F.lit(1).alias("c"))
+    todo = (found.filter("open").select("r1", "r2", "s", "n", "c").unionByName(alone)
+                 .groupBy("r1", "r2").agg(F.collect_list(F.struct("s", "n", "c")).alias("open")))
     windows = _window_rows(docs.join(todo.hint("shuffle_hash"), ["r1", "r2"]), text, cutter)
     counts = windows.groupBy("h1", "h2").agg(F.sum("times").alias("c")).filter("c > 1").drop("c")
     # single windows as bits of 64-window words: short lists, however many repeat

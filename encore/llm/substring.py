@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BASE_A, BASE_B, Rolling, mix, ranges, row_key, text_chunks, words
+from .common import BASE_A, Rolling, mix, ranges, row_key, text_chunks, words
 from .repeats import CELLS, ROWS, Cut, covered, repeated_windows
 
 
@@ -49,7 +49,7 @@ class WordWindows:
         out = Cut()
         doc, _, _, h = words(data, offsets)
         n, docs = len(h), len(offsets) - 1
-        out.a, out.b = Rolling(mix(h, 11), BASE_A), Rolling(mix(h, 12), BASE_B)
+        out.a, out.units_b = Rolling(mix(h, 11), BASE_A), mix(h, 12)
         out.first = np.searchsorted(doc, np.arange(docs + 1))
         per = np.maximum(np.diff(out.first) - self.width + 1, 0)
         at = ranges(out.first[:-1], per)                # window starts

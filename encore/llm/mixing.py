@@ -6,19 +6,27 @@ by ``ceil((k + 1) / w)``; one block runs per slot, always the released block wit
 the earliest deadline (ties: source order). Until a source runs out, what each
 has received at any slot differs from ``w * slot`` by less than one block.
 
-Weights are rounded to integer shares of a period, so the schedule repeats:
-one period (``resolution`` slots, or as many as there are sources) is made on
-the driver, and a block's slot follows from its number by arithmetic. Documents
-are numbered in their source without gathering a source anywhere: by hash bucket
-(about the square root of the row count), a prefix sum over the bucket counts,
-and a row number inside each bucket.
+Weights are integers ``p`` out of ``P`` (``integer_weights``): the given ones
+where they have a common denominator below 10^17, else in units of less than
+10^-16 of the total (doubles hold no more). Releases and deadlines are exact
+quotients of these integers, whatever the number of sources or slots.
+
+Weights, block windows and the schedule are Spark tables joined by source; no
+number of sources is refused. Earliest deadline first is one pass over the
+blocks in release order, so it is one task: Spark sorts (and spills) the blocks
+by release, the task streams them and holds only the released ones that wait, at
+most two per source. Documents do not go through it. Documents are numbered in
+their source without gathering a source anywhere: by hash bucket (about the
+square root of the row count), a prefix sum over the bucket counts, and a row
+number inside each bucket.
 
 Results: all rows stay, in the order of ``position``; a source that has run out
 leaves its slots empty, the others keep their proportions. The order inside a
 source is that of a hash, so copies and neighbours spread out; rows with equal
 ids are ordered by their content, fully equal rows are interchangeable. A null
 source is a source of its own. Sources without a weight raise an error, weights
-of absent sources only take part in the proportions. An empty table stays empty.
+of absent sources only take part in the proportions (their slots stay empty). An
+empty table stays empty.
 Input columns named like the added ones (``block``, ``release``, ``deadline``,
 ``slot``, ``position``) are replaced.
 """
@@ -26,17 +34,28 @@ Input columns named like the added ones (``block``, ``release``, ``deadline``,
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
+from array import array
+from collections.abc import Iterable, Iterator
+from fractions import Fraction
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import checkpointed
+
 ADDED = ("block", "release", "deadline", "slot", "position")
-MAX_SOURCES = 10_000        # the source list and one period live on the driver
+UNITS = 10 ** 17            # integer weights sum up to about this at most
+BATCH = 10_000              # blocks listed or handed back at a time
 
 
 def shares(weights: dict[str, float], resolution: int = 1000) -> dict[str, int]:
-    """Integer shares of one period, at least one each, by largest remainders."""
+    """Integer shares of one short period, at least one each, by largest remainders.
+
+    For looking at a ``schedule``; ``mix_sources`` follows the weights themselves.
+    """
     total = sum(weights.values())
     if not weights or total <= 0 or min(weights.values()) <= 0:
         raise ValueError("weights must be positive")
@@ -52,21 +71,96 @@ def shares(weights: dict[str, float], resolution: int = 1000) -> dict[str, int]:
     return out
 
 
+def earliest_deadline_first(blocks: Iterable[tuple[int, int, int, int]]) -> Iterator[tuple]:
+    """Blocks ``(release, deadline, source, number)``, sorted: each as
+    ``(source, number, release, deadline, slot)``.
+
+    Blocks of one release wait as a flat array; the heap holds the head of each.
+    """
+    ready: list[tuple] = []
+
+    def pop() -> tuple:
+        deadline, s, k, release, run, at = ready[0]
+        if at < len(run):
+            heapq.heapreplace(ready, (*run[at:at + 3], release, run, at + 3))
+        else:
+            heapq.heappop(ready)
+        return s, k, release, deadline
+
+    slot = 0
+    for release, group in itertools.groupby(blocks, lambda x: x[0]):
+        while ready and slot < release:
+            yield *pop(), slot
+            slot += 1
+        slot = max(slot, release)
+        run = array("q", itertools.chain.from_iterable(x[1:] for x in group))
+        heapq.heappush(ready, (*run[:3], release, run, 3))
+    while ready:
+        yield *pop(), slot
+        slot += 1
+
+
 def schedule(share: dict[str, int]) -> list[tuple[str, int, int, int, int]]:
     """One period by earliest deadline first: ``(source, block, release, deadline, slot)``."""
-    period = sum(share.values())
-    waiting = sorted((k * period // p, -(-(k + 1) * period // p), s, k)
-                     for s, p in share.items() for k in range(p))
-    ready: list[tuple[int, str, int, int]] = []
-    out, at = [], 0
-    for slot in range(period):
-        while at < len(waiting) and waiting[at][0] <= slot:
-            release, deadline, s, k = waiting[at]
-            heapq.heappush(ready, (deadline, s, k, release))
-            at += 1
-        deadline, s, k, release = heapq.heappop(ready)
-        out.append((s, k, release, deadline, slot))
-    return out
+    period, names = sum(share.values()), sorted(share)
+    blocks = sorted((k * period // share[s], -(-(k + 1) * period // share[s]), i, k)
+                    for i, s in enumerate(names) for k in range(share[s]))
+    return [(names[i], *rest) for i, *rest in earliest_deadline_first(blocks)]
+
+
+def integer_weights(weights: dict[str, float]) -> dict[str, int]:
+    """Weights as integers of the same proportions, decimal fractions taken as written."""
+    if any(w <= 0 for w in weights.values()) or not all(math.isfinite(w) for w in weights.values()):
+        raise ValueError("weights must be positive")
+    exact = {s: Fraction(repr(float(w))) for s, w in weights.items()}
+    total, unit = sum(exact.values()), 1
+    for w in exact.values():
+        unit = math.lcm(unit, w.denominator)
+        if total * unit > UNITS:
+            unit = Fraction(UNITS) / total
+            break
+    return {s: max(1, round(w * unit)) for s, w in exact.items()}
+
+
+def _root_weights(sizes: DataFrame) -> DataFrame:
+    """Square roots of the row counts in units of a power of two: exact for square counts."""
+    root = F.sqrt("_rows")
+    total = sizes.agg(F.sum(root)).first()[0] or 1.0
+    unit = 2.0 ** math.floor(math.log2(UNITS / total))
+    return sizes.withColumn("_p", F.greatest(F.lit(1), F.round(root * unit)).cast("long"))
+
+
+def _windows(blocks: DataFrame, total: int) -> DataFrame:
+    """Release and deadline of block ``_k`` at ``_p`` of ``total``, in exact integers."""
+    whole = F.lit(str(total)).cast("decimal(19,0)")
+    part = F.col("_p").cast("decimal(19,0)")
+
+    def quotient(k: Column, up: Column) -> Column:
+        scaled = k.cast("decimal(18,0)") * whole + up
+        return F.call_function("div", scaled.cast("decimal(38,0)"), part).cast("long")
+    return (blocks.withColumn("release", quotient(F.col("_k"), F.lit(0).cast("decimal(19,0)")))
+                  .withColumn("deadline", quotient(F.col("_k") + 1, part - 1)))
+
+
+def _scheduled(blocks: DataFrame) -> DataFrame:
+    """``(_i, _k, release, deadline, slot)`` of all blocks: one streaming task over small rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("_i", "_k", "release", "deadline", "slot")
+
+        def batch(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=list(names))
+        waiting = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
+        out = []
+        for row in earliest_deadline_first(waiting):
+            out.append(row)
+            if len(out) == BATCH:
+                yield batch(out)
+                out = []
+        if out:
+            yield batch(out)
+    ordered = (blocks.select("release", "deadline", "_i", "_k").repartition(1)
+                     .sortWithinPartitions("release", "deadline", "_i", "_k"))
+    return ordered.mapInArrow(run, "_i long, _k long, release long, deadline long, slot long")
 
 
 def _source(name: str):
@@ -94,31 +188,30 @@ def mix_sources(df: DataFrame, weights: dict[str | None, float] | None = None, s
 
     ``weights``: target weight per source value (None: null). Without them the
     square roots of the row counts are the targets, which lifts small sources.
+    ``resolution`` has no effect any more: the schedule follows the weights themselves.
     """
     df = df.drop(*ADDED)
-    sizes = df.groupBy(_source(source).alias("s")).count().limit(MAX_SOURCES + 1).collect()
-    if len(sizes) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
+    sizes = df.groupBy(_source(source).alias("_s")).agg(F.count(F.lit(1)).alias("_rows"))
+    # numbered in source order, which breaks ties
+    sizes = checkpointed(sizes.orderBy("_s").withColumn("_i", F.monotonically_increasing_id()))
     if weights is None:
-        target = {r.s: math.sqrt(r["count"]) for r in sizes}
+        sizes = _root_weights(sizes)
+        total = sizes.agg(F.sum("_p")).first()[0] or 1
     else:
-        target = {"-" if s is None else f"={s}": float(w) for s, w in weights.items()}
-        missing = sorted({r.s for r in sizes} - set(target))
+        target = integer_weights({"-" if s is None else f"={s}": w for s, w in weights.items()})
+        given = df.sparkSession.createDataFrame(list(target.items()), "_s string, _p long")
+        sizes = sizes.join(given, "_s", "left")
+        total = sum(target.values())
+        missing = [r["_s"] for r in sizes.filter("_p IS NULL").orderBy("_s").limit(20).collect()]
         if missing:
             raise ValueError(f"no weight for {missing}")
-    share = shares(target, resolution) if target else {}
-    period = sum(share.values())
-    plan = df.sparkSession.createDataFrame(
-        [(s, k, share[s], r, d, slot) for s, k, r, d, slot in schedule(share)] if share else [],
-        "_s string, _k long, _p long, _release long, _deadline long, _slot long")
-    per_source = plan.select("_s", "_p").distinct()
-    rows = (numbered(df, source, doc_id).join(F.broadcast(per_source), "_s")
-            .withColumn("block", F.floor(F.col("_n") / block_rows))
-            .withColumn("_k", F.col("block") % F.col("_p"))
-            .withColumn("_cycle", F.floor(F.col("block") / F.col("_p")) * period))
-    out = rows.drop("_p").join(F.broadcast(plan.drop("_p")), ["_s", "_k"])
-    return (out.withColumn("release", F.col("_cycle") + F.col("_release"))
-               .withColumn("deadline", F.col("_cycle") + F.col("_deadline"))
-               .withColumn("slot", F.col("_cycle") + F.col("_slot"))
-               .withColumn("position", F.col("slot") * block_rows + F.col("_n") % block_rows)
-               .select(*df.columns, *ADDED))
+    blocks = (sizes.withColumn("_last", F.floor((F.col("_rows") - 1) / block_rows).cast("long"))
+                   .withColumn("_first", F.explode(F.sequence(F.lit(0).cast("long"), "_last", F.lit(BATCH).cast("long"))))
+                   .select("_i", "_p", F.explode(F.sequence(
+                       "_first", F.least("_last", F.col("_first") + BATCH - 1))).alias("_k")))
+    plan = (_scheduled(_windows(blocks, total)).join(sizes.select("_i", "_s"), "_i")
+            .select("_s", F.col("_k").alias("block"), "release", "deadline", "slot"))
+    rows = numbered(df, source, doc_id).withColumn("block", F.floor(F.col("_n") / block_rows))
+    return (rows.join(plan, ["_s", "block"])
+                .withColumn("position", F.col("slot") * block_rows + F.col("_n") % block_rows)
+                .select(*df.columns, *ADDED))

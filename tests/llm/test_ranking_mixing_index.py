@@ -82,6 +82,39 @@ def test_mixture_errors_and_empty(spark):
     assert mixing.mix_sources(df).count() == 1
 
 
+def lags(rows, weight):
+    """Largest deviation of any source from ``weight * slots`` over a mixture of one-row blocks."""
+    at = {}
+    for r in rows:
+        at.setdefault(r.source, []).append(r.slot)
+    last = min(max(slots) for slots in at.values())      # no source has run out before
+    worst = 0.0
+    for s, slots in at.items():
+        for got, slot in enumerate(sorted(slots)):
+            if slot <= last:
+                worst = max(worst, abs(got - weight[s] * slot), abs(got + 1 - weight[s] * (slot + 1)))
+    return worst
+
+
+def test_mixture_holds_irrational_weights_of_many_sources(spark):
+    # one source at 30 %, 899 small ones: the shares of a 1000-slot period gave it 10 %
+    weight = {"big": math.pi, **{f"s{i}": math.pi * 7 / 3 / 899 for i in range(899)}}
+    rows = [(i, "big") for i in range(1200)] + [(10_000 + i, f"s{i % 899}") for i in range(3 * 899)]
+    out = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, source string"), weight, block_rows=1)
+    got = out.orderBy("position").collect()
+    total = sum(weight.values())
+    assert all(r.release <= r.slot < r.deadline for r in got) and len({r.slot for r in got}) == len(rows)
+    assert lags(got, {s: w / total for s, w in weight.items()}) < 1 + 1e-6
+    assert abs(sum(r.source == "big" for r in got[:3000]) - 900) <= 1
+    # many slots of few sources: the rounding to thousandths grew with the slots
+    weight = {"a": 2 ** 0.5, "b": 1.0, "c": 0.0005}
+    rows = [(i, "a") for i in range(15_000)] + [(20_000 + i, "b") for i in range(10_000)] + [
+        (40_000 + i, "c") for i in range(6)]
+    out = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, source string"), weight, block_rows=1)
+    total = sum(weight.values())
+    assert lags(out.collect(), {s: w / total for s, w in weight.items()}) < 1 + 1e-6
+
+
 def exact(vectors, k):
     ok = {i: np.array(v, float) for i, v in vectors if v is not None and i is not None and len(v) == 8
           and None not in v and np.isfinite(v).all() and np.any(v)}

@@ -115,6 +115,16 @@ def test_mixture_holds_irrational_weights_of_many_sources(spark):
     assert lags(out.collect(), {s: w / total for s, w in weight.items()}) < 1 + 1e-6
 
 
+def test_mixture_takes_any_number_of_sources(spark):
+    n = 12_000
+    rows = [(i, f"s{i % n}") for i in range(3 * n)] + [(100_000 + i, "big") for i in range(2000)]
+    got = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, source string"), block_rows=1).collect()
+    assert sorted((r.doc_id, r.source) for r in got) == sorted(rows)
+    assert all(r.release <= r.slot < r.deadline for r in got) and len({r.position for r in got}) == len(rows)
+    root = {**{f"s{i}": 3 ** 0.5 for i in range(n)}, "big": 2000 ** 0.5}
+    assert lags(got, {s: w / sum(root.values()) for s, w in root.items()}) < 1 + 1e-6
+
+
 def exact(vectors, k):
     ok = {i: np.array(v, float) for i, v in vectors if v is not None and i is not None and len(v) == 8
           and None not in v and np.isfinite(v).all() and np.any(v)}

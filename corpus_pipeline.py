@@ -3,6 +3,9 @@
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run``
 writes each result as Parquet under the shared checkpoint folder and hands the
 reread table on. All stages but the last return the columns of ``documents``.
+
+A reread table has no row order. The mixture is the order of the rows in the
+files of its stage, so the last stage takes it from there as ``position``.
 """
 
 from __future__ import annotations
@@ -10,8 +13,9 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from encore.llm import mixing, minhash, preference, sentencepiece, site_lines
 from encore.llm.common import table
@@ -45,10 +49,30 @@ def mix_by_source(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return mixing.mix_sources(docs).orderBy("position").select(*docs.columns)
 
 
+def in_written_order(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``position``, the row's number (from 0) in the order it was written in.
+
+    Of Parquet files: rows before the file, in order of file names, and the row's
+    number in it. Of any other table: increasing in the order of its partitions.
+    """
+    try:
+        rows = docs.select(*docs.columns, F.col("_metadata.file_name").alias("_file"),
+                           F.col("_metadata.row_index").alias("_row"))
+    except AnalysisException:
+        return docs.withColumn("position", F.monotonically_increasing_id())
+    # one row per file; a part number outgrows its five digits
+    before = (Window.orderBy(F.regexp_extract("_file", "^part-([0-9]+)", 1).try_cast("long"), "_file")
+                    .rowsBetween(Window.unboundedPreceding, -1))
+    files = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows")).select(
+        "_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    return (rows.join(F.broadcast(files), "_file").withColumn("position", F.col("_start") + F.col("_row"))
+                .select(*docs.columns, "position"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, their number and the digest of the decoded text."""
+    """Place in the mixture, token ids of every text, their number and the digest of the decoded text."""
     ship_package(spark)
-    return sentencepiece.encode_texts(docs, piece_model(), keep=["doc_id", "source"],
+    return sentencepiece.encode_texts(in_written_order(docs), piece_model(), keep=["doc_id", "source", "position"],
                                       outputs=("n_tokens", "ids", "decoded_sha256"))
 
 
@@ -65,6 +89,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sort the result by ``position`` for the mixture."""
     folder = os.path.join(ensure_checkpoint_dir(spark), f"pipeline-{uuid.uuid4().hex}")
     docs = table(spark, sf_dir, "documents")
     for number, (name, stage) in enumerate(STAGES):

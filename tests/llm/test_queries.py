@@ -142,3 +142,53 @@ def test_pipeline_takes_awkward_tables(spark, tables):
                 continue                # its verdict on such texts is the ranking's affair
             docs = spark.createDataFrame(out.collect(), out.schema)
         assert docs.count() == (4 if data else 0)
+
+
+def test_pipeline_order_is_the_mixture(spark, tables, tmp_path):
+    """Through files that a scan reads in another order; places against a brute-force schedule."""
+    import math
+
+    import corpus_pipeline as cp
+    rows = [(i, f"text number {i} of this table", "en", s, 30) for i, s in enumerate(
+        ["a"] * 900 + ["b"] * 400 + ["c"] * 100 + [None] * 16)]
+    docs = spark.createDataFrame(rows, tables["documents"].schema)
+    path = str(tmp_path / "mixed")
+    mixed = cp.mix_by_source(spark, docs, ROOT).collect()
+    # five files of very different sizes, in the order of the mixture
+    cuts = [0, 10, 700, 720, 1400, len(mixed)]
+    for n, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
+        spark.createDataFrame(mixed[lo:hi], docs.schema).coalesce(1).write.parquet(f"{path}-{n}")
+        part = next(f for f in os.listdir(f"{path}-{n}") if f.startswith("part-"))
+        os.makedirs(path, exist_ok=True)
+        with open(f"{path}-{n}/{part}", "rb") as source, open(f"{path}/part-0000{n}-x.parquet", "wb") as target:
+            target.write(source.read())
+    got = cp.encode(spark, spark.read.parquet(path), ROOT).orderBy("position").collect()
+    assert [r.position for r in got] == list(range(len(rows)))
+    assert [r.doc_id for r in got] == [r.doc_id for r in mixed]
+    # earliest deadline first, slot by slot, over blocks of 16 rows with square-root weights
+    size = {"a": 900, "b": 400, "c": 100, None: 16}
+    total = sum(map(math.sqrt, size.values()))
+    order, done, slot = [], dict.fromkeys(size, 0), 0
+    while any(done[s] * 16 < n for s, n in size.items()):
+        ready = [(math.ceil((done[s] + 1) * total / math.sqrt(n)), str(s or ""), s) for s, n in size.items()
+                 if done[s] * 16 < n and math.floor(done[s] * total / math.sqrt(n)) <= slot]
+        if ready:
+            s = min(ready)[2]
+            order += [s] * min(16, size[s] - 16 * done[s])
+            done[s] += 1
+        slot += 1
+    assert [r.source for r in got] == order
+
+
+def test_pipeline_result_is_in_mixture_order(spark, tables):
+    """``run`` over its own files: the places of stage 4 arrive in the last result."""
+    import corpus_pipeline as cp
+    from encore.llm import mixing
+    done = cp.run(spark, ROOT)
+    got = [(r.doc_id, r.source) for r in done.orderBy("position").collect()]
+    docs = tables["documents"]
+    for name, stage in cp.STAGES[:3]:
+        out = stage(spark, docs, ROOT)
+        docs = spark.createDataFrame(out.toPandas(), out.schema)
+    want = [(r.doc_id, r.source) for r in mixing.mix_sources(docs).orderBy("position").collect()]
+    assert got == want

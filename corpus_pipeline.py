@@ -31,9 +31,11 @@ def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_site_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines on too many of their source's pages go; lengths follow."""
+    """Lines on too many of their source's distinct pages go; lengths follow.
+
+    Copies of a page count once, so they reach the next stage with their text."""
     ship_package(spark)
-    left = site_lines.drop_boilerplate(docs).select(*docs.columns)
+    left = site_lines.drop_boilerplate(docs, distinct=True).select(*docs.columns)
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

@@ -9,8 +9,12 @@ A page contributes each of its lines once, and counts are summed before the
 shuffle, so a line on a third of all pages is one number per task. The dropped
 lines join back by (host, line); Spark splits a hot line's partition.
 
+With ``distinct`` equal texts of a host are one page, in both counts, so a group
+of copies does not make its own lines boilerplate. Without it they are pages of
+their own. Either way every row loses the same lines as its copies.
+
 Results: null texts count as empty pages and come out empty. Blank lines are
-kept and not counted. Repeated rows are pages of their own. A null host is a
+kept and not counted. Repeated rows are like other copies. A null host is a
 host of its own. A page whose lines all go keeps its row with what blank lines
 leave. Other columns pass through; ``n_lines`` and ``n_dropped`` are replaced.
 """
@@ -38,7 +42,7 @@ def _filled(lines: Column) -> Column:
 
 
 def drop_boilerplate(df: DataFrame, host: str = "source", text: str = "text", ratio: float = 0.02,
-                     min_pages: int = 5) -> DataFrame:
+                     min_pages: int = 5, distinct: bool = False) -> DataFrame:
     """The input with boilerplate lines removed from ``text``, and ``n_lines``, ``n_dropped``."""
     df = df.drop("n_lines", "n_dropped")
     named = {c: f"_c{i}" for i, c in enumerate(df.columns)}
@@ -47,8 +51,16 @@ def drop_boilerplate(df: DataFrame, host: str = "source", text: str = "text", ra
     body = named[text]
     lines = pages.select("host", "r1", "r2", F.explode(F.array_distinct(
         F.transform(_filled(_lines(body)), _key))).alias("line"))
-    totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    boiler = (lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
+    counted, one_each = lines, pages
+    if distinct:
+        # the row with the smallest key stands for its copies (and for rows equal to it)
+        content = F.xxhash64(F.coalesce(F.col(body), F.lit("")))
+        one_each = (pages.select("host", "r1", "r2", content.alias("content")).groupBy("host", "content")
+                         .agg(F.min(F.struct("r1", "r2")).alias("r")).select("host", "r.r1", "r.r2"))
+        counted = (lines.join(one_each, ["host", "r1", "r2"], "left_semi")
+                        .select("host", "r1", "r2", "line").distinct())
+    totals = one_each.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    boiler = (counted.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
                    .filter(F.col("n") >= min_pages).join(totals, "host")
                    .filter(F.col("n") > ratio * F.col("pages")).select("host", "line"))
     hits = lines.join(boiler, ["host", "line"]).groupBy("r1", "r2").agg(F.collect_set("line").alias("gone"))

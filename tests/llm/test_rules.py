@@ -80,6 +80,33 @@ def test_site_lines_equal_brute_force(spark, docs):
     assert site_lines.drop_boilerplate(docs([])).count() == 0
 
 
+def test_site_lines_of_distinct_pages(spark, docs):
+    body = "first own line\nsecond own line"
+    rows = [(i, body, "s") for i in range(12)] + [(3, body, "s")] + [      # a group of copies, one a repeated row
+        (100 + i, f"menu\nline {i}", "s") for i in range(20)] + [(200, None, "s"), (201, "", "s"), (202, "menu", None)]
+    got = {r.doc_id: r.text for r in site_lines.drop_boilerplate(docs(rows), distinct=True).collect()}
+    assert len(got) == 35 and all(got[i] == body for i in range(12))
+    assert all(got[100 + i] == f"line {i}" for i in range(20)) and got[202] == "menu"
+    # the ratio is of distinct pages: 20 copies and 20 others are 21 pages, "menu" is on 4 of them
+    rows = [(i, body, "s") for i in range(20)] + [(100 + i, f"{'menu' if i < 4 else 'x%d' % i}\nline {i}", "s")
+                                                  for i in range(20)]
+    for ratio, kept in ((0.18, False), (0.2, True)):
+        out = site_lines.drop_boilerplate(docs(rows), ratio=ratio, min_pages=3, distinct=True).collect()
+        assert all(r.text.startswith("menu") == kept for r in out if 100 <= r.doc_id < 104)
+
+
+def test_one_of_a_group_of_copies_keeps_its_text(spark, docs):
+    import corpus_pipeline as cp
+    body = "\n".join(" ".join(f"word{j}x{k}" for k in range(12)) for j in range(4))
+    rows = [(i, body, "en", "s", len(body)) for i in range(40)] + [
+        (100 + i, " ".join(f"other{i}y{k}" for k in range(30)), "en", "s", 5) for i in range(60)]
+    out = docs(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in cp.STAGES[1:3]:
+        out = stage(spark, spark.createDataFrame(out.collect(), out.schema), "")
+    left = [r.text for r in out.collect()]
+    assert left.count(body) == 1 and "" not in left and len(left) == 61
+
+
 def luhn(d):
     return sum(x if i % 2 == 0 else (2 * x - 9 if x > 4 else 2 * x) for i, x in enumerate(map(int, d[::-1]))) % 10 == 0
 

@@ -3,9 +3,10 @@
 Base spans come from four fixed patterns (email, ip, card, phone), leftmost and
 non-overlapping per kind, with their number checks. They seed the bootstrap:
 
-1. *Candidates* are tokens of letters and digits with a digit, at least
-   ``min_length`` long and outside every base span. Seeds and candidates carry
-   their left context, the two words before them.
+1. *Candidates* are tokens of letters and digits with a digit, single ``- . _ /``
+   inside included, at least ``min_length`` long and outside every base span.
+   Seeds and candidates carry their left context, the two words before them in
+   the text, whatever those hold; white space counts as written.
 2. A pattern is (kind, left context). A pattern's score is the summed score of
    the distinct known instances that it precedes, divided by the distinct
    instances of any sort that it precedes; with fewer than ``min_support`` known
@@ -53,7 +54,9 @@ NEEDS = {
     "card": r"[0-9](?:[ -]?[0-9]){12}",
     "phone": r"\+[0-9]",
 }
-CANDIDATE = r"(?<![A-Za-z0-9])[A-Za-z]*+[0-9][A-Za-z0-9]*+"
+# Starts where no token can go on, so a run is looked through for a digit once.
+CANDIDATE = (r"(?<![A-Za-z0-9])(?<![A-Za-z0-9][._/-])(?=(?:[A-Za-z]++[._/-])*+[A-Za-z]*+[0-9])"
+             r"[A-Za-z0-9]++(?:[._/-][A-Za-z0-9]++)*+")
 CONTEXT = 80                # characters looked at for the two words before a match
 RESULTS = ("n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
 
@@ -66,9 +69,15 @@ def _matches(rows: DataFrame, text: str, pattern: str, needs: str) -> DataFrame:
                  .select("r1", "r2", F.posexplode(F.arrays_zip("gaps", "hits")).alias("at", "m"))
                  .filter(F.col("m.hits").isNotNull())
                  .select("r1", "r2", "at", F.col("m.hits").alias("hit"), F.length("m.gaps").alias("gap"),
-                         F.expr(f"right(m.gaps, {CONTEXT})").alias("before")).distinct())
-    upto = Window.partitionBy("r1", "r2").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    each = each.withColumn("e", F.sum(F.col("gap") + F.length("hit")).over(upto))
+                         F.expr(f"right(m.gaps, {CONTEXT})").alias("near")).distinct())
+    by_place = Window.partitionBy("r1", "r2").orderBy("at")
+    upto = by_place.rowsBetween(Window.unboundedPreceding, 0)
+    # the text before a match: earlier matches (a character or more each) and gaps
+    last = F.expr(f"right(hit, {CONTEXT})")
+    each = each.withColumn("piece", F.concat(F.coalesce(F.lag(last).over(by_place), F.lit("")), "near"))
+    before = F.array_join(F.collect_list("piece").over(by_place.rowsBetween(-CONTEXT, 0)), "")
+    each = (each.withColumn("e", F.sum(F.col("gap") + F.length("hit")).over(upto))
+                .withColumn("before", F.right(before, F.lit(CONTEXT))))
     return each.select("r1", "r2", (F.col("e") - F.length("hit")).alias("s"), "e", "hit", "before")
 
 

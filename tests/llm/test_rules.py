@@ -157,3 +157,15 @@ def test_bootstrap_finds_identifiers_by_context(spark, docs):
     copies = spark.createDataFrame([(i, "some text call me +1 (555) 555-0100 ok") for i in range(9)]
                                    + [(20, "some text call me x77abc12 now")], "doc_id long, text string")
     assert {r.spans for r in pii.annotate(copies).collect() if r.doc_id == 20} == {""}
+
+
+def test_bootstrap_looks_past_earlier_matches_and_separators(spark):
+    """At the production settings: digits in the context, identifiers with inner separators."""
+    rows = [(i, f"room 7 please call 24 hotline +1 (555) 555-01{i:02d} now") for i in range(30)]
+    rows += [(100, "call 24 hotline 5551234 now"), (101, "please call 24 hotline 555-123-4567."),
+             (102, "call 99 hotline EMP-483920/b"), (103, "call hotline 24 5551234"), (104, "a-" * 5000 + " x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.annotate(df).collect()}
+    assert got[100] == "found_phone:16:23" and got[101] == "found_phone:23:35"
+    assert got[102] == "found_phone:16:28"
+    assert got[103] == got[104] == ""

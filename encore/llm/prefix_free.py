@@ -13,10 +13,10 @@ suffix from the last start, parse up to the end of the first string), and the
 block's content runs from the first start to the end of the last string. Highly
 repetitive text has few distinct blocks, however many copies.
 
-Corpus order is used for one purpose, to bring equal strings together. It is
-taken over (phrase suffix, parse suffix) fingerprints of 128 bits rather than
-over lexicographic ranks: equal prefixes of ``width`` bytes are adjacent in
-either, and ranks would need one family of near copies in one sorted range.
+No phrase dictionary, parse or suffix array is built, and nothing is put in
+corpus order. Suffix arrays would serve one purpose here, to bring equal strings
+together; grouping the blocks by 128-bit hashes of their contents does that
+without an order, and without one family of near copies in one sorted range.
 Steps (``repeats.py``): blocks whose core is seen once are passed over, blocks
 whose whole content repeats are settled as one row, and the starts of the
 remaining blocks are compared one by one. Starts with no mark near (low-entropy bytes)

@@ -1,4 +1,3 @@
-import datetime as dt
 import os
 import sys
 import tempfile
@@ -7,9 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from encore import schemas  # noqa: E402
-
-BASE = dt.datetime(2024, 1, 1)
+from feed import Feed  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -21,36 +18,6 @@ def spark():
     s.stop()
 
 
-class Feed:
-    """Records in arrival order; the arrival number becomes ``ts`` (seconds after BASE).
-
-    Mirrors the reference tests, which pipe one record after the other.
-    """
-
-    def __init__(self):
-        self.seq = 0
-        self.rows = {name: [] for name in schemas.ENTITIES}
-        self.ids = 0
-
-    def add(self, entity, **fields):
-        self.seq += 1
-        if "id" not in fields:
-            self.ids += 1
-            fields["id"] = 100_000 + self.ids if entity != "address" else f"gen-{self.ids}"
-        fields["ts"] = BASE + dt.timedelta(seconds=self.seq)
-        self.rows[entity].append(fields)
-        return fields["id"]
-
-    def df(self, spark, entity):
-        schema = schemas.ENTITIES[entity]
-        data = [tuple(r.get(f.name) for f in schema.fields) for r in self.rows[entity]]
-        return spark.createDataFrame(data, schema)
-
-
 @pytest.fixture
 def feed():
     return Feed()
-
-
-def rows(df, *cols):
-    return sorted(tuple(r) for r in df.select(*cols).collect())

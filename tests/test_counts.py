@@ -1,4 +1,4 @@
-from conftest import rows
+from feed import rows
 
 from encore.plans import counts
 

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import BASE, rows
+from feed import BASE, rows
 from pyspark.sql import functions as F
 
 from encore.plans import ranking

@@ -6,7 +6,7 @@ import random
 import tempfile
 
 import pytest
-from conftest import BASE, Feed, rows
+from feed import BASE, Feed, rows
 from pyspark.sql import functions as F
 
 from encore import schemas

@@ -30,6 +30,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the files of a table that ``materialize`` wrote, after its last reader."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        target = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def row_key(*cols: str):
     """128-bit key of a row's content: equal rows share it, so results never mix
     rows that only share an id, and null ids are ordinary values."""

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (hnsw, line_rules, minhash, mixing, pii, preference, prefix_free, sentencepiece, site_lines,
-               substring)
+from . import (hnsw, line_rules, minhash, mixing, pii, pivots, preference, prefix_free, prefix_trie, repair,
+               sentencepiece, site_lines, substring)
 from .common import table
 from .oracle import ORACLE  # noqa: F401
 
@@ -83,6 +83,24 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op11_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest integer inner products of every 20th vector."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return pivots.top_k(vectors, vectors.filter("vec_id % 20 = 0"), k=20, scale=64)
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations: their faults and the cheapest repair."""
+    return repair.repair(repair.damage(table(spark, sf_dir, "conversations")), gone="gone")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of conversations rebuilt with shared beginnings, aggregated over subtrees."""
+    talks = table(spark, sf_dir, "conversations")
+    ids = talks.select(F.col("conv_id").cast("long").alias("c")).filter("c is not null").distinct()
+    return prefix_trie.prefix_trie(*prefix_trie.rebuilt_turns(prefix_trie.numbered_turns(talks), ids))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline's result."""
     import corpus_pipeline
@@ -91,4 +109,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_sentencepiece, op2_pii, op3_line_rules, op4_preference, op5_site_lines, op6_substring_dedup, op7_hnsw,
-    op8_prefix_free, op9_mixing, op10_minhash, pipeline)}
+    op8_prefix_free, op9_mixing, op10_minhash, op11_pivots, op12_repair, op13_prefix_trie, pipeline)}

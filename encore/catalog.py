@@ -12,9 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import bottom_n, latest_by_key, materialize, top_n, versions_by_key
+from .operators import bottom_n, latest_by_key, materialize, temporal_join, top_n, versions_by_key
 from .plans import alerts, counts, ranking, sql_reports, stateless, suggestions, tickets, venues
 from .sources import Domain
+from .sources.files import typed_records, with_position
 from .streaming.sinks import keyed_records
 
 # Parameters of the registered reports (fixed values of this data mapping).
@@ -113,6 +114,58 @@ def versions_by_key_address(d: Domain):
                     F.date_format("valid_to", TS_TEXT).alias("valid_to"))
 
 
+# ---- tombstones: null values delete ---------------------------------------------
+@query
+def latest_by_key_address_deletes(d: Domain):
+    """Addresses of the accounts that are open at the end."""
+    return latest_by_key(d.customer_address_log, ["customerid"], deleted="deleted").select("customerid", "id", "state")
+
+
+@query
+def versions_by_key_address_deletes(d: Domain):
+    """Address versions; a closed account ends the version before it."""
+    return versions_by_key(d.customer_address_log, ["customerid"], deleted="deleted").select(
+        "customerid", "id", "state", F.date_format("ts", TS_TEXT).alias("valid_from"),
+        F.date_format("valid_to", TS_TEXT).alias("valid_to"))
+
+
+@query
+def join_ticket_customer_address_deletes(d: Domain):
+    """Tickets with the buyer's address, if the account was open at the purchase."""
+    t = d.ticket.select("id", "customerid", "eventid", "ts")
+    return temporal_join(t, d.customer_address_log, ["customerid"], deleted="deleted",
+                         payload={"id": "addressid", "state": "customerstate"}).drop("ts")
+
+
+@query
+def join_ticket_event_deletes(d: Domain):
+    """Tickets with their event, if it was announced and not withdrawn at the purchase."""
+    t = d.ticket.select("id", "customerid", "eventid", "ts")
+    return temporal_join(t, d.event_log, {"eventid": "id"}, payload=["artistid"], strategy="interval",
+                         deleted="deleted").drop("ts")
+
+
+@query
+def purchase_event_ticket_deletes(d: Domain):
+    """P5 over events that may be withdrawn."""
+    return tickets.purchase_event_ticket(d.ticket, d.event_log, deleted="deleted")
+
+
+# ---- records as stored: positions, typed values, what cannot be parsed --------------
+@query
+def typed_ticket_records(d: Domain):
+    """Ticket records written as keyed JSON and read back typed. Some are tombstones and some cut
+    off, as a topic may hold them; these are told apart, not turned into empty tickets."""
+    line = F.to_json(F.struct("id", "customerid", "eventid"))
+    kind = F.col("id") % 10
+    stored = materialize(d.ticket.select(
+        F.col("id").cast("string").alias("key"),
+        F.when(kind == 0, None).when(kind == 1, F.left(line, F.length(line) - 1)).otherwise(line).alias("value")),
+        "records")
+    typed = typed_records(with_position(stored), "ticket")
+    return typed.select("key", "status", "customerid", "eventid", F.col("raw").alias("unparsed"))
+
+
 @query
 def write_keyed(d: Domain):
     """The key/value record form a sink receives (here: listens per customer)."""
@@ -388,6 +441,9 @@ _streamed("stream_out_of_state_ticket_holders", _lazy("out_of_state_ticket_holde
 _streamed("stream_instate_streamers_vs_capacity_changelog", _lazy("instate_streamers_vs_capacity_changelog"))
 _streamed("stream_least_streaming_ticket_holders", _lazy("least_streaming_ticket_holders"))
 _streamed("stream_purchase_event_ticket_tables", _lazy("purchase_event_ticket"))
+_streamed("stream_purchase_event_ticket_deletes", _lazy("purchase_event_ticket_deletes"))
+_streamed("stream_venue_most_customers", _lazy("venue_most_customers"))
+_streamed("stream_totals_running", _lazy("totals_running"))
 _streamed("stream_top_customer_artists_changelog", _lazy("top_customer_artists_changelog"))
 _streamed("stream_least_streaming_ticket_holders_changelog", _lazy("least_streaming_ticket_holders_changelog"))
 

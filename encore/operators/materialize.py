@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from ..session import scratch_path
 
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back.
 
@@ -18,3 +19,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, f"table-{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the files of a table that ``materialize`` wrote, after its last reader."""
+    spark = df.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

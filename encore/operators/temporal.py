@@ -6,6 +6,9 @@ its key, the newest version with ``version.ts <= t``; versions written later
 never reach it. Ties at equal ``ts`` are broken by the record id, and a version
 written at the same moment as the stream row is visible to it.
 
+A version whose ``deleted`` column is true is a tombstone: it ends the value
+before it, and rows that arrive until the next version find nothing.
+
 Two plans, same result:
 
 ``strategy="interval"`` — for dimension tables with few versions per key.
@@ -49,45 +52,53 @@ def arrival(ts: str = "ts", tiebreak: str = "id") -> Column:
             + F.col(tiebreak).cast("decimal(20,0)")).cast(wide)
 
 
+def _is_deleted(deleted: str) -> Column:
+    return F.coalesce(F.col(deleted), F.lit(False))
+
+
 def latest_by_key(df: DataFrame, keys: Sequence[str], ts: str = "ts",
-                  tiebreak: str = "id") -> DataFrame:
+                  tiebreak: str = "id", deleted: str | None = None) -> DataFrame:
     """Current value of every key: the row with the greatest ``(ts, tiebreak)``.
 
-    ``max_by`` is a partial aggregate, so a hot key is reduced map-side before
+    Keys whose last row is a tombstone are left out. ``max_by`` is a partial aggregate, so a hot key is reduced map-side before
     the shuffle and never gathered into one task. Its buffer holds the payload,
     so Spark sorts each task's rows by key; meant for dimension tables. Record
     streams use ``arrival`` with a hash aggregate.
     """
     rest = [c for c in df.columns if c not in keys]
-    return (df.groupBy(*keys)
-              .agg(F.max_by(F.struct(*rest), F.struct(ts, tiebreak)).alias("_v"))
-              .select(*keys, "_v.*"))
+    out = (df.groupBy(*keys)
+             .agg(F.max_by(F.struct(*rest), F.struct(ts, tiebreak)).alias("_v"))
+             .select(*keys, "_v.*"))
+    return out if deleted is None else out.filter(~_is_deleted(deleted)).drop(deleted)
 
 
 def versions_by_key(df: DataFrame, keys: Sequence[str], ts: str = "ts",
-                    tiebreak: str = "id") -> DataFrame:
+                    tiebreak: str = "id", deleted: str | None = None) -> DataFrame:
     """All versions of a table with their validity end ``valid_to`` (null = open).
 
-    Rows with a null key are dropped: they can never be looked up.
+    A tombstone ends the version before it and is no version itself. Rows with a
+    null key are dropped: they can never be looked up.
     """
     w = Window.partitionBy(*keys).orderBy(F.col(ts), F.col(tiebreak))
     clean = df
     for k in keys:
         clean = clean.filter(F.col(k).isNotNull())
-    return clean.withColumn(VALID_TO, F.lead(ts).over(w))
+    out = clean.withColumn(VALID_TO, F.lead(ts).over(w))
+    return out if deleted is None else out.filter(~_is_deleted(deleted)).drop(deleted)
 
 
 def temporal_join(left: DataFrame, table: DataFrame, on: dict[str, str] | Sequence[str],
                   *, left_ts: str = "ts", table_ts: str = "ts", tiebreak: str = "id",
                   payload: Sequence[str] | dict[str, str] | None = None,
                   how: str = "inner", strategy: str = "sliced",
-                  slice_seconds: int | None = None) -> DataFrame:
+                  slice_seconds: int | None = None, deleted: str | None = None) -> DataFrame:
     """Join every ``left`` row to the ``table`` version current at ``left_ts``.
 
     ``on`` maps left columns to table key columns (a list means equal names).
     ``payload`` are the table columns to bring along (dict: name -> alias);
     by default every non-key column except the version time.
     ``how`` is ``inner`` (rows without a version are dropped) or ``left``.
+    ``deleted`` names the table's tombstone column.
     ``strategy``: ``sliced`` (default, any table size) or ``interval``
     (dimension tables; see the module doc).
     Whether an interval table is broadcast is left to Spark's size checks.
@@ -97,20 +108,20 @@ def temporal_join(left: DataFrame, table: DataFrame, on: dict[str, str] | Sequen
     pairs = list(on.items()) if isinstance(on, dict) else [(k, k) for k in on]
     rkeys = [r for _, r in pairs]
     if payload is None:
-        payload = {c: c for c in table.columns if c not in rkeys and c not in (table_ts, tiebreak)}
+        payload = {c: c for c in table.columns if c not in rkeys and c not in (table_ts, tiebreak, deleted)}
     elif not isinstance(payload, dict):
         payload = {c: c for c in payload}
     if strategy == "interval":
-        return _interval_join(left, table, pairs, left_ts, table_ts, tiebreak, payload, how)
+        return _interval_join(left, table, pairs, left_ts, table_ts, tiebreak, payload, how, deleted)
     if strategy == "sliced":
-        return _sliced_join(left, table, pairs, left_ts, table_ts, tiebreak, payload, how, slice_seconds)
+        return _sliced_join(left, table, pairs, left_ts, table_ts, tiebreak, payload, how, slice_seconds, deleted)
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
-def _interval_join(left, table, pairs, left_ts, table_ts, tiebreak, payload, how):
+def _interval_join(left, table, pairs, left_ts, table_ts, tiebreak, payload, how, deleted):
     rkeys = [r for _, r in pairs]
-    needed = list(dict.fromkeys([*rkeys, table_ts, tiebreak, *payload.keys()]))
-    iv = versions_by_key(table.select(*needed), rkeys, table_ts, tiebreak)
+    needed = list(dict.fromkeys([*rkeys, table_ts, tiebreak, *payload.keys(), *([deleted] if deleted else [])]))
+    iv = versions_by_key(table.select(*needed), rkeys, table_ts, tiebreak, deleted)
     iv = iv.select(
         *[F.col(r).alias(f"_tk{i}") for i, r in enumerate(rkeys)],
         F.col(table_ts).alias("_tfrom"), F.col(VALID_TO).alias("_tto"),
@@ -124,13 +135,14 @@ def _interval_join(left, table, pairs, left_ts, table_ts, tiebreak, payload, how
     return out.drop(*[f"_tk{i}" for i in range(len(pairs))], "_tfrom", "_tto")
 
 
-def _sliced_join(left, table, pairs, left_ts, table_ts, tiebreak, payload, how, slice_seconds):
+def _sliced_join(left, table, pairs, left_ts, table_ts, tiebreak, payload, how, slice_seconds, deleted):
     from ..session import SLICE_SECONDS, conf_int
     from .running import SLICE, slice_of
     seconds = slice_seconds or conf_int(left.sparkSession, SLICE_SECONDS)
     keys = [f"_k{i}" for i in range(len(pairs))]
     lcols = left.columns
-    vstruct = F.struct(*[F.col(src).alias(dst) for src, dst in payload.items()])
+    gone = _is_deleted(deleted) if deleted else F.lit(False)
+    vstruct = F.struct(*[F.col(src).alias(dst) for src, dst in payload.items()], gone.alias("_gone"))
 
     has_key = F.lit(True)
     for lk, _ in pairs:
@@ -161,7 +173,8 @@ def _sliced_join(left, table, pairs, left_ts, table_ts, tiebreak, payload, how,
     carry = (ends.withColumn("_carry", F.last("_cur", ignorenulls=True).over(earlier)).drop("_cur")
                  .filter(F.col("_carry").isNotNull()))
     rows = (met.filter(F.col("_side") == 1).join(carry, [*keys, SLICE], "left")
-               .select("_l", F.coalesce("_cur", "_carry").alias("_v")))
+               .select("_l", F.coalesce("_cur", "_carry").alias("_v"))
+               .select("_l", F.when(~F.col("_v._gone"), F.col("_v")).alias("_v")))
     if how == "inner":
         rows = rows.filter(F.col("_v").isNotNull())
     out = rows.select("_l.*", *[F.col(f"_v.{dst}").alias(dst) for dst in payload.values()])

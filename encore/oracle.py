@@ -98,6 +98,17 @@ event_counts AS (  -- J10: in-state listens up to each event
   SELECT es.*, (SELECT count(*) FROM listen_state ls
                 WHERE ls.artistid = es.artistid AND ls.state = es.state AND ls.ts <= es.ts) AS n
   FROM event_state es),
+caddress_log AS (  -- addresses with tombstones
+  SELECT id, customerid, state, ts, false AS gone FROM caddress
+  UNION ALL
+  SELECT 'A' || CAST(event_id AS VARCHAR), user_id, NULL, ts, true FROM log WHERE event_type = 'error'),
+event_log AS (     -- events with tombstones
+  SELECT id, artistid, capacity, ts, false AS gone FROM event
+  UNION ALL
+  SELECT id, NULL, NULL, ts + INTERVAL 120 HOUR, true FROM event WHERE id % 3 = 0),
+tix_live AS (      -- ticket -> event that is not withdrawn at the purchase
+  SELECT t.*, e.artistid, e.capacity AS ev_capacity
+  FROM ticket t ASOF JOIN event_log e ON t.eventid = e.id AND t.ts >= e.ts WHERE NOT e.gone),
 holder_listens AS (  -- J2
   SELECT l.* FROM listen l
   WHERE EXISTS (SELECT 1 FROM tix_event te
@@ -388,6 +399,38 @@ ORACLE["least_streaming_ticket_holders_changelog"] = _q("""
                   CASE WHEN n = 1 THEN epoch_us(last_ts) ELSE -epoch_us(last_ts) END,
                   CASE WHEN n = 1 THEN last_id ELSE -last_id END) AS rnk FROM sofar)
     WHERE rnk <= 2""")
+ORACLE["latest_by_key_address_deletes"] = _q("""
+    SELECT customerid, id, state FROM (
+      SELECT customerid, arg_max(id, (ts, id)) AS id, arg_max(coalesce(state, ''), (ts, id)) AS state,
+             arg_max(gone, (ts, id)) AS gone
+      FROM caddress_log GROUP BY customerid) WHERE NOT gone""")
+ORACLE["versions_by_key_address_deletes"] = _q("""
+    SELECT customerid, id, state, valid_from, valid_to FROM (
+      SELECT customerid, id, state, gone, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS valid_from,
+             strftime(lead(ts) OVER (PARTITION BY customerid ORDER BY ts, id), '%Y-%m-%d %H:%M:%S.%f') AS valid_to
+      FROM caddress_log WHERE customerid IS NOT NULL) WHERE NOT gone""")
+ORACLE["join_ticket_customer_address_deletes"] = _q("""
+    SELECT t.id, t.customerid, t.eventid, a.id AS addressid, a.state AS customerstate
+    FROM ticket t ASOF JOIN caddress_log a ON t.customerid = a.customerid AND t.ts >= a.ts WHERE NOT a.gone""")
+ORACLE["join_ticket_event_deletes"] = _q("SELECT id, customerid, eventid, artistid FROM tix_live")
+ORACLE["purchase_event_ticket_deletes"] = _q(f"""
+    WITH numbered AS (
+      SELECT *, first_value(ev_capacity) OVER w AS cap, row_number() OVER w AS rn FROM tix_live
+      WINDOW w AS (PARTITION BY eventid ORDER BY ts, id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+    x AS (
+      SELECT *, cap - rn AS rem,
+             CASE WHEN cap - rn < 0 THEN 0.0 ELSE CAST(cap - rn AS DOUBLE) / CAST(cap AS DOUBLE) * 100.0 END AS pct
+      FROM numbered)
+    SELECT id AS ticketid, eventid, customerid, CAST(rem AS DOUBLE) AS remainingtickets,
+           {_STATUS} AS confirmationstatus, {_TIER} AS tier, 'CONF-' || CAST(id AS VARCHAR) AS confirmationid
+    FROM x WHERE ({_TIER}) IS NOT NULL""")
+ORACLE["typed_ticket_records"] = _q("""
+    SELECT CAST(id AS VARCHAR) AS key,
+           CASE id % 10 WHEN 0 THEN 'deleted' WHEN 1 THEN 'malformed' ELSE 'ok' END AS status,
+           CASE WHEN id % 10 > 1 THEN customerid END AS customerid, CASE WHEN id % 10 > 1 THEN eventid END AS eventid,
+           CASE WHEN id % 10 = 1 THEN printf('{"id":%d,"customerid":%d,"eventid":%d', id, customerid, eventid) END
+             AS unparsed
+    FROM ticket""")
 ORACLE["write_keyed_text"] = "SELECT id AS key, address AS value FROM (" + ORACLE["address_stringify"] + ")"
 ORACLE["write_keyed_json"] = (
     "SELECT CAST(customerid AS VARCHAR) AS key, printf('{\"rnk\":%d,\"artistid\":%d,\"n\":%d}', rnk, artistid, n) "
@@ -410,7 +453,8 @@ ORACLE["high_attendance_events_by_state_sql"] = ORACLE["high_attendance_events_b
 for _name in ("purchase_event_ticket", "customer_stream_count_changelog", "customer_stream_count",
               "top_customer_artists", "top_customer_artists_changelog", "least_streaming_ticket_holders_changelog",
               "target_customer_filter", "artist_ticket_count", "out_of_state_ticket_holders",
-              "instate_streamers_vs_capacity_changelog", "least_streaming_ticket_holders"):
+              "instate_streamers_vs_capacity_changelog", "least_streaming_ticket_holders",
+              "purchase_event_ticket_deletes", "venue_most_customers", "totals_running"):
     ORACLE[f"stream_{_name}"] = ORACLE[_name]
 ORACLE["stream_purchase_event_ticket_tables"] = ORACLE["purchase_event_ticket"]
 ORACLE["stream_alert_near_capacity"] = ORACLE["alert_near_capacity"]

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import parse_day
 from ..operators import running, temporal_join
 
+FEEDS = ("customers", "streams", "events", "tickets")
+
 
 def customer_stream_count(listen: DataFrame) -> DataFrame:
     """Listens per customer (partial + final aggregate)."""
@@ -56,16 +58,25 @@ def totals_running(customer: DataFrame, listen: DataFrame, event: DataFrame, tic
     Each feed is reduced to one row per day before the prefix sum, so the window
     sorts days, whatever the number of records.
     """
-    feeds = {"customers": customer, "streams": listen, "events": event, "tickets": ticket}
+    feeds = dict(zip(FEEDS, (customer, listen, event, ticket)))
     days = None
     for name, df in feeds.items():
         per = df.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("c")).select(
             "day", *[(F.col("c") if other == name else F.lit(0)).cast("bigint").alias(other) for other in feeds])
         days = per if days is None else days.unionByName(per)
-    daily = days.groupBy("day").agg(*[F.sum(f).alias(f) for f in feeds])
+    return _so_far(days.groupBy("day").agg(*[F.sum(f).alias(f) for f in feeds]))
+
+
+def totals_of_days(parts: DataFrame) -> DataFrame:
+    """``totals_running`` from rows ``(day, kind, n)``, any number of them per day and kind."""
+    return _so_far(parts.groupBy("day").agg(*[
+        F.sum(F.when(F.col("kind") == f, F.col("n")).otherwise(0)).alias(f) for f in FEEDS]))
+
+
+def _so_far(daily: DataFrame) -> DataFrame:
     so_far = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
     return daily.select(F.date_format("day", "yyyy-MM-dd").alias("day"),
-                        *[F.sum(f).over(so_far).alias(f"total_{f}") for f in feeds])
+                        *[F.sum(f).over(so_far).alias(f"total_{f}") for f in FEEDS])
 
 
 def total_past_events(event: DataFrame, as_of: str) -> DataFrame:

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import (arrival, nest_ranked, rank_within, ranked_at, running, temporal_join,
+from ..operators import (arrival, lists_after, nest_ranked, rank_within, running, temporal_join,
                          temporal_semi_join)
 
 TOP_ARTISTS = 3
 BOTTOM_HOLDERS = 2
+UNKNOWN_ARTIST = "unknown"
 
 
 def _counts(df: DataFrame, keys: list[str], n: str) -> DataFrame:
@@ -69,47 +70,55 @@ def least_order():
     return [F.col("streamamount").asc(), F.when(one, F.col("last")).otherwise(-F.col("last")).asc()]
 
 
-def counts_over_time(rows: DataFrame, key: str, item: str, n: str,
-                     stored: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Rows numbered per key, and each (key, item) count with the row numbers it holds for.
+def counted(rows: DataFrame, keys: list[str], n: str, stored: DataFrame | None = None) -> DataFrame:
+    """Rows with the running count ``n`` of their keys; ``stored`` counts (keys, n) come before."""
+    out = running(rows, keys, counts=[n])
+    if stored is None:
+        return out
+    before = stored.select(*keys, F.col(n).alias("_before"))
+    return out.join(before, keys, "left").withColumn(n, F.col(n) + F.coalesce("_before", F.lit(0))).drop("_before")
 
-    ``stored``: counts (key, item, ``n``, ``last``) that the rows add to; they hold from row 0.
+
+def most_first() -> list[Column]:
+    """Count descending, then the earlier arrival of the latest listen."""
+    return [-F.col("n"), F.unix_micros("ts"), F.col("id")]
+
+
+def least_first() -> list[Column]:
+    """``least_order`` over a listen's time and id."""
+    one = F.col("streamamount") == 1
+    return [F.col("streamamount"), *[F.when(one, c).otherwise(-c) for c in (F.unix_micros("ts"), F.col("id"))]]
+
+
+def top_customer_artists_changelog(listen: DataFrame, n: int = TOP_ARTISTS, stored: DataFrame | None = None,
+                                   lists: DataFrame | None = None) -> DataFrame:
+    """The customer's top list after every listen, one row per (listen, rank).
+
+    ``stored``, ``lists``: counts per pair and lists (customerid, artistid, n, ts, id) from before.
     """
-    at = running(rows, [key], counts=["at"]).withColumn("at", F.col("at") - 1)
-    at = running(at, [key, item], counts=["_c"])
-    if stored is not None:
-        at = at.join(stored.select(key, item, F.col(n).alias("_n0")), [key, item], "left")
-    at = at.withColumn(n, F.col("_c") + (F.coalesce("_n0", F.lit(0)) if stored is not None else 0))
-    size = at.groupBy(key).agg((F.max("at") + 1).alias("_size"))
-    after = at.select(key, item, (F.col(n) - 1).alias(n), F.col("at").alias("end"))
-    spans = at.select(key, item, n, F.col("at").alias("begin"), arrival().alias("last"))
-    if stored is not None:
-        spans = spans.unionByName(stored.select(key, item, n, F.lit(0).cast("bigint").alias("begin"), "last"))
-    spans = (spans.join(size, key).join(after, [key, item, n], "left")
-                  .withColumn("end", F.coalesce("end", "_size")).drop("_size"))
-    return at.select("id", key, "at"), spans
-
-
-def top_customer_artists_changelog(listen: DataFrame, n: int = TOP_ARTISTS) -> DataFrame:
-    """The customer's top list after every listen, one row per (listen, rank)."""
     rows = listen.filter(F.col("customerid").isNotNull()).select("id", "customerid", "artistid", "ts")
-    at, spans = counts_over_time(rows, "customerid", "artistid", "n")
-    r = ranked_at(spans, at, ["customerid"], [F.col("n").desc(), F.col("last").asc()], n)
-    return r.select("id", "customerid", "rnk", "artistid", "n")
+    return lists_after(counted(rows, ["customerid", "artistid"], "n", stored), "customerid", "artistid", "n",
+                       most_first(), n, growing=True, stored=lists)
 
 
 def least_streaming_ticket_holders_changelog(ticket: DataFrame, event: DataFrame, listen: DataFrame,
                                              n: int = BOTTOM_HOLDERS) -> DataFrame:
     """The artist's least streaming holders after every counted listen, one row per (listen, rank)."""
     rows = ticket_holder_listens(ticket, event, listen).select("id", "customerid", "artistid", "ts")
-    at, spans = counts_over_time(rows, "artistid", "customerid", "streamamount")
-    r = ranked_at(spans, at, ["artistid"], least_order(), n)
-    return r.select("id", "artistid", "rnk", "customerid", "streamamount")
+    return least_lists(rows, n)
+
+
+def least_lists(rows: DataFrame, n: int = BOTTOM_HOLDERS, stored: DataFrame | None = None) -> DataFrame:
+    """``stored``: counts (customerid, artistid, streamamount, ts, id) from before."""
+    return lists_after(counted(rows, ["customerid", "artistid"], "streamamount", stored), "artistid", "customerid",
+                       "streamamount", least_first(), n, growing=False, stored=stored)
 
 
 def least_streaming_ticket_holders_nested(ticket, event, listen, n: int = BOTTOM_HOLDERS) -> DataFrame:
-    return nest_ranked(least_streaming_ticket_holders(ticket, event, listen, n), ["artistid"],
-                       "rnk", ["customerid", "streamamount"], "customers")
+    """One list per artist, as a message: the artist as text, ``unknown`` where it has none."""
+    lists = nest_ranked(least_streaming_ticket_holders(ticket, event, listen, n), ["artistid"],
+                        "rnk", ["customerid", "streamamount"], "customers")
+    return lists.withColumn("artistid", F.coalesce(F.col("artistid").cast("string"), F.lit(UNKNOWN_ARTIST)))
 
 
 def global_top_artists(listen: DataFrame, n: int = 3) -> DataFrame:

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import asof_sum, rank_within, running
+from ..operators import asof_count, asof_sum, rank_within, running
 from .tickets import NEAR_CAPACITY_PCT, ticket_outcomes
 
+_LAST = "9999-12-31 00:00:00"       # the open end of an interval
+
 
 def taste_over_time(listen: DataFrame, artist: DataFrame) -> DataFrame:
     """When each customer's most streamed genre was which: ``(customerid, genre, ts, until)``.
@@ -46,7 +48,26 @@ def suggest_popular_event_by_genre(listen: DataFrame, artist: DataFrame, event:
     o = ticket_outcomes(ticket, event)
     popular = (o.filter((F.col("confirmationstatus") == "CONFIRMED") & (F.col("remainingpct") <= pct))
                 .select("eventid").distinct())
-    ev = _with_genre(event, artist).join(popular, "eventid", "left_semi").withColumnRenamed("ts", "ets")
-    t = taste_over_time(listen, artist)
-    then = (F.col("ts") <= F.col("ets")) & (F.col("until").isNull() | (F.col("ets") < F.col("until")))
-    return t.join(ev, "genre").filter(then).select("eventid", "customerid", "genre")
+    return events_within(taste_over_time(listen, artist),
+                         _with_genre(event, artist).join(popular, "eventid", "left_semi")).select(
+        "eventid", "customerid", "genre")
+
+
+def events_within(taste: DataFrame, events: DataFrame) -> DataFrame:
+    """Pairs of a taste interval ``[ts, until)`` and an event of its genre created in it.
+
+    Events are numbered per genre in order of time. An interval covers a run of
+    these numbers, which follows from how many events lie before its ends; the
+    numbers are the join keys, so only pairs of the result are ever made.
+    """
+    key, moment = ["genre"], F.expr("INTERVAL 1 MICROSECOND")
+    numbered = running(events.withColumnRenamed("eventid", "id"), key, counts=["_k"]).select(
+        F.col("id").alias("eventid"), "genre", "_k")
+    ends = taste.select("customerid", "genre", (F.col("ts") - moment).alias("_from"),
+                        F.coalesce(F.col("until") - moment, F.lit(_LAST).cast("timestamp")).alias("_to"))
+    rows = events.select("genre", "ts")
+    ends = asof_count(ends, rows, key, out="_before", probe_ts="_from")
+    ends = asof_count(ends, rows, key, out="_upto", probe_ts="_to")
+    covered = (ends.filter(F.col("_upto") > F.col("_before"))
+                   .select("customerid", "genre", F.explode(F.sequence(F.col("_before") + 1, "_upto")).alias("_k")))
+    return covered.join(numbered, ["genre", "_k"]).drop("_k")

@@ -13,7 +13,7 @@ from ..operators import running, temporal_join
 NEAR_CAPACITY_PCT = 10.0    # alert once at most 10 % of the capacity is left
 
 
-def ticket_outcomes(ticket: DataFrame, event: DataFrame) -> DataFrame:
+def ticket_outcomes(ticket: DataFrame, event: DataFrame, deleted: str | None = None) -> DataFrame:
     """Every ticket request with the event's remaining capacity after it.
 
     Requests for an event not yet announced are lost: the announcement meets the
@@ -25,6 +25,9 @@ def ticket_outcomes(ticket: DataFrame, event: DataFrame) -> DataFrame:
     ``min(ts)`` per event (hash aggregate + one row per event). Requests keep
     counting after a sell-out (-1, -2, ...). Numbering is the sliced running
     count, so a sold-out blockbuster does not sit in one task.
+
+    ``deleted`` names the tombstone column of events that may be withdrawn: requests
+    that arrive while an event is withdrawn are lost, so every request is looked up.
     """
     ev = event.select("id", "capacity", "ts")
     announced = ev.groupBy(F.col("id").alias("eventid")).agg(F.min("ts").alias("since"))
@@ -34,8 +37,13 @@ def ticket_outcomes(ticket: DataFrame, event: DataFrame) -> DataFrame:
                              payload={"capacity": "capacity"}, strategy="interval") \
             .select("eventid", "capacity")
 
-    t = running(ticket.select("id", "customerid", "eventid", "ts"), ["eventid"], counts=["_rn"],
-                since=announced, per_key=frozen_capacity)
+    asked = ticket.select("id", "customerid", "eventid", "ts")
+    if deleted is None:
+        t = running(asked, ["eventid"], counts=["_rn"], since=announced, per_key=frozen_capacity)
+    else:
+        seen = temporal_join(asked, event.select("id", "capacity", "ts", deleted), {"eventid": "id"},
+                             payload={"capacity": "_now"}, strategy="interval", deleted=deleted)
+        t = running(seen, ["eventid"], counts=["_rn"], firsts={"capacity": "_now"})
     remaining = (F.col("capacity") - F.col("_rn")).cast("double")
     return t.select(
         F.col("id").alias("ticketid"), "eventid", "customerid", "ts", "capacity",
@@ -47,8 +55,8 @@ def ticket_outcomes(ticket: DataFrame, event: DataFrame) -> DataFrame:
     )
 
 
-def purchase_event_ticket(ticket: DataFrame, event: DataFrame) -> DataFrame:
-    o = ticket_outcomes(ticket, event)
+def purchase_event_ticket(ticket: DataFrame, event: DataFrame, deleted: str | None = None) -> DataFrame:
+    o = ticket_outcomes(ticket, event, deleted)
     # ``tier`` is null only when no branch matches; such rows are not emitted.
     return (o.filter(F.col("tier").isNotNull())
              .select("ticketid", "eventid", "customerid", "remainingtickets",

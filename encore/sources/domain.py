@@ -33,6 +33,9 @@ N_ARTISTS = 25                      # listens name artist (k % 25) + 1
 LISTEN_TYPES = ("view", "click")
 TICKET_TYPE = "purchase"
 ADDRESS_TYPE = "signup"
+CLOSING_TYPE = "error"              # closes the customer's account: the address is deleted
+WITHDRAWN_EVERY = 3                 # every third event is withdrawn ...
+WITHDRAWN_AFTER_HOURS = 120         # ... this long after it was announced
 EPOCH = "1970-01-01 00:00:00"       # dimension rows valid from the start
 EVENT_ANNOUNCE_START = "2024-01-01 00:00:00"
 EVENT_SPACING_HOURS = 7             # event p is announced at hour (7 p) % 720
@@ -123,12 +126,21 @@ class Domain:
             "ts",
         )
 
-    def _address_feed(self) -> DataFrame:
+    @cached_property
+    def customer_address_log(self) -> DataFrame:
+        """Customer addresses with tombstones: a closed account has none until the next signup."""
+        a = self.customer_address.select("id", "customerid", "state", "ts", F.lit(False).alias("deleted"))
+        closed = self._log([CLOSING_TYPE]).select(
+            F.concat(F.lit("A"), F.col("event_id").cast("string")).alias("id"), F.col("user_id").alias("customerid"),
+            F.lit(None).cast("string").alias("state"), "ts", F.lit(True).alias("deleted"))
+        return a.unionByName(closed)
+
+    def _venue_feed(self) -> DataFrame:
         return self.table("supplier")
 
     @cached_property
     def venue_address(self) -> DataFrame:
-        sup = self._address_feed().select("s_suppkey", "s_nationkey")
+        sup = self._venue_feed().select("s_suppkey", "s_nationkey")
         nat = self.table("nation").select("n_nationkey", "n_name")
         j = sup.join(nat, sup.s_nationkey == nat.n_nationkey)
         return j.select(
@@ -151,7 +163,7 @@ class Domain:
 
     @cached_property
     def venue(self) -> DataFrame:
-        return self.table("supplier").select(
+        return self._venue_feed().select(
             F.col("s_suppkey").alias("id"),
             F.concat(F.lit("V"), F.col("s_suppkey").cast("string")).alias("addressid"),
             F.col("s_name").alias("name"),
@@ -175,6 +187,16 @@ class Domain:
             ts.alias("ts"),
         )
 
+    @cached_property
+    def event_log(self) -> DataFrame:
+        """Events with tombstones: some are withdrawn a while after their announcement."""
+        e = self.event.withColumn("deleted", F.lit(False))
+        gone = self.event.filter(F.col("id") % WITHDRAWN_EVERY == 0).select(
+            "id", F.lit(None).cast("bigint").alias("artistid"), F.lit(None).cast("bigint").alias("venueid"),
+            F.lit(None).cast("int").alias("capacity"), F.lit(None).cast("string").alias("eventdate"),
+            F.timestamp_add("HOUR", F.lit(WITHDRAWN_AFTER_HOURS), "ts").alias("ts"), F.lit(True).alias("deleted"))
+        return e.unionByName(gone)
+
     @cached_property
     def order_ticket(self) -> DataFrame:
         """High-volume ticket requests: every order line asks for one ticket of part

@@ -14,10 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import rank_within
-from ..plans import stateless, venues
-from ..plans.ranking import BOTTOM_HOLDERS, TOP_ARTISTS, least_order
+from ..plans import counts, stateless
+from ..plans.ranking import BOTTOM_HOLDERS, least_first
 from ..session import scratch_path
-from ..sources import Domain
 from . import jobs
 from .sinks import run_available_now, write_each_batch
 from .sources import StreamDomain
@@ -69,16 +68,30 @@ def artist_ticket_count(spark: SparkSession, root: str) -> DataFrame:
     return jobs.final_state(spark, job, _ran(spark, job, "artist-tickets"), "counts")
 
 
+_COUNTDOWNS: dict[tuple, tuple[jobs.Job, str]] = {}
+
+
 def _countdown(spark: SparkSession, root: str, name: str) -> DataFrame:
-    d = StreamDomain(spark, root)
-    job = jobs.ticket_countdown_job(d.ticket, d.event)
-    return jobs.output(spark, job, _ran(spark, job, "tickets"), name)
+    """One output of the countdown; a data folder's countdown runs once per Spark application."""
+    key = (spark.sparkContext.applicationId, root)
+    if key not in _COUNTDOWNS:
+        d = StreamDomain(spark, root)
+        job = jobs.ticket_countdown_job(d.ticket, d.event)
+        _COUNTDOWNS[key] = job, _ran(spark, job, "tickets")
+    job, base = _COUNTDOWNS[key]
+    return jobs.output(spark, job, base, name)
 
 
 def purchase_event_ticket(spark: SparkSession, root: str) -> DataFrame:
     return _countdown(spark, root, "answers")
 
 
+def purchase_event_ticket_deletes(spark: SparkSession, root: str) -> DataFrame:
+    d = StreamDomain(spark, root)
+    job = jobs.ticket_countdown_job(d.ticket, d.event_log)
+    return jobs.output(spark, job, _ran(spark, job, "tickets-deletes"), "answers")
+
+
 def capacity_alerts(spark: SparkSession, root: str, kind: str) -> DataFrame:
     """Alerts raised by the streamed countdown, one kind (NEAR_CAPACITY / SOLD_OUT)."""
     return _countdown(spark, root, "alerts").filter(F.col("alert") == kind)
@@ -89,12 +102,12 @@ def top_customer_artists_changelog(spark: SparkSession, root: str) -> DataFrame:
     return jobs.output(spark, job, _ran(spark, job, "top-artists"), "log")
 
 
-def top_customer_artists(spark: SparkSession, root: str, n: int = TOP_ARTISTS) -> DataFrame:
-    """The lists after the last listen, ranked from the stored counts."""
+def top_customer_artists(spark: SparkSession, root: str) -> DataFrame:
+    """The stored lists after the last listen."""
     job = jobs.top_customer_artists_job(StreamDomain(spark, root).listen)
-    counts = jobs.final_state(spark, job, _ran(spark, job, "top-artists"), "counts")
-    return rank_within(counts, ["customerid"], [F.col("n").desc(), F.col("last").asc()], n).select(
-        "customerid", "rnk", "artistid", "n")
+    lists = jobs.final_state(spark, job, _ran(spark, job, "top-artists"), "lists")
+    return lists.select("customerid", F.posexplode("top").alias("at", "t")).select(
+        "customerid", (F.col("at") + 1).cast("long").alias("rnk"), "t.artistid", "t.n")
 
 
 def _least(spark: SparkSession, root: str) -> tuple[jobs.Job, str]:
@@ -111,23 +124,35 @@ def least_streaming_ticket_holders_changelog(spark: SparkSession, root: str) ->
 def least_streaming_ticket_holders(spark: SparkSession, root: str, n: int = BOTTOM_HOLDERS) -> DataFrame:
     """The lists after the last listen, ranked from the stored counts."""
     job, base = _least(spark, root)
-    counts = jobs.final_state(spark, job, base, "counts")
-    return rank_within(counts, ["artistid"], least_order(), n).select(
+    pairs = jobs.final_state(spark, job, base, "counts")
+    return rank_within(pairs, ["artistid"], least_first(), n).select(
         "artistid", "rnk", "customerid", "streamamount")
 
 
 def out_of_state_ticket_holders(spark: SparkSession, root: str) -> DataFrame:
-    d, static = StreamDomain(spark, root), Domain(spark, root)
-    states = venues.join_venue_address(static.venue, static.address).select(
-        "venueid", F.col("state").alias("eventstate"))
-    job = jobs.out_of_state_job(d.ticket, d.event, d.customer_address, states)
+    d = StreamDomain(spark, root)
+    job = jobs.out_of_state_job(d.ticket, d.event, d.address, d.venue)
     return jobs.output(spark, job, _ran(spark, job, "out-of-state"), "found")
 
 
 def instate_streamers_vs_capacity_changelog(spark: SparkSession, root: str) -> DataFrame:
-    d, static = StreamDomain(spark, root), Domain(spark, root)
-    states = static.venue.select(F.col("id").alias("venueid"), "addressid").join(
-        static.address.filter(F.col("customerid").isNull())
-              .select(F.col("id").alias("addressid"), F.col("state").alias("eventstate")), "addressid").drop("addressid")
-    job = jobs.instate_streamers_job(d.listen, d.event, d.customer_address, states)
+    d = StreamDomain(spark, root)
+    job = jobs.instate_streamers_job(d.listen, d.event, d.address, d.venue)
     return jobs.output(spark, job, _ran(spark, job, "instate"), "log")
+
+
+def venue_most_customers(spark: SparkSession, root: str) -> DataFrame:
+    """The venue with most customers, estimated from the stored sketches (standard error
+    0.65 %; exact while a venue has few customers, see ``jobs.SKETCH_LG_K``)."""
+    d = StreamDomain(spark, root)
+    job = jobs.venue_customers_job(d.ticket, d.event)
+    sketches = jobs.final_state(spark, job, _ran(spark, job, "venue-customers"), "sketches")
+    sizes = sketches.select("venueid", F.hll_sketch_estimate("sketch").alias("num_customers"))
+    return sizes.orderBy(F.desc("num_customers"), "venueid").limit(1)
+
+
+def totals_running(spark: SparkSession, root: str) -> DataFrame:
+    """The totals at the end of every day, from the stored parts."""
+    d = StreamDomain(spark, root)
+    job = jobs.totals_job(d.customer, d.listen, d.event, d.ticket)
+    return counts.totals_of_days(jobs.final_state(spark, job, _ran(spark, job, "totals"), "parts"))

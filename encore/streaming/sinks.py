@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 
 def keyed_records(df: DataFrame, key: str, value: Sequence[str] | str) -> DataFrame:
@@ -26,11 +27,43 @@ def write_each_batch(outputs: dict[str, tuple[Callable[[DataFrame], DataFrame],
     replaces its own earlier attempt instead of duplicating it.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        for fn, path in outputs.values():
-            fn(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        batch = batch.persist()
+        try:
+            for fn, path in outputs.values():
+                fn(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        finally:
+            batch.unpersist()
     return write
 
 
+class Progress(StreamingQueryListener):
+    """Adds up, per stream, what its micro-batches observed: ``totals[name][metric]`` and ``batches``.
+
+    Register with ``spark.streams.addListener``; a running stream then shows its
+    counts as they grow, where an eager count would read the stream again.
+    """
+
+    def __init__(self):
+        self.totals: dict[str, dict[str, int]] = {}
+        self.batches = 0
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        self.batches += 1
+        for name, row in event.progress.observedMetrics.items():
+            known = self.totals.setdefault(name, {})
+            for metric, value in row.asDict().items():
+                known[metric] = known.get(metric, 0) + (value or 0)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
 def run_available_now(df: DataFrame, *, checkpoint: str, path: str | None = None,
                       mode: str = "append", fmt: str = "parquet",
                       foreach_batch=None, timeout_s: float | None = None) -> StreamingQuery:

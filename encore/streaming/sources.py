@@ -11,8 +11,8 @@ from pyspark.sql.types import StructType
 from ..sources.domain import Domain
 from ..sources.tables import read_table
 
-# Tables that arrive as record streams; the rest are slowly changing
-# dimensions read as static tables (stream-static joins are fine for them).
+# Tables that arrive as record streams (``supplier`` through ``_venue_feed``: its row count is
+# also read as a number); ``nation`` only names cities and is joined as a static table.
 STREAMED = {"events", "part", "customer"}
 
 
@@ -68,6 +68,6 @@ class StreamDomain(Domain):
             return stream_table(self.spark, self.root, name, self.max_files_per_trigger)
         return read_table(self.spark, self.root, name)
 
-    def _address_feed(self) -> DataFrame:
-        """Venue addresses arrive as records too (venues themselves are looked up)."""
+    def _venue_feed(self) -> DataFrame:
+        """Venues and their addresses arrive as records too."""
         return stream_table(self.spark, self.root, "supplier", self.max_files_per_trigger)

@@ -3,21 +3,23 @@
 Vectors are made integer, ``floor(scale * x)``. With ``d`` the Euclidean
 distance, ``2 q.x = |q|^2 + |x|^2 - d(q, x)^2``, and for every pivot ``p``
 ``|d(q, p) - d(x, p)| <= d(q, x)``. The largest of these over all pivots is a
-lower bound of the distance and so gives an upper bound of the score. For a
-query the candidates of a block are evaluated in order of this bound, and the
-block ends when the bound falls below the query's k-th best score.
+lower bound of the distance and so gives an upper bound of the score. The
+candidates of a block are evaluated in order of this bound, and the block ends
+when the bound falls below the queries' k-th best scores.
 
 1. ``PIVOTS`` vectors that lie far from each other are taken from a bounded
    sample (the ``SAMPLE`` rows of least hash). Any pivots give exact results.
-2. Every vector's distances to all pivots are computed once and written.
+2. Every vector's distances to all pivots are computed once and written. A query
+   is scored against the sample, which gives it a first k-th score, its floor.
 3. Candidates and queries are sorted together by ranges of (nearest pivot, its
    distance, row), so copies and hot pivots are split by the row number. A task
    packs its rows into blocks of ``BLOCK`` candidates; the queries that fall into
-   a block are scored against all of it, which gives each its first k-th score.
+   a block are scored against all of it, which may raise their floors.
 4. Blocks of queries meet all blocks of candidates by equality on a shard
    number. A candidate block's ranges of pivot distances rule out the queries it
-   cannot help; the others are searched in bound order. Only results that reach
-   the query's first k-th score leave the task.
+   cannot help. The others are searched ``TOGETHER`` at a time: candidates in
+   order of their best bound, those that no query's floor admits left out; floors
+   rise on the way. Only results that reach the floor leave the task.
 5. A window per query keeps the best k of them.
 
 Results: null vectors and vectors with null or non-finite components take no
@@ -46,7 +48,8 @@ SAMPLE = 4096
 BLOCK = 4096            # candidates of a block
 QUERIES = 512           # queries of a block, at most
 SHARD_BLOCKS = 4        # candidate blocks of a shard
-FIRST = 64              # candidates evaluated before the bound is looked at again
+TOGETHER = 64           # queries of a block that are searched together
+FIRST = 256             # candidates evaluated before the bounds are looked at again
 _EXACT = float(1 << 53)
 
 
@@ -59,19 +62,18 @@ def _integers(df: DataFrame, vec_id: str, vec: str, scale: int) -> DataFrame:
                       F.transform(x, lambda e: F.floor(F.lit(float(scale)) * e.cast("double")).cast("long")).alias("v")))
 
 
-def choose_pivots(rows: DataFrame, count: int = PIVOTS) -> np.ndarray:
-    """Far-apart vectors of a bounded sample, ``count`` at most."""
-    taken = rows.orderBy(F.xxhash64("v", "id"), "id").limit(SAMPLE).select("v").toArrow()
-    x = _matrix(taken.column(0).combine_chunks(), None).astype(np.float64)
-    if not len(x):
-        return np.zeros((0, 0), np.int64)
-    chosen, far = [0], np.full(len(x), np.inf)
-    while len(chosen) < min(count, len(x)):
+def choose_pivots(rows: DataFrame, count: int = PIVOTS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Far-apart vectors of a bounded sample, ``count`` at most; the sample's ids and vectors."""
+    taken = rows.orderBy(F.xxhash64("v", "id"), "id").limit(SAMPLE).select("id", "v").toArrow()
+    sample = _matrix(taken.column(1).combine_chunks(), None)
+    x = sample.astype(np.float64)
+    chosen, far = [0] if len(x) else [], np.full(len(x), np.inf)
+    while chosen and len(chosen) < min(count, len(x)):
         far = np.minimum(far, ((x - x[chosen[-1]]) ** 2).sum(1))
         if far.max() == 0:
             break
         chosen.append(int(far.argmax()))
-    return x[chosen].astype(np.int64)
+    return sample[chosen], taken.column(0).to_numpy(), sample
 
 
 def _matrix(column: pa.Array, dims: int | None) -> np.ndarray:
@@ -119,8 +121,8 @@ def top_k(df: DataFrame, queries: DataFrame, vec_id: str = "vec_id", vec: str =
     rows = _integers(df, vec_id, vec, scale).distinct()
     asked = _integers(queries, vec_id, vec, scale).distinct()
     both = rows.withColumn("asks", F.lit(False)).unionByName(asked.withColumn("asks", F.lit(True)))
-    pivots = spark.sparkContext.broadcast(choose_pivots(rows, count))       # ``count`` vectors, whatever the table
-    table = materialize(both.mapInArrow(_with_distances(pivots), _TABLE), "pivots")
+    known = spark.sparkContext.broadcast(choose_pivots(rows, count))    # ``SAMPLE`` vectors, whatever the table
+    table = materialize(both.mapInArrow(_with_distances(known, k), _TABLE), "pivots")
     dealt = (table.withColumn("row", F.xxhash64("id", "v"))
                   .repartitionByRange("near", "far", "row").sortWithinPartitions("near", "far", "row"))
     packed = materialize(dealt.mapInArrow(_packer(k, block), _PACKED), "blocks")
@@ -138,25 +140,28 @@ def top_k(df: DataFrame, queries: DataFrame, vec_id: str = "vec_id", vec: str =
                 .select("query_id", "rank", "vec_id", "score"))
 
 
-_TABLE = "id long, v array<long>, asks boolean, near int, far double, d array<double>"
+_TABLE = "id long, v array<long>, asks boolean, near int, far double, d array<double>, floor long"
 _PACKED = ("asks boolean, block long, ids binary, dims int, vectors binary, distances binary, floors binary")
 
 
-def _with_distances(pivots):
+def _with_distances(known, k: int):
     def run(batches):
-        p = pivots.value
+        p, sample_ids, sample = known.value
         for batch in batches:
             column = batch.column(1)
             for at in range(0, batch.num_rows, BLOCK):
                 part = batch.slice(at, BLOCK)
                 x = _matrix(part.column(1), p.shape[1])
                 d = _distances(x, p)
+                asks = part.column(2).to_numpy(zero_copy_only=False)
+                floor = np.full(len(x), NONE)
+                floor[asks] = _floors(x[asks], part.column(0).to_numpy()[asks], sample, sample_ids, k)
                 near = d.argmin(1) if d.shape[1] else np.zeros(len(d), np.int64)
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), part.column(1), part.column(2), pa.array(near.astype(np.int32)),
                     pa.array(d[np.arange(len(d)), near] if d.shape[1] else np.zeros(len(d))),
-                    pa.ListArray.from_arrays(np.arange(len(d) + 1, dtype=np.int32) * d.shape[1], d.ravel())],
-                    names=["id", "v", "asks", "near", "far", "d"])
+                    pa.ListArray.from_arrays(np.arange(len(d) + 1, dtype=np.int32) * d.shape[1], d.ravel()),
+                    pa.array(floor)], names=["id", "v", "asks", "near", "far", "d", "floor"])
     return run
 
 
@@ -169,7 +174,7 @@ def _packer(k: int, block: int):
             nonlocal number
             t = pa.Table.from_batches(held).combine_chunks()
             asks = t.column("asks").combine_chunks().to_numpy(zero_copy_only=False)
-            ids = t.column("id").to_numpy()
+            ids, floor = t.column("id").to_numpy(), t.column("floor").to_numpy()
             x = _matrix(_array(t, "v"), None)
             d = _matrix_of(_array(t, "d"), len(ids))
             own, want = np.flatnonzero(~asks), np.flatnonzero(asks)
@@ -178,7 +183,7 @@ def _packer(k: int, block: int):
                 out.append((False, own, np.zeros(0, np.int64)))
             for at in range(0, len(want), QUERIES):
                 q = want[at:at + QUERIES]
-                out.append((True, q, _floors(x[q], ids[q], x[own], ids[own], k)))
+                out.append((True, q, np.maximum(floor[q], _floors(x[q], ids[q], x[own], ids[own], k))))
             rows = []
             for asking, part, floors in out:
                 number += 1
@@ -233,12 +238,12 @@ def _searcher(k: int):
         for batch in batches:
             for at in range(batch.num_rows):
                 row = {n: batch.column(n)[at].as_py() for n in batch.schema.names}
-                yield _search(row, k)
+                yield from _search(row, k)
     return run
 
 
-def _search(row: dict, k: int) -> pa.RecordBatch:
-    """One block of queries against one block of candidates, in order of the pivot bounds."""
+def _search(row: dict, k: int):
+    """One block of queries against one block of candidates, some queries at a time."""
     q_ids, ids = np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["ids"], np.int64)
     q = np.frombuffer(row["q"], np.int64).reshape(len(q_ids), row["q_dims"])
     x = np.frombuffer(row["vectors"], np.int64).reshape(len(ids), row["dims"])
@@ -247,41 +252,70 @@ def _search(row: dict, k: int) -> pa.RecordBatch:
     q_d = np.frombuffer(row["q_d"], np.float64).reshape(len(q_ids), -1)
     x_d = np.frombuffer(row["distances"], np.float64).reshape(len(ids), -1)
     floors = np.frombuffer(row["q_floors"], np.int64)
-    qq, xx = (q.astype(np.float64) ** 2).sum(1), (x.astype(np.float64) ** 2).sum(1)
-    slack = 1e-9 * (qq + xx.max()) + 1.0        # rounding of the distances, far above its size
+    qf, xf = q.astype(np.float64), x.astype(np.float64)
+    qq, xx = (qf ** 2).sum(1), (xf ** 2).sum(1)
+    exact = np.abs(qf).max(initial=0) * np.abs(xf).max(initial=0) * dims < _EXACT
+    slack = 1e-6 * (qq + xx.max()) + 1.0        # far above the rounding of single-precision distances
     # the whole block first: the gap between a query's distance and the block's range
     gap = np.maximum(x_d.min(0) - q_d, q_d - x_d.max(0)).max(1, initial=0.0)
     hopeful = np.flatnonzero((qq + xx.max() - np.maximum(gap, 0) ** 2) / 2 + slack >= floors)
-    made = ([], [], [])
-    columns = np.ascontiguousarray(x_d.T)
-    for i in hopeful.tolist():
-        bound = np.zeros(len(ids))
-        for p in range(len(columns)):
-            np.maximum(bound, np.abs(columns[p] - q_d[i, p]), out=bound)
-        bound = (qq[i] + xx - bound ** 2) / 2 + slack[i]
-        floor = int(floors[i])
-        others = np.flatnonzero((bound >= floor) & (ids != q_ids[i]))
-        others = others[np.argsort(-bound[others], kind="stable")]
-        bound = bound[others]
-        best_ids, best = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        at, step = 0, FIRST
-        while at < len(others) and bound[at] >= floor:
-            some = others[at:at + step]
-            at, step = at + step, step * 2
-            score = _products(q[i:i + 1], x[some])[0]
-            keep = score >= floor
-            best_ids = np.concatenate([best_ids, ids[some][keep]])
-            best = np.concatenate([best, score[keep]])
-            order = np.lexsort((best_ids, -best))
-            best_ids, best = best_ids[order], best[order]
-            _, first = np.unique(best_ids, return_index=True)       # an id once, at its best
-            first.sort()
-            best_ids, best = best_ids[first[:k]], best[first[:k]]
-            if len(best) == k:
-                floor = max(floor, int(best[-1]))
-        made[0].append(np.full(len(best), q_ids[i]))
-        made[1].append(best_ids)
-        made[2].append(best)
-    out = [np.concatenate(m) if m else np.zeros(0, np.int64) for m in made]
-    return pa.RecordBatch.from_arrays([pa.array(o.astype(np.int64)) for o in out],
+    columns = np.ascontiguousarray(x_d.T.astype(np.float32))
+    once = np.zeros(len(ids), bool)             # one row per id is enough for a floor
+    once[np.unique(ids, return_index=True)[1]] = True
+    for at in range(0, len(hopeful), TOGETHER):
+        some = hopeful[at:at + TOGETHER]
+        bound = _bounds(q_d[some].astype(np.float32), columns)
+        np.multiply(bound, bound, out=bound)
+        bound = (qq[some, None] + xx - bound) / 2 + slack[some, None]
+        yield _best(qf[some] if exact else q[some], xf if exact else x, bound, floors[some].copy(), q_ids[some], ids,
+                    once, k)
+
+
+def _bounds(q_d: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Largest difference of distances over all pivots, a lower bound of every distance."""
+    out = np.zeros((len(q_d), columns.shape[1]), np.float32)
+    one = np.empty_like(out)
+    for p in range(len(columns)):
+        np.subtract(columns[p], q_d[:, p, None], out=one)
+        np.abs(one, out=one)
+        np.maximum(out, one, out=out)
+    return out
+
+
+def _best(q, x, bound, floors, q_ids, ids, once, k) -> pa.RecordBatch:
+    """Candidates in order of their best bound until no bound reaches a floor; floors rise on the way."""
+    order = np.argsort(-bound.max(0), kind="stable")
+    who, what, scores = [], [], []
+    held = np.full((len(q), 0), NONE)           # best scores of distinct ids so far
+    at, step = 0, FIRST
+    while at < len(order):
+        take = order[at:at + step]
+        at, step = at + step, step * 2
+        open_ = bound[:, take] >= floors[:, None]
+        live = open_.any(0)
+        take, open_ = take[live], open_[:, live]
+        if not len(take):
+            continue
+        got = (q @ x[take].T).astype(np.int64)
+        open_ &= q_ids[:, None] != ids[take]
+        held = np.concatenate([held, np.where(open_ & once[take], got, NONE)], axis=1)
+        if held.shape[1] > k:
+            held = np.partition(held, held.shape[1] - k, axis=1)[:, -k:]
+        if held.shape[1] == k:
+            floors = np.maximum(floors, held.min(1))
+        row, col = np.nonzero(open_ & (got >= floors[:, None]))
+        who.append(row)
+        what.append(ids[take[col]])
+        scores.append(got[row, col])
+    who, what, scores = (np.concatenate(a) if a else np.zeros(0, np.int64) for a in (who, what, scores))
+    order = np.lexsort((-scores, what, who))    # an id once, at its best
+    who, what, scores = who[order], what[order], scores[order]
+    first = np.ones(len(who), bool)
+    first[1:] = (who[1:] != who[:-1]) | (what[1:] != what[:-1])
+    who, what, scores = who[first], what[first], scores[first]
+    order = np.lexsort((what, -scores, who))
+    who, what, scores = who[order], what[order], scores[order]
+    place = np.arange(len(who)) - np.searchsorted(who, who)
+    keep = place < k
+    return pa.RecordBatch.from_arrays([pa.array(q_ids[who[keep]]), pa.array(what[keep]), pa.array(scores[keep])],
                                       names=["query_id", "vec_id", "score"])

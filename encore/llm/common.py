@@ -83,7 +83,13 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
 
 
 class Rolling:
-    """Polynomial hashes modulo 2**64 of any slice, from one prefix sum."""
+    """Polynomial hashes modulo 2**64 of any slice, from one prefix sum.
+
+    Fast, but a Thue-Morse sequence of 1,024 values and its complement share them
+    whatever the base. Fit for marks, for keys that contents are compared under,
+    and for slices of few values; where it tells contents apart it stands beside
+    ``PrimeRolling``.
+    """
 
     _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -112,15 +118,119 @@ class Rolling:
         return (self.prefix[end] - self.prefix[start]) * self.down[start]
 
 
-BASE_A, BASE_B = 0x2545F4914F6CDD1D, 0x5851F42D4C957F2D
+_PRIME = (1 << 61) - 1
+_P, _LOW31, _LOW30, _LOW32 = _U(_PRIME), _U((1 << 31) - 1), _U((1 << 30) - 1), _U((1 << 32) - 1)
+
+
+def _folded(x: np.ndarray) -> np.ndarray:
+    """Values below 2**64 modulo 2**61 - 1."""
+    x = (x & _P) + (x >> _U(61))
+    return np.where(x >= _P, x - _P, x)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo 2**61 - 1 of values below it."""
+    ah, al, bh, bl = a >> _U(31), a & _LOW31, b >> _U(31), b & _LOW31
+    mid = al * bh + ah * bl
+    return _folded(ah * bh * _U(2) + (mid >> _U(30)) + ((mid & _LOW30) << _U(31)) + al * bl)
+
+
+class PrimeRolling:
+    """Polynomial hashes modulo the prime 2**61 - 1 of any slice of ``values``.
+
+    The terms' upper and lower halves are summed apart and joined by a rotation
+    (2**61 is 1), a run of ``_RUN`` values at a time, which stays in the cache.
+    """
+
+    _BASE = 0x1F3D5B79A2C4E687 % _PRIME
+    _RUN = 1 << 14
+    _powers: tuple[np.ndarray, ...] | None = None
+
+    def __init__(self, values: np.ndarray):
+        n = len(values)
+        up, high_up, low_up, self.down = self._table(n + 1)
+        self.prefix = np.zeros(n + 1, np.uint64)
+        carry = _U(0)
+        for at in range(0, n, self._RUN):
+            end = min(at + self._RUN, n)
+            if values.dtype == np.uint8:        # terms of a byte need no reduction
+                v = values[at:end] + _U(1)
+                high, low = high_up[at:end] * v, low_up[at:end] * v
+            else:
+                term = _times(values[at:end] >> _U(3), up[at:end])
+                high, low = term >> _U(32), term & _LOW32
+            np.cumsum(high, out=high)
+            np.cumsum(low, out=low)
+            low += ((high << _U(32)) & _P) | (high >> _U(29))
+            low += carry
+            self.prefix[at + 1:end + 1] = low = _folded(low)
+            carry = low[-1]
+
+    @classmethod
+    def _table(cls, n: int):
+        got = cls._powers
+        if got is None or len(got[0]) < n:
+            size = max(n, 1 << 16)
+            up, down = (cls._series(base, size) for base in (cls._BASE, pow(cls._BASE, -1, _PRIME)))
+            got = up, up >> _U(32), up & _LOW32, down
+            if size <= 4 * CHUNK_BYTES:
+                cls._powers = got
+        return got
+
+    @staticmethod
+    def _series(base: int, size: int) -> np.ndarray:
+        """Powers of ``base``, doubling the known part each time."""
+        out = np.ones(size, np.uint64)
+        known, step = 1, base
+        while known < size:
+            more = min(known, size - known)
+            out[known:known + more] = _times(out[:more], np.full(more, step, np.uint64))
+            known, step = known + more, step * step % _PRIME
+        return out
+
+    def slices(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        gap = self.prefix[end] + (_P - self.prefix[start])
+        return _times(np.where(gap >= _P, gap - _P, gap), self.down[start])
+
+
+BASE_A = 0x2545F4914F6CDD1D
 BYTE_VALUE = mix(np.arange(256, dtype=np.uint64), 99)
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False):
-    """Words of concatenated texts: ``(doc, start, end, hash)`` arrays.
+_PLACES = 64
+_SPAN_TABLES: dict[int, np.ndarray] = {}
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, *salts: int) -> list[np.ndarray]:
+    """64-bit hashes of non-empty spans, one array per salt.
+
+    A span's hash is the sum of one random value per place and byte, so no base
+    and no power is shared between places; salts are independent of each other.
+    """
+    size = end - start
+    begin = np.cumsum(size) - size
+    at = ranges(start, size)
+    place = np.arange(len(at)) - np.repeat(begin, size)
+    row = ((place & (_PLACES - 1)) << 8) | data[at]
+    far = np.flatnonzero(place >= _PLACES)
+    turn = mix((place[far] // _PLACES).astype(np.uint64), 91)
+    out = []
+    for salt in salts:
+        table = _SPAN_TABLES.get(salt)
+        if table is None:
+            table = _SPAN_TABLES[salt] = mix(np.arange(_PLACES * 256, dtype=np.uint64), 1000 + salt)
+        value = table[row]
+        value[far] = mix(value[far] + turn, salt)
+        total = np.add.reduceat(value, begin) if len(begin) else np.zeros(0, np.uint64)
+        out.append(mix(total + size.astype(np.uint64), salt))
+    return out
+
+
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False, salts: tuple[int, ...] = (5,)):
+    """Words of concatenated texts: ``(doc, start, end, hash...)`` arrays, one hash per salt.
 
     A word is a run of bytes other than space and \\x09-\\x0D that stays inside
-    one text. ``lower`` folds A-Z for the hash.
+    one text. ``lower`` folds A-Z for the hashes.
     """
     solid = ~((data == 32) | ((data >= 9) & (data <= 13)))
     n = len(data)
@@ -137,8 +247,7 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False):
     doc = np.searchsorted(offsets, start, "right") - 1
     if lower:
         data = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)
-    rolled = Rolling(BYTE_VALUE[data], BASE_A)
-    return doc, start, end, mix(rolled.slices(start, end) + (end - start).astype(np.uint64), 5)
+    return doc, start, end, *span_hashes(data, start, end, *salts)
 
 
 def ranges(first: np.ndarray, length: np.ndarray) -> np.ndarray:

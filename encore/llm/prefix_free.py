@@ -41,6 +41,8 @@ from pyspark.sql import types as T
 from .common import BASE_A, BYTE_VALUE, Rolling, mix, row_key, text_chunks
 from .repeats import Cut, covered, repeated_windows
 
+_FACTORS = mix(np.arange(4, dtype=np.uint64), 17) | np.uint64(1)
+
 
 @dataclass(frozen=True)
 class Phrases:
@@ -60,10 +62,9 @@ class Phrases:
     def cut(self, data: np.ndarray, offsets: np.ndarray) -> Cut:
         out = Cut()
         docs = len(offsets) - 1
-        value = BYTE_VALUE[data]
-        out.a, out.units_b = Rolling(value, BASE_A), value
+        out.a, out.units_b = Rolling(BYTE_VALUE[data], BASE_A), data
         out.first = offsets
-        marks = self._marks(out.a, len(data), offsets)
+        marks = self._marks(data, offsets)
         # each mark's document, and the starts whose first mark it is
         doc = np.searchsorted(offsets, marks, "right") - 1
         before = np.full(len(marks), -1, np.int64)
@@ -94,12 +95,22 @@ class Phrases:
         out.free = np.arange(len(out.at)) < len(parts[0][0])
         return out
 
-    def _marks(self, rolled: Rolling, n: int, offsets: np.ndarray) -> np.ndarray:
+    def _marks(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Places whose next ``trigger`` bytes, inside one document, hash low."""
-        if n < self.trigger:
+        n = len(data) - self.trigger + 1
+        if n <= 0:
             return np.zeros(0, np.int64)
-        at = np.arange(n - self.trigger + 1)
-        h = mix(rolled.slices(at, at + self.trigger), 15)
+        # the bytes as overlapping 64-bit numbers, one beginning at every place
+        padded = np.concatenate([data, np.zeros(8, np.uint8)])
+        eights = np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))
+        h = np.zeros(n, np.uint64)
+        for number, at in enumerate(sorted({*range(0, self.trigger - 7, 8), max(self.trigger - 8, 0)})):
+            some = eights[at:at + n]
+            if self.trigger < 8:
+                some = some & np.uint64((1 << 8 * self.trigger) - 1)
+            h += some * _FACTORS[number % len(_FACTORS)]
+            h ^= h >> np.uint64(29)
+        h *= _FACTORS[-1]
         at = np.flatnonzero(h < np.uint64((1 << 64) // self.period))
         doc = np.searchsorted(offsets, at, "right") - 1
         return at[at + self.trigger <= offsets[doc + 1]]

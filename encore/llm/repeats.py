@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import materialize
-from .common import BASE_B, Rolling, mix, ranges, signed, text_chunks
+from .common import PrimeRolling, Rolling, mix, ranges, signed, text_chunks
 
 ROWS = 2
 CELLS = 1 << 27
@@ -41,7 +41,7 @@ class Cut:
     ``first``: index of each text's first unit (word or byte), one more at the
     end. Per block: ``at`` (unit index of its first window), ``size`` (windows),
     ``doc``, ``gram`` and ``free`` (no gram). ``a``: rolling hash of the units;
-    ``units_b``: their values for a second one.
+    ``units_b``: their values for a second one, modulo a prime.
     """
 
     first: np.ndarray
@@ -52,12 +52,12 @@ class Cut:
     free: np.ndarray
     a: Rolling
     units_b: np.ndarray
-    _b: Rolling | None = None
+    _b: PrimeRolling | None = None
 
     def hashes(self, start: np.ndarray, end: np.ndarray):
         size = (end - start).astype(np.uint64)
         if self._b is None:                     # only where contents are compared
-            self._b = Rolling(self.units_b, BASE_B)
+            self._b = PrimeRolling(self.units_b)
         return mix(self.a.slices(start, end) + size, 21), mix(self._b.slices(start, end) + size, 22)
 
 

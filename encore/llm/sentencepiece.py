@@ -5,12 +5,15 @@ spaces written as U+2581), cut where no vocabulary piece can cross, and every
 distinct part is merged with a score-ordered agenda of adjacent symbol pairs:
 the best-scored pair (ties: leftmost) is merged and its two new neighbour pairs
 enter the agenda. Characters outside the vocabulary become byte pieces.
-Parts repeat heavily, so each Python worker keeps a bounded table from a part's
-128-bit hash to its ids, looked up for a whole Arrow batch at once; the parts of
-a batch that are not in it go through the agenda, are also encoded by the
-sentencepiece library (a difference fails the job) and enter the table.
-
-Results: a null or empty text has no ids and decodes to the empty text. Repeated
+Parts repeat heavily, so each Python worker keeps a bounded table of parts with
+their ids, looked up by hash for a whole Arrow batch at once and compared byte by
+byte; the parts of a batch that are not in it go through the agenda, are also
+encoded by the sentencepiece library (a difference fails the job) and enter the
+table.
+
+Results: a null or empty text has no ids and decodes to the empty text. A very
+long text is one run of the batch, held whole; an empty table gives an empty
+result. Repeated
 rows give repeated results; columns other than the text pass through unread.
 """
 
@@ -28,10 +31,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import BASE_A, BASE_B, BYTE_VALUE, Rolling, mix, ranges, text_chunks
+from .common import ranges, span_hashes, text_chunks
 
 SPACE = "\u2581"
-TABLE_PARTS = 2_000_000     # parts kept per Python worker (about 40 bytes each)
+TABLE_PARTS = 2_000_000     # parts kept per Python worker (about 60 bytes each)
+TABLE_BYTES = 64 << 20      # and their text
 
 
 class MergeModel:
@@ -150,41 +154,54 @@ class MergeModel:
 
 
 class _Parts:
-    """Sorted part hashes with their ids; when full, the parts unused longest go."""
+    """Known parts by hash, with their bytes and ids; when full, the parts unused longest go."""
 
     def __init__(self):
         self.key = np.zeros(0, np.uint64)
-        self.check = np.zeros(0, np.uint64)
         self.start = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int64)
         self.used = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.int32)
+        self.from_ = np.zeros(0, np.int64)
+        self.size = np.zeros(0, np.int64)
+        self.bytes = np.zeros(0, np.uint8)
         self.clock = 0
 
-    def find(self, key: np.ndarray, check: np.ndarray) -> np.ndarray:
-        """Row of every part, -1 where it is not in the table."""
+    def find(self, key: np.ndarray) -> np.ndarray:
+        """Row of every hash, -1 where it is not in the table."""
         if not len(self.key):
             return np.full(len(key), -1)
         at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
-        return np.where((self.key[at] == key) & (self.check[at] == check), at, -1)
+        return np.where(self.key[at] == key, at, -1)
 
-    def add(self, key: np.ndarray, check: np.ndarray, ids: list[tuple[int, ...]]) -> None:
-        if len(self.key) + len(key) > TABLE_PARTS and len(self.key):
+    def add(self, key: np.ndarray, parts: list[bytes], ids: list[tuple[int, ...]]) -> None:
+        """New parts, their hashes ascending."""
+        if len(self.key) and (len(self.key) + len(key) > TABLE_PARTS or len(self.bytes) > TABLE_BYTES):
             half = np.partition(self.used, len(self.used) // 2)[len(self.used) // 2]
             self._rebuild((self.used > half) | (self.used == self.clock))
-        length = np.fromiter(map(len, ids), np.int64, len(ids))
+        length, size = (np.fromiter(map(len, x), np.int64, len(x)) for x in (ids, parts))
         start = len(self.ids) + np.cumsum(length) - length
+        from_ = len(self.bytes) + np.cumsum(size) - size
         self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(ids), np.int32)])
+        self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(parts), np.uint8)])
         at = np.searchsorted(self.key, key)
-        for name, new in (("key", key), ("check", check), ("start", start), ("length", length),
+        for name, new in (("key", key), ("start", start), ("length", length), ("from_", from_), ("size", size),
                           ("used", np.full(len(key), self.clock))):
             setattr(self, name, np.insert(getattr(self, name), at, new))
 
     def _rebuild(self, keep: np.ndarray) -> None:
         self.ids = self.ids[ranges(self.start[keep], self.length[keep])]
-        for name in ("key", "check", "used", "length"):
+        self.bytes = self.bytes[ranges(self.from_[keep], self.size[keep])]
+        for name in ("key", "used", "length", "size"):
             setattr(self, name, getattr(self, name)[keep])
         self.start = np.cumsum(self.length) - self.length
+        self.from_ = np.cumsum(self.size) - self.size
+
+
+def _same_bytes(a: np.ndarray, a_start: np.ndarray, a_size: np.ndarray, b: np.ndarray, b_start: np.ndarray,
+                b_size: np.ndarray) -> bool:
+    """Whether spans of ``a`` and ``b`` are equal, one by one."""
+    return bool((a_size == b_size).all()) and np.array_equal(a[ranges(a_start, a_size)], b[ranges(b_start, b_size)])
 
 
 _MODELS: dict[bytes, tuple[MergeModel, _Parts]] = {}
@@ -220,30 +237,37 @@ def _part_starts(model: MergeModel, data: np.ndarray, offsets: np.ndarray) -> np
 
 
 def encode_column(texts: pa.Array, model: MergeModel, table: _Parts):
-    """Yields (ids, offsets) for runs of texts: flat int32 ids and each text's offsets."""
+    """Yields (ids, offsets) for runs of texts: flat int32 ids and each text's offsets.
+
+    Parts are looked up by hash and compared byte by byte; a run in which two
+    parts share a hash is encoded text by text.
+    """
     for _, _, data, offsets in text_chunks(_marked(texts)):
         start = _part_starts(model, data, offsets)
-        end = np.append(start[1:], len(data))
-        value = BYTE_VALUE[data]
-        size = (end - start).astype(np.uint64)
-        key = mix(Rolling(value, BASE_A).slices(start, end) + size, 1)
-        key, first, which = np.unique(key, return_index=True, return_inverse=True)
-        check = mix(Rolling(value, BASE_B).slices(start[first], end[first]), 2)
+        size = np.append(start[1:], len(data)) - start
+        key, first, which = np.unique(span_hashes(data, start, start + size, 1)[0], return_index=True,
+                                      return_inverse=True)
+        one = first[which]
         table.clock += 1
-        row = table.find(key, check)
-        table.used[row[row >= 0]] = table.clock
-        new = np.flatnonzero(row < 0)
+        row = table.find(key)
+        hit, new = np.flatnonzero(row >= 0), np.flatnonzero(row < 0)
+        stored = row[hit]
+        if not (_same_bytes(data, start, size, data, start[one], size[one])
+                and _same_bytes(data, start[first[hit]], size[first[hit]], table.bytes, table.from_[stored],
+                                table.size[stored])):
+            yield _one_by_one(data, offsets, model)
+            continue
+        table.used[stored] = table.clock
         if len(new):
             raw = data.tobytes()
+            parts = [raw[start[i]:start[i] + size[i]] for i in first[new]]
             fresh = {}
-            for i in new:
-                part = raw[start[first[i]]:end[first[i]]].decode().replace(" ", SPACE)
+            for part in parts:
+                part = part.decode().replace(" ", SPACE)
                 fresh[part] = model.part_ids(part)
             model.compare(fresh)
-            table.add(key[new], check[new], list(fresh.values()))
-            row = table.find(key, check)
-            if (row < 0).any():
-                raise ValueError("two parts of one batch share a hash")
+            table.add(key[new], parts, list(fresh.values()))
+            row = table.find(key)
         row = row[which]
         length = table.length[row]
         ids = table.ids[ranges(table.start[row], length)]
@@ -251,6 +275,14 @@ def encode_column(texts: pa.Array, model: MergeModel, table: _Parts):
         yield ids, before[np.searchsorted(start, offsets)]
 
 
+def _one_by_one(data: np.ndarray, offsets: np.ndarray, model: MergeModel):
+    raw = data.tobytes()
+    lists = [list(chain.from_iterable(map(model.part_ids, model.part.findall(raw[a:b].decode().replace(" ", SPACE)))))
+             for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+    flat = np.fromiter(chain.from_iterable(lists), np.int32)
+    return flat, np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
+
+
 def _schema(df: DataFrame, keep: list[str], outputs: list[str]) -> T.StructType:
     kinds = {"ids": T.ArrayType(T.IntegerType()), "n_tokens": T.LongType(),
              "ids_sha256": T.StringType(), "decoded": T.StringType(), "decoded_sha256": T.StringType()}

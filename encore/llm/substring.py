@@ -47,9 +47,9 @@ class WordWindows:
 
     def cut(self, data: np.ndarray, offsets: np.ndarray) -> Cut:
         out = Cut()
-        doc, _, _, h = words(data, offsets)
+        doc, _, _, h, out.units_b = words(data, offsets, salts=(5, 6))
         n, docs = len(h), len(offsets) - 1
-        out.a, out.units_b = Rolling(mix(h, 11), BASE_A), mix(h, 12)
+        out.a = Rolling(h, BASE_A)
         out.first = np.searchsorted(doc, np.arange(docs + 1))
         per = np.maximum(np.diff(out.first) - self.width + 1, 0)
         at = ranges(out.first[:-1], per)                # window starts
@@ -94,7 +94,7 @@ def remove_repeats(df: DataFrame, text: str = "text", width: int = 35, gram: int
             found = batch.column(len(keep) + 1)
             n_words, n_removed, kept = [], [], []
             for lo, hi, data, offsets in text_chunks(batch.column(len(keep))):
-                doc, start, end, _ = words(data, offsets)
+                doc, start, end = words(data, offsets, salts=())
                 first = np.searchsorted(doc, np.arange(hi - lo + 1))
                 gone = covered(found.slice(lo, hi - lo), first, len(start), width)
                 raw = data.tobytes()

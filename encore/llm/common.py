@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
@@ -30,17 +30,39 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def discard(df: DataFrame) -> None:
-    """Remove the files of a table that ``materialize`` wrote, after its last reader."""
-    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        target = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+def among(ids: DataFrame, column: Column, bits: int = 1 << 26) -> Column:
+    """True for every value of ``column`` that is among ``ids`` (one bigint column), and for a few others.
+
+    A bitmap of ``bits`` bits over hashes of the ids is merged by Spark and
+    broadcast (8 MB at most by default), so a join that needs few rows shuffles
+    few. Beyond some ``bits / 2`` ids it lets most rows through; a join must follow.
+    """
+    place = F.pmod(F.xxhash64(ids.columns[0]), F.lit(bits))
+    words = (ids.select(place.alias("b")).groupBy(F.expr("b div 64").alias("w"))
+                .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("b") % 64).cast("int")))
+                     .alias("bits")).toArrow())
+    bitmap = np.zeros(bits // 64, np.int64)
+    bitmap[words.column(0).to_numpy()] = words.column(1).to_numpy()
+    shared = ids.sparkSession.sparkContext.broadcast(bitmap)
+
+    @F.arrow_udf("boolean")
+    def known(at: pa.Array) -> pa.Array:
+        at = at.to_numpy(zero_copy_only=False)
+        return pa.array((shared.value[at >> 6] >> (at & 63)) & 1 == 1)
+
+    return known(F.pmod(F.xxhash64(column), F.lit(bits)))
+
+
+def hashable(df: DataFrame, name: str) -> Column:
+    """A column as Spark can hash it: types that hold maps as JSON."""
+    kind = df.schema[name].dataType.simpleString()
+    return F.to_json(F.col(name)) if "map<" in kind else F.col(name)
 
 
-def row_key(*cols: str):
+def row_key(df: DataFrame, *cols: str) -> tuple[Column, Column]:
     """128-bit key of a row's content: equal rows share it, so results never mix
     rows that only share an id, and null ids are ordinary values."""
-    parts = [c for name in cols for c in (F.col(name), F.col(name).isNull())]
+    parts = [c for name in cols for c in (hashable(df, name), F.col(name).isNull())]
     return F.xxhash64(*parts).alias("r1"), F.xxhash64(F.lit(7), *reversed(parts)).alias("r2")
 
 

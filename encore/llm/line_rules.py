@@ -17,7 +17,8 @@ closer. Lines are counted by hash aggregates and joined back by (host, line).
 
 Results: null texts have no words and fail the base rules; blank lines are not
 counted; repeated rows are one distinct document but each gets its verdict; a
-null host is a host of its own. Other columns pass through, those named like the
+null host is a host of its own. Lines at exactly a limit stay. Very long texts are
+measured whole; an empty table gives an empty result. Other columns pass through, those named like the
 results are replaced.
 """
 
@@ -93,7 +94,7 @@ def apply_rules(df: DataFrame, host: str = "source", text: str = "text", min_wor
     df = df.drop(*RESULTS)
     named = {c: f"_c{i}" for i, c in enumerate(df.columns)}
     rows = df.select(*[F.col(c).alias(a) for c, a in named.items()],
-                     F.xxhash64(host, F.col(host).isNull()).alias("host"), *row_key(*df.columns))
+                     F.xxhash64(host, F.col(host).isNull()).alias("host"), *row_key(df, *df.columns))
     body = named[text]
     raw = F.split(F.coalesce(F.col(body), F.lit("")), "\n", -1)
     lines = (rows.select("host", "r1", "r2", F.xxhash64(body).alias("content"), F.explode(raw).alias("raw"))

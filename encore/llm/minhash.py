@@ -23,7 +23,9 @@ Results: null and empty texts (no words) have an empty set, link with nothing
 and are their own component. Texts with fewer words than a shingle have their
 whole sequence as the only shingle. Repeated rows share a component. Rows
 without an id take the component of their copies (null if none has an id) and
-are kept. Other columns are not read.
+are kept. An id on several different texts: each row takes the component of its
+own text, and texts whose least id is the same count as one. Very long texts are shingled whole; an empty table gives
+an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -33,7 +35,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE_A, Rolling, checkpointed, mix, ranges, row_key, signed, text_chunks, words
+from ..operators import materialize
+from .common import BASE_A, Rolling, among, checkpointed, mix, ranges, row_key, signed, text_chunks, words
 from .components import components
 
 HASHES = 128
@@ -139,7 +142,8 @@ def _sets(docs: DataFrame, doc_id: str, text: str, size: int, wanted: DataFrame)
                 lists = pa.ListArray.from_arrays(pa.array(sizes.astype(np.int32)), pa.array(signed(h[new])))
                 yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), lists], names=["node", "set"])
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("node"), text)
+    wanted = checkpointed(wanted)
+    rows = docs.select(F.col(doc_id).cast("long").alias("node"), text).filter(among(wanted, F.col("node")))
     return (rows.join(wanted, "node", "left_semi").mapInArrow(run, "node long, set array<long>")
                 .filter(F.size("set") > 0))
 
@@ -289,7 +293,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
                                 .distinct()).withColumnRenamed("component", "cluster")
     late = checkpointed(_across(clusters, grouped, facts, sets, percent, floor))
     if not late.isEmpty():
-        grouped = components(links.unionByName(late))
+        ties = grouped.select(F.col("node").alias("a"), F.col("component").alias("b")).filter("a <> b")
+        grouped = components(ties.unionByName(late))
 
     named = (nodes.select("s1", "s2", "node").join(grouped, "node", "left")
                   .select("s1", "s2", F.coalesce("component", "node").alias("component")))
@@ -306,9 +311,16 @@ def drop_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
     Fully equal rows become one; rows without an id stay.
     """
-    kept = (near_duplicates(df, doc_id, text, size, percent).filter(F.col("kept") & F.col(doc_id).isNotNull())
-            .select(F.col(doc_id).alias("_id"), F.lit(True).alias("_kept")).distinct())
-    rows = df.select("*", *row_key(*df.columns))
-    named = (rows.join(kept.hint("shuffle_hash"), rows[doc_id] == kept["_id"])
-                 .dropDuplicates(["_id", "r1", "r2"]).select(*df.columns))
-    return named.unionByName(df.filter(F.col(doc_id).isNull()))
+    found = materialize(near_duplicates(df, doc_id, text, size, percent).filter(F.col(doc_id).isNotNull())
+                        .select(F.col(doc_id).alias("_id"), "kept"), "near-duplicates")
+    # ids that go and ids on several rows; all other rows stay where they are
+    apart = (found.groupBy("_id").agg(F.min("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+                  .filter("not kept or n > 1").select(F.col("_id").cast("long").alias("_id")))
+    maybe = among(apart, F.col(doc_id).cast("long"))
+    kept = found.filter("kept").select("_id").distinct()
+    named = {c: f"_c{i}" for i, c in enumerate(df.columns)}
+    rows = df.filter(maybe).select(*[F.col(c).alias(n) for c, n in named.items()], *row_key(df, *df.columns))
+    some = (rows.join(kept.hint("shuffle_hash"), rows[named[doc_id]] == kept["_id"])
+                .dropDuplicates(["_id", "r1", "r2"]).select(*[F.col(n).alias(c) for c, n in named.items()]))
+    return (df.filter(F.col(doc_id).isNotNull() & ~maybe).unionByName(some)
+              .unionByName(df.filter(F.col(doc_id).isNull())))

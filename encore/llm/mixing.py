@@ -26,7 +26,7 @@ source is that of a hash, so copies and neighbours spread out; rows with equal
 ids are ordered by their content, fully equal rows are interchangeable. A null
 source is a source of its own. Sources without a weight raise an error, weights
 of absent sources only take part in the proportions (their slots stay empty). An
-empty table stays empty.
+empty table stays empty. Texts of any length are only passed on.
 Input columns named like the added ones (``block``, ``release``, ``deadline``,
 ``slot``, ``position``) are replaced.
 """
@@ -44,33 +44,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, hashable
 
 ADDED = ("block", "release", "deadline", "slot", "position")
 UNITS = 10 ** 17            # integer weights sum up to about this at most
 BATCH = 10_000              # blocks listed or handed back at a time
 
 
-def shares(weights: dict[str, float], resolution: int = 1000) -> dict[str, int]:
-    """Integer shares of one short period, at least one each, by largest remainders.
-
-    For looking at a ``schedule``; ``mix_sources`` follows the weights themselves.
-    """
-    total = sum(weights.values())
-    if not weights or total <= 0 or min(weights.values()) <= 0:
-        raise ValueError("weights must be positive")
-    period = max(resolution, len(weights))
-    spare = period - len(weights)
-    exact = {s: 1 + max(0.0, (w / total * period - 1)) for s, w in weights.items()}
-    scale = spare / max(sum(e - 1 for e in exact.values()), 1e-12)
-    exact = {s: 1 + (e - 1) * scale for s, e in exact.items()}
-    out = {s: int(e) for s, e in exact.items()}
-    by_rest = sorted(weights, key=lambda s: (out[s] - exact[s], s))
-    for s in by_rest[:period - sum(out.values())]:
-        out[s] += 1
-    return out
-
-
 def earliest_deadline_first(blocks: Iterable[tuple[int, int, int, int]]) -> Iterator[tuple]:
     """Blocks ``(release, deadline, source, number)``, sorted: each as
     ``(source, number, release, deadline, slot)``.
@@ -100,14 +80,6 @@ def earliest_deadline_first(blocks: Iterable[tuple[int, int, int, int]]) -> Iter
         slot += 1
 
 
-def schedule(share: dict[str, int]) -> list[tuple[str, int, int, int, int]]:
-    """One period by earliest deadline first: ``(source, block, release, deadline, slot)``."""
-    period, names = sum(share.values()), sorted(share)
-    blocks = sorted((k * period // share[s], -(-(k + 1) * period // share[s]), i, k)
-                    for i, s in enumerate(names) for k in range(share[s]))
-    return [(names[i], *rest) for i, *rest in earliest_deadline_first(blocks)]
-
-
 def integer_weights(weights: dict[str, float]) -> dict[str, int]:
     """Weights as integers of the same proportions, decimal fractions taken as written."""
     if any(w <= 0 for w in weights.values()) or not all(math.isfinite(w) for w in weights.values()):
@@ -170,7 +142,7 @@ def _source(name: str):
 def numbered(df: DataFrame, source: str, doc_id: str) -> DataFrame:
     """Add ``_s`` (source key) and ``_n``, the row's number (from 0) in its source."""
     rows = df.select(*df.columns, _source(source).alias("_s"), F.xxhash64(doc_id).alias("_h"),
-                     F.xxhash64(*df.columns).alias("_r"))
+                     F.xxhash64(*[hashable(df, c) for c in df.columns]).alias("_r"))
     counts = rows.groupBy("_s").count()
     buckets = max(1, math.isqrt(counts.agg(F.sum("count")).first()[0] or 0))
     rows = rows.withColumn("_b", F.pmod("_h", F.lit(buckets)).cast("int"))
@@ -183,12 +155,11 @@ def numbered(df: DataFrame, source: str, doc_id: str) -> DataFrame:
 
 
 def mix_sources(df: DataFrame, weights: dict[str | None, float] | None = None, source: str = "source",
-                doc_id: str = "doc_id", block_rows: int = 16, resolution: int = 1000) -> DataFrame:
+                doc_id: str = "doc_id", block_rows: int = 16) -> DataFrame:
     """Add block, release, deadline, slot and position. Sort by ``position`` for the mixture.
 
     ``weights``: target weight per source value (None: null). Without them the
     square roots of the row counts are the targets, which lifts small sources.
-    ``resolution`` has no effect any more: the schedule follows the weights themselves.
     """
     df = df.drop(*ADDED)
     sizes = df.groupBy(_source(source).alias("_s")).agg(F.count(F.lit(1)).alias("_rows"))

@@ -4,18 +4,21 @@ Base spans come from four fixed patterns (email, ip, card, phone), leftmost and
 non-overlapping per kind, with their number checks. They seed the bootstrap:
 
 1. *Candidates* are tokens of letters and digits with a digit, single ``- . _ /``
-   inside included, at least ``min_length`` long and outside every base span.
-   Seeds and candidates carry their left context, the two words before them in
-   the text, whatever those hold; white space counts as written.
-2. A pattern is (kind, left context). A pattern's score is the summed score of
-   the distinct known instances that it precedes, divided by the distinct
-   instances of any sort that it precedes; with fewer than ``min_support`` known
-   instances it scores 0. Known instances are the seeds (score 1) and, from the
-   second round on, the candidates accepted before.
+   inside included, tokens with a digit that one space parts taken together, at
+   least ``min_length`` long and outside every base span. Candidates shaped like
+   a key (``SECRET``) are seeds of a fifth kind. Seeds and candidates carry their
+   left context, the two words before them in the text, whatever those hold;
+   white space counts as written, and words that begin more than ``CONTEXT``
+   characters before the match are cut there (a longer word gives no context).
+2. A pattern is (kind, left context). A pattern's score is the mean over the
+   distinct instances that it precedes: the score of a known one, ``neutral`` for
+   an unknown one; with fewer than ``min_support`` known instances it scores 0.
+   Known instances are the seeds (score 1) and the candidates accepted before.
 3. A candidate's score for a kind is the best of the patterns that precede it.
-   Candidates at ``confidence`` or more are accepted; after ``rounds`` rounds the
-   occurrences that an accepted pattern precedes become spans of kind
-   ``found_<kind>``.
+   Candidates at ``confidence`` or more are accepted. Rounds go on until one
+   accepts no new pattern; the occurrences that an accepted pattern precedes
+   become spans of kind ``found_<kind>``. Seeds of the fifth kind in no accepted
+   pattern are no spans.
 
 Support counts distinct instances, so copies of one document make no pattern.
 Patterns and instances are aggregated before every join: a common context or
@@ -26,7 +29,9 @@ are summed by a window over the document's matches (small rows without text).
 Patterns are written without backtracking over long runs.
 
 Results: null and empty texts have no spans; the digests are then of the empty
-string. Rows are told apart by their content, repeated rows give equal results,
+string. Very long texts are split like others, whole. An empty table gives an
+empty result. An occurrence that patterns of several kinds precede is a span of
+each; equal spans count once. Rows are told apart by their content, repeated rows give equal results,
 null ids are ordinary values. Other columns pass through or are replaced by
 results of the same name.
 """
@@ -55,10 +60,13 @@ NEEDS = {
     "phone": r"\+[0-9]",
 }
 # Starts where no token can go on, so a run is looked through for a digit once.
-CANDIDATE = (r"(?<![A-Za-z0-9])(?<![A-Za-z0-9][._/-])(?=(?:[A-Za-z]++[._/-])*+[A-Za-z]*+[0-9])"
-             r"[A-Za-z0-9]++(?:[._/-][A-Za-z0-9]++)*+")
+_TOKEN = r"(?=(?:[A-Za-z]++[._/-])*+[A-Za-z]*+[0-9])[A-Za-z0-9]++(?:[._/-][A-Za-z0-9]++)*+"
+CANDIDATE = rf"(?<![A-Za-z0-9])(?<![A-Za-z0-9][._/-]){_TOKEN}(?: {_TOKEN})*+"
+# A key: one token of 20 characters or more with letters and digits.
+SECRET = r"^(?=[A-Za-z_-]*[0-9])(?=[0-9_-]*[A-Za-z])[A-Za-z0-9_-]{20,}$"
+SEEDS = (*KINDS, "secret")
 CONTEXT = 80                # characters looked at for the two words before a match
-RESULTS = ("n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+RESULTS = ("n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_found", "n_spans")
 
 
 def _matches(rows: DataFrame, text: str, pattern: str, needs: str) -> DataFrame:
@@ -138,34 +146,36 @@ def _outside(candidates: DataFrame, base: DataFrame) -> DataFrame:
                 .drop("_earlier", "_later", "side"))
 
 
-def bootstrap(base: DataFrame, candidates: DataFrame, rounds: int, min_support: int,
-              confidence: float) -> DataFrame:
-    """Accepted patterns ``(kind, context, score)``.
+def bootstrap(seeds: DataFrame, candidates: DataFrame, min_support: int, confidence: float,
+              neutral: float) -> DataFrame:
+    """Accepted patterns ``(kind, context, score)`` from seeds ``(kind, context, hit)`` and other candidates.
 
     The pattern-instance graph is the table of distinct (context, instance)
     edges; each round scores patterns from instances and instances from patterns.
     """
-    seeds = base.select("kind", F.col("context"), F.col("hit").alias("item")).filter("context <> ''").distinct()
-    edges = checkpointed(seeds.unionByName(
+    known = (seeds.select("kind", "context", F.col("hit").alias("item")).filter("context <> ''").distinct())
+    edges = checkpointed(known.unionByName(
         candidates.select(F.lit("").alias("kind"), "context", F.col("hit").alias("item"))
                   .filter("context <> ''").distinct()))
-    spread = edges.groupBy("context").agg(F.count(F.lit(1)).alias("items"))
+    spread = checkpointed(edges.groupBy("context").agg(F.count_distinct("item").alias("items")))
     open_edges = edges.filter("kind = ''").select("context", "item")
-    known = edges.filter("kind <> ''").select("kind", "context", "item", F.lit(1.0).alias("score"))
-    patterns = None
-    for round_no in range(rounds):
+    fixed = edges.filter("kind <> ''").select("kind", "context", "item", F.lit(1.0).alias("score"))
+    known, accepted = fixed, -1
+    while True:
         patterns = (known.groupBy("kind", "context")
                          .agg(F.sum("score").alias("mass"), F.count(F.lit(1)).alias("support"))
                          .filter(F.col("support") >= min_support).join(spread, "context")
-                         .select("kind", "context", (F.col("mass") / F.col("items")).alias("score"))
+                         .select("kind", "context", ((F.col("mass") + neutral * (F.col("items") - F.col("support")))
+                                                     / F.col("items")).alias("score"))
                          .filter(F.col("score") >= confidence))
-        if round_no + 1 == rounds:
-            break
-        items = (open_edges.join(patterns, "context").groupBy("kind", "item").agg(F.max("score").alias("score")))
+        patterns = checkpointed(patterns)
+        number = patterns.count()
+        if number <= accepted:
+            return patterns
+        accepted = number
+        items = open_edges.join(patterns, "context").groupBy("kind", "item").agg(F.max("score").alias("score"))
         learnt = open_edges.join(items, "item").select("kind", "context", "item", "score")
-        known = checkpointed(edges.filter("kind <> ''").select("kind", "context", "item", F.lit(1.0).alias("score"))
-                                  .unionByName(learnt))
-    return patterns
+        known = checkpointed(fixed.unionByName(learnt))
 
 
 def _is(kind: str):
@@ -174,14 +184,14 @@ def _is(kind: str):
 
 def _digest(spans: Column) -> Column:
     rank = F.transform(spans, lambda x: F.struct(
-        F.array_position(F.array(*[F.lit(k) for k in [*KINDS, *[f"found_{k}" for k in KINDS]]]), x.kind).alias("k"),
+        F.array_position(F.array(*[F.lit(k) for k in [*KINDS, *[f"found_{k}" for k in SEEDS]]]), x.kind).alias("k"),
         x.s.alias("s"), x.e.alias("e"), x.kind.alias("kind")))
     return F.array_join(F.transform(F.sort_array(rank), lambda x: F.concat_ws(
         ":", x.kind, x.s.cast("string"), x.e.cast("string"))), ",")
 
 
-def find_personal_data(df: DataFrame, text: str = "text", rounds: int = 2, min_support: int = 3,
-                       confidence: float = 0.8, min_length: int = 6) -> DataFrame:
+def find_personal_data(df: DataFrame, text: str = "text", min_support: int = 3, confidence: float = 0.8,
+                       min_length: int = 6, neutral: float = 0.5) -> DataFrame:
     """Spans of every row: ``(r1, r2, spans)`` with ``spans`` an array of (kind, s, e, hit).
 
     ``df`` carries the row key ``r1, r2``. Offsets count code points, ends exclusive.
@@ -192,7 +202,10 @@ def find_personal_data(df: DataFrame, text: str = "text", rounds: int = 2, min_s
     tokens = _matches(rows, "t", CANDIDATE, "[0-9]").filter(F.length("hit") >= min_length)
     candidates = checkpointed(_outside(tokens, base).withColumn("context", _context(F.col("before")))
                               .drop("before"))
-    patterns = bootstrap(base, candidates, rounds, min_support, confidence)
+    shaped = F.col("hit").rlike(SECRET)
+    seeds = base.select("kind", "context", "hit").unionByName(
+        candidates.filter(shaped).select(F.lit("secret").alias("kind"), "context", "hit"))
+    patterns = bootstrap(seeds, candidates.filter(~shaped), min_support, confidence, neutral)
     found = (candidates.join(patterns.select("kind", "context"), "context")
                        .select("r1", "r2", F.concat(F.lit("found_"), "kind").alias("kind"), "s", "e", "hit"))
     every = base.select("r1", "r2", "kind", "s", "e", "hit").unionByName(found)
@@ -200,10 +213,11 @@ def find_personal_data(df: DataFrame, text: str = "text", rounds: int = 2, min_s
 
 
 def annotate(df: DataFrame, text: str = "text", **settings) -> DataFrame:
-    """The input with counts per base kind, the digest of base spans, and all spans written out."""
+    """The input with counts per base kind, the digest of base spans, all spans written out, and
+    how many the method found (``n_found``) and there are in all (``n_spans``)."""
     df = df.drop(*RESULTS)
     named = {c: f"_c{i}" for i, c in enumerate(df.columns)}
-    rows = df.select(*[F.col(c).alias(a) for c, a in named.items()], *row_key(*df.columns))
+    rows = df.select(*[F.col(c).alias(a) for c, a in named.items()], *row_key(df, *df.columns))
     spans = find_personal_data(rows, named[text], **settings)
     out = rows.join(spans, ["r1", "r2"], "left")
     every = F.coalesce("spans", F.array().cast("array<struct<kind:string,s:bigint,e:bigint,hit:string>>"))
@@ -211,4 +225,5 @@ def annotate(df: DataFrame, text: str = "text", **settings) -> DataFrame:
     return out.select(
         *[F.col(a).alias(c) for c, a in named.items()],
         *[F.size(F.filter(every, _is(k))).cast("long").alias(f"n_{k}") for k in KINDS],
-        F.sha2(_digest(base), 256).alias("base_sha256"), _digest(every).alias("spans"))
+        F.sha2(_digest(base), 256).alias("base_sha256"), _digest(every).alias("spans"),
+        (F.size(every) - F.size(base)).cast("long").alias("n_found"), F.size(every).cast("long").alias("n_spans"))

@@ -16,7 +16,8 @@ Neither label, language, source nor id enters a score.
 Results: null and empty texts have features of 0 and are scored like any other.
 Without labels of both sorts all scores are 0.5 (accepted). Repeated rows get
 equal scores; equal scores get equal verdicts. Rows without an id take no part
-in the training. Other columns pass through; ``score`` and ``predicted`` are
+in the training; of a repeated id one row does, the text of least hash. Very long
+texts are scored whole; an empty table gives an empty result. Other columns pass through; ``score`` and ``predicted`` are
 replaced.
 """
 
@@ -147,7 +148,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
                     .dropDuplicates(["_id"]).orderBy(F.xxhash64("_id"), "_id").limit(max_labelled))
     # at most max_labelled ids: the broadcast has a fixed bound
     some = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_t")).join(F.broadcast(sample), "_id")
-    rows = _feature_rows(some.withColumnRenamed("_t", "text"), "text").limit(2 * max_labelled).toPandas()
+    some = some.groupBy("_id", "good").agg(F.min_by("_t", F.xxhash64("_t")).alias("text"))
+    rows = _feature_rows(some, "text").toPandas()
     if not len(rows):
         return Ranking((0.0,) * len(FEATURES), 0.0)
     x, good = np.stack(rows["x"].to_numpy()), rows["good"].to_numpy().astype(bool)

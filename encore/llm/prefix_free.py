@@ -24,7 +24,8 @@ are compared directly.
 
 Results: null, empty and short texts lose nothing. Repeated rows are documents
 of their own. ``kept`` is binary: removal may cut a character. Null ids are
-ordinary values; columns outside ``keep`` are not read.
+ordinary values; columns outside ``keep`` are not read. A very long text is cut in
+one run, held whole by its task; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -131,7 +132,7 @@ def remove_repeated_strings(df: DataFrame, text: str = "text", width: int = 400,
     added = ["n_bytes", "n_removed", "n_spans", "kept_sha256" if digest else "kept"]
     keep = [c for c in (df.columns if keep is None else keep) if c != text and c not in added]
     docs = df.select(*[F.col(c).alias(f"_c{i}") for i, c in enumerate(keep)], F.col(text).alias("_t"),
-                     *row_key(*keep, text))
+                     *row_key(df, *keep, text))
     runs = repeated_windows(docs, "_t", phrases, rows, cells)
     joined = docs.join(runs.hint("shuffle_hash"), ["r1", "r2"], "left")
     schema = T.StructType([*[T.StructField(c, df.schema[c].dataType) for c in keep],

@@ -39,8 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators import materialize
-from .common import discard
+from ..operators import discard, materialize
 
 RUN = 4096
 SLICE = 1 << 16

@@ -199,9 +199,10 @@ def repeated_windows(docs: DataFrame, text: str, cutter, rows: int = ROWS, cells
                                       F.max("m1").alias("last"))
                     .filter("most > 1 or (kinds > 1 and last is not null)").select("g", "kinds"))
     kinds = kinds.join(several, "g").filter("c > 1 or kinds > 1")
-    # a content's blocks in the row that stands for it are compared for all copies
+    # a content's blocks in the row that stands for it are compared for all copies;
+    # how often matters only up to twice
     found = materialize(blocks.join(kinds.drop("g"), ["k1", "k2"]).select(
-        "r1", "r2", "s", "n", F.col("c").cast("int").alias("c"),
+        "r1", "r2", "s", "n", F.least("c", F.lit(2)).cast("int").alias("c"),
         ((F.col("kinds") > 1) & ((F.col("c") == 1) | (F.col("r1") == F.col("m1")))).alias("open"))
         .filter("c > 1 or open"), "repeats")
     settled = found.filter("c > 1").select("r1", "r2", "s", "n")

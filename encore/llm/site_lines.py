@@ -16,7 +16,8 @@ their own. Either way every row loses the same lines as its copies.
 Results: null texts count as empty pages and come out empty. Blank lines are
 kept and not counted. Repeated rows are like other copies. A null host is a
 host of its own. A page whose lines all go keeps its row with what blank lines
-leave. Other columns pass through; ``n_lines`` and ``n_dropped`` are replaced.
+leave. A line at exactly ``ratio`` stays. Very long texts are split into lines
+whole; an empty table gives an empty result. Other columns pass through; ``n_lines`` and ``n_dropped`` are replaced.
 """
 
 from __future__ import annotations
@@ -47,7 +48,7 @@ def drop_boilerplate(df: DataFrame, host: str = "source", text: str = "text", ra
     df = df.drop("n_lines", "n_dropped")
     named = {c: f"_c{i}" for i, c in enumerate(df.columns)}
     pages = df.select(*[F.col(c).alias(a) for c, a in named.items()],
-                      F.xxhash64(host, F.col(host).isNull()).alias("host"), *row_key(*df.columns))
+                      F.xxhash64(host, F.col(host).isNull()).alias("host"), *row_key(df, *df.columns))
     body = named[text]
     lines = pages.select("host", "r1", "r2", F.explode(F.array_distinct(
         F.transform(_filled(_lines(body)), _key))).alias("line"))

@@ -19,7 +19,8 @@ exactly would move one row per word, so:
 
 Results: null, empty and short texts have no windows and lose nothing. Repeated
 rows are documents of their own (all their windows repeat). Null ids are
-ordinary values. Columns outside ``keep`` are not read. A sketch filled far
+ordinary values. A very long text is cut in one run, held whole by its task; an
+empty table gives an empty result. Columns outside ``keep`` are not read. A sketch filled far
 beyond its cells passes more windows to step 3; results stay exact.
 """
 
@@ -82,7 +83,7 @@ def remove_repeats(df: DataFrame, text: str = "text", width: int = 35, gram: int
     added = ["n_words", "n_removed", "kept_sha256" if digest else "kept"]
     keep = [c for c in (df.columns if keep is None else keep) if c != text and c not in added]
     docs = df.select(*[F.col(c).alias(f"_c{i}") for i, c in enumerate(keep)], F.col(text).alias("_t"),
-                     *row_key(*keep, text))
+                     *row_key(df, *keep, text))
     runs = repeated_windows(docs, "_t", WordWindows(width, gram), rows, cells)
     joined = docs.join(runs.hint("shuffle_hash"), ["r1", "r2"], "left")
     schema = T.StructType([*[T.StructField(c, df.schema[c].dataType) for c in keep],

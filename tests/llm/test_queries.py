@@ -34,7 +34,7 @@ def test_query_matches_oracle(spark, name):
 
 def test_registered_names():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES
 
 
 def test_codec_query_equals_library(spark, tables):

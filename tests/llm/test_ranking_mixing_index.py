@@ -42,22 +42,26 @@ def test_no_labels(spark):
 
 
 def test_schedule_is_fair():
-    share = mixing.shares({"a": 5, "b": 3, "c": 1.3, "d": 0.001}, 200)
-    assert sum(share.values()) == 200 and min(share.values()) >= 1
-    plan = mixing.schedule(share)
-    assert [x[4] for x in plan] == list(range(200))
+    """Earliest deadline first over one whole period of the integer weights."""
+    share = mixing.integer_weights({"a": 5, "b": 3, "c": 1.3, "d": 0.001})
+    assert share == {"a": 5000, "b": 3000, "c": 1300, "d": 1}
+    period, names = sum(share.values()), sorted(share)
+    blocks = sorted((k * period // share[s], -(-(k + 1) * period // share[s]), i, k)
+                    for i, s in enumerate(names) for k in range(share[s]))
+    plan = list(mixing.earliest_deadline_first(blocks))
+    assert [x[4] for x in plan] == list(range(period))
     assert all(release <= slot < deadline for _, _, release, deadline, slot in plan)
     got = dict.fromkeys(share, 0)
-    for slot, (s, k, *_ ) in enumerate(plan):
-        assert k == got[s]
-        got[s] += 1
-        assert all(abs(got[x] - share[x] * (slot + 1) / 200) < 1 for x in share)
+    for slot, (i, k, *_) in enumerate(plan):
+        assert k == got[names[i]]
+        got[names[i]] += 1
+        assert all(abs(got[x] - share[x] * (slot + 1) / period) < 1 for x in share)
 
 
 def test_mixture_keeps_rows_and_weights(spark):
     rows = [(i, "big" if i % 10 else None if i % 20 else "small") for i in range(3000)] + [(None, "big"), (1, "big")]
     df = spark.createDataFrame(rows, "doc_id long, source string").withColumn("slot", F.lit("clash"))
-    out = mixing.mix_sources(df, {"big": 1, "small": 1, None: 2}, block_rows=4, resolution=40)
+    out = mixing.mix_sources(df, {"big": 1, "small": 1, None: 2}, block_rows=4)
     got = out.orderBy("position").collect()
     assert sorted([(r.doc_id, r.source) for r in got], key=str) == sorted(rows, key=str)
     assert len({r.position for r in got}) == len(rows)

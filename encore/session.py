@@ -105,11 +105,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     ``spark.checkpoint.dir`` is used as is. Where it is unset, a folder under
-    ``spark.sql.warehouse.dir`` is, which driver and executors share as well.
+    ``spark.sql.warehouse.dir`` is. On a cluster that folder must not be one of the
+    driver's own disk (the default), which executors do not see.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_encore_scratch")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local[") and master != "local" and warehouse.startswith(("file:", "/")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share; "
+                             f"{warehouse} is a local one")
+        d = os.path.join(warehouse, "_encore_scratch")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)

@@ -1,5 +1,8 @@
 """The corpus pipeline: from raw documents to token ids.
 
+Null and empty texts, texts of any length, repeated rows and extra columns pass the
+stages as their operators state; an empty table gives an empty result.
+
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run``
 writes each result as Parquet under the shared checkpoint folder and hands the
 reread table on. All stages but the last return the columns of ``documents``.
@@ -20,7 +23,7 @@ from pyspark.sql.utils import AnalysisException
 from encore.llm import mixing, minhash, preference, sentencepiece, site_lines
 from encore.llm.common import table
 from encore.llm.queries import piece_model, training_labels
-from encore.session import ensure_checkpoint_dir, ship_package
+from encore.session import scratch_path, ship_package
 
 
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -92,7 +95,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sort the result by ``position`` for the mixture."""
-    folder = os.path.join(ensure_checkpoint_dir(spark), f"pipeline-{uuid.uuid4().hex}")
+    folder = scratch_path(spark, f"pipeline-{uuid.uuid4().hex}")
     docs = table(spark, sf_dir, "documents")
     for number, (name, stage) in enumerate(STAGES):
         path = os.path.join(folder, f"{number}-{name}")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .operators import bottom_n, latest_by_key, materialize, temporal_join, top_n, versions_by_key
 from .plans import alerts, counts, ranking, sql_reports, stateless, suggestions, tickets, venues
+from .session import SLICE_SECONDS, conf_int
 from .sources import Domain
 from .sources.files import typed_records, with_position
 from .streaming.sinks import keyed_records
@@ -108,7 +109,7 @@ def latest_by_key_address(d: Domain):
 @query
 def versions_by_key_address(d: Domain):
     a = d.customer_address.select("customerid", "id", "state", "ts")
-    v = versions_by_key(a, ["customerid"])
+    v = versions_by_key(a, ["customerid"], slice_seconds=conf_int(d.spark, SLICE_SECONDS))
     return v.select("customerid", "id", "state",
                     F.date_format("ts", TS_TEXT).alias("valid_from"),
                     F.date_format("valid_to", TS_TEXT).alias("valid_to"))
@@ -124,7 +125,8 @@ def latest_by_key_address_deletes(d: Domain):
 @query
 def versions_by_key_address_deletes(d: Domain):
     """Address versions; a closed account ends the version before it."""
-    return versions_by_key(d.customer_address_log, ["customerid"], deleted="deleted").select(
+    return versions_by_key(d.customer_address_log, ["customerid"], deleted="deleted",
+                           slice_seconds=conf_int(d.spark, SLICE_SECONDS)).select(
         "customerid", "id", "state", F.date_format("ts", TS_TEXT).alias("valid_from"),
         F.date_format("valid_to", TS_TEXT).alias("valid_to"))
 

@@ -73,17 +73,30 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], ts: str = "ts",
 
 
 def versions_by_key(df: DataFrame, keys: Sequence[str], ts: str = "ts",
-                    tiebreak: str = "id", deleted: str | None = None) -> DataFrame:
+                    tiebreak: str = "id", deleted: str | None = None,
+                    slice_seconds: int | None = None) -> DataFrame:
     """All versions of a table with their validity end ``valid_to`` (null = open).
 
     A tombstone ends the version before it and is no version itself. Rows with a
-    null key are dropped: they can never be looked up.
+    null key are dropped: they can never be looked up. With ``slice_seconds`` (for
+    tables that grow with the data) a key's versions are spread over its slices of
+    time: the last one of a slice ends where the next slice begins, which comes
+    from one row per (key, slice).
     """
-    w = Window.partitionBy(*keys).orderBy(F.col(ts), F.col(tiebreak))
     clean = df
     for k in keys:
         clean = clean.filter(F.col(k).isNotNull())
-    out = clean.withColumn(VALID_TO, F.lead(ts).over(w))
+    if slice_seconds is None:
+        w = Window.partitionBy(*keys).orderBy(F.col(ts), F.col(tiebreak))
+        out = clean.withColumn(VALID_TO, F.lead(ts).over(w))
+    else:
+        from .running import SLICE, slice_of
+        rows = clean.withColumn(SLICE, slice_of(F.col(ts), slice_seconds))
+        inside = Window.partitionBy(*keys, SLICE).orderBy(F.col(ts), F.col(tiebreak))
+        begins = rows.groupBy(*keys, SLICE).agg(F.min(ts).alias("_begin"))
+        after = begins.select(*keys, SLICE, F.lead("_begin").over(Window.partitionBy(*keys).orderBy(SLICE)).alias("_next"))
+        out = (rows.withColumn(VALID_TO, F.lead(ts).over(inside)).join(after, [*keys, SLICE])
+                   .withColumn(VALID_TO, F.coalesce(VALID_TO, "_next")).select(*df.columns, VALID_TO))
     return out if deleted is None else out.filter(~_is_deleted(deleted)).drop(deleted)
 
 

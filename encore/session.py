@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import zipfile
@@ -16,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.checkpoint.compress": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -122,6 +125,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_SCRATCH: dict[str, SparkSession] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for tables a job writes."""
-    return os.path.join(ensure_checkpoint_dir(spark), name)
+    """A path under the shared checkpoint folder for tables a job writes.
+
+    What is written there lasts as long as the driver.
+    """
+    path = os.path.join(ensure_checkpoint_dir(spark), name)
+    if not _SCRATCH:
+        atexit.register(_clear_scratch)
+    _SCRATCH[path] = spark
+    return path
+
+
+def _clear_scratch() -> None:
+    for path, spark in _SCRATCH.items():
+        try:
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:           # the session is gone already: nothing left to reach the folder with
+            return

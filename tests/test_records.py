@@ -76,8 +76,34 @@ def test_tombstones_against_brute_force(spark, seed):
     end = BASE + dt.timedelta(days=1)
     want = [(k, _brute(table, end, k)) for k in range(8) if _brute(table, end, k) is not None]
     assert rows(latest_by_key(t.filter("k is not null"), ["k"], deleted="deleted"), "k", "v") == want
-    kept = versions_by_key(t, ["k"], deleted="deleted").collect()
-    assert sorted(r.id for r in kept) == sorted(v[2] for v in table if v[0] is not None and not v[4])
-    for r in kept:                      # the next version of the key, tombstones included, ends it
-        later = [(v[1], v[2]) for v in table if v[0] == r.k and (v[1], v[2]) > (r.ts, r.id)]
-        assert r.valid_to == (min(later)[0] if later else None)
+    for seconds in (None, 10, 3600):
+        kept = versions_by_key(t, ["k"], deleted="deleted", slice_seconds=seconds).collect()
+        assert sorted(r.id for r in kept) == sorted(v[2] for v in table if v[0] is not None and not v[4])
+        for r in kept:                  # the next version of the key, tombstones included, ends it
+            later = [(v[1], v[2]) for v in table if v[0] == r.k and (v[1], v[2]) > (r.ts, r.id)]
+            assert r.valid_to == (min(later)[0] if later else None)
+
+
+def test_no_driver_local_scratch_on_a_cluster():
+    from encore.session import ensure_checkpoint_dir
+
+    class Session:                      # what ``ensure_checkpoint_dir`` reads of a session
+        def __init__(self, **conf):
+            self.conf = self
+            self.values = {k.replace("_", "."): v for k, v in conf.items()}
+            self.sparkContext = type("C", (), {"getCheckpointDir": lambda s: None, "setCheckpointDir": lambda s, d: None})()
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+        def set(self, key, value):
+            self.values[key] = value
+
+    for warehouse in ("file:/home/x/spark-warehouse", "/home/x/spark-warehouse"):
+        with pytest.raises(ValueError):
+            ensure_checkpoint_dir(Session(spark_master="yarn", spark_sql_warehouse_dir=warehouse))
+        assert ensure_checkpoint_dir(Session(spark_master="local[4]", spark_sql_warehouse_dir=warehouse)).startswith(warehouse)
+    shared = Session(spark_master="yarn", spark_sql_warehouse_dir="hdfs://n/w")
+    assert ensure_checkpoint_dir(shared) == "hdfs://n/w/_encore_scratch"
+    named = Session(spark_master="yarn", spark_sql_warehouse_dir="/w", spark_checkpoint_dir="hdfs://n/c")
+    assert ensure_checkpoint_dir(named) == "hdfs://n/c"

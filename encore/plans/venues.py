@@ -10,6 +10,7 @@ from ..operators import asof_count, latest_by_key, running, temporal_join
 from .tickets import ticket_outcomes
 
 HIGH_ATTENDANCE_SHARE = 0.80
+ZIP_GROUP = 10_000          # residents of a zip code that one join key holds
 
 
 # ---- lookups (J3-J9) --------------------------------------------------------
@@ -204,7 +205,9 @@ def alert_popular_event_in_zip(ticket: DataFrame, event: DataFrame, address: Dat
 
     Popular = the event reached at most ``near_pct`` % remaining capacity. Buyers
     count in the zip code they lived in when they bought; told is who lives there
-    by the latest address, with the number of other buyers.
+    by the latest address, with the number of other buyers. A zip code's residents
+    are dealt to groups of about ``ZIP_GROUP``, each of which meets the zip code's
+    events, so a large zip code is many join keys.
     """
     o = ticket_outcomes(ticket, event)
     popular = (o.filter((F.col("confirmationstatus") == "CONFIRMED") & (F.col("remainingpct") <= near_pct))
@@ -214,7 +217,11 @@ def alert_popular_event_in_zip(ticket: DataFrame, event: DataFrame, address: Dat
     per = buyers.groupBy("eventid", "zip5").agg(F.count(F.lit(1)).alias("buyers"))
     lives = latest_by_key(address.filter(F.col("customerid").isNotNull())
                           .select("customerid", "zip5", "id", "ts"), ["customerid"]).select("customerid", "zip5")
-    told = lives.join(per, "zip5").join(buyers.withColumn("own", F.lit(1)),
+    groups = lives.groupBy("zip5").agg((F.expr(f"count(1) div {ZIP_GROUP}") + 1).alias("_groups"))
+    dealt = lives.join(groups, "zip5").withColumn("_group", F.pmod(F.xxhash64("customerid"), F.col("_groups")))
+    spread = per.join(groups, "zip5").withColumn(
+        "_group", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_groups") - 1)))
+    told = dealt.drop("_groups").join(spread.drop("_groups"), ["zip5", "_group"]).drop("_group").join(buyers.withColumn("own", F.lit(1)),
                                         ["eventid", "zip5", "customerid"], "left")
     return (told.withColumn("num_customers", F.col("buyers") - F.coalesce("own", F.lit(0)))
                 .filter(F.col("num_customers") > 0)

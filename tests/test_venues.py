@@ -149,3 +149,20 @@ def test_sql_text_report_equals_dataframe_and_null_states(spark, feed):
     df = venues.high_attendance_events_by_state(t, e, v, a, "2024-02-01", "2024-02-20")
     assert rows(sql, "state", "num_high_attendance_events") == rows(df, "state", "num_high_attendance_events") \
         == [("MN", 1)]
+
+
+def test_zip_alert_with_residents_in_groups(spark, feed, monkeypatch):
+    """A zip code whose residents are many join keys, against the rule itself."""
+    event = feed.add("event", artistid=1, venueid=1, capacity=6)
+    home = {c: f"{c % 2:05d}" for c in range(1, 31)}
+    for c, zip5 in home.items():
+        feed.add("address", customerid=c, state="MN", zip5=zip5)
+    buyers = [2, 4, 4, 7, 6, 2]
+    for c in buyers:
+        feed.add("ticket", customerid=c, eventid=event)
+    want = sorted((event, z, c, len({b for b in buyers if home[b] == z and b != c})) for c, z in home.items()
+                  if any(home[b] == z and b != c for b in buyers))
+    for size in (10_000, 4, 1):
+        monkeypatch.setattr(venues, "ZIP_GROUP", size)
+        got = venues.alert_popular_event_in_zip(*(feed.df(spark, e) for e in ("ticket", "event", "address")))
+        assert rows(got, "eventid", "zip5", "customerid", "num_customers") == want

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from ..session import scratch_path
+from ..session import remove_path, scratch_path
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -23,7 +23,5 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Remove the files of a table that ``materialize`` wrote, after its last reader."""
-    spark = df.sparkSession
     for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        remove_path(df.sparkSession, folder)

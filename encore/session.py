@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import tempfile
+import threading
 import zipfile
 
 from pyspark.sql import SparkSession
@@ -137,13 +139,36 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not _SCRATCH:
         atexit.register(_clear_scratch)
     _SCRATCH[path] = spark
+    if getattr(_SCOPE, "paths", None) is not None:
+        _SCOPE.paths.append(path)
     return path
 
 
+_SCOPE = threading.local()
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Scratch tables that this thread writes inside are removed at the end (a micro-batch's, say)."""
+    outer, _SCOPE.paths = getattr(_SCOPE, "paths", None), []
+    try:
+        yield
+    finally:
+        done, _SCOPE.paths = _SCOPE.paths, outer
+        for path in done:
+            remove_path(spark, path)
+            _SCRATCH.pop(path, None)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system that Spark reaches."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def _clear_scratch() -> None:
     for path, spark in _SCRATCH.items():
         try:
-            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+            remove_path(spark, path)
         except Exception:           # the session is gone already: nothing left to reach the folder with
             return

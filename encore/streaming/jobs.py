@@ -26,6 +26,7 @@ from ..functions.tickets import CONFIRMED
 from ..operators import asof_count, latest_by_key, rank_within, running, temporal_join, temporal_semi_join
 from ..plans.ranking import BOTTOM_HOLDERS, TOP_ARTISTS, least_lists, most_first, top_customer_artists_changelog
 from ..plans.tickets import NEAR_CAPACITY_PCT
+from ..session import scratch_scope
 from .sinks import run_available_now, start_every
 from .state import GONE, Batch, Table, committed, outputs, whole
 
@@ -57,12 +58,13 @@ def each_batch(job: Job, base: str):
         batch = Batch(spark, base, batch_id, job.state)
         records = records.persist()
         try:
-            out, changes = job.step(records, batch.lookup)
-            for name, df in out.items():
-                batch.write(name, df)
-            for name, df in changes.items():
-                batch.change(name, df)
-            batch.commit()
+            with scratch_scope(spark):
+                out, changes = job.step(records, batch.lookup)
+                for name, df in out.items():
+                    batch.write(name, df)
+                for name, df in changes.items():
+                    batch.change(name, df)
+                batch.commit()
         finally:
             records.unpersist()
     return run

@@ -15,7 +15,8 @@ all outputs and state of a batch or none. A batch replayed after a failure eithe
 finds its commit and does nothing, or starts from the commit before it.
 
 The move is atomic on HDFS and local folders. Segments that no recent commit
-names are removed; the last ``KEPT`` commits stay replayable.
+names are removed; the last ``KEPT`` commits stay replayable. What a failed
+attempt wrote is named by no commit and read by nobody.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import remove_path
+
 FAN = 4                 # segments of a size class that are merged
 CLASS_ROWS = 1000       # rows of the smallest size class
 BUCKETS = 16            # default of encore.state.buckets
@@ -65,11 +68,6 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    fs, p = _fs(spark, path)
-    fs.delete(p, True)
-
-
 def _publish(spark: SparkSession, path: str, text: str) -> None:
     """A file that appears whole or not at all."""
     draft = f"{path}.{uuid.uuid4().hex}.draft"
@@ -157,7 +155,7 @@ class Batch:
             self._add(name, merged)
             for path, _ in last:            # no commit names what this batch wrote and merged itself
                 if f"/segment={self.batch}-{self.attempt}" in path:
-                    remove(self.spark, path)
+                    remove_path(self.spark, path)
 
     def _add(self, name: str, rows: DataFrame) -> None:
         path = f"{self.base}/state/{name}/segment={self.batch}-{self.attempt}-{uuid.uuid4().hex[:4]}"
@@ -166,7 +164,7 @@ class Batch:
         if count:
             self.after.state.setdefault(name, []).append([path, count])
         else:
-            remove(self.spark, path)
+            remove_path(self.spark, path)
 
     def commit(self) -> None:
         _publish(self.spark, f"{self.base}/commits/{self.batch}", json.dumps(vars(self.after)))
@@ -177,7 +175,7 @@ class Batch:
             for segments in read_commit(self.spark, self.base, old).state.values():
                 for path, _ in segments:
                     if path not in live:
-                        remove(self.spark, path)
+                        remove_path(self.spark, path)
 
 
 def _size_class(rows: int) -> int:

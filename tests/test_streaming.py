@@ -162,6 +162,19 @@ def test_replayed_batch_counts_once(spark):
     assert rows(output(spark, job, base, "log"), "id", "n") == rows(want, "id", "n")
 
 
+def test_scratch_tables_of_a_batch_go_with_it(spark):
+    from encore.session import ensure_checkpoint_dir
+    feed = _random_feed(9)
+    left = lambda: {n for n in os.listdir(ensure_checkpoint_dir(spark)) if n.startswith("table-")}
+    before, base = left(), tempfile.mkdtemp(prefix="encore-scratch-")
+    job = jobs.top_customer_artists_job(feed.df(spark, "listen"))
+    jobs.each_batch(job, base)(job.feed, 0)
+    assert left() == before
+    cols = ["id", "customerid", "rnk", "artistid", "n"]
+    assert rows(output(spark, job, base, "log"), *cols) == rows(
+        ranking.top_customer_artists_changelog(feed.df(spark, "listen")), *cols)
+
+
 def test_state_read_errors_end_the_query(spark):
     feed = _random_feed(9)
     job = jobs.customer_stream_count_job(feed.df(spark, "listen"))

@@ -68,8 +68,9 @@ def row_key(df: DataFrame, *cols: str) -> tuple[Column, Column]:
 
 # --- numpy text passes ------------------------------------------------------
 
-def text_chunks(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Cut a string column into runs of whole texts of about ``CHUNK_BYTES``.
+def text_chunks(column: pa.Array | pa.ChunkedArray,
+                limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Cut a string column into runs of whole texts of about ``limit`` bytes.
 
     Yields ``(first, end, data, offsets)``: rows ``first..end`` as UTF-8 bytes
     and their offsets into ``data``. Null texts are empty; a text longer than
@@ -86,7 +87,7 @@ def text_chunks(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int,
         data = np.frombuffer(buf, np.uint8) if buf is not None and buf.size else np.zeros(0, np.uint8)
         first = 0
         while first < n:
-            end = int(np.searchsorted(offsets, offsets[first] + CHUNK_BYTES, "right")) - 1
+            end = int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1
             end = min(max(end, first + 1), n)
             lo = int(offsets[first])
             yield base + first, base + end, data[lo:int(offsets[end])], offsets[first:end + 1] - lo

@@ -34,8 +34,9 @@ from pyspark.sql import types as T
 from .common import ranges, span_hashes, text_chunks
 
 SPACE = "\u2581"
-TABLE_PARTS = 2_000_000     # parts kept per Python worker (about 60 bytes each)
-TABLE_BYTES = 64 << 20      # and their text
+TABLE_PARTS = 500_000       # parts kept per Python worker (about 60 bytes each)
+TABLE_BYTES = 32 << 20      # and their text
+RUN_BYTES = 1 << 19         # text bytes handled by one numpy pass
 
 
 class MergeModel:
@@ -159,11 +160,11 @@ class _Parts:
     def __init__(self):
         self.key = np.zeros(0, np.uint64)
         self.start = np.zeros(0, np.int64)
-        self.length = np.zeros(0, np.int64)
-        self.used = np.zeros(0, np.int64)
+        self.length = np.zeros(0, np.int32)
+        self.used = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.int32)
         self.from_ = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
+        self.size = np.zeros(0, np.int32)
         self.bytes = np.zeros(0, np.uint8)
         self.clock = 0
 
@@ -187,15 +188,16 @@ class _Parts:
         at = np.searchsorted(self.key, key)
         for name, new in (("key", key), ("start", start), ("length", length), ("from_", from_), ("size", size),
                           ("used", np.full(len(key), self.clock))):
-            setattr(self, name, np.insert(getattr(self, name), at, new))
+            old = getattr(self, name)
+            setattr(self, name, np.insert(old, at, new.astype(old.dtype)))
 
     def _rebuild(self, keep: np.ndarray) -> None:
         self.ids = self.ids[ranges(self.start[keep], self.length[keep])]
         self.bytes = self.bytes[ranges(self.from_[keep], self.size[keep])]
         for name in ("key", "used", "length", "size"):
             setattr(self, name, getattr(self, name)[keep])
-        self.start = np.cumsum(self.length) - self.length
-        self.from_ = np.cumsum(self.size) - self.size
+        self.start = np.cumsum(self.length, dtype=np.int64) - self.length
+        self.from_ = np.cumsum(self.size, dtype=np.int64) - self.size
 
 
 def _same_bytes(a: np.ndarray, a_start: np.ndarray, a_size: np.ndarray, b: np.ndarray, b_start: np.ndarray,
@@ -242,7 +244,7 @@ def encode_column(texts: pa.Array, model: MergeModel, table: _Parts):
     Parts are looked up by hash and compared byte by byte; a run in which two
     parts share a hash is encoded text by text.
     """
-    for _, _, data, offsets in text_chunks(_marked(texts)):
+    for _, _, data, offsets in text_chunks(_marked(texts), RUN_BYTES):
         start = _part_starts(model, data, offsets)
         size = np.append(start[1:], len(data)) - start
         key, first, which = np.unique(span_hashes(data, start, start + size, 1)[0], return_index=True,

@@ -13,9 +13,10 @@ so the name is unique and the first child in order of members goes on the path.
    child's enter or the own exit; after leaving, the next sibling's enter or the
    parent's exit. Arcs that follow each other down or up a path form one element
    of a linked list (at most ``RUN`` arcs), found by windows over (path, slice).
-4. The list is ranked by pointer jumping: every round joins each element with
-   the one it points to, so the rounds grow with the logarithm of the list.
-   Rounds are written tables; the one before is removed.
+4. The list is ranked: while it is longer than ``JUMPED`` elements, random elements
+   take in the next one, a quarter of the list each round, so all rounds together
+   handle a few times the list; the rest by pointer jumping; then, round by round
+   back, what was taken in. Rounds are written tables; the one before is removed.
 5. Arc positions follow by arithmetic. Prefix sums over positions (slices of
    ``SLICE`` positions and a prefix over slices) give, between the enter and the
    exit of a node, the leaves and savings of its subtree.
@@ -44,6 +45,7 @@ from ..operators import discard, materialize
 RUN = 4096
 SLICE = 1 << 16
 PIECE = 8192
+JUMPED = 200_000        # list elements that pointer jumping ranks
 
 
 def numbered_turns(df: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role",
@@ -178,7 +180,44 @@ def _tour(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _ranked(links: DataFrame) -> DataFrame:
     """``(x, y, dist)``: arcs from the beginning of each element to the end of the tour."""
-    now = materialize(links, "ranks")
+    now, taken = materialize(links, "ranks"), []
+    while now.count() > JUMPED:
+        now, gone = _contracted(now, len(taken))
+        taken.append(gone)
+    now = _jumped(now).select("x", "y", "dist")
+    for gone in reversed(taken):        # what was taken in lies behind the one that took it
+        found = gone.join(now.select(F.col("x").alias("ox"), F.col("y").alias("oy"), "dist"), ["ox", "oy"])
+        now = materialize(now.unionByName(found.select("x", "y", (F.col("dist") - F.col("behind")).alias("dist"))),
+                          "ranks")
+        discard(gone)
+    return now
+
+
+def _contracted(now: DataFrame, number: int) -> tuple[DataFrame, DataFrame]:
+    """A list shorter by a quarter: by coins of a hash, heads take in the tails that follow them.
+
+    Also the elements taken in: ``(x, y, ox, oy, behind)``, their taker and how far behind its beginning.
+    """
+    coin = F.pmod(F.xxhash64("x", "y", F.lit(number)), F.lit(2)) == 1
+    heads, tails = now.filter(coin), now.filter(~coin)
+    after = tails.select(F.col("x").alias("sx"), F.col("y").alias("sy"), F.col("sx").alias("nx"),
+                         F.col("sy").alias("ny"), F.col("dist").alias("more"))
+    met = materialize(heads.join(after, ["sx", "sy"], "left"), "met")
+    took = F.col("more").isNotNull()
+    gone = materialize(met.filter(took).select(F.col("sx").alias("x"), F.col("sy").alias("y"), F.col("x").alias("ox"),
+                                               F.col("y").alias("oy"), F.col("dist").alias("behind")), "taken")
+    longer = met.select("x", "y", F.when(took, F.col("nx")).otherwise(F.col("sx")).alias("sx"),
+                        F.when(took, F.col("ny")).otherwise(F.col("sy")).alias("sy"),
+                        (F.col("dist") + F.coalesce("more", F.lit(0))).alias("dist"))
+    later = materialize(longer.unionByName(tails.join(gone.select("x", "y"), ["x", "y"], "left_anti")
+                                           .select(*longer.columns)), "ranks")
+    discard(met)
+    discard(now)
+    return later, gone
+
+
+def _jumped(now: DataFrame) -> DataFrame:
+    """Pointer jumping: every round each element points twice as far."""
     while not now.filter("sx is not null").isEmpty():
         ahead = now.select(F.col("x").alias("sx"), F.col("y").alias("sy"), F.col("sx").alias("nx"),
                            F.col("sy").alias("ny"), F.col("dist").alias("more"))
@@ -188,7 +227,7 @@ def _ranked(links: DataFrame) -> DataFrame:
         later = materialize(moved.unionByName(now.filter("sx is null")), "ranks")
         discard(now)
         now = later
-    return now.select("x", "y", "dist")
+    return now
 
 
 def prefix_trie(turns: DataFrame, lengths: DataFrame) -> DataFrame:

@@ -71,10 +71,12 @@ def _rows(seed, low=-12, high=40):
     return rows
 
 
-@pytest.mark.parametrize("seed,run,slice_,piece", [(1, 4096, 1 << 16, 8192), (2, 3, 16, 2), (3, 1, 7, 1)])
-def test_equals_dictionary_trie(spark, monkeypatch, seed, run, slice_, piece):
-    """Also with runs, slices and pieces far below their usual size, over many partitions."""
-    for name, value in (("RUN", run), ("SLICE", slice_), ("PIECE", piece)):
+@pytest.mark.parametrize("seed,run,slice_,piece,jumped", [(1, 4096, 1 << 16, 8192, 200_000), (2, 3, 16, 2, 300),
+                                                          (3, 1, 7, 1, 200_000)])
+def test_equals_dictionary_trie(spark, monkeypatch, seed, run, slice_, piece, jumped):
+    """Also with runs, slices and pieces far below their usual size, over many partitions, and
+    with a list that is contracted before it is ranked."""
+    for name, value in (("RUN", run), ("SLICE", slice_), ("PIECE", piece), ("JUMPED", jumped)):
         monkeypatch.setattr(prefix_trie, name, value)
     rows = _rows(seed)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")

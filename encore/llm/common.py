@@ -221,32 +221,42 @@ BYTE_VALUE = mix(np.arange(256, dtype=np.uint64), 99)
 
 
 _PLACES = 64
+_SPAN_RUN = 1 << 15
 _SPAN_TABLES: dict[int, np.ndarray] = {}
 
 
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, *salts: int) -> list[np.ndarray]:
-    """64-bit hashes of non-empty spans, one array per salt.
+    """64-bit hashes of non-empty spans in ascending order, one array per salt.
 
     A span's hash is the sum of one random value per place and byte, so no base
     and no power is shared between places; salts are independent of each other.
+    Spans are taken in runs of about ``_SPAN_RUN`` bytes, which stay in the cache.
     """
-    size = end - start
-    begin = np.cumsum(size) - size
-    at = ranges(start, size)
-    place = np.arange(len(at)) - np.repeat(begin, size)
-    row = ((place & (_PLACES - 1)) << 8) | data[at]
-    far = np.flatnonzero(place >= _PLACES)
-    turn = mix((place[far] // _PLACES).astype(np.uint64), 91)
-    out = []
-    for salt in salts:
-        table = _SPAN_TABLES.get(salt)
-        if table is None:
-            table = _SPAN_TABLES[salt] = mix(np.arange(_PLACES * 256, dtype=np.uint64), 1000 + salt)
-        value = table[row]
-        value[far] = mix(value[far] + turn, salt)
-        total = np.add.reduceat(value, begin) if len(begin) else np.zeros(0, np.uint64)
-        out.append(mix(total + size.astype(np.uint64), salt))
-    return out
+    out = [np.empty(len(start), np.uint64) for _ in salts]
+    at = 0
+    while at < len(start):
+        stop = max(at + 1, int(np.searchsorted(end, start[at] + _SPAN_RUN, "right")))
+        low, high = int(start[at]), int(end[stop - 1])
+        first = (start[at:stop] - low).astype(np.int32)
+        edges = np.empty(2 * len(first), np.int32)          # of spans and, between them, of gaps
+        edges[::2], edges[1::2] = first, end[at:stop] - low
+        until = np.append(first[1:], np.int32(high - low))
+        place = np.arange(high - low, dtype=np.int32) - np.repeat(first, until - first)
+        row = (place & np.int32(_PLACES - 1)) << np.int32(8)
+        row |= data[low:high]
+        far = np.flatnonzero(place >= _PLACES)
+        turn = mix((place[far] // _PLACES).astype(np.uint64), 91)
+        for number, salt in enumerate(salts):
+            table = _SPAN_TABLES.get(salt)
+            if table is None:
+                table = _SPAN_TABLES[salt] = mix(np.arange(_PLACES * 256, dtype=np.uint64), 1000 + salt)
+            value = np.empty(high - low + 1, np.uint64)
+            np.take(table, row, out=value[:-1], mode="clip")
+            value[far] = mix(value[far] + turn, salt)
+            out[number][at:stop] = np.add.reduceat(value, edges)[::2]
+        at = stop
+    size = (end - start).astype(np.uint64)
+    return [mix(total + size, salt) for total, salt in zip(out, salts)]
 
 
 def words(data: np.ndarray, offsets: np.ndarray, lower: bool = False, salts: tuple[int, ...] = (5,)):

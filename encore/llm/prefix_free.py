@@ -63,7 +63,7 @@ class Phrases:
     def cut(self, data: np.ndarray, offsets: np.ndarray) -> Cut:
         out = Cut()
         docs = len(offsets) - 1
-        out.a, out.units_b = Rolling(BYTE_VALUE[data], BASE_A), data
+        out.a, out.units_b = Rolling(BYTE_VALUE[data], BASE_A), lambda: data
         out.first = offsets
         marks = self._marks(data, offsets)
         # each mark's document, and the starts whose first mark it is

@@ -19,7 +19,7 @@ documents is summed before the shuffle and its join partition can be split.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +41,7 @@ class Cut:
     ``first``: index of each text's first unit (word or byte), one more at the
     end. Per block: ``at`` (unit index of its first window), ``size`` (windows),
     ``doc``, ``gram`` and ``free`` (no gram). ``a``: rolling hash of the units;
-    ``units_b``: their values for a second one, modulo a prime.
+    ``units_b`` makes their values for a second one, modulo a prime.
     """
 
     first: np.ndarray
@@ -51,13 +51,13 @@ class Cut:
     gram: np.ndarray
     free: np.ndarray
     a: Rolling
-    units_b: np.ndarray
+    units_b: Callable[[], np.ndarray]
     _b: PrimeRolling | None = None
 
     def hashes(self, start: np.ndarray, end: np.ndarray):
         size = (end - start).astype(np.uint64)
         if self._b is None:                     # only where contents are compared
-            self._b = PrimeRolling(self.units_b)
+            self._b = PrimeRolling(self.units_b())
         return mix(self.a.slices(start, end) + size, 21), mix(self._b.slices(start, end) + size, 22)
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from .common import ranges, span_hashes, text_chunks
 
 SPACE = "\u2581"
-TABLE_PARTS = 500_000       # parts kept per Python worker (about 60 bytes each)
+TABLE_PARTS = 600_000       # parts kept per Python worker (about 60 bytes each)
 TABLE_BYTES = 32 << 20      # and their text
 RUN_BYTES = 1 << 19         # text bytes handled by one numpy pass
 
@@ -155,51 +155,68 @@ class MergeModel:
 
 
 class _Parts:
-    """Known parts by hash, with their bytes and ids; when full, the parts unused longest go."""
+    """Known parts by hash, with their bytes and ids; when full, the parts unused longest go.
+
+    ``key`` is sorted and ``slot`` names where a part's facts are; facts, ids and
+    bytes are only appended, in arrays that grow by a quarter.
+    """
+
+    _FACTS = {"start": np.int64, "length": np.int32, "from_": np.int64, "size": np.int32, "used": np.int32}
 
     def __init__(self):
-        self.key = np.zeros(0, np.uint64)
-        self.start = np.zeros(0, np.int64)
-        self.length = np.zeros(0, np.int32)
-        self.used = np.zeros(0, np.int32)
-        self.ids = np.zeros(0, np.int32)
-        self.from_ = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int32)
-        self.bytes = np.zeros(0, np.uint8)
-        self.clock = 0
+        self.key, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        for name, kind in self._FACTS.items():
+            setattr(self, name, np.zeros(0, kind))
+        self.ids, self.bytes = np.zeros(0, np.int32), np.zeros(0, np.uint8)
+        self.n_ids = self.n_bytes = self.clock = 0
 
     def find(self, key: np.ndarray) -> np.ndarray:
-        """Row of every hash, -1 where it is not in the table."""
+        """Slot of every hash, -1 where it is not in the table."""
         if not len(self.key):
             return np.full(len(key), -1)
         at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
-        return np.where(self.key[at] == key, at, -1)
+        return np.where(self.key[at] == key, self.slot[at], -1)
 
     def add(self, key: np.ndarray, parts: list[bytes], ids: list[tuple[int, ...]]) -> None:
         """New parts, their hashes ascending."""
-        if len(self.key) and (len(self.key) + len(key) > TABLE_PARTS or len(self.bytes) > TABLE_BYTES):
-            half = np.partition(self.used, len(self.used) // 2)[len(self.used) // 2]
-            self._rebuild((self.used > half) | (self.used == self.clock))
+        if len(self.key) and (len(self.key) + len(key) > TABLE_PARTS or self.n_bytes > TABLE_BYTES):
+            used = self.used[self.slot]
+            half = np.partition(used, len(used) // 2)[len(used) // 2]
+            self._rebuild((used > half) | (used == self.clock))
         length, size = (np.fromiter(map(len, x), np.int64, len(x)) for x in (ids, parts))
-        start = len(self.ids) + np.cumsum(length) - length
-        from_ = len(self.bytes) + np.cumsum(size) - size
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(ids), np.int32)])
-        self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(parts), np.uint8)])
+        n = len(self.key)
+        for name, new in (("start", self.n_ids + np.cumsum(length) - length), ("length", length), ("size", size),
+                          ("from_", self.n_bytes + np.cumsum(size) - size), ("used", np.full(len(key), self.clock))):
+            setattr(self, name, _appended(getattr(self, name), n, new))
+        self.ids = _appended(self.ids, self.n_ids, np.fromiter(chain.from_iterable(ids), np.int32))
+        self.bytes = _appended(self.bytes, self.n_bytes, np.frombuffer(b"".join(parts), np.uint8))
+        self.n_ids, self.n_bytes = self.n_ids + int(length.sum()), self.n_bytes + int(size.sum())
         at = np.searchsorted(self.key, key)
-        for name, new in (("key", key), ("start", start), ("length", length), ("from_", from_), ("size", size),
-                          ("used", np.full(len(key), self.clock))):
-            old = getattr(self, name)
-            setattr(self, name, np.insert(old, at, new.astype(old.dtype)))
+        self.key = np.insert(self.key, at, key)
+        self.slot = np.insert(self.slot, at, np.arange(n, n + len(key), dtype=np.int32))
 
     def _rebuild(self, keep: np.ndarray) -> None:
-        self.ids = self.ids[ranges(self.start[keep], self.length[keep])]
-        self.bytes = self.bytes[ranges(self.from_[keep], self.size[keep])]
-        for name in ("key", "used", "length", "size"):
-            setattr(self, name, getattr(self, name)[keep])
+        slot = self.slot[keep]
+        self.key, self.slot = self.key[keep], np.arange(len(slot), dtype=np.int32)
+        for name in self._FACTS:
+            setattr(self, name, getattr(self, name)[slot])
+        self.ids = self.ids[ranges(self.start, self.length.astype(np.int64))]
+        self.bytes = self.bytes[ranges(self.from_, self.size.astype(np.int64))]
+        self.n_ids, self.n_bytes = len(self.ids), len(self.bytes)
         self.start = np.cumsum(self.length, dtype=np.int64) - self.length
         self.from_ = np.cumsum(self.size, dtype=np.int64) - self.size
 
 
+def _appended(old: np.ndarray, n: int, new: np.ndarray) -> np.ndarray:
+    """``new`` behind the first ``n`` values of ``old``, which has room or is made larger."""
+    if n + len(new) > len(old):
+        grown = np.empty(n + len(new) + n // 4, old.dtype)
+        grown[:n] = old[:n]
+        old = grown
+    old[n:n + len(new)] = new
+    return old
+
+
 def _same_bytes(a: np.ndarray, a_start: np.ndarray, a_size: np.ndarray, b: np.ndarray, b_start: np.ndarray,
                 b_size: np.ndarray) -> bool:
     """Whether spans of ``a`` and ``b`` are equal, one by one."""

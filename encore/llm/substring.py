@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BASE_A, Rolling, mix, ranges, row_key, text_chunks, words
+from .common import BASE_A, Rolling, mix, ranges, row_key, span_hashes, text_chunks, words
 from .repeats import CELLS, ROWS, Cut, covered, repeated_windows
 
 
@@ -48,7 +48,8 @@ class WordWindows:
 
     def cut(self, data: np.ndarray, offsets: np.ndarray) -> Cut:
         out = Cut()
-        doc, _, _, h, out.units_b = words(data, offsets, salts=(5, 6))
+        doc, start, end, h = words(data, offsets)
+        out.units_b = lambda: span_hashes(data, start, end, 6)[0]
         n, docs = len(h), len(offsets) - 1
         out.a = Rolling(h, BASE_A)
         out.first = np.searchsorted(doc, np.arange(docs + 1))

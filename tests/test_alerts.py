@@ -40,3 +40,23 @@ def test_large_ids_stay_exact(spark, base):
                               "id long, artistid long, ts timestamp")
     got = sorted(tuple(r) for r in top_streamers_at_events(l, e).select("eventid", "rnk", "customerid", "n").collect())
     assert got == [(x, r, c, n) for x in (base + 7, base + 9) for r, c, n in ((1, base + 1, 3), (2, base + 3, 2))]
+
+
+def _tables(spark, tmp_path):
+    """Tables read from files: their sizes make Spark broadcast what it takes to be small."""
+    spark.range(200).selectExpr("id", "id % 7 as customerid", "id % 2 as artistid",
+                                "timestamp_seconds(1704067200 + id) as ts").write.parquet(f"{tmp_path}/l")
+    spark.range(20).selectExpr("id", "id % 2 as artistid",
+                               "timestamp_seconds(1704067200 + 9 * id) as ts").write.parquet(f"{tmp_path}/e")
+    spark.range(5).selectExpr("id as customerid", "concat('c', id) as email").write.parquet(f"{tmp_path}/m")
+    return [spark.read.parquet(f"{tmp_path}/{t}") for t in "lem"]
+
+
+def _joins(df):
+    return [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Join [" in x]
+
+
+def test_exploded_events_are_not_broadcast(spark, tmp_path):
+    listen, event, _ = _tables(spark, tmp_path)
+    pieces = [j for j in _joins(top_streamers_at_events(listen, event)) if "node#" in j]
+    assert pieces and all("SortMergeJoin" in j for j in pieces)

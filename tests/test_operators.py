@@ -147,3 +147,12 @@ def test_sliced_lookup_has_no_range_condition(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join" in line]
     assert joins and all("<" not in j and ">" not in j.replace("<=>", "") for j in joins)
+
+
+def test_ranked_at_ranks_probes_of_one_index_once(spark):
+    from encore.operators import ranked_at
+    s = spark.createDataFrame([(1, i, i, 0, 2) for i in range(4)], "k long, item long, v long, begin long, end long")
+    p = spark.createDataFrame([(7, 1, 0), (7, 1, 0), (8, 1, 0), (9, None, 0)], "id long, k long, at long")
+    got = sorted((r.id, r.rnk, r.item) for r in
+                 ranked_at(s, p, ["k"], [F.col("v").desc(), F.col("item").asc()], 2).collect())
+    assert got == [(7, 1, 3), (7, 1, 3), (7, 2, 2), (7, 2, 2), (8, 1, 3), (8, 2, 2)]

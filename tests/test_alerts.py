@@ -60,3 +60,13 @@ def test_exploded_events_are_not_broadcast(spark, tmp_path):
     listen, event, _ = _tables(spark, tmp_path)
     pieces = [j for j in _joins(top_streamers_at_events(listen, event)) if "node#" in j]
     assert pieces and all("SortMergeJoin" in j for j in pieces)
+
+
+def test_emails_are_not_broadcast(spark, tmp_path):
+    from encore.plans.alerts import alert_top_streamers_with_email
+    listen, event, email = _tables(spark, tmp_path)
+    out = alert_top_streamers_with_email(listen, event, email)
+    by_customer = [j for j in _joins(out) if "Join [customerid#" in j]
+    assert by_customer and all("SortMergeJoin" in j for j in by_customer)
+    assert {(r.customerid, r.email) for r in out.collect()} == {
+        (r.customerid, f"c{r.customerid}" if r.customerid < 5 else None) for r in out.collect()}

@@ -97,3 +97,24 @@ def test_sketch_never_undercounts(spark):
     for _, _, data, offsets in text_chunks(pa.array([t for _, t in rows])):
         blocks += len(cutter.cut(data, offsets).at)
     assert total == 2 * blocks
+
+
+def test_texts_are_cut_into_blocks_twice(spark, monkeypatch):
+    """Once to find contents (one shuffle for both uses) and once to list their blocks; free blocks ride along."""
+    from encore.llm.common import row_key
+    plans, write = [], repeats.materialize
+
+    def seen(df, name):
+        df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0])
+        return write(df, name)
+
+    monkeypatch.setattr(repeats, "materialize", seen)
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choice("abcdefgh ") for _ in range(3000)) for _ in range(3)]
+    df = spark.createDataFrame([(i, texts[i // 2] + "q" * 900 + str(i % 2)) for i in range(6)], "id long, text string")
+    docs = df.select("text", *row_key(df, "id", "text"))
+    runs = repeats.repeated_windows(docs, "text", prefix_free.Phrases(400), 1, 1 << 20)
+    assert plans[0].count("MapInArrow") == 2 and "ReusedExchange" in plans[0]
+    assert "free#" not in runs._jdf.queryExecution().optimizedPlan().toString()
+    assert runs.count() == 6

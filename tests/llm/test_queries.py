@@ -25,7 +25,8 @@ def canon(rows):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{ROOT}/documents.parquet')")
+    for table in ("documents", "embeddings", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{ROOT}/{table}.parquet')")
     df = QUERIES[name](spark, ROOT)
     cols = sorted(df.columns)
     assert canon(df.select(*cols).collect()) == canon(
